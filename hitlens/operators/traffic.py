@@ -1,0 +1,126 @@
+"""Traffic-profile tables of the log feeder, as Spark operators.
+
+The feeder is a wall-clock simulator and is not built; its table work is:
+weight per (hour, country) from a shifted hour (JOI-2/3, SCA-14), cumulative
+weights per hour (WIN-1), totals (AGG-15), a weighted pick of a country for a
+draw (JOI-4) and a day's volume split over hours (SCA-12/13).  The weight
+tables are tiny and of fixed size (24 x countries), which is the proven bound
+behind every broadcast below; the draws and day counts they are applied to
+grow with the data.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# Fixed values of the reference feeder (country order is the index `ctry`).
+COUNTRY_CODES = ["CH", "US", "IN", "JP", "BR", "DE", "RU", "ID", "GB", "FR",
+                 "NG", "MX", "KR", "IR", "TR", "IT", "PH", "VN", "ES", "PK"]
+COUNTRY_PCT = [31, 13, 7, 5, 5, 4, 4, 3, 3, 3, 3, 3, 3, 3, 3, 2, 2, 1, 1, 1]
+COUNTRY_TIME_DIFF = [13, 0, 11, 14, 2, 7, 9, 12, 6, 7, 6, 0, 14, 10, 8, 7, 13, 12, 7, 10]
+HOURLY_WEIGHT = [4, 3, 1, 1, 1, 1, 2, 2, 2, 2, 2, 2, 3, 3, 2, 2, 3, 4, 6, 8, 12, 12, 12, 10]
+
+HOURS_PER_DAY = 24
+DRAW_MULTIPLIER = 7919      # fixture rule for draws: r = 1 + (event_id * 7919) % hour_total
+
+COUNTRIES_SCHEMA = T.StructType([
+    T.StructField("ctry", T.IntegerType(), False),
+    T.StructField("code", T.StringType(), False),
+    T.StructField("pct", T.IntegerType(), False),
+    T.StructField("time_diff", T.IntegerType(), False),
+])
+HOURS_SCHEMA = T.StructType([
+    T.StructField("hour", T.IntegerType(), False),
+    T.StructField("weight", T.IntegerType(), False),
+])
+
+
+def countries_table(spark: SparkSession) -> DataFrame:
+    rows = list(zip(range(len(COUNTRY_CODES)), COUNTRY_CODES, COUNTRY_PCT, COUNTRY_TIME_DIFF))
+    return spark.createDataFrame(rows, COUNTRIES_SCHEMA)
+
+
+def hours_table(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(list(enumerate(HOURLY_WEIGHT)), HOURS_SCHEMA)
+
+
+def traffic_weights(hours: DataFrame, countries: DataFrame) -> DataFrame:
+    """(hour, ctry, code, weight): weight = hourly weight at the country's
+    local hour ``(hour + time_diff) % 24`` times its percentage.
+
+    Every country row is expanded to the 24 hours with a generator, then the
+    hourly weight is looked up by equi join on the shifted hour.
+    """
+    per_hour = countries.select(
+        "ctry", "code", "pct", "time_diff",
+        F.explode(F.sequence(F.lit(0), F.lit(HOURS_PER_DAY - 1))).alias("hour"))
+    shifted = per_hour.withColumn("local_hour", (F.col("hour") + F.col("time_diff")) % HOURS_PER_DAY)
+    lookup = F.broadcast(hours.select(F.col("hour").alias("local_hour"),
+                                      F.col("weight").alias("hour_weight")))
+    joined = shifted.join(lookup, "local_hour", "inner")
+    return joined.select("hour", "ctry", "code",
+                         (F.col("hour_weight") * F.col("pct")).alias("weight"))
+
+
+def traffic_cumulative(weights: DataFrame) -> DataFrame:
+    """WIN-1: running weight per hour over countries in index order."""
+    w = (Window.partitionBy("hour").orderBy("ctry")
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return weights.withColumn("cum_weight", F.sum("weight").over(w))
+
+
+def traffic_hour_totals(weights: DataFrame) -> DataFrame:
+    """AGG-15: total weight per hour, and the grand total of the day.
+
+    The grand total is a window over the 24 hourly rows (one tiny partition).
+    """
+    totals = weights.groupBy("hour").agg(F.sum("weight").cast("bigint").alias("hour_total"))
+    return totals.withColumn("day_total", F.sum("hour_total").over(Window.partitionBy()))
+
+
+def traffic_day_total(weights: DataFrame) -> DataFrame:
+    return weights.agg(F.sum("weight").cast("bigint").alias("day_total"))
+
+
+def draws_from_events(events: DataFrame, hour_totals: DataFrame) -> DataFrame:
+    """Fixture draws (event_id, hour, r) with r in 1..hour_total of its hour."""
+    ev = events.select("event_id", F.hour(F.col("ts").cast("timestamp")).alias("hour"))
+    joined = ev.join(F.broadcast(hour_totals.select("hour", "hour_total")), "hour", "inner")
+    r = F.lit(1) + (F.col("event_id") * DRAW_MULTIPLIER) % F.col("hour_total")
+    return joined.select("event_id", "hour", r.cast("bigint").alias("r"))
+
+
+def weighted_pick(draws: DataFrame, cumulative: DataFrame) -> DataFrame:
+    """JOI-4: the first country whose cumulative weight reaches ``r``.
+
+    Equi join on hour plus the band ``cum - weight < r <= cum``; exactly one
+    country matches each draw.  The cumulative table (24 x countries) is
+    broadcast, so the draws are never shuffled.
+    """
+    bands = F.broadcast(cumulative.select(
+        "hour", "ctry", "code", (F.col("cum_weight") - F.col("weight")).alias("lo"),
+        F.col("cum_weight").alias("hi")))
+    d, b = draws.alias("d"), bands.alias("b")
+    cond = ((F.col("d.hour") == F.col("b.hour")) & (F.col("d.r") > F.col("b.lo"))
+            & (F.col("d.r") <= F.col("b.hi")))
+    return d.join(b, cond, "inner").select("d.event_id", "d.hour", "d.r", "b.ctry", "b.code")
+
+
+def hourly_apportion(day_counts: DataFrame, hour_totals: DataFrame,
+                     n_col: str = "n") -> DataFrame:
+    """SCA-12/13: split each day's volume over the hours by weight.
+
+    clicks = max(1, floor(0.5 + n * hour_total / day_total)); gap_ms is the
+    mean gap between events in that hour.  Each day row is expanded to 24
+    hours with a generator; the 24-row totals (with ``day_total``, from
+    :func:`traffic_hour_totals`) are broadcast.
+    """
+    per_hour = day_counts.select(
+        "*", F.explode(F.sequence(F.lit(0), F.lit(HOURS_PER_DAY - 1))).alias("hour"))
+    joined = per_hour.join(F.broadcast(hour_totals), "hour", "inner")
+    share = F.col(n_col).cast("double") * F.col("hour_total").cast("double") / F.col("day_total").cast("double")
+    clicks = F.greatest(F.lit(1).cast("bigint"), F.floor(F.lit(0.5) + share).cast("bigint"))
+    return joined.withColumn("clicks", clicks).withColumn(
+        "gap_ms", F.lit(3600.0) / F.col("clicks").cast("double") * F.lit(1000.0))
