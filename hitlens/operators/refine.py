@@ -35,7 +35,8 @@ def join_country(logs: DataFrame, lookup: DataFrame, broadcast: str = "check",
     """Left join on ``prefix``.
 
     broadcast: ``check`` (size check, default), ``bounded`` (caller proves the
-    bound, e.g. a lookup from :func:`lookup_from_lines`), ``never``.
+    bound), ``none`` (no hint added: the caller already hinted the side, or
+    leaves the strategy to the planner).
     """
     side = lookup.select("prefix", "country_code")
     if broadcast == "check":

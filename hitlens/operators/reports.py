@@ -98,13 +98,22 @@ def response_code_counts(logs: DataFrame) -> DataFrame:
     return count_by(logs, "response_code", "total")
 
 
+def frequent_ips_from_counts(counts: DataFrame, threshold: int = FREQUENT_THRESHOLD) -> DataFrame:
+    return counts.where(F.col("total") > threshold)
+
+
 def frequent_ips(logs: DataFrame, threshold: int = FREQUENT_THRESHOLD) -> DataFrame:
     """AGG-8: IPs seen more than ``threshold`` times (HAVING total > 10)."""
-    return count_by(logs, "ip_address", "total").where(F.col("total") > threshold)
+    return frequent_ips_from_counts(count_by(logs, "ip_address", "total"), threshold)
+
+
+def top_endpoints_from_counts(counts: DataFrame, k: int = 10) -> DataFrame:
+    return top_k(counts, k, "total", "request_uri")
 
 
 def top_endpoints(logs: DataFrame, k: int = 10) -> DataFrame:
-    return top_k(count_by(logs, "request_uri", "total"), k, "total", "request_uri")
+    """AGG-9 / TOP-2: top endpoints by count."""
+    return top_endpoints_from_counts(count_by(logs, "request_uri", "total"), k)
 
 
 def log_volume_per_minute(logs: DataFrame) -> DataFrame:

@@ -1,2 +1,171 @@
-STREAM_QUERIES = {}
-STREAM_ORACLE_SQL = {}
+"""Registered streaming and counter queries.
+
+Each runs a Structured Streaming query with ``availableNow`` over a text feed
+written from ``events`` (time-ordered files, one per micro-batch), into a
+fresh folder below the shared checkpoint folder, and returns the result table
+read back with Spark.  All-time results do not depend on how lines fall into
+batches, so they are compared with batch SQL; per-batch results
+(``stream_batch_top_products``, ``stream_size_stats_last``,
+``stream_sql_reports``) depend on the file boundaries and are checked against
+a brute-force batch run in the tests instead.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ..operators import reports
+from ..plans.oracle import ORACLE_SQL, _with
+from ..registry import country_lookup
+from ..session import shared_dir, tune, use_rocksdb_state
+from ..sources import fixtures
+from ..sources.logs import read_log_stream
+from ..streaming import jobs
+from ..streaming.counters import CounterLedger
+from ..streaming.feed import write_feed
+
+AVAILABLE_NOW = {"availableNow": True}
+FEED_FILES = 4
+STREAM_TIMEOUT_S = 1800
+
+_feeds: dict[tuple[str, str], str] = {}
+_ledgers: dict[tuple[str, str], CounterLedger] = {}
+
+
+def feed_path(spark: SparkSession, sf_dir: str) -> str:
+    """Write the events as a time-ordered text feed once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _feeds:
+        tune(spark)
+        lines = fixtures.event_log_lines(fixtures.load(spark, sf_dir, "events"))
+        _feeds[key] = write_feed(lines, shared_dir(spark, "feed"), FEED_FILES)
+    return _feeds[key]
+
+
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_log_stream(spark, "text", feed_path(spark, sf_dir), max_files_per_trigger=1)
+
+
+def _await(query) -> None:
+    query.awaitTermination(STREAM_TIMEOUT_S)
+    if query.isActive:
+        query.stop()
+        raise TimeoutError(f"stream {query.name} did not finish")
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+
+
+def _all_time(state_fn, finish=None):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tune(spark)
+        use_rocksdb_state(spark)
+        out = shared_dir(spark, "out")
+        logs = jobs.access_log_stream(_lines(spark, sf_dir))
+        _await(jobs.start_all_time(state_fn(logs), out, shared_dir(spark, "ckpt"), finish,
+                                   AVAILABLE_NOW))
+        return spark.read.parquet(out)
+    return run
+
+
+def q_stream_batch_top_products(spark, sf_dir):
+    tune(spark)
+    out = shared_dir(spark, "out")
+    _await(jobs.start_batch_top_products(_lines(spark, sf_dir), country_lookup(spark, sf_dir),
+                                         out, shared_dir(spark, "ckpt"), trigger=AVAILABLE_NOW))
+    return spark.read.parquet(out)
+
+
+def q_stream_size_stats_last(spark, sf_dir):
+    tune(spark)
+    out = shared_dir(spark, "out")
+    _await(jobs.start_size_stats_ledger(_lines(spark, sf_dir), out, shared_dir(spark, "ckpt"),
+                                        AVAILABLE_NOW))
+    return jobs.size_stats_last(spark.read.parquet(out))
+
+
+def q_stream_sql_reports(spark, sf_dir):
+    tune(spark)
+    out = shared_dir(spark, "out")
+    _await(jobs.start_sql_reports(_lines(spark, sf_dir), out, shared_dir(spark, "ckpt"),
+                                  AVAILABLE_NOW))
+    return spark.read.parquet(out)
+
+
+def counter_ledger(spark: SparkSession, sf_dir: str) -> CounterLedger:
+    """Run the counter stream (STR-13) once per application and sf folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key in _ledgers:
+        return _ledgers[key]
+    tune(spark)
+    location = shared_dir(spark, "counters")
+    database = "hitlens_counters_" + location.rsplit("-", 1)[-1]
+    ledger = CounterLedger(spark, database, location)
+    ledger.create_schema()
+    _await(start_counters(spark, _lines(spark, sf_dir), country_lookup(spark, sf_dir), ledger,
+                          shared_dir(spark, "ckpt"), AVAILABLE_NOW))
+    _ledgers[key] = ledger
+    return ledger
+
+
+def start_counters(spark, lines, lookup, ledger: CounterLedger, checkpoint: str,
+                   trigger=None, name=None):
+    """Four counters per micro-batch from one persisted batch."""
+    from ..operators.refine import bounded_broadcast, viewed_products
+    from ..sources.lookup import MAX_CLASS_B_PREFIXES
+    side = bounded_broadcast(lookup.select("prefix", "country_code"), MAX_CLASS_B_PREFIXES)
+    logs = jobs.access_log_stream(lines)
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        vp = viewed_products(batch, side, broadcast="none").persist()
+        try:
+            if vp.isEmpty():
+                return
+            ledger.apply_batch(vp, batch_id)
+        finally:
+            vp.unpersist()
+
+    return jobs._start(logs.writeStream.foreachBatch(per_batch), checkpoint, trigger, name)
+
+
+def _counter(table: str) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: counter_ledger(spark, sf_dir).totals(table)
+
+
+COUNTER_READ_SQL = "SELECT page, views FROM page_views WHERE views > 10"
+
+STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "stream_batch_top_products": q_stream_batch_top_products,
+    "stream_status_total": _all_time(jobs.status_totals),
+    "stream_frequent_ips_total": _all_time(jobs.ip_totals, reports.frequent_ips_from_counts),
+    "stream_top_endpoints_total": _all_time(jobs.endpoint_totals, reports.top_endpoints_from_counts),
+    "stream_size_stats_total": _all_time(jobs.size_totals, jobs.with_int_avg),
+    "stream_size_stats_last": q_stream_size_stats_last,
+    "stream_sql_reports": q_stream_sql_reports,
+    "counter_page_views": _counter("page_views"),
+    "counter_log_volume": _counter("log_volume_by_minute"),
+    "counter_status": _counter("status_counter"),
+    "counter_country": _counter("visits_by_country"),
+    "counter_read": lambda spark, sf_dir: counter_ledger(spark, sf_dir).read(COUNTER_READ_SQL),
+}
+
+STREAM_ORACLE_SQL: dict[str, str] = {
+    "stream_status_total": ORACLE_SQL["response_code_counts"],
+    "stream_frequent_ips_total": ORACLE_SQL["frequent_ips"],
+    "stream_top_endpoints_total": ORACLE_SQL["top_endpoints"],
+    "stream_size_stats_total": _with(
+        "SELECT CAST(sum(content_size) AS BIGINT) AS total_size, count(*) AS n, "
+        "min(content_size) AS min_size, max(content_size) AS max_size, "
+        "CAST(sum(content_size) // count(*) AS BIGINT) AS avg_size FROM good"),
+    "counter_page_views": _with("SELECT product AS page, count(*) AS views FROM good GROUP BY product"),
+    "counter_log_volume": _with(
+        "SELECT strftime(date_time, '%Y-%m-%d %H:%M') AS \"timestamp\", count(*) AS \"count\" "
+        "FROM good GROUP BY 1"),
+    "counter_status": _with(
+        "SELECT response_code AS status_code, count(*) AS \"count\" FROM good GROUP BY 1"),
+    "counter_country": _with(
+        "SELECT country_code AS country, count(*) AS \"count\" FROM good GROUP BY 1"),
+    "counter_read": _with(
+        "SELECT product AS page, count(*) AS views FROM good GROUP BY product HAVING count(*) > 10"),
+}
