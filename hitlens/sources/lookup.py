@@ -98,6 +98,7 @@ def prefix_dictionary(lines: DataFrame, countries: DataFrame, value_col: str = "
     # countries is a fixed list (20 rows in the reference): a bounded broadcast
     listed = rows.join(F.broadcast(countries.select("code", "ctry")), "code", "inner")
     w = Window.partitionBy("code").orderBy("line_order")
-    ranked = listed.withColumn("slot", F.row_number().over(w) - 1)
-    return ranked.where(F.col("slot") < max_per_country).select(
-        F.col("code").alias("country"), "ctry", "ip_a", "ip_b", F.col("slot").cast("int"))
+    # filter on the rank itself so the optimizer inserts the partial limit
+    ranked = listed.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= max_per_country)
+    return ranked.select(F.col("code").alias("country"), "ctry", "ip_a", "ip_b",
+                         (F.col("_rn") - 1).cast("int").alias("slot"))

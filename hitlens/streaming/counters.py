@@ -47,7 +47,11 @@ class CounterLedger:
         self.spark.sql(f"DROP DATABASE IF EXISTS `{self.database}` CASCADE")
 
     def ledger(self, table: str) -> DataFrame:
-        return self.spark.table(f"`{self.database}`.`{table}`")
+        """The ledger rows; the file listing is refreshed first, since batches
+        replace partitions from the streaming thread."""
+        name = f"`{self.database}`.`{table}`"
+        self.spark.catalog.refreshTable(name)
+        return self.spark.table(name)
 
     # --- increments (SNK-3..6) ----------------------------------------------
     def _write(self, table: str, deltas: DataFrame, batch_id: int) -> None:
@@ -96,12 +100,14 @@ class CounterLedger:
         overwritten and the folded batch partitions are dropped.
         """
         key, _, value = COUNTER_TABLES[table]
+        name = f"`{self.database}`.`{table}`"
         old = self.ledger(table).where(F.col("batch_id") <= upto_batch_id)
+        # partition ids only: one small row per folded batch
+        ids = [r[0] for r in old.where(F.col("batch_id") != BASE_BATCH)
+               .select("batch_id").distinct().collect()]
         folded = old.groupBy(key).agg(F.sum(value).cast("bigint").alias(value))
         folded.write.mode("overwrite").parquet(staging)
         self._write(table, self.spark.read.parquet(staging), BASE_BATCH)
-        ids = [r[0] for r in old.select("batch_id").distinct()
-               .where(F.col("batch_id") != BASE_BATCH).collect()]
-        for batch_id in ids:   # partition metadata only, one id per folded batch
-            self.spark.sql(f"ALTER TABLE `{self.database}`.`{table}` "
-                           f"DROP IF EXISTS PARTITION (batch_id={batch_id})")
+        for batch_id in ids:
+            self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (batch_id={batch_id})")
+        self.spark.catalog.refreshTable(name)

@@ -24,18 +24,13 @@ def write_feed(lines: DataFrame, path: str, n_files: int = 4, time_col: str = "t
     return path
 
 
-def write_feed_files(chunks: list[DataFrame], path: str, value_col: str = "value",
-                     pause_s: float = 1.1) -> list[str]:
-    """Write each frame as its own sub-folder, one after the other.
+def append_feed_file(chunk: DataFrame, path: str, value_col: str = "value",
+                     pause_s: float = 1.1) -> None:
+    """Append one frame as one new file of the feed folder (tests only).
 
     The file source orders new files by modification time; the pause keeps
-    the chunks' times apart so chunk i lands in micro-batch i when the stream
-    reads one file per trigger (tests only).
+    the files' times apart, so with one file per trigger the i-th appended
+    file is the i-th micro-batch.
     """
-    dirs = []
-    for i, chunk in enumerate(chunks):
-        target = f"{path}/chunk={i:05d}"
-        chunk.select(value_col).coalesce(1).write.mode("errorifexists").text(target)
-        dirs.append(target)
-        time.sleep(pause_s)
-    return dirs
+    chunk.select(value_col).coalesce(1).write.mode("append").text(path)
+    time.sleep(pause_s)

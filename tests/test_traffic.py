@@ -1,0 +1,67 @@
+"""Traffic-profile tables against the golden constants (FIXTURES.md §5)."""
+
+from pyspark.sql import functions as F
+
+from hitlens.operators import traffic as tr
+
+HOUR_TOTALS = [264, 222, 198, 236, 293, 392, 528, 680, 719, 760, 697, 531,
+               499, 431, 397, 354, 338, 314, 318, 331, 387, 381, 362, 368]
+CUM_HOUR0 = [93, 145, 159, 169, 174, 182, 190, 199, 205, 211, 217, 229, 235, 241, 247,
+             251, 257, 260, 262, 264]
+
+
+def _tables(spark):
+    weights = tr.traffic_weights(tr.hours_table(spark), tr.countries_table(spark))
+    return weights, tr.traffic_cumulative(weights), tr.traffic_hour_totals(weights)
+
+
+def test_constant_tables(spark):
+    assert sum(tr.COUNTRY_PCT) == 100 and sum(tr.HOURLY_WEIGHT) == 100
+    assert len(tr.COUNTRY_CODES) == 20 and len(tr.HOURLY_WEIGHT) == 24
+
+
+def test_weights_totals_and_cumulative(spark):
+    weights, cum, totals = _tables(spark)
+    assert weights.count() == 24 * 20
+    got = {r.hour: (r.hour_total, r.day_total) for r in totals.collect()}
+    assert [got[h][0] for h in range(24)] == HOUR_TOTALS
+    assert {v[1] for v in got.values()} == {10000}
+    assert tr.traffic_day_total(weights).collect()[0].day_total == 10000
+    hour0 = [r.cum_weight for r in cum.where("hour = 0").orderBy("ctry").collect()]
+    assert hour0 == CUM_HOUR0
+
+
+def test_apportion_golden(spark):
+    _, _, totals = _tables(spark)
+    days = spark.createDataFrame([(5_000_000,)], "n long")
+    rows = {r.hour: r for r in tr.hourly_apportion(days, totals).collect()}
+    assert rows[0].clicks == 132_000 and rows[1].clicks == 111_000
+    assert abs(rows[0].gap_ms - 27.2727) < 1e-3
+    small = spark.createDataFrame([(10,)], "n long")
+    assert min(r.clicks for r in tr.hourly_apportion(small, totals).collect()) == 1
+
+
+def test_weighted_pick_matches_loop(spark):
+    _, cum, totals = _tables(spark)
+    cum_rows = {}
+    for r in cum.collect():
+        cum_rows.setdefault(r.hour, {})[r.ctry] = r.cum_weight
+    draws = spark.range(0, 3000).select(
+        F.col("id").alias("event_id"), (F.col("id") % 24).cast("int").alias("hour"))
+    draws = draws.join(totals.select("hour", "hour_total"), "hour").select(
+        "event_id", "hour", (F.lit(1) + (F.col("event_id") * 31) % F.col("hour_total")).alias("r"))
+    got = {r.event_id: r.ctry for r in tr.weighted_pick(draws, cum).collect()}
+    assert len(got) == 3000
+    for d in draws.collect():
+        ctry = 0
+        while d.r > cum_rows[d.hour][ctry]:
+            ctry += 1
+        assert got[d.event_id] == ctry
+
+
+def test_weighted_pick_broadcasts_bands(spark):
+    _, cum, _ = _tables(spark)
+    draws = spark.range(10).select(F.col("id").alias("event_id"), F.lit(0).alias("hour"),
+                                   F.lit(5).cast("long").alias("r"))
+    plan = tr.weighted_pick(draws, cum)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
