@@ -35,40 +35,42 @@ def parse_logs(lines: DataFrame, value_col: str = "value", keep_raw: bool = True
 
     A line is valid when it matches the pattern, holds no U+0001, and its time
     and size cast; a ``-`` size counts as 0 (decision D6).
+
+    The record is emitted by a generator (``inline`` of a one-element array of
+    structs).  Catalyst cannot push a filter on generated columns below the
+    generator, so ``where(is_valid)`` does not inline the regular expression
+    into the filter once per referenced field: the pattern runs once per line.
     """
     value = F.col(value_col)
-    parts = _parts(value)
-    raw = lines.select(*(F.col(c) for c in lines.columns), parts.alias("_p"))
+    keep = [F.col(c) for c in lines.columns] if keep_raw else []
+    raw = lines.select(*keep, value.alias("_line"), _parts(value).alias("_p"))
     p = F.col("_p")
     size_txt = F.get(p, 8)
-    typed = raw.select(
-        *(F.col(c) for c in lines.columns),
+    date_time = F.try_to_timestamp(F.get(p, 3), F.lit(LOG_TIME_FORMAT))
+    response_code = F.get(p, 7).try_cast("int")
+    content_size = (F.when(size_txt == "-", F.lit(0).cast("bigint"))
+                     .otherwise(size_txt.try_cast("bigint")))
+    is_valid = F.coalesce(
+        (F.size(p) == N_FIELDS)
+        & (F.instr(F.col("_line"), FIELD_SEP) == 0)
+        & date_time.isNotNull() & response_code.isNotNull() & content_size.isNotNull(),
+        F.lit(False),
+    )
+    record = F.struct(
         F.get(p, 0).alias("ip_address"),
         F.get(p, 1).alias("client_id"),
         F.get(p, 2).alias("user"),
-        F.try_to_timestamp(F.get(p, 3), F.lit(LOG_TIME_FORMAT)).alias("date_time"),
+        date_time.alias("date_time"),
         F.get(p, 4).alias("method"),
         F.get(p, 5).alias("request_uri"),
         F.get(p, 6).alias("protocol"),
-        F.get(p, 7).try_cast("int").alias("response_code"),
-        F.when(size_txt == "-", F.lit(0).cast("bigint"))
-         .otherwise(size_txt.try_cast("bigint")).alias("content_size"),
+        response_code.alias("response_code"),
+        content_size.alias("content_size"),
         F.get(p, 9).alias("referrer"),
         F.get(p, 10).alias("user_agent"),
-        (F.size(p) == N_FIELDS).alias("_matched"),
-    )
-    valid = F.coalesce(
-        F.col("_matched")
-        & (F.instr(value, FIELD_SEP) == 0)
-        & F.col("date_time").isNotNull()
-        & F.col("response_code").isNotNull()
-        & F.col("content_size").isNotNull(),
-        F.lit(False),
+        is_valid.alias("is_valid"),
     )
-    out = typed.withColumn("is_valid", valid).drop("_matched")
-    if not keep_raw:
-        out = out.drop(value_col)
-    return out
+    return raw.select(*keep, F.inline(F.array(record)))
 
 
 def valid(parsed: DataFrame) -> DataFrame:

@@ -44,7 +44,10 @@ def country_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def viewed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return viewed_products(access_logs(spark, sf_dir), country_lookup(spark, sf_dir))
+    # lookup_from_lines keeps valid class-B prefixes only, one row per prefix:
+    # at most 65,536 rows by construction, so the broadcast needs no check
+    return viewed_products(access_logs(spark, sf_dir), country_lookup(spark, sf_dir),
+                           broadcast="bounded")
 
 
 def _on_viewed(fn) -> Query:

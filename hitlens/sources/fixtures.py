@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import format_ipv4, format_log_line
 from ..session import table_path
+from .logs import with_min_partitions
 
 # Fixed values of the fixture rules (FIXTURES.md §3).
 REJECT_EVERY = 97          # event_id % 97 = 0 -> a line the parser must reject
@@ -29,8 +30,13 @@ EXTRA_CODES = ["AQ", "BV", "HM"]
 DICT_BAD_EVERY = 41
 
 
+# tables whose rows drive per-row work (log lines, draws, pages)
+ROW_TABLES = {"events", "pages"}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+    df = spark.read.parquet(table_path(sf_dir, name))
+    return with_min_partitions(df) if name in ROW_TABLES else df
 
 
 def event_log_lines(events: DataFrame) -> DataFrame:
