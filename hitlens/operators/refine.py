@@ -12,8 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import ip_prefix, product_from_uri
-from ..schema import VIEWED_PRODUCTS_COLUMNS
-from ..sources.lookup import MAX_CLASS_B_PREFIXES
+from ..schema import MAX_CLASS_B_PREFIXES, VIEWED_PRODUCTS_COLUMNS
 
 
 def bounded_broadcast(side: DataFrame, max_rows: int) -> DataFrame:

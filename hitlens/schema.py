@@ -25,6 +25,10 @@ ACCESS_LOG = T.StructType([
 
 VIEWED_PRODUCTS_COLUMNS = ["user", "country_code", "date_time", "product", "response_code"]
 
+# IPv4 class-B prefixes "a.b": 256 * 256 distinct values.  A lookup with one
+# row per valid prefix is bounded by this, whatever the size of its input.
+MAX_CLASS_B_PREFIXES = 256 * 256
+
 COUNTRY_LOOKUP = T.StructType([
     T.StructField("prefix", T.StringType(), False),
     T.StructField("country_code", T.StringType(), True),

@@ -7,16 +7,17 @@ country), so every reader carries an orderable ``line_order`` column.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import java_split
+from ..operators.topk import first_k_per_group
+from ..schema import MAX_CLASS_B_PREFIXES  # noqa: F401  (re-exported)
 
 # A valid class-B prefix: two octets 0..255.  After one row per prefix the
 # lookup holds at most 256 * 256 rows, which is what makes broadcasting it safe.
 OCTET = r"(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 CLASS_B_PATTERN = rf"^{OCTET}\.{OCTET}$"
-MAX_CLASS_B_PREFIXES = 256 * 256
 
 MAX_IPS_PER_COUNTRY = 1000   # fixed value of the dictionary loader
 
@@ -81,9 +82,8 @@ def prefix_dictionary(lines: DataFrame, countries: DataFrame, value_col: str = "
     Keeps lines with exactly two fields whose country is in ``countries``
     (ctry INT, code STRING) and whose prefix splits into two integers, then the
     first ``max_per_country`` of them per country in line order (the cap is
-    the feature).  ``row_number() <= k`` is planned with a partial window-group
-    limit before the shuffle, so a country holding most lines sends at most
-    ``k`` rows per input partition.
+    the feature).  The per-country cut is a two-level exact top-k, so a
+    country holding a third of all lines never lands whole in one task.
     """
     fields = java_split(value_col, " ")
     octets = java_split(F.get(fields, 0), r"\.")
@@ -97,8 +97,6 @@ def prefix_dictionary(lines: DataFrame, countries: DataFrame, value_col: str = "
     ).where("_n = 2 AND _m >= 2 AND ip_a IS NOT NULL AND ip_b IS NOT NULL")
     # countries is a fixed list (20 rows in the reference): a bounded broadcast
     listed = rows.join(F.broadcast(countries.select("code", "ctry")), "code", "inner")
-    w = Window.partitionBy("code").orderBy("line_order")
-    # filter on the rank itself so the optimizer inserts the partial limit
-    ranked = listed.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= max_per_country)
+    ranked = first_k_per_group(listed, "code", "line_order", max_per_country)
     return ranked.select(F.col("code").alias("country"), "ctry", "ip_a", "ip_b",
-                         (F.col("_rn") - 1).cast("int").alias("slot"))
+                         (F.col("_rank") - 1).cast("int").alias("slot"))

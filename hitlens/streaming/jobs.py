@@ -16,7 +16,7 @@ from ..functions import parse_logs, valid
 from ..operators import reports
 from ..operators.refine import bounded_broadcast, viewed_products
 from ..plans import sql_reports as sq
-from ..sources.lookup import MAX_CLASS_B_PREFIXES
+from ..schema import MAX_CLASS_B_PREFIXES
 
 DEFAULT_TRIGGER = {"processingTime": "10 seconds"}   # fixed value: 10 s micro-batches
 

@@ -17,8 +17,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import reports
+from ..operators.refine import bounded_broadcast, viewed_products
 from ..plans.oracle import ORACLE_SQL, _with
 from ..registry import country_lookup
+from ..schema import MAX_CLASS_B_PREFIXES
 from ..session import shared_dir, tune, use_rocksdb_state
 from ..sources import fixtures
 from ..sources.logs import read_log_stream
@@ -112,8 +114,6 @@ def counter_ledger(spark: SparkSession, sf_dir: str) -> CounterLedger:
 def start_counters(spark, lines, lookup, ledger: CounterLedger, checkpoint: str,
                    trigger=None, name=None):
     """Four counters per micro-batch from one persisted batch."""
-    from ..operators.refine import bounded_broadcast, viewed_products
-    from ..sources.lookup import MAX_CLASS_B_PREFIXES
     side = bounded_broadcast(lookup.select("prefix", "country_code"), MAX_CLASS_B_PREFIXES)
     logs = jobs.access_log_stream(lines)
 

@@ -124,3 +124,22 @@ def test_viewed_products_is_one_to_one(spark):
 def test_sliding_top_k_limits_rows_before_shuffle(spark):
     plan = _plan(windows.sliding_top_products(registry.viewed(spark, SF001)))
     assert "WindowGroupLimit" in plan
+
+
+def test_first_k_per_group_hot_group_is_exact(spark):
+    from hitlens.operators.topk import first_k_per_group
+    # group 0 holds a third of the rows, spread over 40 input partitions
+    df = spark.range(0, 6000, numPartitions=40).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 7 + 1).alias("g"),
+        ((F.col("id") * 7919) % 6007).alias("o"))
+    got = first_k_per_group(df, "g", "o", 25, buckets=4)
+    plan = _plan(got)
+    assert plan.count("WindowGroupLimit") >= 2 or "WindowGroupLimit" in plan
+    rows = {}
+    for r in got.collect():
+        rows.setdefault(r.g, []).append((r._rank, r.o))
+    want = {}
+    for r in df.collect():
+        want.setdefault(r.g, []).append(r.o)
+    for g, values in want.items():
+        assert sorted(rows[g]) == list(enumerate(sorted(values)[:25], start=1))
