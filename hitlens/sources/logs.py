@@ -81,3 +81,15 @@ def read_log_stream(spark: SparkSession, source: str = "text", path: str | None
             reader = reader.option(key, value)
         return reader.format("kafka").load().select(F.col("value").cast("string").alias("value"))
     raise ValueError(f"unknown log source {source!r}")
+
+
+def write_lines(lines: DataFrame, path: str, value_col: str = "value", mode: str = "append") -> None:
+    """SNK-10 / SNK-2: write lines (formatted log lines, rejected lines) as text."""
+    lines.select(value_col).write.mode(mode).text(path)
+
+
+def write_lines_kafka(lines: DataFrame, bootstrap_servers: str, topic: str,
+                      value_col: str = "value") -> None:
+    """SNK-10: publish lines to a Kafka topic (needs the Kafka connector)."""
+    (lines.select(F.col(value_col).cast("string").alias("value")).write.format("kafka")
+          .option("kafka.bootstrap.servers", bootstrap_servers).option("topic", topic).save())

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import parse_logs, valid
-from ..operators import reports
+from ..operators import reports, windows
 from ..operators.refine import bounded_broadcast, viewed_products
 from ..plans import sql_reports as sq
 from ..schema import MAX_CLASS_B_PREFIXES
@@ -106,6 +106,21 @@ def with_int_avg(stats: DataFrame) -> DataFrame:
     return stats.withColumn("avg_size", F.expr("total_size div nullif(n, 0)"))
 
 
+# --- STR-3 / STR-14: sliding windows on event time with a watermark -------------
+
+def start_sliding_counts(lines: DataFrame, out_path: str, checkpoint: str,
+                         watermark: str = "1 minute", length: str = windows.WINDOW_LENGTH,
+                         slide: str = windows.SLIDE_INTERVAL, trigger: dict | None = None,
+                         name: str | None = None) -> StreamingQuery:
+    """Hits per sliding window, appended to a parquet table once a window
+    closes (its end passes the watermark); rows later than the watermark are
+    dropped, so the state stays bounded."""
+    logs = access_log_stream(lines).withWatermark("date_time", watermark)
+    counts = windows.sliding_window_counts(logs, length, slide)
+    writer = counts.writeStream.outputMode("append").format("parquet").option("path", out_path)
+    return _start(writer, checkpoint, trigger, name)
+
+
 # --- STR-8: running sum/count, min/max of the latest non-empty batch -------------
 
 def start_size_stats_ledger(lines: DataFrame, ledger_path: str, checkpoint: str,
