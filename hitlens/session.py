@@ -23,7 +23,6 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # partial top-k per window partition before the shuffle (row_number <= k)
     "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

@@ -11,6 +11,8 @@ SQL DDL.  ``compact`` folds old batches into one base partition.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,11 +57,19 @@ class CounterLedger:
 
     # --- increments (SNK-3..6) ----------------------------------------------
     def _write(self, table: str, deltas: DataFrame, batch_id: int) -> None:
+        """Replace the partition of ``batch_id`` (static partition overwrite):
+        a replayed batch rewrites its own rows and nothing else."""
         key, _, value = COUNTER_TABLES[table]
-        rows = deltas.select(F.col(key), F.col(value).cast("bigint"),
-                             F.lit(batch_id).cast("bigint").alias("batch_id"))
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-            .insertInto(f"`{self.database}`.`{table}`")
+        view = f"_counter_delta_{table}_{uuid.uuid4().hex[:8]}"
+        deltas.select(F.col(key), F.col(value).cast("bigint").alias(value)) \
+            .createOrReplaceTempView(view)
+        session = deltas.sparkSession          # the micro-batch's session holds the view
+        try:
+            session.sql(
+                f"INSERT OVERWRITE TABLE `{self.database}`.`{table}` "
+                f"PARTITION (batch_id = {int(batch_id)}) SELECT `{key}`, `{value}` FROM {view}")
+        finally:
+            session.catalog.dropTempView(view)
 
     def apply_batch(self, viewed: DataFrame, batch_id: int) -> None:
         """STR-13: one micro-batch of viewed products -> four counter deltas.

@@ -86,3 +86,10 @@ def test_is_valid_never_null_and_partition(spark):
 def test_parse_has_no_python_evaluation(spark):
     plan = parse_logs(lines_df(spark, [GOOD]))._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_filter_does_not_repeat_the_pattern(spark):
+    good = valid(parse_logs(lines_df(spark, [GOOD, "bad"])))
+    plan = good._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("regexp_replace") == 1
+    assert good.count() == 1

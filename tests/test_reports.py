@@ -143,3 +143,9 @@ def test_first_k_per_group_hot_group_is_exact(spark):
         want.setdefault(r.g, []).append(r.o)
     for g, values in want.items():
         assert sorted(rows[g]) == list(enumerate(sorted(values)[:25], start=1))
+
+
+def test_counts_combine_map_side(spark):
+    plan = _plan(reports.views_per_user(registry.viewed(spark, SF001)))
+    # partial aggregate below the exchange: a hot user costs one row per partition
+    assert plan.index("partial_count") > plan.index("Exchange hashpartitioning")
