@@ -27,7 +27,10 @@ _REPLACEMENT = FIELD_SEP.join(f"${i}" for i in range(1, N_FIELDS + 1))
 
 
 def _parts(value: Column) -> Column:
-    return F.split(F.regexp_replace(value, LOG_PATTERN, _REPLACEMENT), FIELD_SEP, -1)
+    """The 11 fields, or one part when the pattern fails; NULL for a line
+    that holds the separator itself (rejected)."""
+    return F.when(F.instr(value, FIELD_SEP) == 0,
+                  F.split(F.regexp_replace(value, LOG_PATTERN, _REPLACEMENT), FIELD_SEP, -1))
 
 
 def parse_logs(lines: DataFrame, value_col: str = "value", keep_raw: bool = True) -> DataFrame:
@@ -44,9 +47,9 @@ def parse_logs(lines: DataFrame, value_col: str = "value", keep_raw: bool = True
     """
     value = F.col(value_col)
     keep = [F.col(c) for c in lines.columns] if keep_raw else []
-    line = F.col(value_col) if keep_raw else F.col("_line")
-    split = lines.select(*keep, *([] if keep_raw else [value.alias("_line")]),
-                         F.explode(F.array(_parts(value))).alias("_p"))
+    # every check reads the generated array only, so no part of the
+    # validity test is pushed below the generator onto the raw line
+    split = lines.select(*keep, F.explode(F.array(_parts(value))).alias("_p"))
     p = F.col("_p")
     size_txt = F.get(p, 8)
     date_time = F.try_to_timestamp(F.get(p, 3), F.lit(LOG_TIME_FORMAT))
@@ -55,7 +58,6 @@ def parse_logs(lines: DataFrame, value_col: str = "value", keep_raw: bool = True
                      .otherwise(size_txt.try_cast("bigint")))
     is_valid = F.coalesce(
         (F.size(p) == N_FIELDS)
-        & (F.instr(line, FIELD_SEP) == 0)
         & date_time.isNotNull() & response_code.isNotNull() & content_size.isNotNull(),
         F.lit(False),
     )
