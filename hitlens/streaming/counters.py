@@ -6,7 +6,13 @@ deltas partitioned by ``batch_id``; a batch overwrites only its own partition
 (dynamic partition overwrite), so replaying it leaves totals unchanged.  The
 counter value is ``sum(delta)`` per key, read through a view.  Tables are
 managed tables of one database located in the shared folder, created with
-SQL DDL.  ``compact`` folds old batches into one base partition.
+SQL DDL.
+
+``compact`` folds batches up to ``n`` into a base partition whose id records
+``n`` (``batch_id = -1 - n``).  Readers take the newest base plus the deltas
+after it, so a compaction that stops half way - new base written, old
+partitions not yet dropped - never counts a batch twice, and a batch
+replayed after being folded is ignored.
 """
 
 from __future__ import annotations
@@ -20,7 +26,9 @@ from ..functions.scalar import minute_key
 from ..operators.reports import count_by
 from ..schema import COUNTER_TABLES
 
-BASE_BATCH = -1     # partition holding compacted totals
+def base_batch_id(upto_batch_id: int) -> int:
+    """Partition id of the base holding batches ``<= upto_batch_id``."""
+    return -1 - upto_batch_id
 
 
 class CounterLedger:
@@ -88,9 +96,17 @@ class CounterLedger:
                     count_by(viewed, F.col("country_code").alias("country"), "count"), batch_id)
 
     # --- reads (SNK-9) ------------------------------------------------------
+    def live(self, table: str) -> DataFrame:
+        """Ledger rows that count: the newest base, and the deltas after it."""
+        self.ledger(table)          # refresh the listing
+        t = f"`{self.database}`.`{table}`"
+        base = f"(SELECT min(batch_id) FROM {t} WHERE batch_id < 0)"
+        return self.spark.sql(
+            f"SELECT * FROM {t} WHERE batch_id = {base} OR batch_id > coalesce(-1 - {base}, -1)")
+
     def totals(self, table: str) -> DataFrame:
         key, _, value = COUNTER_TABLES[table]
-        return self.ledger(table).groupBy(key).agg(F.sum(value).cast("bigint").alias(value))
+        return self.live(table).groupBy(key).agg(F.sum(value).cast("bigint").alias(value))
 
     def register_views(self) -> None:
         for table in COUNTER_TABLES:
@@ -103,21 +119,23 @@ class CounterLedger:
 
     # --- compaction -----------------------------------------------------------
     def compact(self, table: str, upto_batch_id: int, staging: str) -> None:
-        """Fold batches ``<= upto_batch_id`` into the base partition.
+        """Fold the live rows of batches ``<= upto_batch_id`` (the previous base
+        included) into a new base partition, then drop what it replaces.
 
-        The folded totals are written to ``staging`` first (cutting lineage to
-        the partitions about to be replaced), then the base partition is
-        overwritten and the folded batch partitions are dropped.
+        The folded totals go to ``staging`` first, which cuts the lineage to
+        the partitions that are dropped afterwards.
         """
         key, _, value = COUNTER_TABLES[table]
         name = f"`{self.database}`.`{table}`"
-        old = self.ledger(table).where(F.col("batch_id") <= upto_batch_id)
-        # partition ids only: one small row per folded batch
-        ids = [r[0] for r in old.where(F.col("batch_id") != BASE_BATCH)
-               .select("batch_id").distinct().collect()]
-        folded = old.groupBy(key).agg(F.sum(value).cast("bigint").alias(value))
+        new_base = base_batch_id(upto_batch_id)
+        folded = (self.live(table).where(F.col("batch_id") <= upto_batch_id)
+                  .groupBy(key).agg(F.sum(value).cast("bigint").alias(value)))
         folded.write.mode("overwrite").parquet(staging)
-        self._write(table, self.spark.read.parquet(staging), BASE_BATCH)
-        for batch_id in ids:
+        self._write(table, self.spark.read.parquet(staging), new_base)
+        # partition ids only: one small row per superseded batch or base
+        stale = [r[0] for r in self.ledger(table)
+                 .where((F.col("batch_id") <= upto_batch_id) & (F.col("batch_id") != new_base))
+                 .select("batch_id").distinct().collect()]
+        for batch_id in stale:
             self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (batch_id={batch_id})")
         self.spark.catalog.refreshTable(name)
