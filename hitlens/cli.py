@@ -109,7 +109,8 @@ def run_stream(spark, args) -> None:
         query = jobs.start_all_time(state(logs), out, ckpt, finish, trigger)
     elif args.job == "sliding":
         query = jobs.start_sliding_counts(lines, out, ckpt, args.watermark,
-                                          windows.WINDOW_LENGTH, windows.SLIDE_INTERVAL, trigger)
+                                          windows.WINDOW_LENGTH, windows.SLIDE_INTERVAL, trigger,
+                                          time_basis=args.time_basis)
     elif args.job == "sql":
         query = jobs.start_sql_reports(lines, out, ckpt, trigger)
     elif args.job == "counters":
@@ -149,6 +150,7 @@ def main(argv=None) -> None:
     p.add_argument("--out", required=True)
     p.add_argument("--database", default="hitlens_counters")
     p.add_argument("--watermark", default="1 minute")
+    p.add_argument("--time-basis", default="event", choices=["event", "arrival"])
     p.add_argument("--once", action="store_true")
     args = parser.parse_args(argv)
     spark = tune(build_session(app=f"hitlens-{args.cmd}"))

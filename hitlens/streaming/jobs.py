@@ -111,12 +111,25 @@ def with_int_avg(stats: DataFrame) -> DataFrame:
 def start_sliding_counts(lines: DataFrame, out_path: str, checkpoint: str,
                          watermark: str = "1 minute", length: str = windows.WINDOW_LENGTH,
                          slide: str = windows.SLIDE_INTERVAL, trigger: dict | None = None,
-                         name: str | None = None) -> StreamingQuery:
+                         name: str | None = None, time_basis: str = "event") -> StreamingQuery:
     """Hits per sliding window, appended to a parquet table once a window
-    closes (its end passes the watermark); rows later than the watermark are
-    dropped, so the state stays bounded."""
-    logs = access_log_stream(lines).withWatermark("date_time", watermark)
-    counts = windows.sliding_window_counts(logs, length, slide)
+    closes (its end passes the watermark), so the state stays bounded.
+
+    ``time_basis="event"`` windows the log time and drops rows later than
+    the watermark.  ``"arrival"`` is the reference's behaviour: every line is
+    stamped with its micro-batch time (``current_timestamp`` is fixed per
+    batch) and windowed on that, with no lateness allowed.
+    """
+    logs = access_log_stream(lines)
+    if time_basis == "arrival":
+        logs = logs.withColumn("arrival", F.current_timestamp()).withWatermark("arrival", "0 seconds")
+        time_col = "arrival"
+    elif time_basis == "event":
+        logs = logs.withWatermark("date_time", watermark)
+        time_col = "date_time"
+    else:
+        raise ValueError(f"unknown time basis {time_basis!r}")
+    counts = windows.sliding_window_counts(logs, length, slide, time_col=time_col)
     writer = counts.writeStream.outputMode("append").format("parquet").option("path", out_path)
     return _start(writer, checkpoint, trigger, name)
 
