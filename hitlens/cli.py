@@ -114,10 +114,9 @@ def run_stream(spark, args) -> None:
     elif args.job == "sql":
         query = jobs.start_sql_reports(lines, out, ckpt, trigger)
     elif args.job == "counters":
-        from .streaming.queries import start_counters
         ledger = CounterLedger(spark, args.database, out)
         ledger.create_schema()
-        query = start_counters(spark, lines, lookup, ledger, ckpt, trigger)
+        query = jobs.start_counters(lines, lookup, ledger, ckpt, trigger)
     else:
         raise SystemExit(f"unknown stream job {args.job}")
     query.awaitTermination()

@@ -202,3 +202,24 @@ def start_sql_reports(lines: DataFrame, out_path: str, checkpoint: str,
             spark.catalog.dropTempView(view)
 
     return _start(logs.writeStream.foreachBatch(per_batch), checkpoint, trigger, name)
+
+
+# --- STR-13: four counters per micro-batch ------------------------------------
+
+def start_counters(lines: DataFrame, lookup: DataFrame, ledger, checkpoint: str,
+                   trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
+    """Refine each micro-batch once (persisted), then write the four counter
+    deltas of :class:`~hitlens.streaming.counters.CounterLedger` for it."""
+    side = bounded_broadcast(lookup.select("prefix", "country_code"), MAX_CLASS_B_PREFIXES)
+    logs = access_log_stream(lines)
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        vp = viewed_products(batch, side, broadcast="none").persist()
+        try:
+            if vp.isEmpty():
+                return
+            ledger.apply_batch(vp, batch_id)
+        finally:
+            vp.unpersist()
+
+    return _start(logs.writeStream.foreachBatch(per_batch), checkpoint, trigger, name)

@@ -17,10 +17,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import reports
-from ..operators.refine import bounded_broadcast, viewed_products
 from ..plans.oracle import ORACLE_SQL, _with
 from ..registry import country_lookup
-from ..schema import MAX_CLASS_B_PREFIXES
 from ..session import shared_dir, tune, use_rocksdb_state
 from ..sources import fixtures
 from ..sources.logs import read_log_stream
@@ -105,30 +103,12 @@ def counter_ledger(spark: SparkSession, sf_dir: str) -> CounterLedger:
     database = "hitlens_counters_" + location.rsplit("-", 1)[-1]
     ledger = CounterLedger(spark, database, location)
     ledger.create_schema()
-    _await(start_counters(spark, _lines(spark, sf_dir), country_lookup(spark, sf_dir), ledger,
-                          shared_dir(spark, "ckpt"), AVAILABLE_NOW))
+    _await(jobs.start_counters(_lines(spark, sf_dir), country_lookup(spark, sf_dir), ledger,
+                               shared_dir(spark, "ckpt"), AVAILABLE_NOW))
     _ledgers[key] = ledger
     return ledger
 
 
-def start_counters(spark, lines, lookup, ledger: CounterLedger, checkpoint: str,
-                   trigger=None, name=None):
-    """Four counters per micro-batch from one persisted batch."""
-    side = bounded_broadcast(lookup.select("prefix", "country_code"), MAX_CLASS_B_PREFIXES)
-    logs = jobs.access_log_stream(lines)
-
-    def per_batch(batch: DataFrame, batch_id: int) -> None:
-        vp = viewed_products(batch, side, broadcast="none").persist()
-        try:
-            if vp.isEmpty():
-                return
-            ledger.apply_batch(vp, batch_id)
-        finally:
-            vp.unpersist()
-
-    return jobs._start(logs.writeStream.foreachBatch(per_batch), checkpoint, trigger, name)
-
-
 def _counter(table: str) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: counter_ledger(spark, sf_dir).totals(table)
 

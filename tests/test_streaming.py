@@ -17,7 +17,6 @@ from hitlens.sources.logs import read_log_stream
 from hitlens.streaming import jobs
 from hitlens.streaming.counters import CounterLedger, base_batch_id
 from hitlens.streaming.feed import append_feed_file
-from hitlens.streaming.queries import start_counters
 
 NOW = {"availableNow": True}
 BOUNDS = [(0, 333), (333, 666), (666, 10**9)]
@@ -146,11 +145,11 @@ def test_counter_replay_leaves_totals_unchanged(spark, feed):
     path, _ = feed
     lookup = registry.country_lookup(spark, SF001)
     ledger = _ledger(spark)
-    _run(start_counters(spark, _stream(spark, path), lookup, ledger, shared_dir(spark, "t-ck"), NOW))
+    _run(jobs.start_counters(_stream(spark, path), lookup, ledger, shared_dir(spark, "t-ck"), NOW))
     first = _counter_totals(ledger)
     assert first == _batch_counters(spark)
     # same batches again (fresh checkpoint): each batch overwrites its own partition
-    _run(start_counters(spark, _stream(spark, path), lookup, ledger, shared_dir(spark, "t-ck"), NOW))
+    _run(jobs.start_counters(_stream(spark, path), lookup, ledger, shared_dir(spark, "t-ck"), NOW))
     assert _counter_totals(ledger) == first
     views = ledger.read("SELECT sum(views) AS s FROM page_views").collect()[0].s
     assert views == registry.access_logs(spark, SF001).count()
@@ -180,9 +179,9 @@ def test_counter_restart_from_checkpoint(spark):
     ckpt = shared_dir(spark, "t-ck")
     for chunk in chunks[:2]:
         append_feed_file(chunk, path)
-    _run(start_counters(spark, _stream(spark, path), lookup, ledger, ckpt, NOW))
+    _run(jobs.start_counters(_stream(spark, path), lookup, ledger, ckpt, NOW))
     append_feed_file(chunks[2], path)
-    q = _run(start_counters(spark, _stream(spark, path), lookup, ledger, ckpt, NOW))
+    q = _run(jobs.start_counters(_stream(spark, path), lookup, ledger, ckpt, NOW))
     assert [p["batchId"] for p in q.recentProgress if p["numInputRows"] > 0] == [2]
     assert _counter_totals(ledger) == _batch_counters(spark)
     ledger.drop_schema()
