@@ -28,13 +28,6 @@ def _start(writer, checkpoint: str, trigger: dict | None, name: str | None) -> S
     return writer.start()
 
 
-def overwrite_table(path: str):
-    """foreachBatch sink: the batch *is* the whole result (complete mode)."""
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
-    return sink
-
-
 def write_batch_partition(df: DataFrame, path: str, batch_id: int) -> None:
     """Replace only this batch's partition: a replayed batch leaves totals unchanged."""
     (df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))

@@ -91,3 +91,19 @@ def test_arrival_time_windows_run(spark):
     assert got.agg(F.coalesce(F.sum("views"), F.lit(0))).collect()[0][0] <= 3 * 989
     with pytest.raises(ValueError):
         jobs.start_sliding_counts(stream, out, shared_dir(spark, "t-ck"), time_basis="wall")
+
+
+def test_output_schemas_match_the_record_types(spark):
+    from hitlens.schema import ACCESS_LOG, COUNTRY_LOOKUP
+    logs = registry.access_logs(spark, SF001)
+    assert [(f.name, f.dataType) for f in logs.schema] == \
+        [(f.name, f.dataType) for f in ACCESS_LOG]
+    lookup = registry.country_lookup(spark, SF001)
+    assert [(f.name, f.dataType) for f in lookup.schema] == \
+        [(f.name, f.dataType) for f in COUNTRY_LOOKUP]
+
+
+def test_kafka_sink_needs_the_connector(spark):
+    from hitlens.sources.logs import write_lines_kafka
+    with pytest.raises(Exception, match="(?i)kafka"):
+        write_lines_kafka(fixtures.log_lines(spark, SF001), "localhost:1", "logs")
