@@ -106,7 +106,10 @@ def run_stream(spark, args) -> None:
             "endpoints": (jobs.endpoint_totals, reports.top_endpoints_from_counts),
             "sizes": (jobs.size_totals, jobs.with_int_avg),
         }[args.job]
-        query = jobs.start_all_time(state(logs), out, ckpt, finish, trigger)
+        if args.deltas:      # no keyed state: per-batch partials, fold with jobs.fold_deltas
+            query = jobs.start_all_time_deltas(logs, state, out, ckpt, trigger)
+        else:
+            query = jobs.start_all_time(state(logs), out, ckpt, finish, trigger)
     elif args.job == "sliding":
         query = jobs.start_sliding_counts(lines, out, ckpt, args.watermark,
                                           windows.WINDOW_LENGTH, windows.SLIDE_INTERVAL, trigger,
@@ -150,6 +153,8 @@ def main(argv=None) -> None:
     p.add_argument("--database", default="hitlens_counters")
     p.add_argument("--watermark", default="1 minute")
     p.add_argument("--time-basis", default="event", choices=["event", "arrival"])
+    p.add_argument("--deltas", action="store_true",
+                   help="all-time jobs: write per-batch partials instead of keeping state")
     p.add_argument("--once", action="store_true")
     args = parser.parse_args(argv)
     spark = tune(build_session(app=f"hitlens-{args.cmd}"))

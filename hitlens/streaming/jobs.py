@@ -73,6 +73,31 @@ def start_all_time(counts: DataFrame, out_path: str, checkpoint: str, finish=Non
     return _start(writer, checkpoint, trigger, name)
 
 
+def start_all_time_deltas(logs: DataFrame, partial, ledger_path: str, checkpoint: str,
+                          trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
+    """All-time totals without keyed state: each micro-batch writes its own
+    partial aggregate (``partial(batch)``) into the partition of its
+    ``batch_id``; :func:`fold_deltas` combines them on read.  Each trigger
+    writes only that batch's keys (complete mode rewrites every key ever
+    seen), and a replayed batch replaces its own partition."""
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
+        write_batch_partition(partial(batch), ledger_path, batch_id)
+    return _start(logs.writeStream.foreachBatch(per_batch), checkpoint, trigger, name)
+
+
+def fold_deltas(deltas: DataFrame, keys, folds: dict, finish=None) -> DataFrame:
+    """Combine per-batch partials: ``folds`` maps a column to sum / min / max."""
+    fns = {"sum": F.sum, "min": F.min, "max": F.max}
+    aggs = [fns[how](col).alias(col) for col, how in folds.items()]
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    folded = deltas.groupBy(*keys).agg(*aggs) if keys else deltas.agg(*aggs)
+    folded = folded.select(*keys, *[F.col(c).cast("bigint").alias(c) if folds[c] == "sum"
+                                    else F.col(c) for c in folds])
+    return finish(folded) if finish else folded
+
+
 def status_totals(logs: DataFrame) -> DataFrame:
     """STR-4: all-time count per response code."""
     return reports.response_code_counts(logs)

@@ -185,3 +185,26 @@ def test_counter_restart_from_checkpoint(spark):
     assert [p["batchId"] for p in q.recentProgress if p["numInputRows"] > 0] == [2]
     assert _counter_totals(ledger) == _batch_counters(spark)
     ledger.drop_schema()
+
+
+def test_state_free_totals_equal_batch(spark, feed):
+    path, _ = feed
+    batch_logs = registry.access_logs(spark, SF001)
+    cases = [
+        (jobs.ip_totals, "ip_address", {"total": "sum"}, reports.frequent_ips_from_counts,
+         reports.frequent_ips(batch_logs), ("ip_address", "total")),
+        (jobs.endpoint_totals, "request_uri", {"total": "sum"}, reports.top_endpoints_from_counts,
+         reports.top_endpoints(batch_logs), ("request_uri", "total")),
+        (jobs.size_totals, [], {"total_size": "sum", "n": "sum", "min_size": "min",
+                                "max_size": "max"}, jobs.with_int_avg,
+         reports.content_size_stats(batch_logs),
+         ("total_size", "n", "min_size", "max_size", "avg_size")),
+    ]
+    for partial, keys, folds, finish, expected, cols in cases:
+        ledger = shared_dir(spark, "t-deltas")
+        logs = jobs.access_log_stream(_stream(spark, path))
+        _run(jobs.start_all_time_deltas(logs, partial, ledger, shared_dir(spark, "t-ck"), NOW))
+        deltas = spark.read.parquet(ledger)
+        assert deltas.select("batch_id").distinct().count() == 3
+        got = jobs.fold_deltas(deltas, keys, folds, finish)
+        assert _rows(got, *cols) == _rows(expected, *cols)
