@@ -13,9 +13,20 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# single-character separators: trailing empty fields are trailing separators
+_SINGLE_CHAR = {"/": "/", r"\.": ".", " ": " "}
+
+
 def java_split(text, sep_regex: str) -> Column:
-    """``String.split(regex)``: trailing empty fields are dropped."""
-    return F.split(F.regexp_replace(_col(text), f"(?:{sep_regex})+$", ""), sep_regex, -1)
+    """``String.split(regex)``: trailing empty fields are dropped.
+
+    (An input made only of separators gives one empty field here, none in
+    Java; every caller treats both as "too few fields".)
+    """
+    char = _SINGLE_CHAR.get(sep_regex)
+    stripped = (F.rtrim(_col(text), F.lit(char)) if char is not None
+                else F.regexp_replace(_col(text), f"(?:{sep_regex})+$", ""))
+    return F.split(stripped, sep_regex, -1)
 
 
 def product_from_uri(uri) -> Column:

@@ -42,8 +42,12 @@ def split_lookup_lines(lines: DataFrame, value_col: str = "value",
     A line with fewer than two space-separated fields (the reference threw on
     it) or a prefix that is not a class-B prefix is not valid.
     """
-    fields = java_split(value_col, " ")
-    return lines.select(
+    # the split leaves a generator, so a filter on is_valid reads the array
+    # instead of splitting the line again
+    split = lines.select(F.explode(F.array(java_split(value_col, " "))).alias("_f"),
+                         F.col(order_col).alias(order_col))
+    fields = F.col("_f")
+    return split.select(
         F.get(fields, 0).alias("prefix"),
         F.get(fields, 1).alias("country_code"),
         F.col(order_col).alias("line_order"),
@@ -85,9 +89,13 @@ def prefix_dictionary(lines: DataFrame, countries: DataFrame, value_col: str = "
     the feature).  The per-country cut is a two-level exact top-k, so a
     country holding a third of all lines never lands whole in one task.
     """
-    fields = java_split(value_col, " ")
-    octets = java_split(F.get(fields, 0), r"\.")
-    rows = lines.select(
+    # both splits leave a generator, so the row filter below reads the arrays
+    # instead of splitting every line again per checked field
+    split = lines.select(F.explode(F.array(java_split(value_col, " "))).alias("_f"),
+                         F.col(order_col).alias(order_col))
+    split = split.select("*", F.explode(F.array(java_split(F.get("_f", 0), r"\."))).alias("_o"))
+    fields, octets = F.col("_f"), F.col("_o")
+    rows = split.select(
         F.get(fields, 1).alias("code"),
         F.get(octets, 0).try_cast("int").alias("ip_a"),
         F.get(octets, 1).try_cast("int").alias("ip_b"),
