@@ -8,6 +8,8 @@ table, per-batch results overwrite the partition of their ``batch_id``.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -20,6 +22,17 @@ from ..schema import MAX_CLASS_B_PREFIXES
 
 DEFAULT_TRIGGER = {"processingTime": "10 seconds"}   # fixed value: 10 s micro-batches
 
+log = logging.getLogger(__name__)
+
+
+def is_empty_batch(batch: DataFrame, batch_id: int) -> bool:
+    """FIL-4: an empty micro-batch is skipped with a notice (``isEmpty`` reads
+    at most one row, no full count)."""
+    if batch.isEmpty():
+        log.info("no access logs received in micro-batch %d", batch_id)
+        return True
+    return False
+
 
 def _start(writer, checkpoint: str, trigger: dict | None, name: str | None) -> StreamingQuery:
     writer = writer.option("checkpointLocation", checkpoint).trigger(**(trigger or DEFAULT_TRIGGER))
@@ -50,7 +63,7 @@ def start_batch_top_products(lines: DataFrame, lookup: DataFrame, out_path: str,
     logs = access_log_stream(lines)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():          # FIL-4: skip an empty batch without a full count
+        if is_empty_batch(batch, batch_id):
             return
         vp = viewed_products(batch, side, broadcast="none")
         top = reports.top_products(vp, k)
@@ -81,7 +94,7 @@ def start_all_time_deltas(logs: DataFrame, partial, ledger_path: str, checkpoint
     writes only that batch's keys (complete mode rewrites every key ever
     seen), and a replayed batch replaces its own partition."""
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
+        if is_empty_batch(batch, batch_id):
             return
         write_batch_partition(partial(batch), ledger_path, batch_id)
     return _start(logs.writeStream.foreachBatch(per_batch), checkpoint, trigger, name)
@@ -159,7 +172,7 @@ def start_size_stats_ledger(lines: DataFrame, ledger_path: str, checkpoint: str,
     logs = access_log_stream(lines)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
+        if is_empty_batch(batch, batch_id):
             return
         write_batch_partition(size_totals(batch), ledger_path, batch_id)
 
@@ -209,7 +222,7 @@ def start_sql_reports(lines: DataFrame, out_path: str, checkpoint: str,
     logs = access_log_stream(lines)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
+        if is_empty_batch(batch, batch_id):
             return
         spark = batch.sparkSession
         view = f"access_log_batch_{batch_id}"
@@ -234,7 +247,7 @@ def start_counters(lines: DataFrame, lookup: DataFrame, ledger, checkpoint: str,
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         vp = viewed_products(batch, side, broadcast="none").persist()
         try:
-            if vp.isEmpty():
+            if is_empty_batch(vp, batch_id):
                 return
             ledger.apply_batch(vp, batch_id)
         finally:

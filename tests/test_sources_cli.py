@@ -107,3 +107,22 @@ def test_kafka_sink_needs_the_connector(spark):
     from hitlens.sources.logs import write_lines_kafka
     with pytest.raises(Exception, match="(?i)kafka"):
         write_lines_kafka(fixtures.log_lines(spark, SF001), "localhost:1", "logs")
+
+
+def test_cli_stream_job_once(spark):
+    path = shared_dir(spark, "t-feed-cli")
+    append_feed_file(fixtures.log_lines(spark, SF001), path, pause_s=0)
+    _, lookup_dir = _write_text_inputs(spark)
+    out = shared_dir(spark, "t-out")
+    cli.main(["stream", "--job", "status", "--path", path, "--lookup", lookup_dir,
+              "--checkpoint", shared_dir(spark, "t-ck"), "--out", out, "--once"])
+    got = {r.response_code: r.total for r in spark.read.parquet(out).collect()}
+    want = {r.response_code: r.total
+            for r in reports.response_code_counts(registry.access_logs(spark, SF001)).collect()}
+    assert got == want
+    deltas = shared_dir(spark, "t-out")
+    cli.main(["stream", "--job", "ips", "--deltas", "--path", path,
+              "--checkpoint", shared_dir(spark, "t-ck"), "--out", deltas, "--once"])
+    folded = jobs.fold_deltas(spark.read.parquet(deltas), "ip_address", {"total": "sum"},
+                              reports.frequent_ips_from_counts)
+    assert folded.count() == reports.frequent_ips(registry.access_logs(spark, SF001)).count()
