@@ -14,18 +14,29 @@ import time
 from pyspark.sql import DataFrame
 
 
-def write_feed(lines: DataFrame, path: str, n_files: int = 4, time_col: str = "ts",
-               value_col: str = "value") -> str:
-    """Write ``lines`` (with ``time_col``) as ``n_files`` text files in time order.
-
-    The line text breaks ties in the range key, so even a single instant
-    holding a third of the lines is split across files.
+def feed_layout(lines: DataFrame, n_batches: int = 4) -> int:
+    """Files per micro-batch: at least the cluster's parallelism, and enough
+    that no file carries more than one input split's worth of lines."""
+    spark = lines.sparkSession
+    splits = lines.rdd.getNumPartitions()
+    return max(spark.sparkContext.defaultParallelism, -(-splits // n_batches))
+
+
+def write_feed(lines: DataFrame, path: str, n_batches: int = 4, time_col: str = "ts",
+               value_col: str = "value") -> int:
+    """Write ``lines`` (with ``time_col``) as ``n_batches`` x k text files in
+    time order and return k, the files per micro-batch (``maxFilesPerTrigger``).
+
+    Range partitioning on (time, text) cuts the lines into equal, ordered
+    files, so every file is one task's share and even a single instant holding
+    a third of the lines is split across files.
     """
-    (lines.repartitionByRange(n_files, time_col, value_col)
+    per_batch = feed_layout(lines, n_batches)
+    (lines.repartitionByRange(n_batches * per_batch, time_col, value_col)
           .sortWithinPartitions(time_col, value_col)
           .select(value_col)
           .write.mode("errorifexists").text(path))
-    return path
+    return per_batch
 
 
 def append_feed_file(chunk: DataFrame, path: str, value_col: str = "value",

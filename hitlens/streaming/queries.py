@@ -1,7 +1,7 @@
 """Registered streaming and counter queries.
 
 Each runs a Structured Streaming query with ``availableNow`` over a text feed
-written from ``events`` (time-ordered files, one per micro-batch), into a
+written from ``events`` (time-ordered files, 4 micro-batches of many files), into a
 fresh folder below the shared checkpoint folder, and returns the result table
 read back with Spark.  All-time results do not depend on how lines fall into
 batches, so they are compared with batch SQL; per-batch results
@@ -27,25 +27,28 @@ from ..streaming.counters import CounterLedger
 from ..streaming.feed import write_feed
 
 AVAILABLE_NOW = {"availableNow": True}
-FEED_FILES = 4
+FEED_BATCHES = 4
 STREAM_TIMEOUT_S = 1800
 
-_feeds: dict[tuple[str, str], str] = {}
+_feeds: dict[tuple[str, str], tuple[str, int]] = {}
 _ledgers: dict[tuple[str, str], CounterLedger] = {}
 
 
-def feed_path(spark: SparkSession, sf_dir: str) -> str:
-    """Write the events as a time-ordered text feed once per application."""
+def feed(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
+    """Write the events as a time-ordered text feed once per application;
+    returns (folder, files per micro-batch)."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _feeds:
         tune(spark)
         lines = fixtures.event_log_lines(fixtures.load(spark, sf_dir, "events"))
-        _feeds[key] = write_feed(lines, shared_dir(spark, "feed"), FEED_FILES)
+        path = shared_dir(spark, "feed")
+        _feeds[key] = (path, write_feed(lines, path, FEED_BATCHES))
     return _feeds[key]
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_log_stream(spark, "text", feed_path(spark, sf_dir), max_files_per_trigger=1)
+    path, per_batch = feed(spark, sf_dir)
+    return read_log_stream(spark, "text", path, max_files_per_trigger=per_batch)
 
 
 def _await(query) -> None:
