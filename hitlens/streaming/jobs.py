@@ -222,15 +222,20 @@ def start_sql_reports(lines: DataFrame, out_path: str, checkpoint: str,
     logs = access_log_stream(lines)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        if is_empty_batch(batch, batch_id):
-            return
-        spark = batch.sparkSession
-        view = f"access_log_batch_{batch_id}"
-        sq.with_endpoint(batch).createOrReplaceTempView(view)
+        # four reports read the batch: parse it once (MAT-1)
+        rows = batch.persist()
         try:
-            write_batch_partition(sql_reports_long(spark, view), out_path, batch_id)
+            if is_empty_batch(rows, batch_id):
+                return
+            spark = rows.sparkSession
+            view = f"access_log_batch_{batch_id}"
+            sq.with_endpoint(rows).createOrReplaceTempView(view)
+            try:
+                write_batch_partition(sql_reports_long(spark, view), out_path, batch_id)
+            finally:
+                spark.catalog.dropTempView(view)
         finally:
-            spark.catalog.dropTempView(view)
+            rows.unpersist()
 
     return _start(logs.writeStream.foreachBatch(per_batch), checkpoint, trigger, name)
 
