@@ -57,7 +57,7 @@ def _emit(name: str, df: DataFrame, out: str | None, show: int) -> None:
 
 
 def run_batch(spark, args) -> None:
-    """LogAnalyzer: parse once (persisted, Q9), rejects out, refine, reports."""
+    """Batch job: parse once (persisted, Q9), rejects out, refine, reports."""
     parsed = parse_logs(read_logs(spark, args.logs, args.min_partitions)).persist()
     try:
         if args.rejects:
@@ -73,7 +73,7 @@ def run_batch(spark, args) -> None:
 
 
 def run_sql(spark, args) -> None:
-    """LogAnalyzerSQL: cached temp view, SQL texts."""
+    """SQL job: cached temp views, SQL texts."""
     logs = valid(parse_logs(read_logs(spark, args.logs, args.min_partitions)))
     vp = viewed_products(logs, read_country_lookup(spark, args.lookup))
     sq.register_views(spark, viewed=vp, logs=logs, cache=True)

@@ -113,7 +113,7 @@ class CounterLedger:
             self.totals(table).createOrReplaceTempView(table)
 
     def read(self, query: str) -> DataFrame:
-        """Run a read query over the counter views (``findCQLByQuery``)."""
+        """SNK-9: run a read query over the counter views."""
         self.register_views()
         return self.spark.sql(query)
 
