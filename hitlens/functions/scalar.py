@@ -62,10 +62,10 @@ def reformat_date(src, src_pattern: str, dest_pattern: str) -> Column:
     """SCA-1: parse with one pattern, print with another; NULL if it does not parse.
 
     Patterns are Spark datetime patterns, not ``SimpleDateFormat``: ``y``,
-    ``M``/``MMM``, ``d``, ``H``, ``m``, ``s``, ``S``, ``a``, ``E``, ``Z``/``X``/``x``
-    and quoted text behave alike; week-based ``Y``, ``u`` as day-of-week and
-    ``w``/``W`` are rejected by Spark, and ``D`` only formats.  Month and day
-    names are English.
+    ``M``/``MMM``, ``d``, ``D``, ``H``, ``m``, ``s``, ``S``, ``a``,
+    ``Z``/``X``/``x`` and quoted text behave alike; ``E`` (day name) only
+    formats; week-based ``Y``, ``w``, ``W`` and ``u`` are rejected by Spark.
+    Month and day names are English.
     """
     return F.date_format(F.try_to_timestamp(_col(src), F.lit(src_pattern)), dest_pattern)
 
