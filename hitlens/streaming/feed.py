@@ -1,10 +1,10 @@
 """Test feed: log lines written as text files in time order.
 
-The stream jobs read new text files; a feed of a few files stands in for the
-socket / Kafka feeders (which are wall-clock simulators and not built).
-Files are cut by range partitioning on the event time, so each file holds a
-contiguous time range and every file is written by its own task in parallel;
-no single task writes more than its share.
+The stream jobs read new text files; a feed written from ``events`` stands in
+for the socket / Kafka feeders (wall-clock simulators, not built).  Files are
+cut by range partitioning on the event time, so each file holds a contiguous
+time range and every file is written by its own task in parallel; the file
+count follows the input and cluster size, and a micro-batch takes many files.
 """
 
 from __future__ import annotations

@@ -13,6 +13,7 @@ a brute-force batch run in the tests instead.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,14 +61,30 @@ def _await(query) -> None:
         raise RuntimeError(str(query.exception()))
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, n: int | None = None):
+    """Start a stateful query with ``n`` state partitions (default: the
+    cluster's parallelism).  The count is fixed in a new checkpoint when the
+    query starts, so the session setting is restored right after."""
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    spark.conf.set(key, str(n or spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
+
+
 def _all_time(state_fn, finish=None):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         tune(spark)
         use_rocksdb_state(spark)
         out = shared_dir(spark, "out")
         logs = jobs.access_log_stream(_lines(spark, sf_dir))
-        _await(jobs.start_all_time(state_fn(logs), out, shared_dir(spark, "ckpt"), finish,
-                                   AVAILABLE_NOW))
+        with state_partitions(spark):
+            query = jobs.start_all_time(state_fn(logs), out, shared_dir(spark, "ckpt"), finish,
+                                        AVAILABLE_NOW)
+        _await(query)
         return spark.read.parquet(out)
     return run
 
