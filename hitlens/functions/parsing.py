@@ -33,11 +33,13 @@ def _parts(value: Column) -> Column:
                   F.split(F.regexp_replace(value, LOG_PATTERN, _REPLACEMENT), FIELD_SEP, -1))
 
 
-def parse_logs(lines: DataFrame, value_col: str = "value", keep_raw: bool = True) -> DataFrame:
+def parse_logs(lines: DataFrame, value_col: str = "value", keep_raw: bool = True,
+               keep_offset: bool = False) -> DataFrame:
     """Lines -> typed access-log columns plus ``is_valid`` (never NULL).
 
     A line is valid when it matches the pattern, holds no U+0001, and its time
-    and size cast; a ``-`` size counts as 0 (decision D6).
+    and size cast; a ``-`` size counts as 0 (decision D6).  ``keep_offset``
+    adds ``utc_offset``, the zone as written (``-0500``), for hours as written.
 
     The split fields leave a generator (``explode`` of a one-element array).
     Catalyst cannot push a filter on generated columns below the generator,
@@ -75,6 +77,7 @@ def parse_logs(lines: DataFrame, value_col: str = "value", keep_raw: bool = True
         F.get(p, 9).alias("referrer"),
         F.get(p, 10).alias("user_agent"),
         is_valid.alias("is_valid"),
+        *([F.substring_index(F.get(p, 3), " ", -1).alias("utc_offset")] if keep_offset else []),
     )
 
 

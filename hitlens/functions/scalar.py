@@ -40,9 +40,15 @@ def ip_prefix(ip) -> Column:
     return F.when(F.size(parts) >= 2, F.concat_ws(".", F.get(parts, 0), F.get(parts, 1)))
 
 
-def hour_of(ts) -> Column:
-    """SCA-4 getHour: hour of day (INT) in the session time zone (UTC)."""
-    return F.hour(_col(ts))
+def hour_of(ts, offset=None) -> Column:
+    """SCA-4: hour of day (INT) in the session time zone (UTC); with
+    ``offset`` (``+hhmm`` / ``-hhmm`` text) the hour as written in the line."""
+    if offset is None:
+        return F.hour(_col(ts))
+    off = _col(offset)
+    seconds = (F.when(off.startswith("-"), -1).otherwise(1)
+               * (F.substring(off, 2, 2).cast("int") * 3600 + F.substring(off, 4, 2).cast("int") * 60))
+    return F.hour(F.timestamp_seconds(F.unix_seconds(_col(ts)) + seconds))
 
 
 def minute_key(ts) -> Column:

@@ -45,9 +45,15 @@ def views_per_country(vp: DataFrame) -> DataFrame:
     return count_by(vp, "country_code", "views")
 
 
-def views_per_hour(vp: DataFrame, non_null_products: bool = False) -> DataFrame:
-    """AGG-3: rows per hour of day sorted by hour; or non-NULL products (Q6)."""
-    counted = count_by(vp, hour_of("date_time").alias("hour"), "views",
+def views_per_hour(vp: DataFrame, non_null_products: bool = False,
+                   as_written: bool = False) -> DataFrame:
+    """AGG-3: rows per hour of day sorted by hour; or non-NULL products (Q6).
+
+    Hours are UTC; ``as_written`` takes the hour in each line's own offset
+    (needs ``utc_offset``, see ``parse_logs(keep_offset=True)``), decision D1.
+    """
+    hour = hour_of("date_time", "utc_offset" if as_written else None)
+    counted = count_by(vp, hour.alias("hour"), "views",
                        "product" if non_null_products else None)
     return counted.orderBy("hour")
 

@@ -101,3 +101,13 @@ def test_nothing_is_pushed_onto_the_raw_line(spark):
     plan = registry.q_parse_good(spark, SF001)._jdf.queryExecution().executedPlan().toString()
     # the fixture line is built once: no filter re-evaluates it below the parser
     assert plan.count("format_string(%s - %s") == 1
+
+
+def test_hour_as_written_keeps_the_line_offset(spark):
+    from hitlens.operators import reports
+    lines = [GOOD.replace("+0000", "-0500"), GOOD.replace("+0000", "+0130"), GOOD]
+    parsed = parse_logs(lines_df(spark, lines), keep_offset=True).where("is_valid")
+    assert [r.utc_offset for r in parsed.collect()] == ["-0500", "+0130", "+0000"]
+    utc = {r.hour: r.views for r in reports.views_per_hour(parsed).collect()}
+    written = {r.hour: r.views for r in reports.views_per_hour(parsed, as_written=True).collect()}
+    assert utc == {10: 1, 3: 1, 5: 1} and written == {5: 3}
