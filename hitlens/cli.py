@@ -88,6 +88,8 @@ def run_sql(spark, args) -> None:
 
 
 def run_stream(spark, args) -> None:
+    if not args.out and not (args.console and args.job in ("status", "ips", "endpoints", "sizes")):
+        raise SystemExit("stream: --out is required (--console only for all-time jobs)")
     kafka = (kafka_options(args.kafka_servers, args.topics.split(","), args.group_id)
              if args.source == "kafka" else None)
     lines = read_log_stream(spark, args.source, args.path, args.max_files, port=args.port,
@@ -106,7 +108,13 @@ def run_stream(spark, args) -> None:
             "endpoints": (jobs.endpoint_totals, reports.top_endpoints_from_counts),
             "sizes": (jobs.size_totals, jobs.with_int_avg),
         }[args.job]
-        if args.deltas:      # no keyed state: per-batch partials, fold with jobs.fold_deltas
+        if args.console:     # SNK-1: print the running result after every trigger
+            def show(batch, batch_id):
+                print(f"== {args.job} after batch {batch_id}")
+                (finish(batch) if finish else batch).show(args.show, truncate=False)
+            writer = state(logs).writeStream.outputMode("complete").foreachBatch(show)
+            query = jobs._start(writer, ckpt, trigger, None)
+        elif args.deltas:    # no keyed state: per-batch partials, fold with jobs.fold_deltas
             query = jobs.start_all_time_deltas(logs, state, out, ckpt, trigger)
         else:
             query = jobs.start_all_time(state(logs), out, ckpt, finish, trigger)
@@ -149,13 +157,16 @@ def main(argv=None) -> None:
     p.add_argument("--max-files", type=int)
     p.add_argument("--lookup")
     p.add_argument("--checkpoint", required=True)
-    p.add_argument("--out", required=True)
+    p.add_argument("--out")
     p.add_argument("--database", default="hitlens_counters")
     p.add_argument("--watermark", default="1 minute")
     p.add_argument("--time-basis", default="event", choices=["event", "arrival"])
     p.add_argument("--deltas", action="store_true",
                    help="all-time jobs: write per-batch partials instead of keeping state")
     p.add_argument("--once", action="store_true")
+    p.add_argument("--console", action="store_true",
+                   help="all-time jobs: print the result after every trigger instead of --out")
+    p.add_argument("--show", type=int, default=20)
     args = parser.parse_args(argv)
     spark = tune(build_session(app=f"hitlens-{args.cmd}"))
     {"batch": run_batch, "sql": run_sql, "stream": run_stream}[args.cmd](spark, args)

@@ -126,3 +126,12 @@ def test_cli_stream_job_once(spark):
     folded = jobs.fold_deltas(spark.read.parquet(deltas), "ip_address", {"total": "sum"},
                               reports.frequent_ips_from_counts)
     assert folded.count() == reports.frequent_ips(registry.access_logs(spark, SF001)).count()
+
+
+def test_cli_stream_console(spark, capsys):
+    path = shared_dir(spark, "t-feed-con")
+    append_feed_file(fixtures.log_lines(spark, SF001), path, pause_s=0)
+    cli.main(["stream", "--job", "status", "--path", path, "--console",
+              "--checkpoint", shared_dir(spark, "t-ck"), "--once"])
+    out = capsys.readouterr().out
+    assert "== status after batch 0" in out and "response_code" in out
