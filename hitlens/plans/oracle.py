@@ -18,7 +18,7 @@ STATUS = ("CAST(CASE e.event_type WHEN 'error' THEN 500 WHEN 'signup' THEN 404 "
 IP = "concat_ws('.', 10 + e.user_id % 25, e.user_id % 7, e.user_id % 250, e.event_id % 8)"
 
 GOOD = f"""good AS (
-  SELECT e.event_id, e.user_id,
+  SELECT e.event_id, e.user_id, e.ts AS event_ts,
          {IP} AS ip_address,
          '-' AS client_id,
          CAST(e.user_id AS VARCHAR) AS "user",

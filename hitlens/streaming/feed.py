@@ -12,6 +12,7 @@ from __future__ import annotations
 import time
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def feed_layout(lines: DataFrame, n_batches: int = 4) -> int:
@@ -22,20 +23,33 @@ def feed_layout(lines: DataFrame, n_batches: int = 4) -> int:
     return max(spark.sparkContext.defaultParallelism, -(-splits // n_batches))
 
 
-def write_feed(lines: DataFrame, path: str, n_batches: int = 4, time_col: str = "ts",
-               value_col: str = "value") -> int:
-    """Write ``lines`` (with ``time_col``) as ``n_batches`` x k text files in
-    time order and return k, the files per micro-batch (``maxFilesPerTrigger``).
+def time_slice(time_col: str, lo: int, hi: int, n_slices: int):
+    """Slice of the time span ``[lo, hi]`` (epoch micros) holding each row:
+    ``(micros - lo) * n div (hi - lo + 1)``, i.e. ``n`` equal, ordered slices."""
+    return F.expr(f"((unix_micros(`{time_col}`) - {lo}) * {n_slices}) div {hi - lo + 1}")
 
-    Range partitioning on (time, text) cuts the lines into equal, ordered
-    files, so every file is one task's share and even a single instant holding
-    a third of the lines is split across files.
+
+def write_sliced_feed(lines: DataFrame, path: str, n_batches: int = 4, time_col: str = "ts",
+                      value_col: str = "value") -> int:
+    """Write ``lines`` as ``n_batches`` appends, one per equal slice of the
+    time span, each of exactly k files; returns k (``maxFilesPerTrigger``).
+
+    The appends run one after the other, so every file of slice b is older
+    than every file of slice b + 1, and with k files per trigger micro-batch
+    b is exactly slice b: per-batch results are then reproducible from the
+    data alone.  Each append is an ordinary parallel write of k files; only
+    the span bounds and the per-slice counts (``n_batches`` rows) reach the
+    driver.
     """
-    per_batch = feed_layout(lines, n_batches)
-    (lines.repartitionByRange(n_batches * per_batch, time_col, value_col)
-          .sortWithinPartitions(time_col, value_col)
-          .select(value_col)
-          .write.mode("errorifexists").text(path))
+    us = F.unix_micros(F.col(time_col))
+    bounds = lines.agg(F.min(us).alias("lo"), F.max(us).alias("hi")).collect()[0]
+    sliced = lines.withColumn("_slice", time_slice(time_col, bounds.lo, bounds.hi, n_batches))
+    counts = {r["_slice"]: r["count"] for r in sliced.groupBy("_slice").count().collect()}
+    per_batch = max(1, min([feed_layout(lines, n_batches), *counts.values()]))
+    for b in range(n_batches):
+        (sliced.where(F.col("_slice") == b).select(value_col)
+               .repartition(per_batch).write.mode("append").text(path))
+        time.sleep(0.05)    # keep the slices' file times strictly apart
     return per_batch
 
 

@@ -1,13 +1,11 @@
 """Registered streaming and counter queries.
 
 Each runs a Structured Streaming query with ``availableNow`` over a text feed
-written from ``events`` (time-ordered files, 4 micro-batches of many files), into a
-fresh folder below the shared checkpoint folder, and returns the result table
-read back with Spark.  All-time results do not depend on how lines fall into
-batches, so they are compared with batch SQL; per-batch results
-(``stream_batch_top_products``, ``stream_size_stats_last``,
-``stream_sql_reports``) depend on the file boundaries and are checked against
-a brute-force batch run in the tests instead.
+written from ``events`` into a fresh folder below the shared checkpoint
+folder, and returns the result table read back with Spark.  The feed is
+written as 4 appends, one per equal slice of the time span, each of k files,
+and read k files per trigger: micro-batch b is exactly slice b, so per-batch
+results are reproducible and each key has SQL computing it from ``events``.
 """
 
 from __future__ import annotations
@@ -16,6 +14,7 @@ from collections.abc import Callable
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import reports
 from ..plans.oracle import ORACLE_SQL, _with
@@ -25,7 +24,7 @@ from ..sources import fixtures
 from ..sources.logs import read_log_stream
 from ..streaming import jobs
 from ..streaming.counters import CounterLedger
-from ..streaming.feed import write_feed
+from ..streaming.feed import write_sliced_feed
 
 AVAILABLE_NOW = {"availableNow": True}
 FEED_BATCHES = 4
@@ -43,7 +42,7 @@ def feed(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
         tune(spark)
         lines = fixtures.event_log_lines(fixtures.load(spark, sf_dir, "events"))
         path = shared_dir(spark, "feed")
-        _feeds[key] = (path, write_feed(lines, path, FEED_BATCHES))
+        _feeds[key] = (path, write_sliced_feed(lines, path, FEED_BATCHES))
     return _feeds[key]
 
 
@@ -52,6 +51,11 @@ def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_log_stream(spark, "text", path, max_files_per_trigger=per_batch)
 
 
+def _read_batches(spark: SparkSession, path: str) -> DataFrame:
+    """A table partitioned by ``batch_id``, with the id typed as written (BIGINT)."""
+    return spark.read.parquet(path).withColumn("batch_id", F.col("batch_id").cast("bigint"))
+
+
 def _await(query) -> None:
     query.awaitTermination(STREAM_TIMEOUT_S)
     if query.isActive:
@@ -94,7 +98,7 @@ def q_stream_batch_top_products(spark, sf_dir):
     out = shared_dir(spark, "out")
     _await(jobs.start_batch_top_products(_lines(spark, sf_dir), country_lookup(spark, sf_dir),
                                          out, shared_dir(spark, "ckpt"), trigger=AVAILABLE_NOW))
-    return spark.read.parquet(out)
+    return _read_batches(spark, out)
 
 
 def q_stream_size_stats_last(spark, sf_dir):
@@ -102,7 +106,7 @@ def q_stream_size_stats_last(spark, sf_dir):
     out = shared_dir(spark, "out")
     _await(jobs.start_size_stats_ledger(_lines(spark, sf_dir), out, shared_dir(spark, "ckpt"),
                                         AVAILABLE_NOW))
-    return jobs.size_stats_last(spark.read.parquet(out))
+    return jobs.size_stats_last(_read_batches(spark, out))
 
 
 def q_stream_sql_reports(spark, sf_dir):
@@ -110,7 +114,7 @@ def q_stream_sql_reports(spark, sf_dir):
     out = shared_dir(spark, "out")
     _await(jobs.start_sql_reports(_lines(spark, sf_dir), out, shared_dir(spark, "ckpt"),
                                   AVAILABLE_NOW))
-    return spark.read.parquet(out)
+    return _read_batches(spark, out)
 
 
 def counter_ledger(spark: SparkSession, sf_dir: str) -> CounterLedger:
@@ -150,7 +154,42 @@ STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "counter_read": lambda spark, sf_dir: counter_ledger(spark, sf_dir).read(COUNTER_READ_SQL),
 }
 
+# micro-batch b of the sliced feed is slice b of the time span of all lines
+SLICES = f"""bounds AS (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) AS hi FROM events),
+gb AS (SELECT g.*, CAST(((epoch_us(g.event_ts) - b.lo) * {FEED_BATCHES}) // (b.hi - b.lo + 1)
+                        AS BIGINT) AS batch_id
+       FROM good g, bounds b)"""
+BATCH_STATS = """stats AS (SELECT batch_id, CAST(sum(content_size) AS BIGINT) AS total_size,
+  count(*) AS n, min(content_size) AS min_size, max(content_size) AS max_size,
+  CAST(sum(content_size) // count(*) AS BIGINT) AS avg_size FROM gb GROUP BY batch_id)"""
+
 STREAM_ORACLE_SQL: dict[str, str] = {
+    "stream_batch_top_products": _with(
+        "SELECT batch_id, product, views FROM (SELECT batch_id, product, count(*) AS views, "
+        "row_number() OVER (PARTITION BY batch_id ORDER BY count(*) DESC, "
+        "product ASC NULLS LAST) AS rn FROM gb GROUP BY batch_id, product) t WHERE rn <= 10",
+        SLICES),
+    "stream_size_stats_last": _with(
+        "SELECT CAST(sum(content_size) AS BIGINT) AS total_size, count(*) AS n, "
+        "min(CASE WHEN batch_id = l.last_batch_id THEN content_size END) AS min_size, "
+        "max(CASE WHEN batch_id = l.last_batch_id THEN content_size END) AS max_size, "
+        "l.last_batch_id AS last_batch_id, "
+        "CAST(sum(content_size) // count(*) AS BIGINT) AS avg_size "
+        "FROM gb, (SELECT max(batch_id) AS last_batch_id FROM gb) l GROUP BY l.last_batch_id",
+        SLICES),
+    "stream_sql_reports": _with(
+        " UNION ALL ".join(
+            f"SELECT 'size_stats' AS report, '{c}' AS key, {c} AS value, batch_id FROM stats"
+            for c in ("total_size", "n", "min_size", "max_size", "avg_size"))
+        + " UNION ALL SELECT 'response_codes', CAST(response_code AS VARCHAR), count(*), batch_id "
+          "FROM gb GROUP BY batch_id, response_code"
+        + " UNION ALL SELECT 'frequent_ips', ip_address, count(*), batch_id "
+          "FROM gb GROUP BY batch_id, ip_address HAVING count(*) > 10"
+        + " UNION ALL SELECT 'top_endpoints', request_uri, total, batch_id FROM ("
+          "SELECT batch_id, request_uri, count(*) AS total, row_number() OVER (PARTITION BY batch_id "
+          "ORDER BY count(*) DESC, request_uri ASC NULLS LAST) AS rn FROM gb "
+          "GROUP BY batch_id, request_uri) t WHERE rn <= 10",
+        SLICES, BATCH_STATS),
     "stream_status_total": ORACLE_SQL["response_code_counts"],
     "stream_frequent_ips_total": ORACLE_SQL["frequent_ips"],
     "stream_top_endpoints_total": ORACLE_SQL["top_endpoints"],

@@ -13,7 +13,6 @@ sys.path.insert(0, os.path.join(ROOT, "tools"))
 import __spark_entry__ as entry_mod  # noqa: E402
 from check_oracle import digest  # noqa: E402
 
-ROWS_ONLY = {"stream_batch_top_products", "stream_size_stats_last", "stream_sql_reports"}
 STREAM_KEYS = {k for k in entry_mod.queries() if k.startswith(("stream_", "counter_"))}
 
 
@@ -23,10 +22,9 @@ def test_entry_smoke(spark):
     assert df.columns == ["product", "views"] and 0 < len(rows) <= 10
 
 
-def test_every_key_has_oracle_or_is_rows_only():
+def test_every_key_has_an_oracle():
     qs, oracle = entry_mod.queries(), entry_mod.oracle_sql()
-    assert set(oracle) <= set(qs)
-    assert set(qs) - set(oracle) == ROWS_ONLY
+    assert set(oracle) == set(qs)
     assert len(qs) >= 45
 
 
