@@ -228,3 +228,22 @@ def test_all_time_state_survives_restart(spark):
     expected = reports.frequent_ips(registry.access_logs(spark, SF001))
     assert _rows(spark.read.parquet(out), "ip_address", "total") == \
         _rows(expected, "ip_address", "total")
+
+
+def test_sliced_feed_batch_is_time_slice(spark):
+    from hitlens.streaming.feed import time_slice, write_sliced_feed
+    lines = fixtures.event_log_lines(fixtures.load(spark, SF001, "events"))
+    path = shared_dir(spark, "t-sliced")
+    per_batch = write_sliced_feed(lines, path, n_batches=4)
+    assert per_batch >= 1
+    out = shared_dir(spark, "t-out")
+    stream = read_log_stream(spark, "text", path, max_files_per_trigger=per_batch)
+    _run(jobs.start_size_stats_ledger(stream, out, shared_dir(spark, "t-ck"), NOW))
+    got = {r.batch_id: (r.n, r.min_size, r.max_size) for r in spark.read.parquet(out).collect()}
+    us = F.unix_micros(F.col("ts"))
+    b = lines.agg(F.min(us).alias("lo"), F.max(us).alias("hi")).collect()[0]
+    sliced = lines.withColumn("s", time_slice("ts", b.lo, b.hi, 4))
+    for i in range(4):
+        stats = reports.content_size_stats(valid(parse_logs(sliced.where(F.col("s") == i))))
+        r = stats.collect()[0]
+        assert got[i] == (r.n, r.min_size, r.max_size)
