@@ -113,7 +113,7 @@ def run_stream(spark, args) -> None:
                 print(f"== {args.job} after batch {batch_id}")
                 (finish(batch) if finish else batch).show(args.show, truncate=False)
             writer = state(logs).writeStream.outputMode("complete").foreachBatch(show)
-            query = jobs._start(writer, ckpt, trigger, None)
+            query = jobs.start_query(writer, ckpt, trigger, None)
         elif args.deltas:    # no keyed state: per-batch partials, fold with jobs.fold_deltas
             query = jobs.start_all_time_deltas(logs, state, out, ckpt, trigger)
         else:

@@ -34,7 +34,9 @@ def is_empty_batch(batch: DataFrame, batch_id: int) -> bool:
     return False
 
 
-def _start(writer, checkpoint: str, trigger: dict | None, name: str | None) -> StreamingQuery:
+def start_query(writer, checkpoint: str, trigger: dict | None = None,
+                name: str | None = None) -> StreamingQuery:
+    """Start a stream writer with its checkpoint, trigger (default 10 s) and name."""
     writer = writer.option("checkpointLocation", checkpoint).trigger(**(trigger or DEFAULT_TRIGGER))
     if name:
         writer = writer.queryName(name)
@@ -69,7 +71,7 @@ def start_batch_top_products(lines: DataFrame, lookup: DataFrame, out_path: str,
         top = reports.top_products(vp, k)
         write_batch_partition(top, out_path, batch_id)
 
-    return _start(logs.writeStream.foreachBatch(per_batch), checkpoint, trigger, name)
+    return start_query(logs.writeStream.foreachBatch(per_batch), checkpoint, trigger, name)
 
 
 # --- STR-4..7: all-time totals in complete mode ---------------------------------
@@ -83,7 +85,7 @@ def start_all_time(counts: DataFrame, out_path: str, checkpoint: str, finish=Non
         result = finish(batch) if finish else batch
         result.write.mode("overwrite").parquet(out_path)
     writer = counts.writeStream.outputMode("complete").foreachBatch(sink)
-    return _start(writer, checkpoint, trigger, name)
+    return start_query(writer, checkpoint, trigger, name)
 
 
 def start_all_time_deltas(logs: DataFrame, partial, ledger_path: str, checkpoint: str,
@@ -97,7 +99,7 @@ def start_all_time_deltas(logs: DataFrame, partial, ledger_path: str, checkpoint
         if is_empty_batch(batch, batch_id):
             return
         write_batch_partition(partial(batch), ledger_path, batch_id)
-    return _start(logs.writeStream.foreachBatch(per_batch), checkpoint, trigger, name)
+    return start_query(logs.writeStream.foreachBatch(per_batch), checkpoint, trigger, name)
 
 
 def fold_deltas(deltas: DataFrame, keys, folds: dict, finish=None) -> DataFrame:
@@ -162,7 +164,7 @@ def start_sliding_counts(lines: DataFrame, out_path: str, checkpoint: str,
         raise ValueError(f"unknown time basis {time_basis!r}")
     counts = windows.sliding_window_counts(logs, length, slide, time_col=time_col)
     writer = counts.writeStream.outputMode("append").format("parquet").option("path", out_path)
-    return _start(writer, checkpoint, trigger, name)
+    return start_query(writer, checkpoint, trigger, name)
 
 
 # --- STR-8: running sum/count, min/max of the latest non-empty batch -------------
@@ -176,7 +178,7 @@ def start_size_stats_ledger(lines: DataFrame, ledger_path: str, checkpoint: str,
             return
         write_batch_partition(size_totals(batch), ledger_path, batch_id)
 
-    return _start(logs.writeStream.foreachBatch(per_batch), checkpoint, trigger, name)
+    return start_query(logs.writeStream.foreachBatch(per_batch), checkpoint, trigger, name)
 
 
 def size_stats_last(ledger: DataFrame) -> DataFrame:
@@ -237,7 +239,7 @@ def start_sql_reports(lines: DataFrame, out_path: str, checkpoint: str,
         finally:
             rows.unpersist()
 
-    return _start(logs.writeStream.foreachBatch(per_batch), checkpoint, trigger, name)
+    return start_query(logs.writeStream.foreachBatch(per_batch), checkpoint, trigger, name)
 
 
 # --- STR-13: four counters per micro-batch ------------------------------------
@@ -258,4 +260,4 @@ def start_counters(lines: DataFrame, lookup: DataFrame, ledger, checkpoint: str,
         finally:
             vp.unpersist()
 
-    return _start(logs.writeStream.foreachBatch(per_batch), checkpoint, trigger, name)
+    return start_query(logs.writeStream.foreachBatch(per_batch), checkpoint, trigger, name)
