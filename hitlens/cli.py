@@ -125,7 +125,7 @@ def run_stream(spark, args) -> None:
     elif args.job == "sql":
         query = jobs.start_sql_reports(lines, out, ckpt, trigger)
     elif args.job == "counters":
-        ledger = CounterLedger(spark, args.database, out)
+        ledger = CounterLedger(spark, args.database, out, compact_every=args.compact_every)
         ledger.create_schema()
         query = jobs.start_counters(lines, lookup, ledger, ckpt, trigger)
     else:
@@ -159,6 +159,7 @@ def main(argv=None) -> None:
     p.add_argument("--checkpoint", required=True)
     p.add_argument("--out")
     p.add_argument("--database", default="hitlens_counters")
+    p.add_argument("--compact-every", type=int, help="counters: fold the ledger every n batches")
     p.add_argument("--watermark", default="1 minute")
     p.add_argument("--time-basis", default="event", choices=["event", "arrival"])
     p.add_argument("--deltas", action="store_true",

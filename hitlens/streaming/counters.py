@@ -35,10 +35,14 @@ class CounterLedger:
     """Four counter tables: page_views, log_volume_by_minute, status_counter,
     visits_by_country (key, count)."""
 
-    def __init__(self, spark: SparkSession, database: str, location: str):
+    def __init__(self, spark: SparkSession, database: str, location: str,
+                 compact_every: int | None = None):
+        """``compact_every=n`` folds the ledger every n batches (inside the
+        stream), so the rows a read sums stay bounded by n batches plus a base."""
         self.spark = spark
         self.database = database
         self.location = location
+        self.compact_every = compact_every
 
     # --- DDL (SNK-7, SNK-8) -------------------------------------------------
     def create_schema(self) -> None:
@@ -94,6 +98,10 @@ class CounterLedger:
                     batch_id)
         self._write("visits_by_country",
                     count_by(viewed, F.col("country_code").alias("country"), "count"), batch_id)
+        if self.compact_every and batch_id > 0 and batch_id % self.compact_every == 0:
+            for table in COUNTER_TABLES:
+                self.compact(table, batch_id - 1,
+                             f"{self.location.rstrip('/')}_staging/{table}-{batch_id}")
 
     # --- reads (SNK-9) ------------------------------------------------------
     def live(self, table: str) -> DataFrame:

@@ -247,3 +247,18 @@ def test_sliced_feed_batch_is_time_slice(spark):
         stats = reports.content_size_stats(valid(parse_logs(sliced.where(F.col("s") == i))))
         r = stats.collect()[0]
         assert got[i] == (r.n, r.min_size, r.max_size)
+
+
+def test_counter_ledger_compacts_inside_the_stream(spark, feed):
+    path, _ = feed
+    location = shared_dir(spark, "t-counters")
+    ledger = CounterLedger(spark, "t_counters_" + uuid.uuid4().hex[:8], location, compact_every=2)
+    ledger.create_schema()
+    _run(jobs.start_counters(_stream(spark, path), registry.country_lookup(spark, SF001), ledger,
+                             shared_dir(spark, "t-ck"), NOW))
+    # after writing its own rows, batch 2 folded batches 0..1 into a base
+    ids = sorted(r.batch_id for r in ledger.ledger("status_counter").select("batch_id")
+                 .distinct().collect())
+    assert ids == [base_batch_id(1), 2]
+    assert _counter_totals(ledger) == _batch_counters(spark)
+    ledger.drop_schema()
