@@ -29,6 +29,7 @@ from ..streaming.feed import write_sliced_feed
 AVAILABLE_NOW = {"availableNow": True}
 FEED_BATCHES = 4
 STREAM_TIMEOUT_S = 1800
+COMPACT_EVERY = 2           # the counter stream folds its ledger every 2 batches
 
 _feeds: dict[tuple[str, str], tuple[str, int]] = {}
 _ledgers: dict[tuple[str, str], CounterLedger] = {}
@@ -125,7 +126,7 @@ def counter_ledger(spark: SparkSession, sf_dir: str) -> CounterLedger:
     tune(spark)
     location = shared_dir(spark, "counters")
     database = "hitlens_counters_" + location.rsplit("-", 1)[-1]
-    ledger = CounterLedger(spark, database, location)
+    ledger = CounterLedger(spark, database, location, compact_every=COMPACT_EVERY)
     ledger.create_schema()
     _await(jobs.start_counters(_lines(spark, sf_dir), country_lookup(spark, sf_dir), ledger,
                                shared_dir(spark, "ckpt"), AVAILABLE_NOW))
