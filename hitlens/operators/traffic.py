@@ -37,13 +37,24 @@ HOURS_SCHEMA = T.StructType([
 ])
 
 
+def _values_table(spark: SparkSession, rows, schema: T.StructType) -> DataFrame:
+    """A constant table as an inline ``VALUES`` relation: planned in the JVM,
+    no Python worker needed to read it."""
+    def lit(v):
+        return f"'{v}'" if isinstance(v, str) else str(int(v))
+    values = ", ".join("(" + ", ".join(lit(v) for v in row) + ")" for row in rows)
+    names = ", ".join(f.name for f in schema)
+    casts = ", ".join(f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema)
+    return spark.sql(f"SELECT {casts} FROM VALUES {values} AS t({names})")
+
+
 def countries_table(spark: SparkSession) -> DataFrame:
-    rows = list(zip(range(len(COUNTRY_CODES)), COUNTRY_CODES, COUNTRY_PCT, COUNTRY_TIME_DIFF))
-    return spark.createDataFrame(rows, COUNTRIES_SCHEMA)
+    rows = zip(range(len(COUNTRY_CODES)), COUNTRY_CODES, COUNTRY_PCT, COUNTRY_TIME_DIFF)
+    return _values_table(spark, rows, COUNTRIES_SCHEMA)
 
 
 def hours_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(enumerate(HOURLY_WEIGHT)), HOURS_SCHEMA)
+    return _values_table(spark, enumerate(HOURLY_WEIGHT), HOURS_SCHEMA)
 
 
 def traffic_weights(hours: DataFrame, countries: DataFrame) -> DataFrame:
