@@ -9,8 +9,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitlens.llm import decontaminate, oracle, simhash
-from hitlens.llm.common import read_table
+from hitlens.llm import decontaminate, langid, oracle, simhash
+from hitlens.llm.common import crc_mod, read_table
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = langid.train(spark, docs.where(crc_mod("doc_id", 5) != 0))
+    return langid.predict(spark, docs, model).select(
+        "doc_id", F.coalesce(crc_mod("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +36,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op2_decontaminate": op2_decontaminate,
     "op10_simhash": op10_simhash,
 }
