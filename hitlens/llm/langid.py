@@ -32,7 +32,6 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -43,7 +42,6 @@ ORDER = 3
 ALPHABET = 64
 PER_CLASS, LANDMARKS, MAX_CLASSES, RIDGE = 300, 48, 200, 0.1
 UNKNOWN = "und"
-_LETTER = regex.compile(r"\p{L}")
 _CODES = 0x110000
 #: n-gram ids: the 1-grams, then the 2-grams, and so on.
 _STARTS = np.concatenate(([0], np.cumsum([ALPHABET ** n for n in range(1, ORDER + 1)])))
@@ -55,9 +53,10 @@ ROWS, BLOCK = 64, 1 << 20
 def _letter_table() -> np.ndarray:
     """code point -> lower-case code point for letters, 0 for anything else."""
     table = np.zeros(_CODES, np.uint32)
-    for m in _LETTER.finditer("".join(map(chr, (c for c in range(_CODES) if not 0xD800 <= c < 0xE000)))):
-        low = m[0].lower()
-        table[ord(m[0])] = ord(low) if len(low) == 1 else ord(m[0])
+    for c in map(chr, range(_CODES)):
+        if c.isalpha():
+            low = c.lower()
+            table[ord(c)] = ord(low) if len(low) == 1 else ord(c)
     return table
 
 

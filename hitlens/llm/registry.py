@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitlens.llm import decontaminate, langid, oracle, simhash
+from hitlens.llm import bpe, decontaminate, langid, oracle, simhash
 from hitlens.llm.common import crc_mod, read_table
 
 
@@ -29,6 +29,20 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def vocabulary_path() -> str:
+    """The public vocabulary file that the contract names."""
+    import public_tokenizers
+    return str(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.encode(spark, read_table(spark, sf_dir, "documents"), vocabulary_path())
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return simhash.near_duplicates(spark, docs).select(
@@ -38,6 +52,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_decontaminate": op2_decontaminate,
+    "op6_bpe": op6_bpe,
     "op10_simhash": op10_simhash,
 }
 
