@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitlens.llm import bpe, decontaminate, langid, oracle, simhash
+from hitlens.llm import bpe, decontaminate, langid, oracle, secrets, simhash
 from hitlens.llm.common import crc_mod, read_table
 
 
@@ -43,6 +43,18 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.findings(spark, read_table(spark, sf_dir, "documents"))
+    base = [r.kind for r in secrets.BASE_RULES]
+
+    def count(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    own = F.filter("spans", lambda s: s["kind"].isin(base))
+    return found.select("doc_id", *map(count, base), F.sha2(secrets.span_text(own), 256).alias("base_sha256"),
+                        secrets.span_text(F.col("spans")).alias("spans"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return simhash.near_duplicates(spark, docs).select(
@@ -53,6 +65,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_decontaminate": op2_decontaminate,
     "op6_bpe": op6_bpe,
+    "op8_secrets": op8_secrets,
     "op10_simhash": op10_simhash,
 }
 
