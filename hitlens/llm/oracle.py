@@ -31,3 +31,27 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
        sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 """
+
+PASSAGES = r"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS words
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM docs)),
+later AS (
+  SELECT doc_id, i FROM (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY words ORDER BY doc_id, i) AS place FROM windows)
+  WHERE place > 1),
+gone AS (
+  SELECT doc_id, list(DISTINCT p) AS places FROM (SELECT doc_id, unnest(range(i, i + 20)) AS p FROM later)
+  GROUP BY doc_id),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS words
+  FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM docs) t
+  WHERE NOT EXISTS (SELECT 1 FROM (SELECT DISTINCT doc_id, unnest(places) AS p FROM gone) g
+                    WHERE g.doc_id = t.doc_id AND g.p = t.p)
+  GROUP BY doc_id)
+SELECT docs.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(places), 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(words, '')) AS kept_sha256
+FROM docs LEFT JOIN gone ON gone.doc_id = docs.doc_id LEFT JOIN kept ON kept.doc_id = docs.doc_id
+"""

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitlens.llm import bpe, decontaminate, langid, oracle, secrets, simhash
+from hitlens.llm import bpe, decontaminate, langid, oracle, passages, secrets, simhash
 from hitlens.llm.common import crc_mod, read_table
 
 
@@ -43,6 +43,11 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op7_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return passages.remove_repeats(spark, docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.findings(spark, read_table(spark, sf_dir, "documents"))
     base = [r.kind for r in secrets.BASE_RULES]
@@ -65,10 +70,12 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_decontaminate": op2_decontaminate,
     "op6_bpe": op6_bpe,
+    "op7_passages": op7_passages,
     "op8_secrets": op8_secrets,
     "op10_simhash": op10_simhash,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_decontaminate": oracle.DECONTAMINATE,
+    "op7_passages": oracle.PASSAGES,
 }
