@@ -256,3 +256,27 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     named = (nodes.join(groups, "node", "left")
              .select("fp", F.coalesce("component", "node").alias("component_id")))
     return fps.join(named, "fp", "left").select(id_col, "fp", "component_id")
+
+
+def keep_one(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+             shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
+    """``docs`` with one row of each group of linked documents: that of the smallest id.
+
+    Of repeated rows one stays.  A row without an id goes if a document with an id has its fingerprint;
+    of those left, one stays for each fingerprint.
+    """
+    links = near_duplicates(spark, docs, id_col, text_col, shingle, max_bits)
+    first = links.where(F.col(id_col) == F.col("component_id")).groupBy(id_col).agg(F.count("*").alias("__rows"))
+    nameless = links.where(F.col(id_col).isNull())
+    kept = docs.join(first.select(id_col), id_col, "left_semi").select(*docs.columns)
+    if first.where("__rows > 1").limit(1).count():
+        kept = kept.dropDuplicates([id_col])
+    if nameless.limit(1).count():
+        alone = docs.where(F.col(id_col).isNull()).withColumn("__row", F.struct(*docs.columns))
+        prints = fingerprints(alone.select(F.to_json("__row").alias("__key"), text_col), "__key", text_col, shingle)
+        lone = nameless.where("component_id IS NULL").select("fp").distinct()
+        one = prints.join(lone, "fp", "left_semi").groupBy("fp").agg(F.min("__key").alias("__key"))
+        rest = (alone.withColumn("__key", F.to_json("__row")).join(one, "__key", "left_semi")
+                .dropDuplicates(["__key"]).select(*docs.columns))
+        kept = kept.unionByName(rest)
+    return kept
