@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitlens.llm import bpe, decontaminate, langid, oracle, passages, secrets, simhash
+from hitlens.llm import bpe, decontaminate, langid, oracle, passages, secrets, simhash, toxicity
 from hitlens.llm.common import crc_mod, read_table
 
 
@@ -29,6 +29,14 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    trained = toxicity.train(spark, docs, labels.where(crc_mod("doc_id", 3) != 1))
+    return toxicity.score(spark, docs, trained).select(
+        "doc_id", F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= toxicity.CUT).cast("int").alias("predicted"))
+
+
 def vocabulary_path() -> str:
     """The public vocabulary file that the contract names."""
     import public_tokenizers
@@ -69,6 +77,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_decontaminate": op2_decontaminate,
+    "op5_toxicity": op5_toxicity,
     "op6_bpe": op6_bpe,
     "op7_passages": op7_passages,
     "op8_secrets": op8_secrets,
