@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from hitlens.llm import common
 from hitlens.llm.lexicon import Lexicon, mapped, pack
 
-LEXICON, LEXICON_BYTES = 60_000, 64
+LEXICON, LEXICON_BYTES = 40_000, 64
 #: Words a task counts or remembers at most before it sends them on or forgets them.
 COUNT_MOST, CACHE_MOST = 300_000, 300_000
 #: Words from this many symbols on are merged with a heap.
@@ -143,11 +143,11 @@ class Vocabulary:
         return [x for x in ids if x >= 0]
 
 
-def _ranges(belongs) -> str:
-    """The inside of a character class: the ranges of code points that belong."""
+def _ranges(belongs, end: int) -> str:
+    """The inside of a character class: the ranges of code points below ``end`` that belong."""
     edges, inside = [], False
-    for c in range(0x110001):
-        now = c < 0x110000 and belongs(chr(c))
+    for c in range(end + 1):
+        now = c < end and belongs(chr(c))
         if now != inside:
             edges.append(c - inside)
             inside = now
@@ -158,17 +158,30 @@ def _category(name: str, new: list[tuple[int, int]]):
     return lambda c: unicodedata.category(c)[0] == name or any(a <= ord(c) <= b for a, b in new)
 
 
-@lru_cache(maxsize=4)
-def _splitter(pattern: str):
-    """The file's pattern for ``re``, its Unicode classes spelled out."""
-    classes = {r"\p{L}": _ranges(_category("L", NEW_LETTERS)),
-               r"\p{N}": _ranges(_category("N", NEW_NUMBERS)),
-               r"\s": _ranges(lambda c: c.isspace() and not "\x1c" <= c <= "\x1f")}
+@lru_cache(maxsize=8)
+def _splitter(pattern: str, end: int):
+    """The file's pattern for ``re``, its Unicode classes spelled out for code points below ``end``.
+
+    Classes within the first 65,536 code points are looked up in a table, longer ones range by range.
+    """
+    classes = {r"\p{L}": _ranges(_category("L", NEW_LETTERS), end),
+               r"\p{N}": _ranges(_category("N", NEW_NUMBERS), end),
+               r"\s": _ranges(lambda c: c.isspace() and not "\x1c" <= c <= "\x1f", end)}
+    # no other branch starts with a letter or a number, so theirs may be tried first
+    branches = sorted(pattern.split("|"), key=lambda b: not b.startswith(("[\\p{L}]", "[\\p{N}]")))
+    pattern = "|".join(branches)
     for name, inside in classes.items():
         pattern = pattern.replace(name, inside)
     return re.compile(pattern).findall
 
 
+def _split(text: str, pattern: str) -> list[str]:
+    if text.isascii():
+        return _splitter(pattern, 0x80)(text)
+    short = len(text.encode("utf-16-le")) == 2 * len(text)
+    return _splitter(pattern, 0x10000 if short else 0x110000)(text)
+
+
 def _normal(text: str) -> str:
     """NFC, then each character's own lower case (no final-sigma rule); white space is dropped later."""
     if text.isascii():
@@ -179,12 +192,11 @@ def _normal(text: str) -> str:
 
 def pieces(text: str, vocabulary: Vocabulary) -> list[str]:
     """Normalised words of a text; special tokens stand as themselves, marked by a leading NUL."""
-    split = _splitter(vocabulary.pattern)
     if not any(s in text for s in vocabulary.special):
-        return split(_normal(text))
+        return _split(_normal(text), vocabulary.pattern)
     out: list[str] = []
     for part in _splitter_special(tuple(vocabulary.special)).split(text):
-        out += ["\0" + part] if part in vocabulary.special else split(_normal(part))
+        out += ["\0" + part] if part in vocabulary.special else _split(_normal(part), vocabulary.pattern)
     return out
 
 

@@ -16,8 +16,8 @@ import tempfile
 
 import numpy as np
 
-#: Header: edges, states, words, ids (int64 each).
-_HEADER = 4
+#: Header: edges, states, words, ids.  All numbers are four bytes; 2^23 states are the most.
+_HEADER, _NUMBER = 4, np.int32
 
 
 class _State:
@@ -78,7 +78,9 @@ def pack(entries: dict[bytes, tuple[int, ...]]) -> bytes:
             skips.append(before)
             before += child.count
     lengths = [len(entries[w]) for w in words]
-    return b"".join(np.asarray(x, np.int64).tobytes() for x in (
+    if len(states) >= 1 << 23:
+        raise ValueError("too many states for one lexicon")
+    return b"".join(np.asarray(x, _NUMBER).tobytes() for x in (
         [len(keys), len(states), len(words), sum(lengths)], keys, targets, skips,
         [s.final for s in states], np.concatenate(([0], np.cumsum(lengths))),
         [i for w in words for i in entries[w]]))
@@ -88,7 +90,7 @@ class Lexicon:
     """Look-ups in packed bytes, many words at once."""
 
     def __init__(self, data: bytes | mmap.mmap):
-        flat = np.frombuffer(data, np.int64)
+        flat = np.frombuffer(data, _NUMBER)
         edges, states, words, ids = flat[:_HEADER].tolist()
         cuts = np.cumsum([_HEADER, edges, edges, edges, states, words + 1, ids])
         self.keys, self.targets, self.skips, self.final, self.starts, self.ids = (
@@ -103,10 +105,10 @@ class Lexicon:
         sizes = np.fromiter(map(len, words), np.int64, n)
         starts = np.cumsum(sizes) - sizes
         flat = np.frombuffer(b"".join(words) + b"\0", np.uint8)
-        state, number = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        state, number = np.zeros(n, _NUMBER), np.zeros(n, np.int64)
         live, depth = np.flatnonzero(sizes > 0), 0
         while len(live):
-            key = state[live] << 8 | flat[starts[live] + depth]
+            key = state[live] << _NUMBER(8) | flat[starts[live] + depth]
             edge = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
             ok = self.keys[edge] == key
             live, edge = live[ok], edge[ok]

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import uuid
 
 import numpy as np
 from hypothesis import given, settings
@@ -66,7 +67,7 @@ def test_transducer_is_minimal_and_exact():
     r = random.Random(4)
     words = {bytes(r.choice(b"ab\xc3") for _ in range(r.randint(1, 7))) for _ in range(300)}
     entries = {w: tuple(r.randrange(9) for _ in range(r.randint(0, 3))) for w in words}
-    lex = lexicon.Lexicon(lexicon.mapped(lexicon.pack(entries), f"test-{r.random()}"))
+    lex = lexicon.Lexicon(lexicon.mapped(lexicon.pack(entries), f"test-{uuid.uuid4()}"))
     probe = [*words, b"", b"zzz", b"aaaaaaaaaaaa", *(w + b"a" for w in words)]
     for w, n in zip(probe, lex.numbers(probe).tolist()):
         assert (tuple(lex.output(n)) if n >= 0 else None) == entries.get(w)
