@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitlens.llm import bpe, decontaminate, langid, oracle, passages, secrets, simhash, toxicity
+from hitlens.llm import bpe, decontaminate, langid, oracle, passages, quality, secrets, simhash, toxicity
 from hitlens.llm.common import crc_mod, read_table
 
 
@@ -29,6 +29,12 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                         "base_failed", "kept")
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     trained = toxicity.train(spark, docs, labels.where(crc_mod("doc_id", 3) != 1))
@@ -77,6 +83,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_decontaminate": op2_decontaminate,
+    "op3_quality": op3_quality,
     "op5_toxicity": op5_toxicity,
     "op6_bpe": op6_bpe,
     "op7_passages": op7_passages,
