@@ -37,6 +37,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -51,12 +52,14 @@ from hitlens.session import shared_dir
 WINDOW, SEED, PHRASE = 20, 8, 10
 STRIDE = WINDOW - PHRASE + 1
 SHARD_BYTES = 8_000_000
-#: The filter has 16 to 32 bits for each recurring seed, 2^28 (32 MB) at most.
-LEAST_BITS, MOST_BITS = 16, 28
+#: The filter has 32 to 64 bits for each recurring seed, 2^28 (32 MB) at most, and sets ``PROBES`` of them.
+LEAST_BITS, MOST_BITS, PROBES = 16, 28, 4
 #: Stands for a NULL id: after every other.
 NO_ID = (1 << 63) - 1
 #: Shards named in one row.
 SHARDS_A_ROW = 4096
+#: Values of one symbol of a word.
+DIGIT = 96
 
 _U64 = np.uint64
 
@@ -117,16 +120,16 @@ def _seed_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class SeedFilter:
-    """Two bits for each seed."""
+    """``PROBES`` bits for each seed."""
 
     def __init__(self, words: np.ndarray, log2: int):
         self.words, self.log2 = words, log2
 
     @staticmethod
-    def places(seeds: np.ndarray, log2: int) -> tuple[np.ndarray, np.ndarray]:
+    def places(seeds: np.ndarray, log2: int) -> list[np.ndarray]:
         spread = common.mix(seeds * _U64(0xD6E8FEB86659FD93))
-        mask = _U64((1 << log2) - 1)
-        return spread & mask, (spread >> _U64(32)) & mask
+        step = common.mix(spread) | _U64(1)
+        return [(spread + _U64(k) * step) & _U64((1 << log2) - 1) for k in range(PROBES)]
 
     def has(self, seeds: np.ndarray) -> np.ndarray:
         out = np.ones(len(seeds), bool)
@@ -141,7 +144,7 @@ def seed_filter(spark: SparkSession, docs: DataFrame, text_col: str) -> SeedFilt
     (docs.select(text_col).mapInArrow(_seed_counts, "seed long, n long")
      .groupBy("seed").agg(F.sum("n").alias("n")).where("n > 1").select("seed").write.parquet(path))
     seeds = spark.read.parquet(path)
-    log2 = min(MOST_BITS, max(LEAST_BITS, (16 * seeds.count()).bit_length()))
+    log2 = min(MOST_BITS, max(LEAST_BITS, (32 * seeds.count()).bit_length()))
 
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -306,59 +309,67 @@ def passages(spark: SparkSession, candidates: DataFrame, sent) -> DataFrame:
 # ------------------------------------------------------------------- automata
 
 class Automaton:
-    """Phrases of passages: hits are places where a whole phrase stands."""
+    """Phrases of passages: hits are places where a whole phrase stands.
+
+    A word is a few symbols of ``DIGIT`` values, since a node's edges are searched one by one; each place in
+    the word has symbols of its own, so a hit cannot begin within a word.  Words that no passage has are all
+    alike.
+    """
 
     def __init__(self, rows: list[tuple[int, int, bytes]]):
-        self.numbers: dict[bytes, int] = {}
-        self.tree = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-        number, parts, phrases = self.numbers.setdefault, [], {}
         self.ids = np.array([r[0] for r in rows], np.int64)
         self.first = np.array([r[1] for r in rows], np.int64)
-        # passages lie one after the other, PHRASE zeros apart: comparisons stop there
-        at, places = PHRASE, []
-        gap = [0] * PHRASE
-        flat = [*gap]
-        offsets = []
-        for k, (_, _, words) in enumerate(rows):
-            ids = [number(w, len(self.numbers) + 1) for w in words.split(b" ")]
-            flat += ids + gap
-            offsets.append(at)
-            for o in range(0, len(ids) - PHRASE + 1, STRIDE):
-                phrase = tuple(ids[o:o + PHRASE])
-                places.append((phrases.setdefault(phrase, len(phrases)), k, at + o))
-            at += len(ids) + PHRASE
+        words = [r[2].split(b" ") for r in rows]
+        distinct = list(dict.fromkeys(chain.from_iterable(words)))
+        self.width = 1
+        while DIGIT ** self.width <= len(distinct):
+            self.width += 1
+        self.codes = {w: self._symbols(k + 1) for k, w in enumerate(distinct)}
+        self.unknown = self._symbols(0)
+        # passages lie one after the other with a gap between them: comparisons stop there
+        self.flat, self.offsets, text = self._flat(words)
+        self.flat[self.flat == 0] = -1
+        self.tree = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        phrases: dict[str, int] = {}
+        places = []
+        for k, (at, own) in enumerate(zip(self.offsets.tolist(), words)):
+            for o in range(at, at + len(own) - PHRASE + 1, STRIDE):
+                phrase = text[o * self.width:(o + PHRASE) * self.width]
+                places.append((phrases.setdefault(phrase, len(phrases)), k, o))
         for phrase, k in phrases.items():
             self.tree.add_word(phrase, k)
         if phrases:
             self.tree.make_automaton()
-        self.flat = np.array(flat, np.int64)
-        self.offsets = np.array(offsets, np.int64)
         table = np.array(sorted(places), np.int64).reshape(-1, 3)
         self.passage, self.place = table[:, 1], table[:, 2]
         self.times = np.bincount(table[:, 0], minlength=len(phrases))
         self.begin = np.cumsum(self.times) - self.times
 
+    def _symbols(self, number: int) -> str:
+        return "".join(chr(1 + j * DIGIT + number // DIGIT ** j % DIGIT) for j in range(self.width))
+
+    def _flat(self, words: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, str]:
+        """Word numbers of all texts with gaps of zeros before, between and after; where each text begins;
+        the same as symbols."""
+        get, unknown = self.codes.get, self.unknown
+        gap = unknown * PHRASE
+        text = gap + "".join("".join([get(w, unknown) for w in ws]) + gap for ws in words)
+        size = np.fromiter(map(len, words), np.int64, len(words)) + PHRASE
+        symbols = np.frombuffer(text.encode("utf-16-le"), np.uint16).reshape(-1, self.width).astype(np.int64)
+        places = np.arange(self.width)
+        numbers = (symbols - 1 - places * DIGIT) @ DIGIT ** places
+        return numbers, PHRASE + np.cumsum(size) - size, text
+
     def covered(self, doc_ids: np.ndarray, docs: list[list[bytes]]) -> list[np.ndarray]:
         """For each document, which words a window covers that starts earlier elsewhere."""
-        get, iterate = self.numbers.get, self.tree.iter
-        gap = [0] * PHRASE
-        flat, hits, hit_phrase, starts = [*gap], [], [], []
-        for words in docs:
-            ids = [get(w, 0) for w in words]
-            base = len(flat)
-            starts.append(base)
-            if len(self.times):
-                for end, phrase in iterate(tuple(ids)):
-                    hits.append(base + end - PHRASE + 1)
-                    hit_phrase.append(phrase)
-            flat += ids + gap
-        text = np.array(flat, np.int64)
-        text[text == 0] = -1  # unlike the gaps between passages
-        step = np.zeros(len(text) + 1, np.int64)
-        starts = np.array(starts, np.int64)
-        hits, hit_phrase = np.array(hits, np.int64), np.array(hit_phrase, np.int64)
+        if not len(self.times):
+            return [np.zeros(len(w), bool) for w in docs]
+        numbers, starts, text = self._flat(docs)
+        found = np.array(list(self.tree.iter(text)), np.int64).reshape(-1, 2)
+        hits, phrase = (found[:, 0] + 1) // self.width - PHRASE, found[:, 1]
+        step = np.zeros(len(numbers) + 1, np.int64)
         for at in range(0, len(hits), 20_000):
-            self._compare(text, starts, doc_ids, hits[at:at + 20_000], hit_phrase[at:at + 20_000], step)
+            self._compare(numbers, starts, doc_ids, hits[at:at + 20_000], phrase[at:at + 20_000], step)
         cover = np.cumsum(step[:-1]) > 0
         return [cover[s:s + len(w)] for s, w in zip(starts.tolist(), docs)]
 
