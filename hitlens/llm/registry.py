@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitlens.llm import bpe, decontaminate, langid, oracle, passages, quality, secrets, simhash, toxicity
+from hitlens.llm import bpe, decontaminate, langid, oracle, passages, quality, secrets, simhash, toxicity, urls
 from hitlens.llm.common import crc_mod, read_table
 
 
@@ -35,6 +35,11 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "base_failed", "kept")
 
 
+def op4_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    weights = urls.train(spark, urls.labelled_urls(spark))
+    return urls.judge(spark, read_table(spark, sf_dir, "pages"), weights).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     trained = toxicity.train(spark, docs, labels.where(crc_mod("doc_id", 3) != 1))
@@ -84,6 +89,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_decontaminate": op2_decontaminate,
     "op3_quality": op3_quality,
+    "op4_urls": op4_urls,
     "op5_toxicity": op5_toxicity,
     "op6_bpe": op6_bpe,
     "op7_passages": op7_passages,
