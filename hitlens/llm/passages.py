@@ -51,7 +51,7 @@ from hitlens.session import shared_dir
 
 WINDOW, SEED, PHRASE = 20, 8, 10
 STRIDE = WINDOW - PHRASE + 1
-SHARD_BYTES = 8_000_000
+SHARD_BYTES = 4_000_000
 #: The filter has 32 to 64 bits for each recurring seed, 2^28 (32 MB) at most, and sets ``PROBES`` of them.
 LEAST_BITS, MOST_BITS, PROBES = 16, 28, 4
 #: Stands for a NULL id: after every other.
@@ -90,7 +90,7 @@ class Shard:
 
 def _least(values: np.ndarray, width: int) -> np.ndarray:
     """Place of the first least value in every ``width`` consecutive ones, by doubling."""
-    best, size = np.arange(len(values)), 1
+    best, size = np.arange(len(values), dtype=np.int32), 1
     while size < width:
         step = min(size, width - size)
         left, right = best[:len(best) - step], best[step:]
@@ -104,7 +104,7 @@ def _words(texts: list[bytes | None]) -> list[list[bytes]]:
 
 
 def _hashes() -> common.WordHash:
-    return common.WordHash(seed=20)
+    return common.WordHash(seed=20, most=150_000)
 
 
 def _seed_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
