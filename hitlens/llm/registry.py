@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitlens.llm import bpe, decontaminate, langid, oracle, passages, quality, secrets, simhash, toxicity, urls
+from hitlens.llm import bpe, decontaminate, langid, oracle, passages, pii, quality, secrets, simhash, toxicity, urls
 from hitlens.llm.common import crc_mod, read_table
 
 
@@ -79,6 +79,22 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         secrets.span_text(F.col("spans")).alias("spans"))
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    found = pii.find(spark, docs, pii.train(spark, docs))
+    kinds = F.array(*map(F.lit, pii.KINDS))
+
+    def count(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    every = F.array_sort(F.transform(F.concat("base", "added"), lambda s: F.struct(
+        F.array_position(kinds, s["kind"]).alias("rank"), s["start"].alias("start"), s["end"].alias("end"),
+        s["kind"].alias("kind"))))
+    return found.select("doc_id", *map(count, pii.KINDS),
+                        F.sha2(secrets.span_text(F.col("base")), 256).alias("base_sha256"),
+                        secrets.span_text(every).alias("spans"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return simhash.near_duplicates(spark, docs).select(
@@ -94,6 +110,7 @@ QUERIES = {
     "op6_bpe": op6_bpe,
     "op7_passages": op7_passages,
     "op8_secrets": op8_secrets,
+    "op9_pii": op9_pii,
     "op10_simhash": op10_simhash,
 }
 
