@@ -20,7 +20,7 @@ from .functions import parse_logs, rejects, valid
 from .operators import reports, windows
 from .operators.refine import viewed_products
 from .plans import sql_reports as sq
-from .session import build_session, tune, use_rocksdb_state
+from .session import build_session, remove_dir, shared_dir, tune, use_rocksdb_state
 from .sources.logs import kafka_options, read_log_stream, read_logs, write_lines
 from .sources.lookup import read_country_lookup
 from .streaming import jobs
@@ -57,39 +57,40 @@ def _emit(name: str, df: DataFrame, out: str | None, show: int) -> None:
 
 
 def run_batch(spark, args) -> None:
-    """Batch job: parse once (persisted, Q9), rejects out, refine, reports."""
-    parsed = parse_logs(read_logs(spark, args.logs, args.min_partitions)).persist()
-    try:
-        if args.rejects:
-            write_lines(rejects(parsed), args.rejects, mode="overwrite")
-        logs = valid(parsed)
-        vp = viewed_products(logs, read_country_lookup(spark, args.lookup))
-        for name, fn in VIEWED_REPORTS.items():
-            _emit(name, fn(vp), args.out, args.show)
-        for name, fn in LOG_REPORTS.items():
-            _emit(name, fn(logs), args.out, args.show)
-    finally:
-        parsed.unpersist()
+    """Batch job: rejects out, then one pass that parses and refines; the reports read the
+    narrow columns it wrote below the shared folder (Q9), not the raw lines."""
+    parsed = parse_logs(read_logs(spark, args.logs))
+    if args.rejects:
+        write_lines(rejects(parsed), args.rejects, mode="overwrite")
+    path = shared_dir(spark, "refined")
+    viewed_products(valid(parsed), read_country_lookup(spark, args.lookup),
+                    extra_columns=("ip_address", "request_uri", "content_size")).write.parquet(path)
+    refined = spark.read.parquet(path)
+    for name, fn in {**VIEWED_REPORTS, **LOG_REPORTS}.items():
+        _emit(name, fn(refined), args.out, args.show)
+    remove_dir(spark, path)
 
 
 def run_sql(spark, args) -> None:
-    """SQL job: cached temp views, SQL texts."""
-    logs = valid(parse_logs(read_logs(spark, args.logs, args.min_partitions)))
-    vp = viewed_products(logs, read_country_lookup(spark, args.lookup))
-    sq.register_views(spark, viewed=vp, logs=logs, cache=True)
-    try:
-        for name, text in SQL_REPORTS.items():
-            _emit(name, spark.sql(text), args.out, args.show)
-        for name, text in sq.WINDOW_REPORTS.items():
-            _emit(name, sq.run(spark, text), args.out, args.show)
-    finally:
-        spark.catalog.uncacheTable(sq.VIEWED_PRODUCTS_VIEW)
-        spark.catalog.uncacheTable(sq.ACCESS_LOG_VIEW)
+    """SQL job: SQL texts over temp views of the refined rows, which are written once."""
+    path = shared_dir(spark, "refined")
+    logs = valid(parse_logs(read_logs(spark, args.logs)))
+    viewed_products(logs, read_country_lookup(spark, args.lookup),
+                    extra_columns=("ip_address", "request_uri", "content_size")).write.parquet(path)
+    refined = spark.read.parquet(path)
+    sq.register_views(spark, viewed=refined, logs=refined)
+    for name, text in SQL_REPORTS.items():
+        _emit(name, spark.sql(text), args.out, args.show)
+    for name, text in sq.WINDOW_REPORTS.items():
+        _emit(name, sq.run(spark, text), args.out, args.show)
+    remove_dir(spark, path)
 
 
 def run_stream(spark, args) -> None:
     if not args.out and not (args.console and args.job in ("status", "ips", "endpoints", "sizes")):
         raise SystemExit("stream: --out is required (--console only for all-time jobs)")
+    if args.job in ("batch-top", "counters") and not args.lookup:
+        raise SystemExit(f"stream --job {args.job}: --lookup is required")
     kafka = (kafka_options(args.kafka_servers, args.topics.split(","), args.group_id)
              if args.source == "kafka" else None)
     lines = read_log_stream(spark, args.source, args.path, args.max_files, port=args.port,
@@ -102,11 +103,11 @@ def run_stream(spark, args) -> None:
     elif args.job in ("status", "ips", "endpoints", "sizes"):
         use_rocksdb_state(spark)
         logs = jobs.access_log_stream(lines)
-        state, finish = {
-            "status": (jobs.status_totals, None),
-            "ips": (jobs.ip_totals, reports.frequent_ips_from_counts),
-            "endpoints": (jobs.endpoint_totals, reports.top_endpoints_from_counts),
-            "sizes": (jobs.size_totals, jobs.with_int_avg),
+        state, finish, keys, folds = {
+            "status": (jobs.status_totals, None, "response_code", jobs.SUM_TOTAL),
+            "ips": (jobs.ip_totals, reports.frequent_ips_from_counts, "ip_address", jobs.SUM_TOTAL),
+            "endpoints": (jobs.endpoint_totals, reports.top_endpoints_from_counts, "request_uri", jobs.SUM_TOTAL),
+            "sizes": (jobs.size_totals, jobs.with_int_avg, (), jobs.SIZE_FOLDS),
         }[args.job]
         if args.console:     # SNK-1: print the running result after every trigger
             def show(batch, batch_id):
@@ -114,14 +115,26 @@ def run_stream(spark, args) -> None:
                 (finish(batch) if finish else batch).show(args.show, truncate=False)
             writer = state(logs).writeStream.outputMode("complete").foreachBatch(show)
             query = jobs.start_query(writer, ckpt, trigger, None)
-        elif args.deltas:    # no keyed state: per-batch partials, fold with jobs.fold_deltas
-            query = jobs.start_all_time_deltas(logs, state, out, ckpt, trigger)
+        elif args.deltas:    # no keyed state: per-batch partials below OUT/deltas, the result in OUT/result
+            ledger_path, result = f"{out.rstrip('/')}/deltas", f"{out.rstrip('/')}/result"
+
+            def refresh(batch_id):
+                jobs.publish(jobs.fold_deltas(jobs.read_deltas(spark, ledger_path), keys, folds, finish),
+                             result, batch_id)
+            query = jobs.start_all_time_deltas(logs, state, ledger_path, ckpt, keys, folds,
+                                               args.compact_every, trigger, after_batch=refresh)
         else:
             query = jobs.start_all_time(state(logs), out, ckpt, finish, trigger)
     elif args.job == "sliding":
         query = jobs.start_sliding_counts(lines, out, ckpt, args.watermark,
                                           windows.WINDOW_LENGTH, windows.SLIDE_INTERVAL, trigger,
                                           time_basis=args.time_basis)
+    elif args.job == "sliding-top":
+        query = jobs.start_sliding_top_products(lines, out, ckpt, watermark=args.watermark, trigger=trigger,
+                                                time_basis=args.time_basis)
+    elif args.job == "sliding-sql":
+        query = jobs.start_sliding_sql_reports(lines, out, ckpt, watermark=args.watermark, trigger=trigger,
+                                               time_basis=args.time_basis)
     elif args.job == "sql":
         query = jobs.start_sql_reports(lines, out, ckpt, trigger)
     elif args.job == "counters":
@@ -146,8 +159,8 @@ def main(argv=None) -> None:
         p.add_argument("--min-partitions", type=int, default=10)
     p = sub.add_parser("stream")
     p.add_argument("--job", required=True,
-                   choices=["batch-top", "status", "ips", "endpoints", "sizes", "sliding", "sql",
-                            "counters"])
+                   choices=["batch-top", "status", "ips", "endpoints", "sizes", "sliding", "sliding-top",
+                            "sliding-sql", "sql", "counters"])
     p.add_argument("--source", default="text", choices=["text", "socket", "kafka"])
     p.add_argument("--path")
     p.add_argument("--port", type=int)
@@ -159,17 +172,19 @@ def main(argv=None) -> None:
     p.add_argument("--checkpoint", required=True)
     p.add_argument("--out")
     p.add_argument("--database", default="hitlens_counters")
-    p.add_argument("--compact-every", type=int, help="counters: fold the ledger every n batches")
+    p.add_argument("--compact-every", type=int, help="counters and --deltas: fold the ledger every n batches")
     p.add_argument("--watermark", default="1 minute")
     p.add_argument("--time-basis", default="event", choices=["event", "arrival"])
     p.add_argument("--deltas", action="store_true",
-                   help="all-time jobs: write per-batch partials instead of keeping state")
+                   help="all-time jobs: per-batch partials instead of state; OUT/result has the folded report")
     p.add_argument("--once", action="store_true")
     p.add_argument("--console", action="store_true",
                    help="all-time jobs: print the result after every trigger instead of --out")
     p.add_argument("--show", type=int, default=20)
     args = parser.parse_args(argv)
     spark = tune(build_session(app=f"hitlens-{args.cmd}"))
+    if getattr(args, "min_partitions", None):
+        spark.conf.set("spark.sql.files.minPartitionNum", str(args.min_partitions))
     {"batch": run_batch, "sql": run_sql, "stream": run_stream}[args.cmd](spark, args)
 
 

@@ -15,9 +15,12 @@ from pyspark.sql import functions as F
 from ..schema import ACCESS_LOG_COLUMNS
 
 # Line layout  ip client user [time] "method uri protocol" status size "referrer" "agent"
+# A request that never arrived is "-".  Quoted fields may hold escaped characters; the quantifiers are
+# possessive, so long fields cost neither backtracking nor stack.
+_QUOTED = r'"([^"\\]*+(?:\\.[^"\\]*+)*+)"'
 LOG_PATTERN = (
-    r'^(\S+) (\S+) (\S+) \[([^\]]+)\] "(\S+) (\S+)(?: (\S+))?" (\d{3}) (\d+|-) '
-    r'"([^"]*)" "([^"]*)"$'
+    r'^(\S+) (\S+) (\S+) \[([^\]]+)\] "(?:(\S+) (\S+)(?: (\S+))?|-)" (\d{3}) (\d+|-) '
+    rf'{_QUOTED} {_QUOTED}$'
 )
 LOG_TIME_FORMAT = "dd/MMM/yyyy:HH:mm:ss Z"
 FIELD_SEP = "\u0001"
@@ -38,7 +41,9 @@ def parse_logs(lines: DataFrame, value_col: str = "value", keep_raw: bool = True
     """Lines -> typed access-log columns plus ``is_valid`` (never NULL).
 
     A line is valid when it matches the pattern, holds no U+0001, and its time
-    and size cast; a ``-`` size counts as 0 (decision D6).  ``keep_offset``
+    and size cast; a ``-`` size counts as 0 (decision D6).  A ``"-"`` request
+    has NULL method, URI and protocol, a request without protocol a NULL
+    protocol.  Escaped quotes stay as written.  ``keep_offset``
     adds ``utc_offset``, the zone as written (``-0500``), for hours as written.
 
     The split fields leave a generator (``explode`` of a one-element array).
@@ -69,9 +74,9 @@ def parse_logs(lines: DataFrame, value_col: str = "value", keep_raw: bool = True
         F.get(p, 1).alias("client_id"),
         F.get(p, 2).alias("user"),
         date_time.alias("date_time"),
-        F.get(p, 4).alias("method"),
-        F.get(p, 5).alias("request_uri"),
-        F.get(p, 6).alias("protocol"),
+        F.nullif(F.get(p, 4), F.lit("")).alias("method"),
+        F.nullif(F.get(p, 5), F.lit("")).alias("request_uri"),
+        F.nullif(F.get(p, 6), F.lit("")).alias("protocol"),
         response_code.alias("response_code"),
         content_size.alias("content_size"),
         F.get(p, 9).alias("referrer"),

@@ -15,13 +15,19 @@ from ..functions.scalar import ip_prefix, product_from_uri
 from ..schema import MAX_CLASS_B_PREFIXES, VIEWED_PRODUCTS_COLUMNS
 
 
-def bounded_broadcast(side: DataFrame, max_rows: int) -> DataFrame:
-    """``broadcast(side)`` when it has at most ``max_rows`` rows, else ``side``.
+MAX_BROADCAST_BYTES = 64 << 20
+
+
+def bounded_broadcast(side: DataFrame, max_rows: int, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``broadcast(side)`` when it is small in rows and in bytes of text, else ``side``.
 
     The check reads at most ``max_rows + 1`` rows of the side.
     """
-    n = side.limit(max_rows + 1).count()
-    return F.broadcast(side) if n <= max_rows else side
+    texts = [F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)) for f in side.schema
+             if f.dataType.simpleString() == "string"]
+    size = sum(texts, F.lit(16)).cast("bigint")
+    n, held = side.limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    return F.broadcast(side) if n <= max_rows and held <= max_bytes else side
 
 
 def with_refined_columns(logs: DataFrame) -> DataFrame:

@@ -123,4 +123,6 @@ def top_endpoints(logs: DataFrame, k: int = 10) -> DataFrame:
 
 
 def log_volume_per_minute(logs: DataFrame) -> DataFrame:
-    return count_by(logs, minute_key("date_time").alias("minute"), "total")
+    """AGG-12: counts per minute; the text key is made once per minute, after the aggregation."""
+    counts = count_by(logs, F.date_trunc("minute", "date_time").alias("_minute"), "total")
+    return counts.select(minute_key("_minute").alias("minute"), "total")

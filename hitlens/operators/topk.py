@@ -23,6 +23,9 @@ def first_k_per_group(df: DataFrame, group_cols, order_cols, k: int,
                       rank_col: str = "_rank", buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Rows ranked ``1..k`` within each group by ``order_cols`` (ties broken
     by the order columns only, so give a unique order for a unique answer)."""
+    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold"))
+    if k > limit:   # beyond it no partial limit runs and a whole group meets in one task
+        raise ValueError(f"k = {k} is over spark.sql.optimizer.windowGroupLimitThreshold = {limit}")
     group_cols = [group_cols] if isinstance(group_cols, str) else list(group_cols)
     order_cols = [order_cols] if isinstance(order_cols, str) else list(order_cols)
     orders = [F.col(c) if isinstance(c, str) else c for c in order_cols]

@@ -2,14 +2,16 @@
 
 These texts compute the expected answers straight from the driver tables
 (``events``, ``nation``, ``pages``); they never see a log line, so a parser or
-join bug cannot hide in both sides.  Column names and types match the Spark
+join bug cannot hide in both sides.  The constants of the fixture rules
+(FIXTURES.md §3) are written out here again.  Column names and types match the Spark
 queries (hour INT, counts BIGINT, sums cast to BIGINT).
 """
 
 from __future__ import annotations
 
-from ..operators.traffic import COUNTRY_CODES, COUNTRY_PCT, COUNTRY_TIME_DIFF, HOURLY_WEIGHT
-from ..sources.fixtures import EXTRA_CODES
+# the 20 listed countries and the three that the dictionary must drop
+CODES = ("['CH', 'US', 'IN', 'JP', 'BR', 'DE', 'RU', 'ID', 'GB', 'FR', 'NG', 'MX', 'KR', 'IR', 'TR', 'IT', "
+         "'PH', 'VN', 'ES', 'PK', 'AQ', 'BV', 'HM']")
 
 URI = ("CASE WHEN e.event_id % 89 = 0 THEN '/' "
        "ELSE '/shop/catalog/p' || (e.props ->> '$.k') || '/' || e.event_type END")
@@ -25,7 +27,7 @@ GOOD = f"""good AS (
          date_trunc('second', e.ts) AS date_time,
          'GET' AS method,
          {URI} AS request_uri,
-         'HTTP/1.1' AS protocol,
+         CASE WHEN e.event_id % 89 = 0 THEN NULL ELSE 'HTTP/1.1' END AS protocol,
          {STATUS} AS response_code,
          CAST(e.event_id * 37 % 4096 AS BIGINT) AS content_size,
          '-' AS referrer,
@@ -33,8 +35,12 @@ GOOD = f"""good AS (
          CASE WHEN e.event_id % 89 = 0 THEN NULL ELSE 'p' || (e.props ->> '$.k') END AS product,
          n.n_name AS country_code
   FROM events e
-  LEFT JOIN nation n ON n.n_nationkey = e.user_id % 25 AND n.n_nationkey < 23
-  WHERE e.event_id % 97 <> 0
+  LEFT JOIN nation n ON n.n_nationkey = e.user_id % 25
+  UNION ALL
+  SELECT event_id, user_id, ts, 'localhost', '-', '-', date_trunc('second', ts), NULL, NULL, NULL,
+         CAST(408 AS INTEGER), CAST(0 AS BIGINT), 'http://ref.example/' || event_id,
+         'Mozilla \\"quoted\\" ' || (event_id % 3), NULL, NULL
+  FROM events WHERE event_id % 53 = 0
 )"""
 
 
@@ -42,36 +48,25 @@ def _with(body: str, *ctes: str) -> str:
     return "WITH " + ",\n".join((GOOD,) + ctes) + "\n" + body
 
 
-def _values(rows) -> str:
-    return ", ".join("(" + ", ".join(repr(v) for v in row) + ")" for row in rows)
-
-
-COUNTRIES = ("countries AS (SELECT * FROM (VALUES "
-             + _values(zip(range(len(COUNTRY_CODES)), COUNTRY_CODES, COUNTRY_PCT,
-                           COUNTRY_TIME_DIFF))
-             + ") t(ctry, code, pct, time_diff))")
-HOURS = "hours AS (SELECT * FROM (VALUES " + _values(enumerate(HOURLY_WEIGHT)) + ") t(hour, weight))"
-WEIGHTS = """weights AS (
-  SELECT h.hour, c.ctry, c.code, hw.weight * c.pct AS weight
-  FROM hours h CROSS JOIN countries c JOIN hours hw ON hw.hour = (h.hour + c.time_diff) % 24)"""
-CUM = """cum AS (SELECT hour, ctry, code, weight,
-  sum(weight) OVER (PARTITION BY hour ORDER BY ctry) AS cum_weight FROM weights)"""
-TOTALS = """totals AS (SELECT hour, CAST(sum(weight) AS BIGINT) AS hour_total,
-  CAST(sum(sum(weight)) OVER () AS BIGINT) AS day_total FROM weights GROUP BY hour)"""
-
 WINDOWS = """win AS (
   SELECT time_bucket(INTERVAL '10 seconds', date_time) - to_seconds(k * 10) AS window_start,
          product
   FROM good, (SELECT unnest(range(3)) AS k) ks)"""
 
 FORMAT_LINE = (
-    "CASE WHEN e.event_id % 97 = 0 THEN 'garbage line' ELSE "
     f"{IP} || ' - ' || CAST(e.user_id AS VARCHAR) || ' [' || "
-    "strftime(e.ts, '%d/%b/%Y:%H:%M:%S') || ' +0000] \"GET ' || "
-    f"{URI} || ' HTTP/1.1\" ' || CAST({STATUS} AS VARCHAR) || ' ' || "
-    "CAST(e.event_id * 37 % 4096 AS VARCHAR) || ' \"-\" \"Mozilla/5.0\"' END")
-
-DICT_CODES = "[" + ", ".join(repr(c) for c in COUNTRY_CODES + EXTRA_CODES) + "]"
+    "strftime(e.ts, '%d/%b/%Y:%H:%M:%S') || ' +0000] \"GET ' || CASE WHEN e.event_id % 89 = 0 THEN '/' "
+    f"ELSE {URI} || ' HTTP/1.1' END || '\" ' || CAST({STATUS} AS VARCHAR) || ' ' || "
+    "CAST(e.event_id * 37 % 4096 AS VARCHAR) || ' \"-\" \"Mozilla/5.0\"'")
+
+REJECTS = """SELECT CASE (event_id // 97) % 4 WHEN 0 THEN 'garbage line' WHEN 1 THEN ''
+  WHEN 2 THEN '1.2.3.4 - u [99/Zzz/2024:00:00:00 +0000] "GET / HTTP/1.1" 200 1 "-" "a"'
+  ELSE '1.2.3.4 - u [01/Jan/2024:00:00:00 +0000] "GET / HTTP/1.1" 20 1 "-" "a"' END AS value
+FROM events WHERE event_id % 97 = 0"""
+DICT_LINES = (
+    f"lines AS (SELECT event_id AS line_order, list_extract({CODES}, CAST(user_id % 23 AS INTEGER) + 1) AS code, "
+    "CAST(user_id % 23 AS INTEGER) AS ctry, CAST(10 + user_id % 25 AS INTEGER) AS ip_a, "
+    "CAST(event_id % 256 AS INTEGER) AS ip_b FROM events WHERE user_id % 23 < 20)")
 
 ACCESS_COLS = ('ip_address, client_id, "user", date_time, method, request_uri, protocol, '
                'response_code, content_size, referrer, user_agent')
@@ -83,25 +78,23 @@ VIEWS_PER_COUNTRY = "SELECT country_code, count(*) AS views FROM good GROUP BY c
 
 ORACLE_SQL: dict[str, str] = {
     "parse_good": _with(f"SELECT {ACCESS_COLS} FROM good"),
-    "parse_rejects": "SELECT 'garbage line' AS value FROM events WHERE event_id % 97 = 0",
+    "parse_rejects": REJECTS,
+    "parse_text": _with(f"SELECT {ACCESS_COLS} FROM good"),
     "parse_summary": (
-        "SELECT count(*) AS total_lines, count(*) FILTER (WHERE event_id % 97 <> 0) AS good_lines, "
-        "count(*) FILTER (WHERE event_id % 97 = 0) AS rejected_lines FROM events"),
+        "SELECT good_lines + rejected_lines AS total_lines, good_lines, rejected_lines FROM ("
+        "SELECT count(*) + count(*) FILTER (WHERE event_id % 53 = 0) AS good_lines, "
+        "count(*) FILTER (WHERE event_id % 97 = 0) AS rejected_lines FROM events)"),
     "country_lookup": (
         "SELECT CAST(10 + n_nationkey AS VARCHAR) || '.' || CAST(b AS VARCHAR) AS prefix, "
-        "n_name AS country_code FROM nation, (SELECT unnest(range(7)) AS b) bs "
-        "WHERE n_nationkey < 23"),
+        "n_name AS country_code FROM nation, (SELECT unnest(range(7)) AS b) bs"),
     "prefix_dictionary": (
-        f"WITH {COUNTRIES},\n"
-        "lines AS (SELECT event_id AS line_order, CAST(10 + user_id % 25 AS INTEGER) AS ip_a, "
-        "CAST(event_id % 256 AS INTEGER) AS ip_b, "
-        f"list_extract({DICT_CODES}, CAST(user_id % {len(COUNTRY_CODES) + len(EXTRA_CODES)} AS INTEGER) + 1) AS code "
-        "FROM events WHERE event_id % 41 <> 0),\n"
-        "ranked AS (SELECT l.code, c.ctry, l.ip_a, l.ip_b, "
-        "row_number() OVER (PARTITION BY l.code ORDER BY l.line_order) - 1 AS slot "
-        "FROM lines l JOIN countries c ON c.code = l.code)\n"
-        "SELECT code AS country, ctry, ip_a, ip_b, CAST(slot AS INTEGER) AS slot "
-        "FROM ranked WHERE slot < 1000"),
+        f"WITH {DICT_LINES}\n"
+        "SELECT code AS country, ctry, ip_a, ip_b, CAST(slot AS INTEGER) AS slot FROM ("
+        "SELECT *, row_number() OVER (PARTITION BY code ORDER BY line_order) - 1 AS slot FROM lines) WHERE slot < 100"),
+    "prefix_dictionary_cut": (
+        f"WITH {DICT_LINES}\n"
+        "SELECT code AS country, count(*) AS lines, least(count(*), 100) AS kept, "
+        "count(*) - least(count(*), 100) AS cut FROM lines GROUP BY code"),
     "viewed_products": _with('SELECT "user", country_code, date_time, product, response_code FROM good'),
     "views_per_user": _with(VIEWS_PER_USER),
     "views_per_country": _with(VIEWS_PER_COUNTRY),
@@ -151,27 +144,17 @@ ORACLE_SQL: dict[str, str] = {
         "FROM win GROUP BY window_start, product) r WHERE rank <= 10", WINDOWS),
     "reformat_date": (
         "SELECT strftime(ts, '%d/%b/%Y:%H:%M:%S') || ' +0000' AS src, "
-        "strftime(ts, '%Y-%m-%d %H:%M:%S') AS formatted FROM events WHERE event_id % 97 <> 0"),
+        "strftime(ts, '%Y-%m-%d %H:%M:%S') AS formatted FROM events "
+        "UNION ALL SELECT strftime(ts + INTERVAL 2 HOURS, '%d/%b/%Y:%H:%M:%S') || ' +0200', "
+        "strftime(ts, '%Y-%m-%d %H:%M:%S') FROM events WHERE event_id % 53 = 0 "
+        "UNION ALL SELECT CASE (event_id // 97) % 4 WHEN 2 THEN '99/Zzz/2024:00:00:00 +0000' "
+        "WHEN 3 THEN '01/Jan/2024:00:00:00 +0000' END, "
+        "CASE (event_id // 97) % 4 WHEN 3 THEN '2024-01-01 00:00:00' END FROM events WHERE event_id % 97 = 0"),
     "product_from_uri": (
         "SELECT page_id, url, string_split(regexp_replace(url, '/+$', ''), '/')[4] AS product "
         "FROM pages"),
     "ip_prefix": _with(
-        "SELECT ip_address, split_part(ip_address, '.', 1) || '.' || "
-        "split_part(ip_address, '.', 2) AS prefix FROM good"),
+        "SELECT ip_address, CASE WHEN ip_address LIKE '%.%' THEN split_part(ip_address, '.', 1) || '.' || "
+        "split_part(ip_address, '.', 2) END AS prefix FROM good"),
     "format_log_line": f"SELECT e.event_id, {FORMAT_LINE} AS value FROM events e",
-    "weighted_pick": (
-        f"WITH {COUNTRIES},\n{HOURS},\n{WEIGHTS},\n{CUM},\n{TOTALS},\n"
-        "draws AS (SELECT e.event_id, CAST(hour(e.ts) AS INTEGER) AS hour, "
-        "CAST(1 + (e.event_id * 7919) % t.hour_total AS BIGINT) AS r "
-        "FROM events e JOIN totals t ON t.hour = hour(e.ts))\n"
-        "SELECT d.event_id, d.hour, d.r, cum.ctry, cum.code FROM draws d JOIN cum "
-        "ON cum.hour = d.hour AND d.r > cum.cum_weight - cum.weight AND d.r <= cum.cum_weight"),
-    "hourly_apportion": (
-        f"WITH {COUNTRIES},\n{HOURS},\n{WEIGHTS},\n{TOTALS},\n"
-        "days AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1),\n"
-        "ap AS (SELECT d.day, d.n, t.hour, t.hour_total, t.day_total, "
-        "greatest(1, CAST(floor(0.5 + CAST(d.n AS DOUBLE) * CAST(t.hour_total AS DOUBLE) "
-        "/ CAST(t.day_total AS DOUBLE)) AS BIGINT)) AS clicks FROM days d CROSS JOIN totals t)\n"
-        "SELECT day, n, hour, hour_total, day_total, clicks, "
-        "3600.0::DOUBLE / CAST(clicks AS DOUBLE) * 1000.0::DOUBLE AS gap_ms FROM ap"),
 }

@@ -31,7 +31,7 @@ SQL_TOP_PRODUCTS_10 = (
     "ORDER BY views DESC, product ASC NULLS LAST LIMIT 10")
 SQL_PRODUCTS_PER_USER = (
     "SELECT `user`, product, COUNT(*) AS views FROM viewed_products "
-    "GROUP BY `user`, product ORDER BY views DESC")
+    "GROUP BY `user`, product ORDER BY views DESC, `user`, product")
 
 # --- the four per-window reports over access-log rows (STR-10) --------------
 SQL_SIZE_STATS = (

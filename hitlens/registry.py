@@ -14,12 +14,14 @@ from pyspark.sql import functions as F
 
 from .functions import parse_logs, parse_summary, rejects, valid
 from .functions.scalar import ip_prefix, product_from_uri, reformat_date
-from .operators import reports, traffic, windows
+from .operators import reports, windows
 from .operators.refine import viewed_products
 from .plans import sql_reports as sq
-from .session import tune
+from .session import shared_dir, tune
 from .sources import fixtures
-from .sources.lookup import lookup_from_lines, prefix_dictionary
+from .sources.logs import read_logs, write_lines
+from .sources.lookup import (COUNTRY_CODES, countries_table, dictionary_cut, lookup_from_lines,
+                             prefix_dictionary)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -79,21 +81,32 @@ def q_parse_summary(spark, sf_dir):
     return parse_summary(parsed(spark, sf_dir))
 
 
-def q_prefix_dictionary(spark, sf_dir):
+def q_parse_text(spark, sf_dir):
+    """The lines written as text files and scanned back (SRC-1), then parsed."""
     tune(spark)
-    lines = fixtures.dictionary_lines(fixtures.load(spark, sf_dir, "events"),
-                                      traffic.COUNTRY_CODES)
-    return prefix_dictionary(lines, traffic.countries_table(spark))
+    path = shared_dir(spark, "lines")
+    write_lines(fixtures.log_lines(spark, sf_dir), path, mode="overwrite")
+    return valid(parse_logs(read_logs(spark, path)))
+
+
+def _dictionary(fn) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tune(spark)
+        lines = fixtures.dictionary_lines(fixtures.load(spark, sf_dir, "events"), COUNTRY_CODES)
+        return fn(lines, countries_table(spark), fixtures.DICT_MAX_PER_COUNTRY)
+    return run
 
 
 # --- scalar function queries -------------------------------------------------
 
 def q_reformat_date(spark, sf_dir):
+    """Every line's time, reformatted; NULL where a line has none or it does not parse."""
     tune(spark)
-    lines = fixtures.log_lines(spark, sf_dir)
     src = F.regexp_extract("value", r"\[([^\]]+)\]", 1)
-    stamped = lines.select(src.alias("src")).where(F.col("src") != "")
-    return stamped.select("src", reformat_date("src", LINE_TIME_PATTERN, ISO_PATTERN).alias("formatted"))
+    # the generator keeps the pattern from running again above it (see parse_logs)
+    stamped = fixtures.log_lines(spark, sf_dir).select(F.explode(F.array(src)).alias("src"))
+    return stamped.select(F.nullif("src", F.lit("")).alias("src"),
+                          reformat_date("src", LINE_TIME_PATTERN, ISO_PATTERN).alias("formatted"))
 
 
 def q_product_from_uri(spark, sf_dir):
@@ -108,40 +121,18 @@ def q_ip_prefix(spark, sf_dir):
 
 def q_format_log_line(spark, sf_dir):
     tune(spark)
-    events = fixtures.load(spark, sf_dir, "events")
-    return fixtures.event_log_lines(events).select("event_id", "value")
-
-
-# --- traffic-profile queries -------------------------------------------------
-
-def _traffic(spark):
-    weights = traffic.traffic_weights(traffic.hours_table(spark), traffic.countries_table(spark))
-    return weights, traffic.traffic_cumulative(weights), traffic.traffic_hour_totals(weights)
-
-
-def q_weighted_pick(spark, sf_dir):
-    tune(spark)
-    _, cumulative, totals = _traffic(spark)
-    draws = traffic.draws_from_events(fixtures.load(spark, sf_dir, "events"), totals)
-    return traffic.weighted_pick(draws, cumulative)
-
-
-def q_hourly_apportion(spark, sf_dir):
-    tune(spark)
-    _, _, totals = _traffic(spark)
-    events = fixtures.load(spark, sf_dir, "events")
-    days = events.groupBy(F.to_date(F.col("ts").cast("timestamp")).alias("day")).agg(
-        F.count(F.lit(1)).alias("n"))
-    return traffic.hourly_apportion(days, totals)
+    return fixtures.plain_lines(fixtures.load(spark, sf_dir, "events")).select("event_id", "value")
 
 
 BATCH_QUERIES: dict[str, Query] = {
     # parse, sources
     "parse_good": q_parse_good,
     "parse_rejects": q_parse_rejects,
+    "parse_text": q_parse_text,
     "parse_summary": q_parse_summary,
     "country_lookup": country_lookup,
-    "prefix_dictionary": q_prefix_dictionary,
+    "prefix_dictionary": _dictionary(prefix_dictionary),
+    "prefix_dictionary_cut": _dictionary(dictionary_cut),
     "viewed_products": viewed,
     # reports over viewed products
     "views_per_user": _on_viewed(reports.views_per_user),
@@ -173,7 +164,4 @@ BATCH_QUERIES: dict[str, Query] = {
     "product_from_uri": q_product_from_uri,
     "ip_prefix": q_ip_prefix,
     "format_log_line": q_format_log_line,
-    # traffic profile
-    "weighted_pick": q_weighted_pick,
-    "hourly_apportion": q_hourly_apportion,
 }

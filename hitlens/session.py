@@ -63,14 +63,17 @@ def build_session(master: str | None = None, app: str = "hitlens",
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
-    Read from the session; only when the cluster names none (local tests) a
-    folder is made and registered.
+    Read from the session.  Only a local master without one (tests) gets a
+    folder of its own; on a cluster that is an error, since executors would
+    write to their own disks.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
     if root:
         return root
     root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="hitlens-ckpt-")
     sc.setCheckpointDir(root)
@@ -83,5 +86,14 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{root}/hitlens/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library made below the shared folder."""
+    root = checkpoint_root(spark).rstrip("/") + "/hitlens/"
+    if not path.startswith(root):
+        raise ValueError(f"{path} is not below {root}")
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")

@@ -12,30 +12,14 @@ from pyspark.sql import functions as F
 from ..schema import LOG_LINE
 
 
-def with_min_partitions(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Parallelism floor for a scan (the reference's ``textFile(path, 10)``).
-
-    When the scan yields fewer splits than ``min_partitions`` (default: the
-    cluster's default parallelism) - a small file, or a parquet file with one
-    row group, which cannot be split - the rows are spread round-robin so the
-    per-line work (regex parse, formatting) uses every core.  A large input
-    already has far more splits than cores: then this is a no-op, no shuffle.
-    """
-    floor = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < floor:
-        return df.repartition(floor)
-    return df
-
-
-def read_logs(spark: SparkSession, path, min_partitions: int | None = None) -> DataFrame:
+def read_logs(spark: SparkSession, path) -> DataFrame:
     """SRC-1: batch text scan, one row per line.
 
-    Text files split by bytes; ``min_partitions`` (the reference asked for
-    10) is passed to the file splitter and kept as a floor.
+    Text files split by bytes; a floor on the number of splits (the reference
+    asked for 10) is the session's ``spark.sql.files.minPartitionNum``, which
+    the command line sets for its own session.
     """
-    if min_partitions:
-        spark.conf.set("spark.sql.files.minPartitionNum", str(min_partitions))
-    return with_min_partitions(spark.read.text(path), min_partitions)
+    return spark.read.text(path)
 
 
 def kafka_options(bootstrap_servers: str, topics, group_id: str | None = None,

@@ -1,22 +1,24 @@
 """Counter tables (SNK-3..9) as a replay-safe ledger.
 
 The reference incremented counters with ``x = x + n`` per micro-batch, so a
-retried batch counted twice (Q7).  Here each table is a ledger of per-batch
-deltas partitioned by ``batch_id``; a batch overwrites only its own partition
-(dynamic partition overwrite), so replaying it leaves totals unchanged.  The
-counter value is ``sum(delta)`` per key, read through a view.  Tables are
-managed tables of one database located in the shared folder, created with
-SQL DDL.
-
-``compact`` folds batches up to ``n`` into a base partition whose id records
-``n`` (``batch_id = -1 - n``).  Readers take the newest base plus the deltas
-after it, so a compaction that stops half way - new base written, old
-partitions not yet dropped - never counts a batch twice, and a batch
-replayed after being folded is ignored.
+retried batch counted twice (Q7).  Here each table is a ledger of deltas
+partitioned by (stream_id, batch_id).  The stream id is the streaming query's
+own, which lives in its checkpoint: a batch that is replayed after a restart
+replaces its partition and leaves totals unchanged, while another stream, or
+the same job with a new checkpoint, adds to them.  The counter value is
+``sum(delta)`` per key.  Tables are managed tables of one database located in
+the shared folder, created with SQL DDL.
+
+``compact`` folds a stream's batches up to ``n`` into a base partition whose id
+records ``n`` (``batch_id = -1 - n``).  Readers take each stream's newest base
+plus the deltas after it, so a compaction that stops half way - new base
+written, old partitions not yet dropped - never counts a batch twice, and a
+batch replayed after being folded is ignored.
 """
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +27,15 @@ from pyspark.sql import functions as F
 from ..functions.scalar import minute_key
 from ..operators.reports import count_by
 from ..schema import COUNTER_TABLES
+from ..session import remove_dir, shared_dir
+
+
+def _plain(stream_id: str) -> str:
+    """A stream id as it may stand in SQL text."""
+    if not re.fullmatch(r"[A-Za-z0-9_-]+", stream_id):
+        raise ValueError(f"stream id {stream_id!r}")
+    return stream_id
+
 
 def base_batch_id(upto_batch_id: int) -> int:
     """Partition id of the base holding batches ``<= upto_batch_id``."""
@@ -51,8 +62,8 @@ class CounterLedger:
         for table, (key, key_type, value) in COUNTER_TABLES.items():
             self.spark.sql(
                 f"CREATE TABLE IF NOT EXISTS `{self.database}`.`{table}` "
-                f"(`{key}` {key_type.simpleString().upper()}, `{value}` BIGINT, batch_id BIGINT) "
-                "USING parquet PARTITIONED BY (batch_id)")
+                f"(`{key}` {key_type.simpleString().upper()}, `{value}` BIGINT, "
+                "stream_id STRING, batch_id BIGINT) USING parquet PARTITIONED BY (stream_id, batch_id)")
 
     def drop_table(self, table: str) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS `{self.database}`.`{table}`")
@@ -68,8 +79,8 @@ class CounterLedger:
         return self.spark.table(name)
 
     # --- increments (SNK-3..6) ----------------------------------------------
-    def _write(self, table: str, deltas: DataFrame, batch_id: int) -> None:
-        """Replace the partition of ``batch_id`` (static partition overwrite):
+    def _write(self, table: str, deltas: DataFrame, stream_id: str, batch_id: int) -> None:
+        """Replace the partition of the stream's batch (static partition overwrite):
         a replayed batch rewrites its own rows and nothing else."""
         key, _, value = COUNTER_TABLES[table]
         view = f"_counter_delta_{table}_{uuid.uuid4().hex[:8]}"
@@ -79,38 +90,39 @@ class CounterLedger:
         try:
             session.sql(
                 f"INSERT OVERWRITE TABLE `{self.database}`.`{table}` "
-                f"PARTITION (batch_id = {int(batch_id)}) SELECT `{key}`, `{value}` FROM {view}")
+                f"PARTITION (stream_id = '{_plain(stream_id)}', batch_id = {int(batch_id)}) "
+                f"SELECT `{key}`, `{value}` FROM {view}")
         finally:
             session.catalog.dropTempView(view)
 
-    def apply_batch(self, viewed: DataFrame, batch_id: int) -> None:
+    def apply_batch(self, viewed: DataFrame, batch_id: int, stream_id: str) -> None:
         """STR-13: one micro-batch of viewed products -> four counter deltas.
 
         Each delta is a partial+final aggregate of the batch; the caller
         persists the batch once so the four writes read it once.
         """
-        self._write("page_views", count_by(viewed, F.col("product").alias("page"), "views"),
-                    batch_id)
-        self._write("log_volume_by_minute",
-                    count_by(viewed, minute_key("date_time").alias("timestamp"), "count"), batch_id)
-        self._write("status_counter",
-                    count_by(viewed, F.col("response_code").alias("status_code"), "count"),
-                    batch_id)
-        self._write("visits_by_country",
-                    count_by(viewed, F.col("country_code").alias("country"), "count"), batch_id)
+        minutes = count_by(viewed, F.date_trunc("minute", "date_time").alias("_minute"), "count")
+        deltas = {
+            "page_views": count_by(viewed, F.col("product").alias("page"), "views"),
+            "log_volume_by_minute": minutes.select(minute_key("_minute").alias("timestamp"), "count"),
+            "status_counter": count_by(viewed, F.col("response_code").alias("status_code"), "count"),
+            "visits_by_country": count_by(viewed, F.col("country_code").alias("country"), "count"),
+        }
+        for table, rows in deltas.items():
+            self._write(table, rows, stream_id, batch_id)
         if self.compact_every and batch_id > 0 and batch_id % self.compact_every == 0:
             for table in COUNTER_TABLES:
-                self.compact(table, batch_id - 1,
-                             f"{self.location.rstrip('/')}_staging/{table}-{batch_id}")
+                self.compact(table, stream_id, batch_id - 1)
 
     # --- reads (SNK-9) ------------------------------------------------------
     def live(self, table: str) -> DataFrame:
-        """Ledger rows that count: the newest base, and the deltas after it."""
+        """Ledger rows that count: of each stream the newest base, and the deltas after it."""
         self.ledger(table)          # refresh the listing
         t = f"`{self.database}`.`{table}`"
-        base = f"(SELECT min(batch_id) FROM {t} WHERE batch_id < 0)"
         return self.spark.sql(
-            f"SELECT * FROM {t} WHERE batch_id = {base} OR batch_id > coalesce(-1 - {base}, -1)")
+            f"SELECT t.* FROM {t} t LEFT JOIN (SELECT stream_id, min(batch_id) AS base FROM {t} "
+            "WHERE batch_id < 0 GROUP BY stream_id) b ON t.stream_id = b.stream_id "
+            "WHERE t.batch_id = b.base OR t.batch_id > coalesce(-1 - b.base, -1)")
 
     def totals(self, table: str) -> DataFrame:
         key, _, value = COUNTER_TABLES[table]
@@ -126,24 +138,26 @@ class CounterLedger:
         return self.spark.sql(query)
 
     # --- compaction -----------------------------------------------------------
-    def compact(self, table: str, upto_batch_id: int, staging: str) -> None:
-        """Fold the live rows of batches ``<= upto_batch_id`` (the previous base
+    def compact(self, table: str, stream_id: str, upto_batch_id: int) -> None:
+        """Fold the stream's live rows of batches ``<= upto_batch_id`` (the previous base
         included) into a new base partition, then drop what it replaces.
 
-        The folded totals go to ``staging`` first, which cuts the lineage to
+        The folded totals go to a staging folder first, which cuts the lineage to
         the partitions that are dropped afterwards.
         """
         key, _, value = COUNTER_TABLES[table]
         name = f"`{self.database}`.`{table}`"
         new_base = base_batch_id(upto_batch_id)
-        folded = (self.live(table).where(F.col("batch_id") <= upto_batch_id)
-                  .groupBy(key).agg(F.sum(value).cast("bigint").alias(value)))
-        folded.write.mode("overwrite").parquet(staging)
-        self._write(table, self.spark.read.parquet(staging), new_base)
-        # partition ids only: one small row per superseded batch or base
-        stale = [r[0] for r in self.ledger(table)
-                 .where((F.col("batch_id") <= upto_batch_id) & (F.col("batch_id") != new_base))
+        own = (F.col("stream_id") == stream_id) & (F.col("batch_id") <= upto_batch_id)
+        folded = self.live(table).where(own).groupBy(key).agg(F.sum(value).cast("bigint").alias(value))
+        staging = shared_dir(self.spark, f"staging-{table}")
+        folded.write.parquet(staging)
+        self._write(table, self.spark.read.parquet(staging), stream_id, new_base)
+        remove_dir(self.spark, staging)
+        # partition ids only: one small row per superseded batch or base since the last compaction
+        stale = [r[0] for r in self.ledger(table).where(own & (F.col("batch_id") != new_base))
                  .select("batch_id").distinct().collect()]
-        for batch_id in stale:
-            self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (batch_id={batch_id})")
+        if stale:
+            parts = ", ".join(f"PARTITION (stream_id='{_plain(stream_id)}', batch_id={b})" for b in stale)
+            self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {parts}")
         self.spark.catalog.refreshTable(name)

@@ -1,26 +1,23 @@
-"""Test feed: log lines written as text files in time order.
+"""Line feed in time slices, for stream queries whose results depend on the batch.
 
-The stream jobs read new text files; a feed written from ``events`` stands in
-for the socket / Kafka feeders (wall-clock simulators, not built).  Files are
-cut by range partitioning on the event time, so each file holds a contiguous
-time range and every file is written by its own task in parallel; the file
-count follows the input and cluster size, and a micro-batch takes many files.
+``stage_slices`` writes all lines once, partitioned by slice of the time span.
+``append_slice`` adds one staged slice to the folder a stream reads.  A caller
+appends a slice and runs the stream with ``availableNow`` to its end before it
+appends the next, so micro-batch b is the b-th slice that has lines, whatever
+the number of files, cores or partitions.
 """
 
 from __future__ import annotations
 
-import time
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+MIN_SLICES, LINES_PER_SLICE = 4, 2_000_000
+
 
-def feed_layout(lines: DataFrame, n_batches: int = 4) -> int:
-    """Files per micro-batch: at least the cluster's parallelism, and enough
-    that no file carries more than one input split's worth of lines."""
-    spark = lines.sparkSession
-    splits = lines.rdd.getNumPartitions()
-    return max(spark.sparkContext.defaultParallelism, -(-splits // n_batches))
+def slice_count(n_lines: int) -> int:
+    """Slices of a feed: more for more lines, so that no micro-batch grows with the table."""
+    return max(MIN_SLICES, -(-n_lines // LINES_PER_SLICE))
 
 
 def time_slice(time_col: str, lo: int, hi: int, n_slices: int):
@@ -29,37 +26,21 @@ def time_slice(time_col: str, lo: int, hi: int, n_slices: int):
     return F.expr(f"((unix_micros(`{time_col}`) - {lo}) * {n_slices}) div {hi - lo + 1}")
 
 
-def write_sliced_feed(lines: DataFrame, path: str, n_batches: int = 4, time_col: str = "ts",
-                      value_col: str = "value") -> int:
-    """Write ``lines`` as ``n_batches`` appends, one per equal slice of the
-    time span, each of exactly k files; returns k (``maxFilesPerTrigger``).
+def stage_slices(lines: DataFrame, path: str, time_col: str = "ts", value_col: str = "value",
+                 n_slices: int | None = None) -> list[int]:
+    """Write ``lines`` below ``path``, one partition per slice; the slices that have lines, in order.
 
-    The appends run one after the other, so every file of slice b is older
-    than every file of slice b + 1, and with k files per trigger micro-batch
-    b is exactly slice b: per-batch results are then reproducible from the
-    data alone.  Each append is an ordinary parallel write of k files; only
-    the span bounds and the per-slice counts (``n_batches`` rows) reach the
-    driver.
+    The driver gets the time bounds, the count and the slice numbers.
     """
     us = F.unix_micros(F.col(time_col))
-    bounds = lines.agg(F.min(us).alias("lo"), F.max(us).alias("hi")).collect()[0]
-    sliced = lines.withColumn("_slice", time_slice(time_col, bounds.lo, bounds.hi, n_batches))
-    counts = {r["_slice"]: r["count"] for r in sliced.groupBy("_slice").count().collect()}
-    per_batch = max(1, min([feed_layout(lines, n_batches), *counts.values()]))
-    for b in range(n_batches):
-        (sliced.where(F.col("_slice") == b).select(value_col)
-               .repartition(per_batch).write.mode("append").text(path))
-        time.sleep(0.05)    # keep the slices' file times strictly apart
-    return per_batch
+    lo, hi, n = lines.agg(F.min(us), F.max(us), F.count(F.lit(1))).first()
+    if not n:
+        return []
+    sliced = lines.select(time_slice(time_col, lo, hi, n_slices or slice_count(n)).alias("slice"), value_col)
+    sliced.write.partitionBy("slice").text(path)
+    staged = lines.sparkSession.read.text(path).select("slice").distinct()
+    return sorted(int(r[0]) for r in staged.collect())
 
 
-def append_feed_file(chunk: DataFrame, path: str, value_col: str = "value",
-                     pause_s: float = 1.1) -> None:
-    """Append one frame as one new file of the feed folder (tests only).
-
-    The file source orders new files by modification time; the pause keeps
-    the files' times apart, so with one file per trigger the i-th appended
-    file is the i-th micro-batch.
-    """
-    chunk.select(value_col).coalesce(1).write.mode("append").text(path)
-    time.sleep(pause_s)
+def append_slice(spark: SparkSession, staged: str, slice_id: int, path: str) -> None:
+    spark.read.text(f"{staged}/slice={slice_id}").write.mode("append").text(path)

@@ -18,7 +18,9 @@ from ..functions import parse_logs, valid
 from ..operators import reports, windows
 from ..operators.refine import bounded_broadcast, viewed_products
 from ..plans import sql_reports as sq
+from ..functions.scalar import product_from_uri
 from ..schema import MAX_CLASS_B_PREFIXES
+from ..session import remove_dir, shared_dir
 
 DEFAULT_TRIGGER = {"processingTime": "10 seconds"}   # fixed value: 10 s micro-batches
 
@@ -43,6 +45,20 @@ def start_query(writer, checkpoint: str, trigger: dict | None = None,
     return writer.start()
 
 
+def stream_id_of(batch: DataFrame) -> str:
+    """Id of the streaming query that a micro-batch belongs to: it lives in the checkpoint, so a restart
+    keeps it and a new checkpoint gets a new one."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
+def fixed_side(lookup: DataFrame) -> DataFrame:
+    """The lookup, written once at the start of a stream, so that micro-batches do not derive it again."""
+    spark = lookup.sparkSession
+    path = shared_dir(spark, "lookup")
+    lookup.select("prefix", "country_code").write.parquet(path)
+    return bounded_broadcast(spark.read.parquet(path), MAX_CLASS_B_PREFIXES)
+
+
 def write_batch_partition(df: DataFrame, path: str, batch_id: int) -> None:
     """Replace only this batch's partition: a replayed batch leaves totals unchanged."""
     (df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
@@ -61,7 +77,7 @@ def start_batch_top_products(lines: DataFrame, lookup: DataFrame, out_path: str,
                              checkpoint: str, k: int = 10, trigger: dict | None = None,
                              name: str | None = None) -> StreamingQuery:
     """Top ``k`` products of each micro-batch (ranked by views, ties by name)."""
-    side = bounded_broadcast(lookup.select("prefix", "country_code"), MAX_CLASS_B_PREFIXES)
+    side = fixed_side(lookup)
     logs = access_log_stream(lines)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
@@ -74,34 +90,76 @@ def start_batch_top_products(lines: DataFrame, lookup: DataFrame, out_path: str,
     return start_query(logs.writeStream.foreachBatch(per_batch), checkpoint, trigger, name)
 
 
-# --- STR-4..7: all-time totals in complete mode ---------------------------------
+# --- results that are replaced as a whole ---------------------------------------
+
+def publish(df: DataFrame, path: str, version: int) -> None:
+    """Write one version of a result into a folder of its own; earlier versions stay until it is complete."""
+    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/version={int(version)}")
+
+
+def read_published(spark: SparkSession, path: str) -> DataFrame:
+    """The newest complete version (files of a write that failed are never visible)."""
+    every = spark.read.parquet(path)
+    newest = every.agg(F.max("version")).first()[0]
+    return every.where(F.col("version") == F.lit(newest)).drop("version")
+
+
+# --- STR-4..7: all-time totals ---------------------------------------------------
 
 def start_all_time(counts: DataFrame, out_path: str, checkpoint: str, finish=None,
                    trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
-    """Keep an aggregate for all time (state store) and overwrite ``out_path``
-    with the whole result after every batch; ``finish`` is a batch report
-    applied to that result (threshold, top-k)."""
+    """Keep an aggregate of few keys for all time (state store, complete mode) and publish
+    the whole result after every batch; ``finish`` is a batch report applied to it
+    (threshold, top-k).  For unbounded keys use :func:`start_all_time_deltas`."""
     def sink(batch: DataFrame, batch_id: int) -> None:
-        result = finish(batch) if finish else batch
-        result.write.mode("overwrite").parquet(out_path)
+        publish(finish(batch) if finish else batch, out_path, batch_id)
     writer = counts.writeStream.outputMode("complete").foreachBatch(sink)
     return start_query(writer, checkpoint, trigger, name)
 
 
-def start_all_time_deltas(logs: DataFrame, partial, ledger_path: str, checkpoint: str,
-                          trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
+def start_all_time_deltas(logs: DataFrame, partial, ledger_path: str, checkpoint: str, keys=(),
+                          folds: dict | None = None, compact_every: int | None = None,
+                          trigger: dict | None = None, name: str | None = None,
+                          after_batch=None) -> StreamingQuery:
     """All-time totals without keyed state: each micro-batch writes its own
     partial aggregate (``partial(batch)``) into the partition of its
     ``batch_id``; :func:`fold_deltas` combines them on read.  Each trigger
     writes only that batch's keys (complete mode rewrites every key ever
-    seen), and a replayed batch replaces its own partition."""
+    seen), and a replayed batch replaces its own partition.  With
+    ``compact_every=n`` every n-th batch folds the ones before it into a base.
+    ``after_batch(batch_id)`` runs once a batch is in the ledger."""
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        if is_empty_batch(batch, batch_id):
-            return
-        write_batch_partition(partial(batch), ledger_path, batch_id)
+        if not is_empty_batch(batch, batch_id):
+            write_batch_partition(partial(batch), ledger_path, batch_id)
+        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+            compact_deltas(batch.sparkSession, ledger_path, keys, folds, batch_id - 1)
+        if after_batch:
+            after_batch(batch_id)
     return start_query(logs.writeStream.foreachBatch(per_batch), checkpoint, trigger, name)
 
 
+def read_deltas(spark: SparkSession, ledger_path: str) -> DataFrame:
+    """The partials that count: the newest base (``batch_id`` -1 - n holds the batches up to n)
+    and the batches after it."""
+    rows = spark.read.parquet(ledger_path).withColumn("batch_id", F.col("batch_id").cast("bigint"))
+    base = rows.agg(F.min(F.when(F.col("batch_id") < 0, F.col("batch_id")))).first()[0]
+    if base is None:
+        return rows
+    return rows.where((F.col("batch_id") == base) | (F.col("batch_id") > -1 - base))
+
+
+def compact_deltas(spark: SparkSession, ledger_path: str, keys, folds: dict, upto_batch_id: int) -> None:
+    """Fold the batches ``<= upto_batch_id`` and the base before them into a new base.
+
+    Readers use the newest base, so a compaction that stops half way changes no total.
+    """
+    old = read_deltas(spark, ledger_path).where(F.col("batch_id") <= upto_batch_id)
+    staging = shared_dir(spark, "staging-deltas")
+    fold_deltas(old, keys, folds).write.parquet(staging)
+    write_batch_partition(spark.read.parquet(staging), ledger_path, -1 - upto_batch_id)
+    remove_dir(spark, staging)
+
+
 def fold_deltas(deltas: DataFrame, keys, folds: dict, finish=None) -> DataFrame:
     """Combine per-batch partials: ``folds`` maps a column to sum / min / max."""
     fns = {"sum": F.sum, "min": F.min, "max": F.max}
@@ -113,6 +171,10 @@ def fold_deltas(deltas: DataFrame, keys, folds: dict, finish=None) -> DataFrame:
     return finish(folded) if finish else folded
 
 
+SUM_TOTAL = {"total": "sum"}
+SIZE_FOLDS = {"total_size": "sum", "n": "sum", "min_size": "min", "max_size": "max"}
+
+
 def status_totals(logs: DataFrame) -> DataFrame:
     """STR-4: all-time count per response code."""
     return reports.response_code_counts(logs)
@@ -153,20 +215,93 @@ def start_sliding_counts(lines: DataFrame, out_path: str, checkpoint: str,
     stamped with its micro-batch time (``current_timestamp`` is fixed per
     batch) and windowed on that, with no lateness allowed.
     """
-    logs = access_log_stream(lines)
-    if time_basis == "arrival":
-        logs = logs.withColumn("arrival", F.current_timestamp()).withWatermark("arrival", "0 seconds")
-        time_col = "arrival"
-    elif time_basis == "event":
-        logs = logs.withWatermark("date_time", watermark)
-        time_col = "date_time"
-    else:
-        raise ValueError(f"unknown time basis {time_basis!r}")
+    logs, time_col = timed_logs(lines, watermark, time_basis)
     counts = windows.sliding_window_counts(logs, length, slide, time_col=time_col)
     writer = counts.writeStream.outputMode("append").format("parquet").option("path", out_path)
     return start_query(writer, checkpoint, trigger, name)
 
 
+def timed_logs(lines: DataFrame, watermark: str, time_basis: str) -> tuple[DataFrame, str]:
+    """Access logs with a watermark, and the column it is on."""
+    logs = access_log_stream(lines)
+    if time_basis == "arrival":
+        return logs.withColumn("arrival", F.current_timestamp()).withWatermark("arrival", "0 seconds"), "arrival"
+    if time_basis == "event":
+        return logs.withWatermark("date_time", watermark), "date_time"
+    raise ValueError(f"unknown time basis {time_basis!r}")
+
+
+def start_sliding_top_products(lines: DataFrame, out_path: str, checkpoint: str, k: int = 10,
+                               watermark: str = "1 minute", length: str = windows.WINDOW_LENGTH,
+                               slide: str = windows.SLIDE_INTERVAL, trigger: dict | None = None,
+                               name: str | None = None, time_basis: str = "event") -> StreamingQuery:
+    """Top ``k`` products of each sliding window, once the window closes.
+
+    The state holds a count per open window and product.  A closed window
+    leaves it as a whole, so its rows are ranked within the micro-batch.
+    """
+    logs, time_col = timed_logs(lines, watermark, time_basis)
+    named = logs.withColumn("product", product_from_uri("request_uri"))
+    counts = windows.windowed_counts(named, ("product",), length, slide, time_col)
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        if not is_empty_batch(batch, batch_id):
+            write_batch_partition(windows.rank_in_window(batch, k), out_path, batch_id)
+
+    return start_query(counts.writeStream.outputMode("append").foreachBatch(per_batch), checkpoint, trigger, name)
+
+
+# The four reports over the closed windows of a micro-batch: one row per window, report and key.
+SQL_WINDOW_REPORTS = """
+SELECT window_start, window_end, report, stat AS key, value FROM (
+  SELECT *, explode(map('total_size', total_size, 'n', n, 'min_size', min_size, 'max_size', max_size,
+                        'avg_size', total_size div n)) AS (stat, value)
+  FROM {view} WHERE report = 'size_stats')
+UNION ALL SELECT window_start, window_end, report, key, n FROM {view} WHERE report = 'response_codes'
+UNION ALL SELECT window_start, window_end, report, key, n FROM {view} WHERE report = 'frequent_ips' AND n > {threshold}
+UNION ALL SELECT window_start, window_end, report, key, n FROM (
+  SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY n DESC, key ASC NULLS LAST) AS place
+  FROM {view} WHERE report = 'top_endpoints') WHERE place <= {k}
+"""
+
+
+def start_sliding_sql_reports(lines: DataFrame, out_path: str, checkpoint: str, k: int = 10,
+                              threshold: int = reports.FREQUENT_THRESHOLD, watermark: str = "1 minute",
+                              length: str = windows.WINDOW_LENGTH, slide: str = windows.SLIDE_INTERVAL,
+                              trigger: dict | None = None, name: str | None = None,
+                              time_basis: str = "event") -> StreamingQuery:
+    """STR-10: the four SQL reports over each sliding window, once the window closes.
+
+    One stateful aggregation serves all four: every row counts for its window's
+    statistics and for its status, address and endpoint.  The state holds the
+    keys of the open windows only.
+    """
+    logs, time_col = timed_logs(lines, watermark, time_basis)
+    keys = F.explode(F.array(*(
+        F.struct(F.lit(r).alias("report"), c.cast("string").alias("key")) for r, c in (
+            ("size_stats", F.lit(None)), ("response_codes", F.col("response_code")),
+            ("frequent_ips", F.col("ip_address")), ("top_endpoints", F.col("request_uri"))))))
+    counts = (logs.select(time_col, "content_size", keys.alias("r"))
+              .groupBy(F.window(time_col, length, slide).alias("w"), "r.report", "r.key")
+              .agg(F.sum("content_size").alias("total_size"), F.count(F.lit(1)).alias("n"),
+                   F.min("content_size").alias("min_size"), F.max("content_size").alias("max_size"))
+              .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                      "report", "key", "total_size", "n", "min_size", "max_size"))
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        if is_empty_batch(batch, batch_id):
+            return
+        spark, view = batch.sparkSession, f"closed_windows_{batch_id}"
+        batch.createOrReplaceTempView(view)
+        try:
+            rows = spark.sql(SQL_WINDOW_REPORTS.format(view=view, threshold=threshold, k=k))
+            write_batch_partition(rows, out_path, batch_id)
+        finally:
+            spark.catalog.dropTempView(view)
+
+    return start_query(counts.writeStream.outputMode("append").foreachBatch(per_batch), checkpoint, trigger, name)
+
+
 # --- STR-8: running sum/count, min/max of the latest non-empty batch -------------
 
 def start_size_stats_ledger(lines: DataFrame, ledger_path: str, checkpoint: str,
@@ -248,7 +383,7 @@ def start_counters(lines: DataFrame, lookup: DataFrame, ledger, checkpoint: str,
                    trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
     """Refine each micro-batch once (persisted), then write the four counter
     deltas of :class:`~hitlens.streaming.counters.CounterLedger` for it."""
-    side = bounded_broadcast(lookup.select("prefix", "country_code"), MAX_CLASS_B_PREFIXES)
+    side = fixed_side(lookup)
     logs = access_log_stream(lines)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
@@ -256,7 +391,7 @@ def start_counters(lines: DataFrame, lookup: DataFrame, ledger, checkpoint: str,
         try:
             if is_empty_batch(vp, batch_id):
                 return
-            ledger.apply_batch(vp, batch_id)
+            ledger.apply_batch(vp, batch_id, stream_id_of(batch))
         finally:
             vp.unpersist()
 

@@ -1,11 +1,12 @@
 """Registered streaming and counter queries.
 
-Each runs a Structured Streaming query with ``availableNow`` over a text feed
-written from ``events`` into a fresh folder below the shared checkpoint
-folder, and returns the result table read back with Spark.  The feed is
-written as 4 appends, one per equal slice of the time span, each of k files,
-and read k files per trigger: micro-batch b is exactly slice b, so per-batch
-results are reproducible and each key has SQL computing it from ``events``.
+Each runs Structured Streaming queries over a text feed made from ``events``
+and returns the result table read back with Spark.  The lines are staged once
+by slice of the time span; a slice is appended, the query runs with
+``availableNow`` to its end on the one checkpoint, then the next slice
+follows.  So micro-batch b is the b-th slice that has lines, and every key has
+SQL computing it from ``events``.  Feeds, checkpoints and ledgers are removed
+after use; only the result stays.
 """
 
 from __future__ import annotations
@@ -19,123 +20,145 @@ from pyspark.sql import functions as F
 from ..operators import reports
 from ..plans.oracle import ORACLE_SQL, _with
 from ..registry import country_lookup
-from ..session import shared_dir, tune, use_rocksdb_state
+from ..session import ROCKSDB_PROVIDER, remove_dir, shared_dir, tune
 from ..sources import fixtures
 from ..sources.logs import read_log_stream
 from ..streaming import jobs
 from ..streaming.counters import CounterLedger
-from ..streaming.feed import write_sliced_feed
+from ..streaming.feed import append_slice, stage_slices
 
 AVAILABLE_NOW = {"availableNow": True}
-FEED_BATCHES = 4
-STREAM_TIMEOUT_S = 1800
-COMPACT_EVERY = 2           # the counter stream folds its ledger every 2 batches
+COMPACT_EVERY = 2           # ledgers are folded every 2 batches
+COUNTER_SLICES = 3          # batches of each of the two counter streams; totals do not depend on it
 
-_feeds: dict[tuple[str, str], tuple[str, int]] = {}
-_ledgers: dict[tuple[str, str], CounterLedger] = {}
 
-
-def feed(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
-    """Write the events as a time-ordered text feed once per application;
-    returns (folder, files per micro-batch)."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _feeds:
-        tune(spark)
-        lines = fixtures.event_log_lines(fixtures.load(spark, sf_dir, "events"))
-        path = shared_dir(spark, "feed")
-        _feeds[key] = (path, write_sliced_feed(lines, path, FEED_BATCHES))
-    return _feeds[key]
-
-
-def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path, per_batch = feed(spark, sf_dir)
-    return read_log_stream(spark, "text", path, max_files_per_trigger=per_batch)
-
-
-def _read_batches(spark: SparkSession, path: str) -> DataFrame:
-    """A table partitioned by ``batch_id``, with the id typed as written (BIGINT)."""
-    return spark.read.parquet(path).withColumn("batch_id", F.col("batch_id").cast("bigint"))
-
-
-def _await(query) -> None:
-    query.awaitTermination(STREAM_TIMEOUT_S)
-    if query.isActive:
-        query.stop()
-        raise TimeoutError(f"stream {query.name} did not finish")
+def await_end(query) -> None:
+    """Wait until the query has ended by itself; there is no time limit."""
+    query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
 
 
 @contextmanager
-def state_partitions(spark: SparkSession, n: int | None = None):
-    """Start a stateful query with ``n`` state partitions (default: the
-    cluster's parallelism).  The count is fixed in a new checkpoint when the
-    query starts, so the session setting is restored right after."""
-    key = "spark.sql.shuffle.partitions"
-    old = spark.conf.get(key)
-    spark.conf.set(key, str(n or spark.sparkContext.defaultParallelism))
+def stream_settings(spark: SparkSession, state_partitions: int | None = None):
+    """RocksDB state and as many state partitions as the cluster has cores (fixed in a new
+    checkpoint); the session's own settings are put back afterwards."""
+    new = {"spark.sql.shuffle.partitions": str(state_partitions or spark.sparkContext.defaultParallelism),
+           "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER}
+    old = {k: spark.conf.get(k, None) for k in new}
+    for k, v in new.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(key, old)
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def run_slices(spark: SparkSession, lines: DataFrame, start, stateful: bool = False,
+               n_slices: int | None = None) -> int:
+    """Feed ``lines`` (ts, value) slice by slice to ``start(stream, checkpoint)``; returns the number of slices."""
+    staged, incoming, checkpoint = (shared_dir(spark, n) for n in ("slices", "feed", "ckpt"))
+    slices = stage_slices(lines, staged, n_slices=n_slices)
+    for s in slices:
+        append_slice(spark, staged, s, incoming)
+        stream = read_log_stream(spark, "text", incoming)
+        if stateful:
+            with stream_settings(spark):
+                query = start(stream, checkpoint)
+                await_end(query)
+        else:
+            await_end(start(stream, checkpoint))
+    for path in (staged, incoming, checkpoint):
+        remove_dir(spark, path)
+    return len(slices)
+
+
+def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
+    return fixtures.event_log_lines(fixtures.load(spark, sf_dir, "events"))
+
+
+def read_batches(spark: SparkSession, path: str) -> DataFrame:
+    """A table partitioned by ``batch_id``, with the id typed as written (BIGINT)."""
+    return spark.read.parquet(path).withColumn("batch_id", F.col("batch_id").cast("bigint"))
 
 
 def _all_time(state_fn, finish=None):
+    """STR-4, STR-7: few keys, complete mode."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        out = shared_dir(spark, "out")
+        run_slices(spark, event_lines(spark, sf_dir), lambda stream, ckpt: jobs.start_all_time(
+            state_fn(jobs.access_log_stream(stream)), out, ckpt, finish, AVAILABLE_NOW), stateful=True)
+        return jobs.read_published(spark, out)
+    return run
+
+
+def _all_time_deltas(partial, key: str, finish):
+    """STR-5, STR-6: unbounded keys, per-batch partials folded every COMPACT_EVERY batches."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        tune(spark)
-        use_rocksdb_state(spark)
         out = shared_dir(spark, "out")
-        logs = jobs.access_log_stream(_lines(spark, sf_dir))
-        with state_partitions(spark):
-            query = jobs.start_all_time(state_fn(logs), out, shared_dir(spark, "ckpt"), finish,
-                                        AVAILABLE_NOW)
-        _await(query)
-        return spark.read.parquet(out)
+        run_slices(spark, event_lines(spark, sf_dir), lambda stream, ckpt: jobs.start_all_time_deltas(
+            jobs.access_log_stream(stream), partial, out, ckpt, key, jobs.SUM_TOTAL, COMPACT_EVERY, AVAILABLE_NOW))
+        return jobs.fold_deltas(jobs.read_deltas(spark, out), key, jobs.SUM_TOTAL, finish)
     return run
 
 
 def q_stream_batch_top_products(spark, sf_dir):
-    tune(spark)
-    out = shared_dir(spark, "out")
-    _await(jobs.start_batch_top_products(_lines(spark, sf_dir), country_lookup(spark, sf_dir),
-                                         out, shared_dir(spark, "ckpt"), trigger=AVAILABLE_NOW))
-    return _read_batches(spark, out)
+    out, lookup = shared_dir(spark, "out"), country_lookup(spark, sf_dir)
+    run_slices(spark, event_lines(spark, sf_dir), lambda stream, ckpt: jobs.start_batch_top_products(
+        stream, lookup, out, ckpt, trigger=AVAILABLE_NOW))
+    return read_batches(spark, out)
 
 
 def q_stream_size_stats_last(spark, sf_dir):
-    tune(spark)
     out = shared_dir(spark, "out")
-    _await(jobs.start_size_stats_ledger(_lines(spark, sf_dir), out, shared_dir(spark, "ckpt"),
-                                        AVAILABLE_NOW))
-    return jobs.size_stats_last(_read_batches(spark, out))
+    run_slices(spark, event_lines(spark, sf_dir), lambda stream, ckpt: jobs.start_size_stats_ledger(
+        stream, out, ckpt, AVAILABLE_NOW))
+    return jobs.size_stats_last(read_batches(spark, out))
 
 
 def q_stream_sql_reports(spark, sf_dir):
-    tune(spark)
     out = shared_dir(spark, "out")
-    _await(jobs.start_sql_reports(_lines(spark, sf_dir), out, shared_dir(spark, "ckpt"),
-                                  AVAILABLE_NOW))
-    return _read_batches(spark, out)
+    run_slices(spark, event_lines(spark, sf_dir), lambda stream, ckpt: jobs.start_sql_reports(
+        stream, out, ckpt, AVAILABLE_NOW))
+    return read_batches(spark, out)
 
 
-def counter_ledger(spark: SparkSession, sf_dir: str) -> CounterLedger:
-    """Run the counter stream (STR-13) once per application and sf folder."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key in _ledgers:
-        return _ledgers[key]
-    tune(spark)
+def q_stream_sliding_top_products(spark, sf_dir):
+    out = shared_dir(spark, "out")
+    run_slices(spark, event_lines(spark, sf_dir), lambda stream, ckpt: jobs.start_sliding_top_products(
+        stream, out, ckpt, trigger=AVAILABLE_NOW), stateful=True)
+    return spark.read.parquet(out).drop("batch_id")
+
+
+def q_stream_sliding_sql_reports(spark, sf_dir):
+    out = shared_dir(spark, "out")
+    run_slices(spark, event_lines(spark, sf_dir), lambda stream, ckpt: jobs.start_sliding_sql_reports(
+        stream, out, ckpt, trigger=AVAILABLE_NOW), stateful=True)
+    return spark.read.parquet(out).drop("batch_id")
+
+
+def with_counters(spark: SparkSession, sf_dir: str, read) -> DataFrame:
+    """STR-13: the counter stream over two halves of the lines, each a stream with a checkpoint of its own
+    into one ledger; ``read(ledger)`` is kept, the ledger dropped."""
+    lines, lookup = event_lines(spark, sf_dir), country_lookup(spark, sf_dir)
     location = shared_dir(spark, "counters")
-    database = "hitlens_counters_" + location.rsplit("-", 1)[-1]
-    ledger = CounterLedger(spark, database, location, compact_every=COMPACT_EVERY)
+    ledger = CounterLedger(spark, "hitlens_counters_" + location.rsplit("-", 1)[-1], location,
+                           compact_every=COMPACT_EVERY)
     ledger.create_schema()
-    _await(jobs.start_counters(_lines(spark, sf_dir), country_lookup(spark, sf_dir), ledger,
-                               shared_dir(spark, "ckpt"), AVAILABLE_NOW))
-    _ledgers[key] = ledger
-    return ledger
+    for half in (0, 1):
+        run_slices(spark, lines.where(F.col("event_id") % 2 == half), lambda stream, ckpt: jobs.start_counters(
+            stream, lookup, ledger, ckpt, AVAILABLE_NOW), n_slices=COUNTER_SLICES)
+    out = shared_dir(spark, "out")
+    read(ledger).write.parquet(out)
+    ledger.drop_schema()
+    remove_dir(spark, location)
+    return spark.read.parquet(out)
 
 
 def _counter(table: str) -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, sf_dir: counter_ledger(spark, sf_dir).totals(table)
+    return lambda spark, sf_dir: with_counters(spark, sf_dir, lambda ledger: ledger.totals(table))
 
 
 COUNTER_READ_SQL = "SELECT page, views FROM page_views WHERE views > 10"
@@ -143,23 +166,36 @@ COUNTER_READ_SQL = "SELECT page, views FROM page_views WHERE views > 10"
 STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_batch_top_products": q_stream_batch_top_products,
     "stream_status_total": _all_time(jobs.status_totals),
-    "stream_frequent_ips_total": _all_time(jobs.ip_totals, reports.frequent_ips_from_counts),
-    "stream_top_endpoints_total": _all_time(jobs.endpoint_totals, reports.top_endpoints_from_counts),
+    "stream_frequent_ips_total": _all_time_deltas(jobs.ip_totals, "ip_address", reports.frequent_ips_from_counts),
+    "stream_top_endpoints_total": _all_time_deltas(jobs.endpoint_totals, "request_uri",
+                                                   reports.top_endpoints_from_counts),
     "stream_size_stats_total": _all_time(jobs.size_totals, jobs.with_int_avg),
     "stream_size_stats_last": q_stream_size_stats_last,
     "stream_sql_reports": q_stream_sql_reports,
+    "stream_sliding_top_products": q_stream_sliding_top_products,
+    "stream_sliding_sql_reports": q_stream_sliding_sql_reports,
     "counter_page_views": _counter("page_views"),
     "counter_log_volume": _counter("log_volume_by_minute"),
     "counter_status": _counter("status_counter"),
     "counter_country": _counter("visits_by_country"),
-    "counter_read": lambda spark, sf_dir: counter_ledger(spark, sf_dir).read(COUNTER_READ_SQL),
+    "counter_read": lambda spark, sf_dir: with_counters(spark, sf_dir, lambda ledger: ledger.read(COUNTER_READ_SQL)),
 }
 
-# micro-batch b of the sliced feed is slice b of the time span of all lines
-SLICES = f"""bounds AS (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) AS hi FROM events),
-gb AS (SELECT g.*, CAST(((epoch_us(g.event_ts) - b.lo) * {FEED_BATCHES}) // (b.hi - b.lo + 1)
-                        AS BIGINT) AS batch_id
-       FROM good g, bounds b)"""
+# micro-batch b is the b-th slice of the lines' time span that has lines; as many slices as the lines need
+SLICES = """lines AS (SELECT ts FROM events UNION ALL SELECT ts FROM events WHERE event_id % 97 = 0
+  UNION ALL SELECT ts FROM events WHERE event_id % 53 = 0),
+bounds AS (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) AS hi,
+           greatest(4, CAST(ceil(count(*) / 2000000.0) AS BIGINT)) AS parts FROM lines),
+slices AS (SELECT slice, row_number() OVER (ORDER BY slice) - 1 AS batch_id FROM (
+  SELECT DISTINCT ((epoch_us(ts) - lo) * parts) // (hi - lo + 1) AS slice FROM lines, bounds)),
+gb AS (SELECT g.*, s.batch_id FROM good g, bounds b, slices s
+       WHERE s.slice = ((epoch_us(g.event_ts) - b.lo) * b.parts) // (b.hi - b.lo + 1))"""
+# windows whose end the watermark has passed
+CLOSED = """win AS (
+  SELECT time_bucket(INTERVAL '10 seconds', date_time) - to_seconds(k * 10) AS window_start, good.*
+  FROM good, (SELECT unnest(range(3)) AS k) ks),
+closed AS (SELECT *, window_start + INTERVAL '30 seconds' AS window_end FROM win
+  WHERE window_start + INTERVAL '30 seconds' <= (SELECT max(date_time) FROM good) - INTERVAL '1 minute')"""
 BATCH_STATS = """stats AS (SELECT batch_id, CAST(sum(content_size) AS BIGINT) AS total_size,
   count(*) AS n, min(content_size) AS min_size, max(content_size) AS max_size,
   CAST(sum(content_size) // count(*) AS BIGINT) AS avg_size FROM gb GROUP BY batch_id)"""
@@ -191,6 +227,25 @@ STREAM_ORACLE_SQL: dict[str, str] = {
           "ORDER BY count(*) DESC, request_uri ASC NULLS LAST) AS rn FROM gb "
           "GROUP BY batch_id, request_uri) t WHERE rn <= 10",
         SLICES, BATCH_STATS),
+    "stream_sliding_top_products": _with(
+        "SELECT window_start, window_end, product, views, CAST(rank AS INTEGER) AS rank FROM ("
+        "SELECT window_start, window_end, product, count(*) AS views, row_number() OVER ("
+        "PARTITION BY window_start ORDER BY count(*) DESC, product ASC NULLS LAST) AS rank "
+        "FROM closed GROUP BY window_start, window_end, product) WHERE rank <= 10", CLOSED),
+    "stream_sliding_sql_reports": _with(
+        " UNION ALL ".join(
+            f"SELECT window_start, window_end, 'size_stats' AS report, '{c}' AS key, CAST({v} AS BIGINT) AS value "
+            "FROM closed GROUP BY window_start, window_end"
+            for c, v in (("total_size", "sum(content_size)"), ("n", "count(*)"), ("min_size", "min(content_size)"),
+                         ("max_size", "max(content_size)"), ("avg_size", "sum(content_size) // count(*)")))
+        + " UNION ALL SELECT window_start, window_end, 'response_codes', CAST(response_code AS VARCHAR), count(*) "
+          "FROM closed GROUP BY window_start, window_end, response_code"
+        + " UNION ALL SELECT window_start, window_end, 'frequent_ips', ip_address, count(*) "
+          "FROM closed GROUP BY window_start, window_end, ip_address HAVING count(*) > 10"
+        + " UNION ALL SELECT window_start, window_end, 'top_endpoints', request_uri, total FROM ("
+          "SELECT window_start, window_end, request_uri, count(*) AS total, row_number() OVER ("
+          "PARTITION BY window_start ORDER BY count(*) DESC, request_uri ASC NULLS LAST) AS rn "
+          "FROM closed GROUP BY window_start, window_end, request_uri) WHERE rn <= 10", CLOSED),
     "stream_status_total": ORACLE_SQL["response_code_counts"],
     "stream_frequent_ips_total": ORACLE_SQL["frequent_ips"],
     "stream_top_endpoints_total": ORACLE_SQL["top_endpoints"],

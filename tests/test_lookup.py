@@ -2,9 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from hitlens.operators.traffic import COUNTRY_CODES, countries_table
-from hitlens.sources.lookup import (lookup_from_lines, lookup_rejects, prefix_dictionary,
-                                    read_country_lookup)
+import pytest
+
+from hitlens.sources.lookup import (COUNTRY_CODES, countries_table, dictionary_cut, lookup_from_lines,
+                                    lookup_rejects, prefix_dictionary, read_country_lookup)
 
 
 def _lines(spark, lines):
@@ -55,6 +56,11 @@ def test_prefix_dictionary_cap_matches_brute_force(spark):
             want.append((f[1], COUNTRY_CODES.index(f[1]), int(o[0]), int(o[1]), slot))
         seen[f[1]] = slot + 1
     assert got_rows == sorted(want)
+    cut = {r.country: (r.lines, r.kept, r.cut) for r in
+           dictionary_cut(_lines(spark, lines), countries_table(spark), 25).collect()}
+    assert cut == {c: (n, min(n, 25), n - min(n, 25)) for c, n in seen.items()} and any(x[2] for x in cut.values())
+    with pytest.raises(ValueError):     # beyond the partial limit a whole country would meet in one task
+        prefix_dictionary(_lines(spark, lines), countries_table(spark), max_per_country=5000)
 
 
 def test_dictionary_plan_limits_rows_before_shuffle(spark):

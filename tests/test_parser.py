@@ -38,7 +38,7 @@ def test_dash_size_is_zero(spark):
 
 def test_request_without_protocol(spark):
     r = _parse_one(spark, GOOD.replace(" HTTP/1.1\"", "\""))
-    assert r.is_valid and r.protocol == "" and r.request_uri == "/shop/catalog/p7/view"
+    assert r.is_valid and r.protocol is None and r.request_uri == "/shop/catalog/p7/view"
 
 
 def test_ipv6_address(spark):
@@ -64,8 +64,8 @@ def test_rejected_shapes(spark):
         "",                                                   # blank
         GOOD.replace("01/Jan", "32/Jan"),                     # impossible date
         GOOD.replace(" 123 ", " 99999999999999999999 "),      # size over BIGINT
-        GOOD.replace('"Mozilla/5.0"', '"Moz \\"q\\" x"'),    # escaped quote in agent
-        GOOD.replace('"GET /shop/catalog/p7/view HTTP/1.1"', '"-"'),  # bare "-" request
+        GOOD.replace('"Mozilla/5.0"', '"Moz "q" x"'),        # bare quote in agent
+        GOOD.replace('"GET /shop/catalog/p7/view HTTP/1.1"', '""'),   # empty request
         GOOD.replace("Mozilla", "Mo\u0001zilla"),             # U+0001 inside
     ]
     parsed = parse_logs(lines_df(spark, bad))
@@ -74,6 +74,15 @@ def test_rejected_shapes(spark):
     assert rejects(parsed).count() == len(bad)
 
 
+def test_dash_request_and_escaped_quotes(spark):
+    r = _parse_one(spark, GOOD.replace('"GET /shop/catalog/p7/view HTTP/1.1"', '"-"').replace(" 200 ", " 408 "))
+    assert r.is_valid and (r.method, r.request_uri, r.protocol, r.response_code) == (None, None, None, 408)
+    r = _parse_one(spark, GOOD.replace('"Mozilla/5.0"', '"Moz \\"q\\" \\\\ x"'))
+    assert r.is_valid and r.user_agent == 'Moz \\"q\\" \\\\ x'
+    r = _parse_one(spark, GOOD.replace("Mozilla/5.0", '\\"' * 50_000))     # no stack, no backtracking
+    assert r.is_valid and len(r.user_agent) == 100_000
+
+
 def test_is_valid_never_null_and_partition(spark):
     lines = [GOOD, "garbage", None, GOOD.replace(" 200 ", " 404 ")]
     parsed = parse_logs(lines_df(spark, lines))

@@ -13,7 +13,6 @@ NEVER = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "Arro
 SINGLE_PARTITION_OK = {
     "parse_summary": "keyless aggregate: one partial row per partition",
     "content_size_stats": "keyless aggregate: one partial row per partition",
-    "hourly_apportion": "day total over the 24 hourly weight rows",
 }
 
 

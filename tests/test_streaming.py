@@ -16,7 +16,7 @@ from hitlens.sources import fixtures
 from hitlens.sources.logs import read_log_stream
 from hitlens.streaming import jobs
 from hitlens.streaming.counters import CounterLedger, base_batch_id
-from hitlens.streaming.feed import append_feed_file
+from feeds import append_feed_file
 
 NOW = {"availableNow": True}
 BOUNDS = [(0, 333), (333, 666), (666, 10**9)]
@@ -70,7 +70,7 @@ def test_all_time_totals_equal_batch(spark, feed):
         logs = jobs.access_log_stream(_stream(spark, path))
         q = _run(jobs.start_all_time(state_fn(logs), out, shared_dir(spark, "t-ck"), finish, NOW))
         assert len(q.recentProgress) >= 3      # one micro-batch per file
-        assert _rows(spark.read.parquet(out), *cols) == _rows(expected, *cols)
+        assert _rows(jobs.read_published(spark, out), *cols) == _rows(expected, *cols)
 
 
 def test_per_batch_top_products_equal_brute_force(spark, feed):
@@ -141,32 +141,39 @@ def _ledger(spark):
     return ledger
 
 
-def test_counter_replay_leaves_totals_unchanged(spark, feed):
+def _parts(ledger, table):
+    return sorted((r.stream_id, r.batch_id) for r in
+                  ledger.ledger(table).select("stream_id", "batch_id").distinct().collect())
+
+
+def test_counters_of_two_streams_add_up_and_replays_do_not(spark, feed):
     path, _ = feed
     lookup = registry.country_lookup(spark, SF001)
     ledger = _ledger(spark)
     _run(jobs.start_counters(_stream(spark, path), lookup, ledger, shared_dir(spark, "t-ck"), NOW))
-    first = _counter_totals(ledger)
-    assert first == _batch_counters(spark)
-    # same batches again (fresh checkpoint): each batch overwrites its own partition
+    once = _batch_counters(spark)
+    assert _counter_totals(ledger) == once
+    first = _parts(ledger, "page_views")[0][0]
+    # the same stream's batch again: its partition is replaced
+    chunk = viewed_products(valid(parse_logs(_chunks(spark)[0])), lookup)
+    ledger.apply_batch(chunk, 0, first)
+    assert _counter_totals(ledger) == once
+    # another stream with a checkpoint of its own adds to the totals, also after a compaction
+    ledger.compact("page_views", first, 1)
     _run(jobs.start_counters(_stream(spark, path), lookup, ledger, shared_dir(spark, "t-ck"), NOW))
-    assert _counter_totals(ledger) == first
+    twice = {t: [(k, 2 * n) for k, n in rows] for t, rows in once.items()}
+    assert _counter_totals(ledger) == twice
+    parts = _parts(ledger, "page_views")
+    second = next(s for s, _ in parts if s != first)
+    assert [b for s, b in parts if s == first] == [base_batch_id(1), 2]
+    assert [b for s, b in parts if s == second] == [0, 1, 2]
     views = ledger.read("SELECT sum(views) AS s FROM page_views").collect()[0].s
-    assert views == registry.access_logs(spark, SF001).count()
-
-    ledger.compact("page_views", 0, shared_dir(spark, "t-stage"))
-    ledger.compact("page_views", 1, shared_dir(spark, "t-stage"))
-    ids = sorted(r.batch_id for r in ledger.ledger("page_views").select("batch_id").distinct()
-                 .collect())
-    assert ids == [base_batch_id(1), 2]
-    assert _counter_totals(ledger)["page_views"] == first["page_views"]
-    # a compaction stopped before its drops, and a replay of a folded batch,
-    # leave the totals unchanged
-    vp = registry.viewed(spark, SF001)
-    ledger._write("page_views", reports.count_by(vp, F.col("product").alias("page"), "views"), 0)
-    ledger._write("page_views", reports.count_by(vp, F.col("product").alias("page"), "views"),
+    assert views == 2 * registry.access_logs(spark, SF001).count()
+    # a compaction stopped before its drops, and a replay of a folded batch, change nothing
+    ledger._write("page_views", reports.count_by(chunk, F.col("product").alias("page"), "views"), first, 0)
+    ledger._write("page_views", reports.count_by(chunk, F.col("product").alias("page"), "views"), first,
                   base_batch_id(0))
-    assert _counter_totals(ledger)["page_views"] == first["page_views"]
+    assert _counter_totals(ledger) == twice
     ledger.drop_table("page_views")
     ledger.drop_schema()
 
@@ -203,11 +210,22 @@ def test_state_free_totals_equal_batch(spark, feed):
     for partial, keys, folds, finish, expected, cols in cases:
         ledger = shared_dir(spark, "t-deltas")
         logs = jobs.access_log_stream(_stream(spark, path))
-        _run(jobs.start_all_time_deltas(logs, partial, ledger, shared_dir(spark, "t-ck"), NOW))
-        deltas = spark.read.parquet(ledger)
+        _run(jobs.start_all_time_deltas(logs, partial, ledger, shared_dir(spark, "t-ck"), keys, folds, None, NOW))
+        deltas = jobs.read_deltas(spark, ledger)
         assert deltas.select("batch_id").distinct().count() == 3
-        got = jobs.fold_deltas(deltas, keys, folds, finish)
-        assert _rows(got, *cols) == _rows(expected, *cols)
+        assert _rows(jobs.fold_deltas(deltas, keys, folds, finish), *cols) == _rows(expected, *cols)
+        jobs.compact_deltas(spark, ledger, keys, folds, 0)
+        jobs.compact_deltas(spark, ledger, keys, folds, 1)
+        live = jobs.read_deltas(spark, ledger)
+        assert sorted(r.batch_id for r in live.select("batch_id").distinct().collect()) == [-2, 2]
+        assert _rows(jobs.fold_deltas(live, keys, folds, finish), *cols) == _rows(expected, *cols)
+
+
+def test_published_versions(spark):
+    path = shared_dir(spark, "t-out")
+    for v in (0, 1, 1):
+        jobs.publish(spark.range(v + 2), path, v)
+    assert jobs.read_published(spark, path).count() == 3 and jobs.read_published(spark, path).columns == ["id"]
 
 
 def test_all_time_state_survives_restart(spark):
@@ -226,27 +244,48 @@ def test_all_time_state_survives_restart(spark):
     # only the new file is read after the restart; the counts come from the state
     assert [p["batchId"] for p in q.recentProgress if p["numInputRows"] > 0] == [2]
     expected = reports.frequent_ips(registry.access_logs(spark, SF001))
-    assert _rows(spark.read.parquet(out), "ip_address", "total") == \
+    assert _rows(jobs.read_published(spark, out), "ip_address", "total") == \
         _rows(expected, "ip_address", "total")
 
 
-def test_sliced_feed_batch_is_time_slice(spark):
-    from hitlens.streaming.feed import time_slice, write_sliced_feed
+@pytest.mark.parametrize("files", [1, 40])
+def test_micro_batch_is_the_next_slice_that_has_lines(spark, files):
+    """Results do not depend on the number of files, and an empty or thin slice shifts nothing."""
+    from hitlens.streaming.feed import time_slice
+    from hitlens.streaming.queries import run_slices
     lines = fixtures.event_log_lines(fixtures.load(spark, SF001, "events"))
-    path = shared_dir(spark, "t-sliced")
-    per_batch = write_sliced_feed(lines, path, n_batches=4)
-    assert per_batch >= 1
+    us = F.unix_micros(F.col("ts"))
+    lo, hi = lines.agg(F.min(us), F.max(us)).first()
+    sliced = lines.withColumn("s", time_slice("ts", lo, hi, 4))
+    # slice 1 goes, slice 2 keeps three lines
+    some = sliced.where("s <> 1 AND (s <> 2 OR event_id % 100 = 7)").repartition(files)
     out = shared_dir(spark, "t-out")
-    stream = read_log_stream(spark, "text", path, max_files_per_trigger=per_batch)
-    _run(jobs.start_size_stats_ledger(stream, out, shared_dir(spark, "t-ck"), NOW))
+    assert run_slices(spark, some, lambda stream, ck: jobs.start_size_stats_ledger(stream, out, ck, NOW)) == 3
     got = {r.batch_id: (r.n, r.min_size, r.max_size) for r in spark.read.parquet(out).collect()}
-    us = F.unix_micros(F.col("ts"))
-    b = lines.agg(F.min(us).alias("lo"), F.max(us).alias("hi")).collect()[0]
-    sliced = lines.withColumn("s", time_slice("ts", b.lo, b.hi, 4))
-    for i in range(4):
-        stats = reports.content_size_stats(valid(parse_logs(sliced.where(F.col("s") == i))))
-        r = stats.collect()[0]
-        assert got[i] == (r.n, r.min_size, r.max_size)
+    for batch, s in enumerate((0, 2, 3)):
+        r = reports.content_size_stats(valid(parse_logs(some.where(F.col("s") == s)))).first()
+        assert got[batch] == (r.n, r.min_size, r.max_size)
+
+
+def test_slices_grow_with_the_lines():
+    from hitlens.streaming.feed import LINES_PER_SLICE, slice_count
+    assert [slice_count(n) for n in (0, 5, 4 * LINES_PER_SLICE, 9 * LINES_PER_SLICE + 1)] == [4, 4, 4, 10]
+
+
+def test_sliding_jobs_restart_from_their_checkpoint(spark):
+    """Windows that are open when a run ends are closed by the next one, once."""
+    from hitlens.operators import windows
+    from hitlens.streaming.queries import run_slices
+    lines = fixtures.event_log_lines(fixtures.load(spark, SF001, "events"))
+    out = shared_dir(spark, "t-out")
+    run_slices(spark, lines, lambda stream, ck: jobs.start_sliding_top_products(stream, out, ck, k=3, trigger=NOW),
+               stateful=True, n_slices=3)
+    logs = registry.access_logs(spark, SF001)
+    last = logs.agg(F.max("date_time")).first()[0]
+    vp = registry.viewed(spark, SF001)
+    closed = windows.sliding_top_products(vp, 3).where(F.col("window_end") <= F.lit(last) - F.expr("INTERVAL 1 MINUTE"))
+    cols = ("window_start", "window_end", "product", "views", "rank")
+    assert _rows(spark.read.parquet(out), *cols) == _rows(closed, *cols)
 
 
 def test_counter_ledger_compacts_inside_the_stream(spark, feed):
@@ -257,8 +296,6 @@ def test_counter_ledger_compacts_inside_the_stream(spark, feed):
     _run(jobs.start_counters(_stream(spark, path), registry.country_lookup(spark, SF001), ledger,
                              shared_dir(spark, "t-ck"), NOW))
     # after writing its own rows, batch 2 folded batches 0..1 into a base
-    ids = sorted(r.batch_id for r in ledger.ledger("status_counter").select("batch_id")
-                 .distinct().collect())
-    assert ids == [base_batch_id(1), 2]
+    assert [b for _, b in _parts(ledger, "status_counter")] == [base_batch_id(1), 2]
     assert _counter_totals(ledger) == _batch_counters(spark)
     ledger.drop_schema()
