@@ -3,8 +3,8 @@
 The vocabulary file (a public tokenizer's JSON: NFC, white space collapsed,
 lower case; words by its pattern; byte-level BPE with word ends) is a
 parameter and is read on the driver.  Words of all documents are counted
-(pre-aggregated in each task, then summed by Spark); the ``LEXICON``
-most frequent ones of at most ``LEXICON_BYTES`` bytes are merged once and
+(pre-aggregated in each task, then summed by Spark); the most frequent ones
+of at most ``LEXICON_BYTES`` bytes, ``LEXICON`` at most, are merged once and
 compiled with their ids into a minimal acyclic transducer.  Tasks memory-map
 it.  A word that the lexicon lacks is merged exactly, so the result does not
 depend on the lexicon; a task remembers the words it has met.
@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from hitlens.llm import common
 from hitlens.llm.lexicon import Lexicon, mapped, pack
+from hitlens.session import shared_dir
 
 LEXICON, LEXICON_BYTES = 40_000, 64
 #: Words a task counts or remembers at most before it sends them on or forgets them.
@@ -230,10 +231,19 @@ def word_counts(docs: DataFrame, vocabulary, text_col: str = "text") -> DataFram
 
 def compile_lexicon(spark: SparkSession, docs: DataFrame, vocabulary, text_col: str = "text",
                     size: int = LEXICON) -> bytes:
-    """Packed transducer of the ``size`` most frequent words."""
-    counts = word_counts(docs, vocabulary, text_col)
-    rows = (counts.where(F.length("word") <= LEXICON_BYTES).where("substring(word, 1, 1) <> X'00'")
-            .orderBy(F.desc("n"), "word").limit(size).collect())
+    """Packed transducer of the most frequent words, ``size`` at most (words of like counts go in together)."""
+    path = shared_dir(spark, "words")
+    (word_counts(docs, vocabulary, text_col).where(F.length("word") <= LEXICON_BYTES)
+     .where("substring(word, 1, 1) <> X'00'").write.parquet(path))
+    # 64 buckets per doubling of the count: the driver gets a few thousand rows, then the words above the cut
+    counts = spark.read.parquet(path).withColumn("bucket", F.floor(F.log2("n") * 64))
+    held, cut = 0, None
+    for r in counts.groupBy("bucket").count().orderBy(F.desc("bucket")).collect():
+        held += r["count"]
+        if held > size:
+            break
+        cut = r.bucket
+    rows = counts.where(F.col("bucket") >= cut).select("word").collect() if cut is not None else []
     return pack({bytes(r.word): tuple(vocabulary.value.merge(bytes(r.word))) for r in rows})
 
 
