@@ -6,8 +6,9 @@ of anything else is one blank, letters outside the learned alphabet share one
 symbol.  k(x, y) = |common n-grams| / sqrt(|n-grams of x| * |n-grams of y|),
 the normalised blended-spectrum presence kernel.
 
-Training.  A bounded sample (``per_class`` documents of each language, those of
-the smallest hash of doc_id; at most ``MAX_CLASSES`` languages) is read whole.
+Training.  A bounded sample (about ``per_class`` documents of each language at
+most, those of the smallest hashes of doc_id, found by a histogram; at most
+``MAX_CLASSES`` languages) is read whole.
 Of these, ``landmarks`` per class are Nystroem landmarks.  Kernel ridge
 regression, one-versus-rest, is solved in the span of the landmarks:
 (K_nm' K_nm + ridge * K_mm) B = K_nm' Y.  Only presence lists of the sample
@@ -32,7 +33,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hitlens.llm import common
@@ -146,22 +147,38 @@ def _alphabet(sample: DataFrame) -> np.ndarray:
     return np.array(sorted(r.code for r in rows), np.int64)
 
 
+def _rarity(id_col):
+    """64 steps for each halving of the id's hash: n rows have about n / 2^(r / 64) of rarity r or more."""
+    share = (F.shiftrightunsigned(F.xxhash64(id_col), 11) + 1) / float(1 << 53)
+    return F.floor(F.log2(share) * -64)
+
+
+def _cuts(counts: list, size: int) -> dict[str, int]:
+    """label -> the least rarity in the sample, so that about ``size`` rows at most are in it."""
+    held: dict[str, int] = {}
+    out: dict[str, int] = {}
+    for r in sorted(counts, key=lambda r: (r.label, -r.rarity)):
+        held[r.label] = held.get(r.label, 0) + r["count"]
+        if held[r.label] <= size or r.label not in out:
+            out[r.label] = r.rarity
+    return out
+
+
 def train(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           lang_col: str = "lang", per_class: int = PER_CLASS, landmarks: int = LANDMARKS,
           ridge: float = RIDGE) -> Model | None:
     """Fit on the labelled rows of ``docs``; None if there are none."""
     labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
-    order = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
-    chosen = (labelled.select(F.col(id_col).alias("id"), F.col(lang_col).alias("label"))
-              .withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_class).drop("rank"))
-    classes = [r.label for r in chosen.select("label").distinct().orderBy("label").limit(MAX_CLASSES + 1).collect()]
-    if len(classes) > MAX_CLASSES:
+    rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("label"),
+                           _rarity(F.col(id_col)).alias("rarity"))
+    cuts = _cuts(rows.groupBy("label", "rarity").count().collect(), per_class)
+    if len(cuts) > MAX_CLASSES:
         raise ValueError(f"more than {MAX_CLASSES} languages among the labels")
-    if not classes:
+    if not cuts:
         return None
-    # at most per_class * MAX_CLASSES ids: small enough to send to every task
-    picked = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
-                             F.col(lang_col).alias("label")).join(F.broadcast(chosen.distinct()), ["id", "label"])
+    classes = sorted(cuts)
+    cut = F.create_map(*(F.lit(x) for label in classes for x in (label, cuts[label])))
+    picked = rows.where(F.col("rarity") >= cut[F.col("label")])
     sample = picked.select("label", "text", "id").dropDuplicates(["label", "id"]).repartition(8, "id").persist()
     try:
         alphabet = _alphabet(sample)
