@@ -255,7 +255,7 @@ def _labels(model: Model, column: pa.Array) -> tuple[pa.Array, pa.Array]:
     return pa.array(names, pa.string()), pa.array(np.where(ok, share, 0.0))
 
 
-def keep_identified(spark: SparkSession, docs: DataFrame, model: Model | None, least: float = 0.4,
+def keep_identified(spark: SparkSession, docs: DataFrame, model: Model | None, least: float = 0.3,
                     text_col: str = "text") -> DataFrame:
     """``docs`` without the rows whose text has no letter or whose best class has a share under ``least``."""
     if model is None:
