@@ -18,7 +18,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
 QUERIES = ["parse_good", "views_per_user", "views_per_country", "top_products_per_user",
-           "sliding_top_products", "prefix_dictionary", "weighted_pick"]
+           "sliding_top_products", "log_volume_per_minute", "prefix_dictionary"]
 
 
 def _metric(info: dict, name: str) -> int:
