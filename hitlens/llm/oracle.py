@@ -55,3 +55,101 @@ SELECT docs.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(places)
        sha256(coalesce(words, '')) AS kept_sha256
 FROM docs LEFT JOIN gone ON gone.doc_id = docs.doc_id LEFT JOIN kept ON kept.doc_id = docs.doc_id
 """
+
+
+def _secret_spans(kind: str, rank: int, pattern: str, keep: str = "true") -> str:
+    """Matches of one pattern with positions: lengths of the gaps between them and of the matches add up."""
+    return rf"""
+  SELECT doc_id, '{kind}' AS kind, {rank} AS rank, start, start + lens[i] AS stop FROM (
+    SELECT *, CAST(coalesce(list_sum(gaps[1:i]), 0) + coalesce(list_sum(lens[1:i - 1]), 0) AS BIGINT) AS start FROM (
+      SELECT doc_id, hits, list_transform(hits, lambda x: length(x)) AS lens,
+             list_transform(string_split_regex(t, '{pattern}'), lambda x: length(x)) AS gaps,
+             unnest(range(1, len(hits) + 1)) AS i
+      FROM (SELECT doc_id, t, regexp_extract_all(t, '{pattern}') AS hits FROM docs)))
+  WHERE {keep}"""
+
+
+# fixed values: the contract's three kinds, then the four that the scan adds
+_ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+_SECRET_KINDS = (
+    ("assign", _ASSIGN, f"length(regexp_extract(hits[i], '{_ASSIGN}', 2)) >= 6"),
+    ("access", "AKIA[A-Z0-9]+", "lens[i] >= 20"),
+    ("hex", "[0-9a-f]+", "lens[i] >= 24"),
+    ("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----", "true"),
+    ("github", "gh[pousr]_[A-Za-z0-9]{36,}", "true"),
+    ("slack", "xox[abprs]-[A-Za-z0-9-]{10,}", "true"),
+    ("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", "true"),
+)
+
+SECRETS = (
+    "WITH docs AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),\nspans AS ("
+    + " UNION ALL ".join(_secret_spans(k, n, p, c) for n, (k, p, c) in enumerate(_SECRET_KINDS)) + r"""),
+joined AS (
+  SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+         count(*) FILTER (kind = 'hex') AS n_hex,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) FILTER (rank < 3) AS base,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) AS every
+  FROM spans GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(every, '') AS spans
+FROM docs LEFT JOIN joined USING (doc_id)
+""")
+
+# fixed values: words 20, repeats 30 %, window 8; risk and error 5 %, four rules, cutoffs in per cent
+QUALITY = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+lines AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM docs)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+windows AS (
+  SELECT doc_id, list(i) AS places
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM docs)
+  GROUP BY doc_id, array_to_string(w[i:i + 7], ' ') HAVING count(*) > 1),
+repeats AS (
+  SELECT doc_id, count(DISTINCT p) AS n_repeat_words FROM (
+    SELECT doc_id, unnest(range(i, i + 8)) AS p FROM (SELECT doc_id, unnest(places) AS i FROM windows))
+  GROUP BY doc_id),
+stats AS (
+  SELECT docs.doc_id, stratum, t, CAST(len(w) AS BIGINT) AS n_words,
+         CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+         CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+         coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+         coalesce(n_lines, 0) AS n_lines, len(regexp_extract_all(t, '\p{Lu}')) AS n_upper,
+         len(regexp_extract_all(t, '\p{L}')) AS n_letters
+  FROM docs LEFT JOIN lines USING (doc_id) LEFT JOIN repeats USING (doc_id)),
+rates AS (
+  SELECT doc_id, stratum, t, unnest([
+    {'rule': 'symbols', 'top': n_symbols, 'bottom': word_chars}, {'rule': 'upper', 'top': n_upper, 'bottom': n_letters},
+    {'rule': 'dup_lines', 'top': n_dup_lines, 'bottom': n_lines},
+    {'rule': 'repeats', 'top': n_repeat_words, 'bottom': n_words}], recursive := true) FROM stats),
+marks AS (
+  SELECT doc_id, max(CAST(quality AS INTEGER)) > 0 AS good FROM labels
+  WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id),
+texts AS (SELECT DISTINCT stratum, t, good, rule, top, bottom FROM rates JOIN marks USING (doc_id)),
+grid AS (SELECT unnest([90, 80, 70, 60, 50, 40, 35, 30, 25, 20, 15, 12, 10, 8, 6, 5, 4, 3, 2, 1]) AS cutoff),
+counts AS (
+  SELECT stratum, rule, cutoff, count(*) FILTER (good) AS n,
+         count(*) FILTER (good AND 100 * top > cutoff * bottom) AS k,
+         count(*) FILTER (NOT good AND 100 * top > cutoff * bottom) AS caught
+  FROM texts, grid GROUP BY stratum, rule, cutoff),
+tails AS (
+  SELECT *, CASE WHEN k >= n THEN 1.0 ELSE list_sum(list_transform(range(0, k + 1), lambda i: exp(
+              lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.05 / 4) + (n - i) * ln(1 - 0.05 / 4)))) END AS p,
+         (SELECT count(DISTINCT stratum) FROM texts WHERE good) AS strata FROM counts),
+certified AS (
+  SELECT *, bool_and(p <= 0.05 / (4 * strata)) OVER (PARTITION BY stratum, rule ORDER BY cutoff DESC) AS ok
+  FROM tails WHERE strata > 0),
+chosen AS (
+  SELECT stratum, rule, cutoff FROM (
+    SELECT *, row_number() OVER (PARTITION BY stratum, rule ORDER BY caught DESC, cutoff DESC) AS place
+    FROM certified WHERE ok AND caught > 0) WHERE place = 1),
+failed AS (
+  SELECT DISTINCT doc_id FROM rates JOIN chosen USING (stratum, rule) WHERE 100 * top > cutoff * bottom)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND doc_id NOT IN (SELECT doc_id FROM failed) AS kept
+FROM stats
+"""

@@ -116,5 +116,7 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op2_decontaminate": oracle.DECONTAMINATE,
+    "op3_quality": oracle.QUALITY,
     "op7_passages": oracle.PASSAGES,
+    "op8_secrets": oracle.SECRETS,
 }
