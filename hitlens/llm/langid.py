@@ -36,7 +36,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitlens.llm import common
 
 ORDER = 3
 #: Symbols: 0 is the blank, 1 .. ALPHABET - 2 the most frequent letters, ALPHABET - 1 any other letter.

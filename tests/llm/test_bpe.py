@@ -4,7 +4,6 @@ import hashlib
 import random
 import uuid
 
-import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
