@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,6 +50,20 @@ def chunks(texts: list[bytes | None], limit: int = 4_000_000) -> Iterator[tuple[
         yield start, len(texts)
 
 
+def text_chunks(column: pa.Array, limit: int) -> Iterator[tuple[int, int, list[bytes | None]]]:
+    """Row ranges as in ``chunks`` with their texts; only one range's texts are copied at a time."""
+    data = column.cast(pa.binary())
+    sizes = pc.fill_null(pc.binary_length(data), 0).to_numpy(zero_copy_only=False)
+    start, held = 0, 0
+    for i, n in enumerate(sizes.tolist()):
+        if held and held + n > limit:
+            yield start, i, data.slice(start, i - start).to_pylist()
+            start, held = i, 0
+        held += n
+    if start < len(data):
+        yield start, len(data), data.slice(start).to_pylist()
+
+
 class WordHash(dict):
     """word -> 64-bit hash, remembered; cleared when it holds ``most`` words."""
 

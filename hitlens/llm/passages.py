@@ -110,9 +110,8 @@ def _hashes() -> common.WordHash:
 def _seed_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = _hashes()
     for batch in batches:
-        texts = common.text_bytes(batch.column(0))
-        for a, b in common.chunks(texts, SHARD_BYTES):
-            shard = Shard(_words(texts[a:b]), hashes)
+        for _, _, texts in common.text_chunks(batch.column(0), SHARD_BYTES):
+            shard = Shard(_words(texts), hashes)
             places = shard.at[np.concatenate(([True], np.diff(shard.at) != 0))] if len(shard.at) else shard.at
             value, n = np.unique(shard.seeds[places], return_counts=True)
             yield pa.RecordBatch.from_arrays(
@@ -170,9 +169,8 @@ def _candidates(sent):
         """Texts with a candidate window keep their words; the others get their digest."""
         hashes, number = _hashes(), TaskContext.get().partitionId() << 24
         for batch in batches:
-            texts = common.text_bytes(batch.column(1))
-            for a, b in common.chunks(texts, SHARD_BYTES):
-                words = _words(texts[a:b])
+            for a, b, texts in common.text_chunks(batch.column(1), SHARD_BYTES):
+                words = _words(texts)
                 shard = Shard(words, hashes)
                 hit = sent.value.has(shard.seeds[shard.at])
                 open_ = np.zeros(len(words), bool)
@@ -194,10 +192,9 @@ def _windows(sent):
         """One row for each distinct candidate window of a shard's batch: its first place, and if it occurs again."""
         hashes = _hashes()
         for batch in batches:
-            texts = common.text_bytes(batch.column(2))
             ids, shards = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            for a, b in common.chunks(texts, SHARD_BYTES):
-                part = Shard(_words(texts[a:b]), hashes)
+            for a, b, texts in common.text_chunks(batch.column(2), SHARD_BYTES):
+                part = Shard(_words(texts), hashes)
                 hit = sent.value.has(part.seeds[part.at])
                 first, doc = part.windows[hit], part.doc[part.windows[hit]]
                 key, shard, doc_id, start = part.keys()[hit], shards[a:b][doc], ids[a:b][doc], first - part.starts[doc]
