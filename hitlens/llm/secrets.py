@@ -54,8 +54,18 @@ BASE_RULES = (
     Rule("access", 1, r"AKIA[A-Z0-9]+", 0, 20),
     Rule("hex", 1, r"[0-9a-f]{24,}"),  # whole runs: the same as runs of any length of which short ones are dropped
 )
+#: What may stand between the base64 runs of a key: white space, escapes and the marks of quotes and comments.
+_BETWEEN = r"""[\s\\"'>|,*#]"""
+#: A private key from its BEGIN line on: header lines, then all up to the END line; where that is missing, the runs of
+#: base64 as far as they go, the last of which may be short.  Possessive, so that a text is read a fixed number of times.
+PEM = (r"-----BEGIN [A-Z ]*PRIVATE KEY-----"
+       rf"(?:{_BETWEEN}++[A-Za-z][A-Za-z0-9-]*+:\x20?+[^\s\\]*+)*+"
+       r"""(?:[A-Za-z0-9+/=\s\\"'>|,*#]*+-----END [A-Z ]*PRIVATE KEY-----"""
+       rf"|(?:{_BETWEEN}*+[A-Za-z0-9+/]{{16,}}+={{0,2}}+)++"
+       rf"(?:{_BETWEEN}++[A-Za-z0-9+/]++={{0,2}}+(?![^\s\\\"'>|,*#-]))?+"
+       r"|)")
 MORE_RULES = (
-    Rule("pem", 1, r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("pem", 2, PEM),
     Rule("github", 1, r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", 1, r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("jwt", 1, r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
