@@ -28,9 +28,13 @@ Skew: a passage that stands in a third of all documents is one row per shard
 in every shuffle, and reaches each shard once.
 
 Defined cases: NULL, empty and blank texts have no words; repeated rows (same
-id) are one document, so equal starts in them do not remove each other; rows
-with a NULL id count as later than all others, and as one document; an empty
-table gives no rows; other columns are ignored.  Ids are integers.
+id and words) are one document, so equal starts in them do not remove each
+other; rows with a NULL id count as later than all others; rows of one id, or
+without one, whose words differ are documents of their own, in the order of the
+words' hash; an empty table gives no rows; other columns are ignored.  Ids are
+integers.
+
+Only where such rows are found is the hash (``own``) carried along with the id.
 """
 
 from __future__ import annotations
@@ -187,31 +191,46 @@ def _candidates(sent):
 
 # ------------------------------------------------------------------- passages
 
+def _own(batch: pa.RecordBatch | pa.Table) -> np.ndarray:
+    """What tells documents of one id apart; all alike where no id needs it."""
+    return batch.column("own").to_numpy() if "own" in batch.schema.names else np.zeros(len(batch), np.int64)
+
+
+def _with_own(columns: list, names: list[str], like: pa.RecordBatch | pa.Table, own) -> pa.RecordBatch:
+    """A batch that has a column ``own`` if ``like`` has."""
+    if "own" in like.schema.names:
+        columns, names = [*columns, pa.array(own, pa.int64())], [*names, "own"]
+    return pa.RecordBatch.from_arrays(columns, names=names)
+
+
 def _windows(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """One row for each distinct candidate window of a shard's batch: its first place, and if it occurs again."""
         hashes = _hashes()
         for batch in batches:
-            ids, shards = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            ids, shards, owns = batch.column(0).to_numpy(), batch.column(1).to_numpy(), _own(batch)
             for a, b, texts in common.text_chunks(batch.column(2), SHARD_BYTES):
                 part = Shard(_words(texts), hashes)
                 hit = sent.value.has(part.seeds[part.at])
                 first, doc = part.windows[hit], part.doc[part.windows[hit]]
                 key, shard, doc_id, start = part.keys()[hit], shards[a:b][doc], ids[a:b][doc], first - part.starts[doc]
-                order = np.lexsort((start, doc_id, shard, key))
-                key, shard, doc_id, start = key[order], shard[order], doc_id[order], start[order]
+                own = owns[a:b][doc]
+                order = np.lexsort((start, own, doc_id, shard, key))
+                key, shard, doc_id, own, start = key[order], shard[order], doc_id[order], own[order], start[order]
                 new = np.concatenate(([True], (key[1:] != key[:-1]) | (shard[1:] != shard[:-1])))[:len(key)]
                 # repeated rows of one id are one place
-                other = np.concatenate(([False], (doc_id[1:] != doc_id[:-1]) | (start[1:] != start[:-1])))[:len(key)] & ~new
+                other = np.concatenate(([False], (doc_id[1:] != doc_id[:-1]) | (own[1:] != own[:-1])
+                                        | (start[1:] != start[:-1])))[:len(key)] & ~new
                 group = np.cumsum(new) - 1
                 again = np.bincount(group[other], minlength=int(new.sum())) > 0
-                yield pa.RecordBatch.from_arrays(
+                yield _with_own(
                     [pa.array(key[new].view(np.int64)), pa.array(doc_id[new]),
-                     pa.array(start[new] * 2 + again), pa.array(shard[new])], names=["key", "id", "place", "shard"])
+                     pa.array(start[new] * 2 + again), pa.array(shard[new])], ["key", "id", "place", "shard"],
+                    batch, own[new])
     return run
 
 
-def _groups(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.Table]:
+def _groups(batches: Iterator[pa.RecordBatch], column: int | str) -> Iterator[pa.Table]:
     """Tables of whole groups of a sorted column."""
     held: list[pa.RecordBatch] = []
     rows = 0
@@ -231,76 +250,96 @@ def _groups(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[pa.Table
 
 
 def _first_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by key, id, place: (id, start, -1) of each recurring window's first place, and
+    """From rows sorted by key, id, own, place: (id, start, -1) of each recurring window's first place, and
     (id, -1, shard) for every shard that has one of them."""
     for table in _groups(batches, 0):
-        key, doc_id, place, shard = (c.to_numpy() for c in table.columns)
+        key, doc_id, place, shard = (c.to_numpy() for c in table.columns[:4])
+        own = _own(table)
         start, again = place >> 1, (place & 1).astype(bool)
         new = np.concatenate(([True], key[1:] != key[:-1]))
         group = np.cumsum(new) - 1
         begin = np.flatnonzero(new)
-        elsewhere = (doc_id != doc_id[begin][group]) | (start != start[begin][group])
+        elsewhere = (doc_id != doc_id[begin][group]) | (own != own[begin][group]) | (start != start[begin][group])
         recurs = np.bincount(group[again | elsewhere], minlength=len(begin)) > 0
         first = begin[recurs]
         needs = np.flatnonzero(recurs[group])
-        pairs = np.unique(np.stack((doc_id[begin][group[needs]], shard[needs]), axis=1), axis=0)
+        at = begin[group[needs]]
+        pairs = np.unique(np.stack((doc_id[at], shard[needs], own[at]), axis=1), axis=0)
         none = np.full(len(first), -1)
-        yield pa.RecordBatch.from_arrays(
+        yield _with_own(
             [pa.array(np.concatenate((doc_id[first], pairs[:, 0]))),
              pa.array(np.concatenate((start[first], np.full(len(pairs), -1)))),
-             pa.array(np.concatenate((none, pairs[:, 1])))], names=["id", "start", "shard"])
+             pa.array(np.concatenate((none, pairs[:, 1])))], ["id", "start", "shard"],
+            table, np.concatenate((own[first], pairs[:, 2])))
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by id: runs of consecutive first places, flat as start, end, and the shards that need them."""
-    for table in _groups(batches, 0):
-        doc_id, start, shard = (c.to_numpy() for c in table.columns)
-        edge = np.append(np.flatnonzero(np.concatenate(([True], doc_id[1:] != doc_id[:-1]))), len(doc_id))
-        ids, runs, shards = [], [], []
+    """From rows sorted by id (own, id): runs of consecutive first places, flat as start, end, and the shards that
+    need them."""
+    first = next(batches, None)
+    if first is None:
+        return
+    # documents without an id are as many groups as they have texts
+    for table in _groups(chain([first], batches), "own" if "own" in first.schema.names else "id"):
+        doc_id, start, shard = (c.to_numpy() for c in table.columns[:3])
+        own = _own(table)
+        edge = np.append(np.flatnonzero(np.concatenate(
+            ([True], (doc_id[1:] != doc_id[:-1]) | (own[1:] != own[:-1])))), len(doc_id))
+        ids, runs, shards, owns = [], [], [], []
         for a, b in zip(edge.tolist(), edge[1:].tolist()):
-            own, need = start[a:b], np.unique(shard[a:b])
-            own, need = np.unique(own[own >= 0]), need[need >= 0]
-            cut = np.flatnonzero(np.diff(own) != 1)
-            begin, end = np.concatenate((own[:1], own[cut + 1])), np.concatenate((own[cut], own[-1:]))
+            places, need = start[a:b], np.unique(shard[a:b])
+            places, need = np.unique(places[places >= 0]), need[need >= 0]
+            cut = np.flatnonzero(np.diff(places) != 1)
+            begin, end = np.concatenate((places[:1], places[cut + 1])), np.concatenate((places[cut], places[-1:]))
             flat = np.stack((begin, end + WINDOW), axis=1).reshape(-1)
             for at in range(0, len(need), SHARDS_A_ROW):
                 ids.append(doc_id[a])
                 runs.append(flat)
                 shards.append(need[at:at + SHARDS_A_ROW])
-        yield pa.RecordBatch.from_arrays(
+                owns.append(own[a])
+        yield _with_own(
             [pa.array(ids, pa.int64()), pa.array(runs, pa.list_(pa.int64())), pa.array(shards, pa.list_(pa.int64()))],
-            names=["id", "runs", "shards"])
+            ["id", "runs", "shards"], table, owns)
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(id, runs, shards, words) to one row for each passage: its first place, its words, the shards."""
     for batch in batches:
-        out: tuple[list, list, list, list] = ([], [], [], [])
-        for doc_id, runs, shards, words in zip(*(c.to_pylist() for c in batch.columns)):
+        out: tuple[list, list, list, list, list] = ([], [], [], [], [])
+        for doc_id, runs, shards, words, own in zip(*(c.to_pylist() for c in batch.columns[:4]), _own(batch).tolist()):
             words = words.split(" ")
             for a, b in zip(runs[::2], runs[1::2]):
-                for column, value in zip(out, (doc_id, a, " ".join(words[a:b]), shards)):
+                for column, value in zip(out, (doc_id, a, " ".join(words[a:b]), shards, own)):
                     column.append(value)
-        yield pa.RecordBatch.from_arrays(
+        yield _with_own(
             [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.string()),
-             pa.array(out[3], pa.list_(pa.int64()))], names=["id", "start", "words", "shards"])
+             pa.array(out[3], pa.list_(pa.int64()))], ["id", "start", "words", "shards"], batch, out[4])
+
+
+def one_id_many_texts(candidates: DataFrame) -> tuple[bool, bool]:
+    """Whether an id (or none) has more than one row, and whether those differ in their words."""
+    if not candidates.groupBy("id").count().where("count > 1").limit(1).count():
+        return False, False
+    texts = candidates.groupBy("id").agg(F.min(F.xxhash64("words")).alias("a"), F.max(F.xxhash64("words")).alias("b"))
+    return True, bool(texts.where("a < b").limit(1).count())
 
 
-def passages(spark: SparkSession, candidates: DataFrame, sent) -> DataFrame:
+def passages(spark: SparkSession, candidates: DataFrame, sent, repeated: bool) -> DataFrame:
     """(id, start, words, shards): first place and words of each recurring passage, and the shards that have it."""
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    firsts = (candidates.select("id", "shard", "words")
-              .mapInArrow(_windows(sent), "key long, id long, place long, shard long")
-              .repartition(parts, "key").sortWithinPartitions("key", "id", "place")
-              .mapInArrow(_first_places, "id long, start long, shard long"))
-    runs = (firsts.repartition(parts, "id").sortWithinPartitions("id")
-            .mapInArrow(_runs, "id long, runs array<long>, shards array<long>"))
-    texts = candidates.select("id", "words", F.xxhash64("words").alias("h"))
-    once = texts.groupBy("id").agg(F.min("h").alias("h"), F.count("*").alias("rows"))
-    if once.where("rows > 1").limit(1).count():  # repeated rows: their text is needed once
-        texts = texts.dropDuplicates(["id"])
-    return (runs.join(texts.drop("h"), "id").select("id", "runs", "shards", "words")
-            .mapInArrow(_texts, "id long, start long, words string, shards array<long>"))
+    own = [c for c in candidates.columns if c == "own"]
+    more = ", own long" if own else ""
+    firsts = (candidates.select("id", "shard", "words", *own)
+              .mapInArrow(_windows(sent), f"key long, id long, place long, shard long{more}")
+              .repartition(parts, "key").sortWithinPartitions("key", "id", *own, "place")
+              .mapInArrow(_first_places, f"id long, start long, shard long{more}"))
+    runs = (firsts.repartition(parts, *own, "id").sortWithinPartitions(*own, "id")
+            .mapInArrow(_runs, f"id long, runs array<long>, shards array<long>{more}"))
+    texts = candidates.select("id", "words", *own)
+    if repeated:  # their text is needed once
+        texts = texts.dropDuplicates(["id", *own])
+    return (runs.join(texts, ["id", *own]).select("id", "runs", "shards", "words", *own)
+            .mapInArrow(_texts, f"id long, start long, words string, shards array<long>{more}"))
 
 
 # ------------------------------------------------------------------- automata
@@ -313,10 +352,9 @@ class Automaton:
     alike.
     """
 
-    def __init__(self, rows: list[tuple[int, int, bytes]]):
-        self.ids = np.array([r[0] for r in rows], np.int64)
-        self.first = np.array([r[1] for r in rows], np.int64)
-        words = [r[2].split(b" ") for r in rows]
+    def __init__(self, rows: list[tuple[int, int, int, bytes]]):
+        self.ids, self.owns, self.first = (np.array([r[k] for r in rows], np.int64) for k in range(3))
+        words = [r[3].split(b" ") for r in rows]
         distinct = list(dict.fromkeys(chain.from_iterable(words)))
         self.width = 1
         while DIGIT ** self.width <= len(distinct):
@@ -357,7 +395,7 @@ class Automaton:
         numbers = (symbols - 1 - places * DIGIT) @ DIGIT ** places
         return numbers, PHRASE + np.cumsum(size) - size, text
 
-    def covered(self, doc_ids: np.ndarray, docs: list[list[bytes]]) -> list[np.ndarray]:
+    def covered(self, doc_ids: np.ndarray, owns: np.ndarray, docs: list[list[bytes]]) -> list[np.ndarray]:
         """For each document, which words a window covers that starts earlier elsewhere."""
         if not len(self.times):
             return [np.zeros(len(w), bool) for w in docs]
@@ -366,11 +404,11 @@ class Automaton:
         hits, phrase = (found[:, 0] + 1) // self.width - PHRASE, found[:, 1]
         step = np.zeros(len(numbers) + 1, np.int64)
         for at in range(0, len(hits), 20_000):
-            self._compare(numbers, starts, doc_ids, hits[at:at + 20_000], phrase[at:at + 20_000], step)
+            self._compare(numbers, starts, doc_ids, owns, hits[at:at + 20_000], phrase[at:at + 20_000], step)
         cover = np.cumsum(step[:-1]) > 0
         return [cover[s:s + len(w)] for s, w in zip(starts.tolist(), docs)]
 
-    def _compare(self, text, starts, doc_ids, hits, phrase, step) -> None:
+    def _compare(self, text, starts, doc_ids, owns, hits, phrase, step) -> None:
         """Compare both sides of each hit with each passage that has the phrase there, in blocks."""
         times = self.times[phrase]
         edges = np.searchsorted(np.cumsum(times), np.arange(0, int(times.sum()), 100_000))
@@ -385,7 +423,8 @@ class Automaton:
             right = _run(text[q[:, None] + PHRASE - 1 + reach] == self.flat[place[:, None] + PHRASE - 1 + reach])
             doc = np.searchsorted(starts, q, "right") - 1
             offset = self.offsets[passage]
-            itself = (doc_ids[doc] == self.ids[passage]) & (q - starts[doc] == self.first[passage] + place - offset)
+            itself = ((doc_ids[doc] == self.ids[passage]) & (owns[doc] == self.owns[passage])
+                      & (q - starts[doc] == self.first[passage] + place - offset))
             ok = (left + PHRASE + right >= WINDOW) & ~itself
             np.add.at(step, (q - left)[ok], 1)
             np.add.at(step, (q + PHRASE + right)[ok], -1)
@@ -400,7 +439,7 @@ def _locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by shard, passages before documents: stream each shard's documents through its automaton."""
     now, rows, automaton = None, [], None
     for batch in batches:
-        shards, ids = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+        shards, ids, owns = batch.column(0).to_numpy(), batch.column(2).to_numpy(), _own(batch)
         starts, words = batch.column(3).to_numpy(zero_copy_only=False), common.text_bytes(batch.column(4))
         is_doc = batch.column(1).to_numpy(zero_copy_only=False)
         edge = np.flatnonzero((shards[1:] != shards[:-1]) | (is_doc[1:] != is_doc[:-1])) + 1
@@ -410,13 +449,13 @@ def _locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if shards[a] != now:
                 now, rows, automaton = shards[a], [], None
             if not is_doc[a]:
-                rows += list(zip(ids[a:b].tolist(), starts[a:b].tolist(), words[a:b]))
+                rows += list(zip(ids[a:b].tolist(), owns[a:b].tolist(), starts[a:b].tolist(), words[a:b]))
                 continue
             automaton = automaton or Automaton(rows)
             rows = []
             for c, d in common.chunks(words[a:b], 2_000_000):
                 docs = [w.split(b" ") for w in words[a + c:a + d]]
-                cover = automaton.covered(ids[a + c:a + d], docs)
+                cover = automaton.covered(ids[a + c:a + d], owns[a + c:a + d], docs)
                 kept = [[w for w, gone in zip(ws, g.tolist()) if not gone] if g.any() else ws
                         for ws, g in zip(docs, cover)]
                 yield pa.RecordBatch.from_arrays(
@@ -440,11 +479,15 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
         .write.parquet(f"{path}/documents")
     table = spark.read.parquet(f"{path}/documents")
     candidates = table.where("words IS NOT NULL")
-    passages(spark, candidates, sent).write.parquet(f"{path}/passages")
+    repeated, differ = one_id_many_texts(candidates)
+    if differ:
+        candidates = candidates.withColumn("own", F.xxhash64("words"))
+    own = [c for c in candidates.columns if c == "own"]
+    passages(spark, candidates, sent, repeated).write.parquet(f"{path}/passages")
     found = spark.read.parquet(f"{path}/passages")
-    rows = (found.select(F.explode("shards").alias("shard"), F.lit(False).alias("is_doc"), "id", "start", "words")
+    rows = (found.select(F.explode("shards").alias("shard"), F.lit(False).alias("is_doc"), "id", "start", "words", *own)
             .unionByName(candidates.select("shard", F.lit(True).alias("is_doc"), "id",
-                                           F.lit(0).cast("long").alias("start"), "words")))
+                                           F.lit(0).cast("long").alias("start"), "words", *own)))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     located = (rows.repartition(parts, "shard").sortWithinPartitions("shard", "is_doc")
                .mapInArrow(_locate, "id long, n_words long, n_removed long, kept string")
