@@ -2,8 +2,8 @@
 
 Kernel.  A text's features are the character n-grams (n = 1 .. ``ORDER``) that
 occur in it at least once, over the whole text: letters are lower-cased, a run
-of anything else is one blank, letters outside the learned alphabet share one
-symbol.  k(x, y) = |common n-grams| / sqrt(|n-grams of x| * |n-grams of y|),
+of anything else is one blank, and every letter of every script is a symbol of
+its own.  k(x, y) = |common n-grams| / sqrt(|n-grams of x| * |n-grams of y|),
 the normalised blended-spectrum presence kernel.
 
 Training.  A bounded sample (about ``per_class`` documents of each language at
@@ -12,11 +12,11 @@ most, those of the smallest hashes of doc_id, found by a histogram; at most
 Of these, ``landmarks`` per class are Nystroem landmarks.  Kernel ridge
 regression, one-versus-rest, is solved in the span of the landmarks:
 (K_nm' K_nm + ridge * K_mm) B = K_nm' Y.  Only presence lists of the sample
-reach the driver, whose size is bounded by the sample and the alphabet.
+reach the driver, whose size is bounded by the sample.
 
-Scoring.  Documents are scored in blocks: a 0/1 presence matrix times the
-landmark matrix gives all kernel values of a block, times B gives the class
-scores.  The label is the largest score (ties: the first in order); its share
+Scoring.  The kernel values of a document times B are a sum over its n-grams:
+each n-gram of a landmark has a weight for each class, those that the document
+has are added and divided by the root of the number of its n-grams.  The label is the largest score (ties: the first in order); its share
 of the positive scores is the confidence.
 
 Defined cases: NULL texts and texts without a letter are ``und`` with score 0;
@@ -29,7 +29,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,16 +37,18 @@ from pyspark.sql import functions as F
 
 
 ORDER = 3
-#: Symbols: 0 is the blank, 1 .. ALPHABET - 2 the most frequent letters, ALPHABET - 1 any other letter.
+#: Symbols of ``presence``: 0 is the blank, 1 .. ALPHABET - 2 given letters, ALPHABET - 1 any other letter.
 ALPHABET = 64
 PER_CLASS, LANDMARKS, MAX_CLASSES, RIDGE = 300, 48, 200, 0.1
 UNKNOWN = "und"
 _CODES = 0x110000
-#: n-gram ids: the 1-grams, then the 2-grams, and so on.
+#: n-gram ids of ``ngrams``: a symbol of BITS bits (code point + 1, the blank is 1) after the other.
+BITS = 21
+#: n-gram ids of ``presence``: the 1-grams, then the 2-grams, and so on.
 _STARTS = np.concatenate(([0], np.cumsum([ALPHABET ** n for n in range(1, ORDER + 1)])))
 SPACE = int(_STARTS[-1])
-#: Documents whose presence matrix is held at once, and code points read at once.
-ROWS, BLOCK = 64, 1 << 20
+#: Code points read at once.
+BLOCK = 1 << 20
 
 
 def _letter_table() -> np.ndarray:
@@ -79,13 +80,9 @@ def alphabet_table(alphabet: np.ndarray) -> np.ndarray:
     return symbol[letters()]
 
 
-@lru_cache(maxsize=4)
-def _table_of(alphabet: tuple[int, ...]) -> np.ndarray:
-    return alphabet_table(np.array(alphabet, np.int64))
-
-
-def presence(text: str, table: np.ndarray, seen: np.ndarray) -> bool:
-    """Set ``seen`` (SPACE flags) at every n-gram of the text; False if it has no letter."""
+def _symbols(text: str, table: np.ndarray) -> Iterator[tuple[np.ndarray, bool]]:
+    """Symbols of the text in blocks, blanks folded, each block with the last symbols of the one before; and
+    whether a letter has been met."""
     any_letter, tail = False, np.zeros(1, np.int64)
     for at in range(0, len(text), BLOCK):
         codes = np.frombuffer(text[at:at + BLOCK].encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -94,56 +91,73 @@ def presence(text: str, table: np.ndarray, seen: np.ndarray) -> bool:
         closing = np.zeros(int(at + BLOCK >= len(text)), np.int64)
         symbols = np.concatenate((tail, symbols, closing))
         symbols = symbols[np.concatenate(([True], (symbols[1:] != 0) | (symbols[:-1] != 0)))]
+        yield symbols, any_letter
+        tail = symbols[-(ORDER - 1):] if ORDER > 1 else symbols[:0]
+
+
+def presence(text: str, table: np.ndarray, seen: np.ndarray) -> bool:
+    """Set ``seen`` (SPACE flags) at every n-gram of the text over a small alphabet; False if it has no letter."""
+    any_letter = False
+    for symbols, any_letter in _symbols(text, table):
         ids = symbols
         seen[ids] = 1
         for n in range(2, ORDER + 1):
             ids = ids[:-1] * ALPHABET + symbols[n - 1:]
             seen[_STARTS[n - 1] + ids] = 1
-        tail = symbols[-(ORDER - 1):] if ORDER > 1 else symbols[:0]
     return any_letter
 
 
+def ngrams(text: str) -> np.ndarray:
+    """Sorted ids of the text's distinct n-grams over all letters; empty if it has no letter."""
+    any_letter, held = False, np.empty(0, np.int64)
+    for symbols, any_letter in _symbols(text, letters()):
+        symbols = symbols + 1
+        ids, parts = symbols, [held, symbols]
+        for n in range(2, ORDER + 1):
+            ids = ids[:-1] << BITS | symbols[n - 1:]
+            parts.append(ids)
+        held = np.unique(np.concatenate(parts))
+    return held if any_letter else held[:0]
+
+
 @dataclass
 class Model:
     classes: list[str]
-    alphabet: np.ndarray   # code points
+    alphabet: np.ndarray    # code points of the sample's letters
     vocabulary: np.ndarray  # n-gram ids that a landmark has
-    landmarks: np.ndarray  # (vocabulary, landmark): 1 / sqrt(size) where the landmark has the n-gram
-    weights: np.ndarray    # (landmark, class)
+    marks: list[np.ndarray]  # places in the vocabulary of each landmark's n-grams
+    weights: np.ndarray     # (landmark, class)
+
+    def __post_init__(self):
+        #: (vocabulary, class): the landmark matrix times the weights.
+        self.gram_weights = np.zeros((len(self.vocabulary), len(self.classes)), np.float32)
+        for places, w in zip(self.marks, self.weights):
+            self.gram_weights[places] += w / np.sqrt(len(places))
+
+    @property
+    def landmarks(self) -> np.ndarray:
+        """(vocabulary, landmark): 1 / sqrt(size) where the landmark has the n-gram."""
+        out = np.zeros((len(self.vocabulary), len(self.marks)), np.float32)
+        for k, places in enumerate(self.marks):
+            out[places, k] = 1 / np.sqrt(len(places))
+        return out
 
     def scores(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(documents, classes) ridge scores, and which documents have a letter."""
-        table = _table_of(tuple(self.alphabet.tolist()))
         out, ok = np.zeros((len(texts), len(self.classes))), np.zeros(len(texts), bool)
-        for at in range(0, len(texts), ROWS):
-            block = texts[at:at + ROWS]
-            rows = np.zeros((len(block), len(self.vocabulary)), np.float32)
-            seen = np.empty(SPACE, np.uint8)
-            for i, t in enumerate(block):
-                seen[:] = 0
-                if t and presence(t, table, seen):
-                    ok[at + i] = True
-                    rows[i] = seen[self.vocabulary]
-                    rows[i] /= np.sqrt(np.float32(np.count_nonzero(seen)))
-            out[at:at + len(block)] = (rows @ self.landmarks) @ self.weights
+        for i, t in enumerate(texts):
+            grams = ngrams(t) if t else ()
+            if len(grams):
+                ok[i] = True
+                out[i] = self.gram_weights[_places(self.vocabulary, grams)].sum(axis=0, dtype=np.float64)
+                out[i] /= np.sqrt(len(grams))
         return out, ok
 
 
-def _alphabet(sample: DataFrame) -> np.ndarray:
-    """The most frequent letters of the sample, as code points in order."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, int] = {}
-        for batch in batches:
-            for t in batch.column(1).to_pylist():
-                low = letters()[np.frombuffer(t.encode("utf-32-le", "surrogatepass"), np.uint32)]
-                for c, n in zip(*(x.tolist() for x in np.unique(low[low > 0], return_counts=True))):
-                    total[c] = total.get(c, 0) + n
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())],
-                                         names=["code", "n"])
-
-    rows = (sample.mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-            .orderBy(F.desc("n"), "code").limit(ALPHABET - 2).collect())
-    return np.array(sorted(r.code for r in rows), np.int64)
+def _places(vocabulary: np.ndarray, grams: np.ndarray) -> np.ndarray:
+    """Where those of ``grams`` that the vocabulary has stand in it."""
+    at = np.minimum(np.searchsorted(vocabulary, grams), len(vocabulary) - 1)
+    return at[vocabulary[at] == grams]
 
 
 def _rarity(id_col):
@@ -180,26 +194,24 @@ def train(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col
     picked = rows.where(F.col("rarity") >= cut[F.col("label")])
     sample = picked.select("label", "text", "id").dropDuplicates(["label", "id"]).repartition(8, "id").persist()
     try:
-        alphabet = _alphabet(sample)
-
         def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            table, seen = alphabet_table(alphabet), np.empty(SPACE, np.uint8)
             for batch in batches:
-                out = []
-                for t in batch.column(1).to_pylist():
-                    seen[:] = 0
-                    presence(t, table, seen)
-                    out.append(np.flatnonzero(seen).astype(np.int32))
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.int32())),
+                out = [ngrams(t) for t in batch.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.int64())),
                                                   batch.column(2)], names=["label", "grams", "id"])
 
         kind = sample.schema["id"].dataType.simpleString()
-        rows = sample.mapInArrow(lists, f"label string, grams array<int>, id {kind}").collect()
+        table = sample.mapInArrow(lists, f"label string, grams array<long>, id {kind}").toArrow()
     finally:
         sample.unpersist()
-    rows = sorted((r for r in rows if len(r.grams)), key=lambda r: (r.label, r.id))
-    grams = [np.array(r.grams) for r in rows]
-    label = np.array([classes.index(r.label) for r in rows])
+    names, ids = table.column("label").to_pylist(), table.column("id").to_pylist()
+    lists_ = [g.values.to_numpy() for g in table.column("grams")]
+    order = sorted((k for k, g in enumerate(lists_) if len(g)), key=lambda k: (names[k], ids[k]))
+    grams = [lists_[k] for k in order]
+    if not grams:
+        return None
+    label = np.array([classes.index(names[k]) for k in order])
+    alphabet = np.unique(np.concatenate([g[(g > 1) & (g < 1 << BITS)] for g in grams])) - 1
     return fit(classes, alphabet, grams, label, landmarks, ridge)
 
 
@@ -209,24 +221,27 @@ def fit(classes: list[str], alphabet: np.ndarray, grams: list[np.ndarray], label
     picks = np.concatenate([np.flatnonzero(label == c)[:landmarks] for c in range(len(classes))])
     vocabulary = np.unique(np.concatenate([grams[i] for i in picks]))
 
-    def matrix(which) -> np.ndarray:
-        m = np.zeros((len(which), len(vocabulary)), np.float32)
-        for k, i in enumerate(which):
-            at = np.searchsorted(vocabulary, grams[i])
-            known = vocabulary[np.minimum(at, len(vocabulary) - 1)] == grams[i]
-            m[k, at[known]] = 1 / np.sqrt(len(grams[i]))
-        return m
-
-    marks = matrix(picks)
-    k_nm = (matrix(range(len(grams))) @ marks.T).astype(np.float64)
-    k_mm = (marks @ marks.T).astype(np.float64)
+    marks = [np.searchsorted(vocabulary, grams[i]) for i in picks]
+    # which landmarks have each n-gram of the vocabulary
+    places = np.concatenate(marks)
+    owner = np.repeat(np.arange(len(marks)), [len(m) for m in marks])[np.argsort(places, kind="stable")]
+    times = np.bincount(places, minlength=len(vocabulary))
+    begin = np.cumsum(times) - times
+    root = np.sqrt([len(m) for m in marks])
+    k_nm = np.empty((len(grams), len(picks)))
+    for row, g in zip(k_nm, grams):
+        at = _places(vocabulary, g)
+        n = times[at]
+        which = np.repeat(begin[at] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        row[:] = np.bincount(owner[which], minlength=len(picks)) / (root * np.sqrt(len(g)))
+    k_mm = k_nm[picks]
     # rows are weighted so that every class counts the same
     size = np.bincount(label, minlength=len(classes))
     weight = (len(label) / len(classes) / size[label])[:, None]
     target = np.eye(len(classes))[label]
     left = k_nm.T @ (weight * k_nm) + ridge * k_mm + 1e-6 * np.eye(len(picks))
     weights = np.linalg.solve(left, k_nm.T @ (weight * target))
-    return Model(classes, alphabet, vocabulary, np.ascontiguousarray(marks.T), weights)
+    return Model(classes, alphabet, vocabulary, marks, weights)
 
 
 def predict(spark: SparkSession, docs: DataFrame, model: Model | None, id_col: str = "doc_id",

@@ -68,3 +68,32 @@ def test_edge_cases(spark):
     assert langid.train(spark, df.limit(0)) is None
     assert {r.lang_pred for r in langid.predict(spark, df, None).collect()} == {"und"}
     assert langid.predict(spark, df.limit(0), model).collect() == []
+
+
+def test_ngrams_are_the_set_over_all_letters_in_blocks_too(monkeypatch):
+    for text in ("abc", "  Ab -- cab 12 É zz", "Жук и ЖУК", "日本語 と 中文, 한국어", "𐐀𐐁 x", "абвabcαβγ" * 50, "\ud800 a"):
+        symbols = {ord(c): int(langid.letters()[ord(c)]) for c in text}
+        want = {sum(x + 1 << langid.BITS * k for k, x in enumerate(reversed(g))) for g in slow_grams(text, symbols)}
+        for block in (1 << 20, 7, 1):
+            monkeypatch.setattr(langid, "BLOCK", block)
+            got = langid.ngrams(text).tolist()
+            assert got == sorted(want)
+    assert not len(langid.ngrams("12 ... 3"))
+
+
+def test_languages_of_many_scripts_keep_their_letters(spark):
+    """More letters than any small alphabet, most of them in short texts beside long ones."""
+    r = np.random.default_rng(2)
+    letters = {"en": range(97, 123), "ru": range(0x430, 0x450), "el": range(0x3B1, 0x3C9), "zh": range(0x4E00, 0x4F00),
+               "zz": range(0x5E00, 0x5F00), "ja": range(0x3041, 0x3094), "ko": range(0xAC00, 0xAD00)}
+    rows = []
+    for lang, codes in letters.items():
+        words = ["".join(map(chr, r.choice(list(codes), r.integers(2, 7)))) for _ in range(60)]
+        size = 400 if lang in ("en", "ru", "el") else 12
+        rows += [(len(rows) + k, " ".join(r.choice(words, size)), lang) for k in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(spark, df.where("doc_id % 4 != 0"))
+    lang = {d: name for d, _, name in rows}
+    got = {x.doc_id: x.lang_pred for x in langid.predict(spark, df, model).collect()}
+    assert got == lang
+    assert langid.keep_identified(spark, df, model).count() == len(rows)
