@@ -20,9 +20,11 @@ length gives the score; it is fitted on at most ``CALIBRATION_ROWS`` training
 rows, each scored by the model of the other fold, and fitted again without the
 rows that the first fit contradicts almost surely (labels may be wrong).
 
-The model has entries for words and stems that the toxic class has, at most
-``MOST_ENTRIES`` (the support rises until they fit), so what is broadcast is
-bounded.  Labels are broadcast to the documents only below
+The model has entries for all words and stems that the toxic class has.  They
+are broadcast in slices by ranges of the stem's hash, of ``MOST_ENTRIES`` words
+at most (more only where that many begin alike); driver and tasks hold one
+slice at a time, so the number of slices grows with the input and scores do not
+depend on it.  Labels are broadcast to the documents only below
 ``BROADCAST_LABELS`` rows, beyond that they are joined by shuffle.
 
 Defined cases: NULL, empty and wordless texts have evidence 0 and a score; of
@@ -47,6 +49,8 @@ from hitlens.llm import common
 
 STEM, STEM_BITS = 4, 28
 SUPPORT, MOST_ENTRIES = 1, 1 << 21
+#: Slices begin and end with whole values of the hash's first bits.
+BUCKET_BITS = 16
 CALIBRATION_ROWS, BROADCAST_LABELS = 20_000, 1_000_000
 CUT = 0.7
 BLOCK_BYTES = 2_000_000
@@ -123,7 +127,7 @@ def continuation_counts(rows: DataFrame) -> DataFrame:
 
 
 class Counts:
-    """What the driver keeps: words and stems of the toxic class, and totals."""
+    """Words and stems of the toxic class, of which the driver holds one slice at a time, and totals."""
 
     def __init__(self, spark: SparkSession, table: DataFrame, support: int, most: int):
         stem = F.shiftrightunsigned("key", 64 - STEM_BITS)
@@ -132,15 +136,41 @@ class Counts:
         self.total = np.array(table.agg(*(F.coalesce(F.sum(c), F.lit(0)) for c in columns)).first(), np.int64)
         self.n_stems = per_stem.count()
         toxic = F.col("t0") + F.col("t1")
-        self.words = self._fit(table, toxic, support, most)
-        self.stems = self._fit(per_stem, toxic, 1, most)
+        self._tables = [rows.withColumn("bucket", F.shiftrightunsigned("key", bits - BUCKET_BITS).cast("int"))
+                        for rows, bits in ((table.where(toxic >= support), 64), (per_stem.where(toxic >= 1), STEM_BITS))]
+        sizes = np.zeros((2, 1 << BUCKET_BITS), np.int64)
+        for size, rows in zip(sizes, self._tables):
+            for r in rows.groupBy("bucket").count().collect():
+                size[r.bucket] = r["count"]
+        #: First bucket of each slice, and the end of the last.
+        self.edges, held = [0], np.zeros(2, np.int64)
+        for bucket in np.flatnonzero(sizes.any(axis=0)).tolist():
+            if held.any() and (held + sizes[:, bucket]).max() > most:
+                self.edges.append(bucket)
+                held[:] = 0
+            held += sizes[:, bucket]
+        self.edges.append(1 << BUCKET_BITS)
+        self._held = None
+        self.load(0)
+
+    def load(self, k: int) -> None:
+        """Hold slice ``k``."""
+        if k != self._held:
+            self.words = self.stems = None
+            self.words, self.stems = (self._sorted(rows, *self.edges[k:k + 2]) for rows in self._tables)
+            self._held = k
+
+    def slices(self) -> Iterator[int]:
+        """Each slice, held while it is the current one; begins with the one that is held already."""
+        for k in sorted(range(len(self.edges) - 1), key=lambda k: k != self._held):
+            self.load(k)
+            yield k
 
     @staticmethod
-    def _fit(table: DataFrame, toxic, least: int, most: int) -> tuple[np.ndarray, np.ndarray]:
-        """(sorted keys, counts) of the rows with at least ``least`` toxic contexts, more if too many have."""
-        while table.where(toxic >= least).limit(most + 1).count() > most:
-            least *= 2
-        rows = table.where(toxic >= least).select("key", "o0", "o1", "t0", "t1").toArrow()
+    def _sorted(table: DataFrame, a: int, b: int) -> tuple[np.ndarray, np.ndarray]:
+        """(sorted keys, counts) of the rows in buckets ``a`` to ``b``."""
+        rows = (table.where((F.col("bucket") >= a) & (F.col("bucket") < b))
+                .select("key", "o0", "o1", "t0", "t1").toArrow())
         key = rows.column("key").to_numpy().view(np.uint64)
         order = np.argsort(key)
         return key[order], np.stack([rows.column(c).to_numpy() for c in ("o0", "o1", "t0", "t1")], axis=1)[order]
@@ -153,8 +183,8 @@ def _discounted(n: np.ndarray) -> np.ndarray:
     return n - np.select([n < 1, n < 2, n < 3], [0, 0.75, 1.0], 1.5)
 
 
-class Model:
-    """Log-likelihood differences of words, of stems' rare words, and of rare stems' words."""
+class _Slice:
+    """Counts by class (0, 1) of the slice that ``counts`` holds: of words, of stems' rare words, and of stems."""
 
     def __init__(self, counts: Counts, folds: tuple[int, ...], support: int):
         pick = lambda x, c: sum(x[..., c * 2 + f] for f in folds).astype(np.float64)
@@ -162,43 +192,88 @@ class Model:
         self.stems, stem_counts = counts.stems
         own = pick(word_counts, 1) >= support
         self.words, word_counts = word_keys[own], word_counts[own]
-        at = np.searchsorted(self.stems, _stems(self.words)) if len(self.stems) else np.zeros(0, int)
-        known = [pick(word_counts, c) for c in (0, 1)]
-        stem = [pick(stem_counts, c) for c in (0, 1)]
-        total = [max(1.0, float(pick(counts.total, c))) for c in (0, 1)]
-        rest = [np.maximum(s - np.bincount(at, k, len(s)), 0) for s, k in zip(stem, known)]  # the stem's rare words
-        lost = [max(0.0, t - s.sum()) for t, s in zip(total, stem)]  # words of rare stems
+        self.at = np.searchsorted(self.stems, _stems(self.words)) if len(self.stems) else np.zeros(0, int)
+        self.known = [pick(word_counts, c) for c in (0, 1)]
+        self.stem = [pick(stem_counts, c) for c in (0, 1)]
+        self.total = [max(1.0, float(pick(counts.total, c))) for c in (0, 1)]
+        self.rest = [np.maximum(s - np.bincount(self.at, k, len(s)), 0) for s, k in zip(self.stem, self.known)]
+
+    def sums(self) -> np.ndarray:
+        """For each class: events of words and of stems' rare words, events of stems, all of stems."""
+        return np.array([[_discounted(self.known[c]).sum() + _discounted(self.rest[c]).sum(),
+                          _discounted(self.stem[c]).sum(), self.stem[c].sum()] for c in (0, 1)])
+
+
+def all_sums(counts: Counts, folds: tuple[int, ...], support: int) -> np.ndarray:
+    return sum(_Slice(counts, folds, support).sums() for _ in counts.slices())
+
+
+class Model:
+    """Log-likelihood differences of words, of stems' rare words, and of rare stems' words: the slice held."""
+
+    def __init__(self, counts: Counts, folds: tuple[int, ...], support: int, sums: np.ndarray | None = None):
+        if sums is None:
+            k = counts._held
+            sums = all_sums(counts, folds, support)
+            counts.load(k)
+        part = _Slice(counts, folds, support)
+        self.words, self.stems, at, known, rest, stem = part.words, part.stems, part.at, part.known, part.rest, part.stem
+        total = part.total
+        lost = [max(0.0, t - s) for t, s in zip(total, sums[:, 2].tolist())]  # words of rare stems
         shared_stem = stem[0] + stem[1] + 0.5
         shared_all = sum(total) + 0.5 * counts.n_stems
         shared_word, shared_rest = known[0] + known[1] + 0.5, rest[0] + rest[1] + 0.5
         within = shared_rest + np.bincount(at, shared_word, len(self.stems))
         logs = []
         for c in (0, 1):
-            events = _discounted(known[c]).sum() + _discounted(rest[c]).sum() + max(0.0, lost[c] - 1.5)
+            events = sums[c, 0] + max(0.0, lost[c] - 1.5)
             spare = max(1e-9, 1 - events / total[c])
-            stem_spare = max(1e-9, 1 - (_discounted(stem[c]).sum() + max(0.0, lost[c] - 1.5)) / total[c])
+            stem_spare = max(1e-9, 1 - (sums[c, 1] + max(0.0, lost[c] - 1.5)) / total[c])
             p_stem = _discounted(stem[c]) / total[c] + stem_spare * shared_stem / shared_all
             p_rare = max(0.0, lost[c] - 1.5) / total[c] + stem_spare * (sum(lost) + 0.5) / shared_all
             logs.append((np.log(_discounted(known[c]) / total[c] + spare * p_stem[at] * shared_word / within[at]),
                          np.log(_discounted(rest[c]) / total[c] + spare * p_stem * shared_rest / within),
                          np.log(p_rare)))
         self.word_llr, self.stem_llr, self.rare_llr = (b - a for a, b in zip(*logs))
+
+    def values(self, keys: np.ndarray) -> np.ndarray:
+        value = np.full(len(keys), float(self.rare_llr))
+        for table, llr, key in ((self.stems, self.stem_llr, _stems(keys)), (self.words, self.word_llr, keys)):
+            if len(table):
+                at = np.minimum(np.searchsorted(table, key), len(table) - 1)
+                hit = table[at] == key
+                value[hit] = llr[at[hit]]
+        return value
+
+
+class Sliced:
+    """The models of all slices, each broadcast on its own; a task that needs several holds one at a time."""
+
+    def __init__(self, spark: SparkSession, counts: Counts, folds: tuple[int, ...], support: int):
+        sums = all_sums(counts, folds, support)
+        sent = {k: spark.sparkContext.broadcast(Model(counts, folds, support, sums)) for k in counts.slices()}
+        self.parts = [sent[k] for k in sorted(sent)]
+        self.starts = np.array(counts.edges[1:-1], np.uint64)
         self._known: dict[str, float] = {}
 
     def __getstate__(self):
         return {**self.__dict__, "_known": {}}
 
+    def block_bytes(self) -> int:
+        """Text to score at once: more where every block goes through several slices."""
+        return BLOCK_BYTES * min(len(self.parts), 4)
+
     def learn(self, words: set[str]) -> None:
         if len(self._known) > 300_000:
             self._known.clear()
         new = [w for w in words if w not in self._known]
         keys = np.fromiter(map(word_key, new), np.uint64, len(new))
-        value = np.full(len(new), float(self.rare_llr))
-        for table, llr, key in ((self.stems, self.stem_llr, _stems(keys)), (self.words, self.word_llr, keys)):
-            if len(table):
-                at = np.minimum(np.searchsorted(table, key), len(table) - 1)
-                hit = table[at] == key
-                value[hit] = llr[at[hit]]
+        part = np.searchsorted(self.starts, keys >> np.uint64(64 - BUCKET_BITS), "right")
+        value = np.empty(len(new))
+        for k in np.unique(part).tolist():
+            value[part == k] = self.parts[k].value.values(keys[part == k])
+            if len(self.parts) > 1:
+                self.parts[k].__dict__.pop("_value", None)  # read again from the executor's copy when needed
         self._known.update(zip(new, value.tolist()))
 
     def evidence(self, parts: list[list[str]]) -> np.ndarray:
@@ -248,14 +323,14 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str =
     if have != {0, 1}:
         return None
     counts = Counts(spark, continuation_counts(rows).persist(), support, most)
-    by_fold = spark.sparkContext.broadcast([Model(counts, (1 - f,), support) for f in (0, 1)])
+    by_fold = [Sliced(spark, counts, (1 - f,), support) for f in (0, 1)]
 
     def evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             toxic, fold, h = (batch.column(k).to_numpy() for k in (1, 2, 3))
-            for a, b in common.chunks(common.text_bytes(batch.column(0)), BLOCK_BYTES):
+            for a, b in common.chunks(common.text_bytes(batch.column(0)), by_fold[0].block_bytes()):
                 parts = [words_of(t) for t in batch.column(0).slice(a, b - a).to_pylist()]
-                x = np.where((fold[a:b] == 0)[:, None], by_fold.value[0].evidence(parts), by_fold.value[1].evidence(parts))
+                x = np.where((fold[a:b] == 0)[:, None], by_fold[0].evidence(parts), by_fold[1].evidence(parts))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(h[a:b]), pa.array(toxic[a:b]), pa.array(list(x), pa.list_(pa.float64()))],
                     names=["h", "toxic", "x"])
@@ -263,7 +338,7 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str =
     chosen = (rows.mapInArrow(evidence, "h long, toxic int, x array<double>")
               .orderBy("h", "x").limit(CALIBRATION_ROWS).collect())
     x, y = np.array([r.x for r in chosen]), np.array([r.toxic for r in chosen], float)
-    return Model(counts, (0, 1), support), fit_trimmed(x, y)
+    return Sliced(spark, counts, (0, 1), support), fit_trimmed(x, y)
 
 
 def score(spark: SparkSession, docs: DataFrame, trained, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -271,12 +346,11 @@ def score(spark: SparkSession, docs: DataFrame, trained, id_col: str = "doc_id",
     kind = docs.schema[id_col].dataType.simpleString()
     if trained is None:
         return docs.select(id_col, F.lit(0.0).alias("score"))
-    sent = spark.sparkContext.broadcast(trained)
+    model, fitted = trained
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, fitted = sent.value
         for batch in batches:
-            for a, b in common.chunks(common.text_bytes(batch.column(1)), BLOCK_BYTES):
+            for a, b in common.chunks(common.text_bytes(batch.column(1)), model.block_bytes()):
                 parts = [words_of(t) for t in batch.column(1).slice(a, b - a).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), pa.array(probability(model.evidence(parts), fitted))],

@@ -88,3 +88,17 @@ def test_a_small_table_of_entries_raises_the_support(spark):
     counts = toxicity.Counts(spark, toxicity.continuation_counts(df), 1, 8)
     assert len(counts.words[0]) <= 8
     toxicity.Model(counts, (0, 1), 1)
+
+
+def test_scores_do_not_depend_on_the_entries_a_slice_may_have(spark):
+    r = random.Random(6)
+    words = ["".join(r.choice("abcdefghijkl") for _ in range(r.randint(3, 8))) for _ in range(400)]
+    docs = [(i, " ".join(r.choice(words[:250] if i % 3 else words[150:]) for _ in range(25))) for i in range(90)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    lab = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(75)], "doc_id long, toxic int")
+    whole, sliced = (toxicity.train(spark, df, lab, most=n) for n in (1 << 21, 40))
+    assert len(whole[0].parts) == 1 and len(sliced[0].parts) > 3
+    assert all(len(p.value.words) <= 40 for p in sliced[0].parts)
+    assert sum(len(p.value.words) for p in sliced[0].parts) == len(whole[0].parts[0].value.words)
+    want, got = (dict(toxicity.score(spark, df, m).collect()) for m in (whole, sliced))
+    assert all(abs(got[i] - want[i]) < 1e-9 for i, _ in docs)
