@@ -9,8 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitlens.llm import bpe, decontaminate, langid, oracle, passages, pii, quality, secrets, simhash, toxicity, urls
+from hitlens.llm import (bpe, decontaminate, langid, oracle, passages, pii, planes, quality, secrets, simhash, toxicity,
+                         urls)
 from hitlens.llm.common import crc_mod, read_table
+from hitlens.session import shared_dir
 
 
 def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,6 +103,13 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_dir(spark, "token-planes")
+    planes.write_corpus(spark, read_table(spark, sf_dir, "documents"), folder, vocabulary_path())
+    return planes.read_corpus(spark, folder).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_decontaminate": op2_decontaminate,
@@ -112,6 +121,7 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_pii": op9_pii,
     "op10_simhash": op10_simhash,
+    "op11_token_planes": op11_token_planes,
 }
 
 ORACLE_SQL: dict[str, str] = {
