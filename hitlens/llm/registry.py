@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitlens.llm import (bpe, decontaminate, langid, oracle, passages, pii, planes, quality, secrets, simhash, toxicity,
+from hitlens.llm import (bpe, decontaminate, dialogue, langid, oracle, passages, pii, planes, quality, secrets, simhash, toxicity,
                          urls)
 from hitlens.llm.common import crc_mod, read_table
 from hitlens.session import shared_dir
@@ -110,6 +110,15 @@ def op11_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op12_dialogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = dialogue.damage(read_table(spark, sf_dir, "conversations"))
+    repaired = dialogue.repair(spark, damaged, count_col="n")
+    texts = dialogue.digests(repaired.turns).withColumnRenamed("conv_id", "of")
+    return repaired.summary.join(texts, F.col("conv_id").eqNullSafe(F.col("of")), "left").select(
+        "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit",
+        F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_decontaminate": op2_decontaminate,
@@ -122,6 +131,7 @@ QUERIES = {
     "op9_pii": op9_pii,
     "op10_simhash": op10_simhash,
     "op11_token_planes": op11_token_planes,
+    "op12_dialogue": op12_dialogue,
 }
 
 ORACLE_SQL: dict[str, str] = {
