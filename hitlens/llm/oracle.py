@@ -153,3 +153,25 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND doc_id NOT IN (SELECT doc_id FROM failed) AS kept
 FROM stats
 """
+
+HARD_NEGATIVES = """
+WITH points AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.id AS anchor_id, b.id, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM points a JOIN points b ON a.id % 100 = 0 AND a.id <> b.id),
+positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM (
+    SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS place FROM scored WHERE same)
+  WHERE place <= 5)
+SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM (
+  SELECT p.anchor_id, positive_id, s.id AS negative_id, positive_score, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.id) AS place
+  FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+   AND 80 * positive_score <= 100 * s.score AND s.score <= positive_score)
+WHERE place <= 5
+"""

@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitlens.llm import (bpe, decontaminate, dialogue, langid, oracle, passages, pii, planes, quality, secrets, simhash, toxicity,
-                         urls)
+from hitlens.llm import (bpe, decontaminate, dialogue, langid, negatives, oracle, passages, pii, planes, quality,
+                         secrets, simhash, toxicity, urls)
 from hitlens.llm.common import crc_mod, read_table
 from hitlens.session import shared_dir
 
@@ -119,6 +119,12 @@ def op12_dialogue(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(spark, rows.select("vec_id", moved.alias("label"), "embedding"), F.col("id") % 100 == 0)
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_decontaminate": op2_decontaminate,
@@ -132,6 +138,7 @@ QUERIES = {
     "op10_simhash": op10_simhash,
     "op11_token_planes": op11_token_planes,
     "op12_dialogue": op12_dialogue,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -139,4 +146,5 @@ ORACLE_SQL: dict[str, str] = {
     "op3_quality": oracle.QUALITY,
     "op7_passages": oracle.PASSAGES,
     "op8_secrets": oracle.SECRETS,
+    "op13_hard_negatives": oracle.HARD_NEGATIVES,
 }

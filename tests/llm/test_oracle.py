@@ -10,7 +10,7 @@ from hitlens.llm import registry
 @pytest.mark.parametrize("name", sorted(registry.ORACLE_SQL))
 def test_query_equals_its_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "benchmark", "labels"):
+    for t in ("documents", "benchmark", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF01}/{t}.parquet')")
     res = con.sql(registry.ORACLE_SQL[name])
     df = registry.QUERIES[name](spark, SF01)
