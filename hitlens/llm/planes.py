@@ -33,6 +33,8 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +44,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hitlens.llm import common
-from hitlens.llm.ragged import PieceTable, per_text
+from hitlens.llm.ragged import PieceTable, flattened, gathered, per_text
 
 MAGIC = b"HLPLANE1"
 CHUNK_IDS, DOCS_PER_BLOCK, LEVEL = 1 << 16, 1 << 16, 3
@@ -192,55 +194,75 @@ class PlaneReader:
 
 # ----------------------------------------------------------------- tokenising
 
-#: Pieces whose number of words is known beforehand: letters, then maybe one run of these marks.
-_MARKS = ".,;:!?"
+#: Marks that may end a piece: a run of them after letters is a word of its own.
+_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 class LibraryEncoder:
-    """Ids by the tokenizers library, which sees every distinct piece once.
+    """Ids by the tokenizers library, which sees every distinct word once.
 
-    Words of this vocabulary end with a token of their own kind.  Pieces of one or two words are handed over
-    together and cut apart at the ends of words; if their number is not as expected the pieces go one by one.
+    ``by_pieces`` says whether white space parts words and is dropped, so that a text has the ids of its pieces.  A piece
+    of letters and maybe one run of marks is two words.  Words of letters go to the library together and are cut apart
+    where a word ends, since the last token of a word is of its own kind; if the number of ends is not as expected
+    they go one by one, as all other pieces do.  Of these words, those that normalising leaves as they are need no
+    normaliser and no pattern.
     """
 
     TOGETHER = 64
 
     def __init__(self, spec: str):
-        from tokenizers import Tokenizer
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.library = Tokenizer.from_str(spec)
-        self.library.no_truncation()
-        self.library.no_padding()
-        vocabulary = self.library.get_vocab(with_added_tokens=True)
-        suffix = json.loads(spec)["model"].get("end_of_word_suffix")
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends[[i for t, i in vocabulary.items() if suffix and t.endswith(suffix)]] = True
-
-    def _each(self, pieces: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.library.encode_batch_fast(pieces, add_special_tokens=False)]
-
-    def __call__(self, pieces: list[bytes]) -> tuple[list, None]:
-        texts = [p.decode() for p in pieces]
-        out: list = [None] * len(texts)
-        plain, other = [], []
-        for k, t in enumerate(texts):
-            word = t.rstrip(_MARKS)
-            (plain if word.isalpha() else other).append(k)
-        groups = [plain[a:a + self.TOGETHER] for a in range(0, len(plain), self.TOGETHER)]
-        coded = self._each([" ".join(texts[k] for k in g) for g in groups])
-        for group, ids in zip(groups, coded):
-            ids = np.array(ids, np.int32)
-            cuts = np.flatnonzero(self.ends[ids]) + 1
-            words = np.array([1 + (texts[k][-1] in _MARKS) for k in group])
-            if len(cuts) == words.sum():
-                parts = np.split(ids, cuts[np.cumsum(words) - 1][:-1])
-                for k, part in zip(group, parts):
-                    out[k] = part
-            else:
-                other += group
-        for k, ids in zip(other, self._each([texts[k] for k in other])):
-            out[k] = ids
-        return out, None
+        self.library = self._tokenizer(spec)
+        described = json.loads(spec)
+        suffix = described["model"].get("end_of_word_suffix")
+        split, *rest = (described.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+        self.by_pieces = bool(suffix) and split.get("type") == "Split" and split["behavior"] == "Removed" and split["invert"]
+        if self.by_pieces:
+            vocabulary = self.library.get_vocab(with_added_tokens=True)
+            self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.ends[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
+            described["normalizer"] = None
+            described["pre_tokenizer"]["pretokenizers"] = [{"type": "WhitespaceSplit"}, *rest]
+            self.plain = self._tokenizer(json.dumps(described))
+
+    @staticmethod
+    def _tokenizer(spec: str):
+        from tokenizers import Tokenizer
+        library = Tokenizer.from_str(spec)
+        library.no_truncation()
+        library.no_padding()
+        return library
+
+    def each(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return flattened([e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)])
+
+    def _together(self, library, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        groups = [" ".join(words[a:a + self.TOGETHER]) for a in range(0, len(words), self.TOGETHER)]
+        flat, _ = flattened([e.ids for e in library.encode_batch_fast(groups, add_special_tokens=False)])
+        cuts = np.flatnonzero(self.ends[flat]) + 1
+        return (flat, np.diff(cuts, prepend=0)) if len(cuts) == len(words) else self.each(words)
+
+    def __call__(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, None]:
+        texts = b" ".join(pieces).decode().split(" ")
+        words = [t.rstrip(_MARKS) for t in texts]
+        # letters that normalising makes letters and marks (U+0130, U+0958) would join the marks that follow
+        simple = [w.isalpha() and (w.isascii() or is_normalized("NFC", w) and w.lower().isalpha()) for w in words]
+        marks = [t[len(w):] if ok else "" for t, w, ok in zip(texts, words, simple)]
+        words = [(w.lower() if w.isascii() else w) if ok else t for t, w, ok in zip(texts, words, simple)]
+        kinds: tuple[dict, dict, dict] = {}, {}, {}     # other pieces, words to normalise, words that stay as they are
+        for w, ok in dict(zip(words, simple)).items():
+            kinds[0 if not ok else 2 if w.isascii() or w == w.lower() else 1][w] = None
+        kinds[0].update(dict.fromkeys(marks))
+        parts = [self.each(list(kinds[0])), self._together(self.library, list(kinds[1])),
+                 self._together(self.plain, list(kinds[2]))]
+        flat, sizes = (np.concatenate(p) for p in zip(*parts))
+        starts = np.cumsum(sizes) - sizes
+        place = {w: k for k, w in enumerate(chain(*kinds))}
+        # each piece is a word and a run of marks, which may be empty
+        both = np.empty((len(texts), 2), np.int64)
+        both[:, 0] = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
+        both[:, 1] = np.fromiter(map(place.__getitem__, marks), np.int64, len(marks))
+        return gathered(flat, starts[both].ravel(), sizes[both].ravel()), sizes[both].sum(axis=1), None
 
 
 _TABLES: dict[int, PieceTable] = {}
@@ -255,6 +277,15 @@ def _table(spec: str) -> PieceTable:
     return _TABLES[key]
 
 
+def _encode(table: PieceTable, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of the texts, and how many each text has."""
+    if not table.encode.by_pieces:
+        return table.encode.each([(t or b"").decode() for t in texts])
+    pieces = [t.split() if t else [] for t in texts]
+    ids, sizes = table.gather(table.numbers(list(chain.from_iterable(pieces))))
+    return ids, per_text(sizes, np.fromiter(map(len, pieces), np.int64, len(pieces)))
+
+
 # --------------------------------------------------------------------- corpus
 
 def _filesystem(path: str):
@@ -286,10 +317,7 @@ def write_corpus(spark: SparkSession, docs: DataFrame, folder: str, vocabulary_p
                     name = f"part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.planes"
                     path, out = f"{target}/{name}", store.open_output_stream(f"{inside}/{name}")
                     writer = PlaneWriter(out, planes, chunk_ids)
-                pieces = [t.split() if t else [] for t in texts]
-                counts = np.fromiter(map(len, pieces), np.int64, len(pieces))
-                ids, sizes = table.gather(table.numbers([p for words in pieces for p in words]))
-                held = per_text(sizes, counts)
+                ids, held = _encode(table, texts)
                 # the end id after each document
                 ids = np.insert(ids, np.cumsum(held), end_id)
                 writer.add(batch.column(0).slice(a, b - a), held + 1, ids)

@@ -8,6 +8,7 @@ so a piece is tokenised once per worker and a text is a gather by piece number.
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 
@@ -39,11 +40,11 @@ def _grown(held: np.ndarray, used: int, more: np.ndarray) -> np.ndarray:
 class PieceTable:
     """``encode`` gives the ids of new pieces; at most about ``most`` pieces are remembered.
 
-    ``encode(pieces)`` returns (ids of each piece, anything else per piece or None).  When the table is full the
-    half that was used most often stays.
+    ``encode(pieces)`` returns (all ids, number of ids of each piece, anything else per piece or None).  When the table
+    is full the half that was used most often stays.
     """
 
-    def __init__(self, encode: Callable[[list[bytes]], tuple[list, list | None]], most: int = 400_000):
+    def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray, list | None]], most: int = 400_000):
         self.encode, self.most = encode, most
         self._reset()
 
@@ -64,10 +65,8 @@ class PieceTable:
 
     def _learn(self) -> None:
         fresh, known = self.places.fresh, len(self.places) - len(self.places.fresh)
-        ids, extra = self.encode(fresh)
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.concatenate([np.asarray(i, np.int32) for i in ids]) if len(ids) else np.empty(0, np.int32)
-        self._add(known, sizes, flat, np.zeros(len(ids), np.int64))
+        flat, sizes, extra = self.encode(fresh)
+        self._add(known, sizes, flat, np.zeros(len(sizes), np.int64))
         if extra is not None:
             self.extra += extra
         self.places.fresh = []
@@ -93,11 +92,21 @@ class PieceTable:
     def gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the pieces one after the other, and how many ids each piece has."""
         sizes = self.sizes[numbers].astype(np.int64)
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        at = np.repeat(self.starts[numbers] - (ends - sizes), sizes)
-        at += np.arange(total)
-        return self.flat[at], sizes
+        return gathered(self.flat, self.starts[numbers], sizes), sizes
+
+
+def flattened(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """All ids in one array, and how many each list has."""
+    sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+    return np.fromiter(chain.from_iterable(ids), np.int32, int(sizes.sum())), sizes
+
+
+def gathered(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The runs of ``flat`` that begin at ``starts``, one after the other."""
+    ends = np.cumsum(sizes)
+    at = np.repeat(starts - (ends - sizes), sizes)
+    at += np.arange(len(at))
+    return flat[at]
 
 
 def per_text(sizes: np.ndarray, counts: np.ndarray) -> np.ndarray:

@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 
 from conftest import SF001
 from hitlens.llm import planes, registry
-from hitlens.llm.ragged import PieceTable, per_text
+from hitlens.llm.ragged import PieceTable, flattened
 from hitlens.session import shared_dir
 
 PATH = registry.vocabulary_path()
@@ -20,6 +20,7 @@ LIBRARY = Tokenizer.from_file(PATH)
 LIBRARY.no_truncation()
 LIBRARY.no_padding()
 SPEC = open(PATH, encoding="utf-8").read()
+ENCODER = planes.LibraryEncoder(SPEC)
 
 
 def library(text):
@@ -79,21 +80,41 @@ def test_a_damaged_or_cut_file_is_refused():
 @given(st.lists(st.text(alphabet=st.one_of(st.sampled_from(" \n.,;'!?aé́ İΣ1½<|endoftext|>\x1c\x85 한"), st.characters(codec="utf-8")),
                         max_size=25), min_size=1, max_size=5))
 def test_pieces_encode_as_the_library_does(texts):
-    table = PieceTable(planes.LibraryEncoder(SPEC), most=20)
+    table = PieceTable(ENCODER, most=20)
     for _ in range(2):
-        pieces = [t.encode().split() for t in texts]
-        ids, sizes = table.gather(table.numbers([p for ps in pieces for p in ps]))
-        held = per_text(sizes, np.array([len(p) for p in pieces]))
+        ids, held = planes._encode(table, [t.encode() for t in texts])
         parts = np.split(ids, np.cumsum(held)[:-1])
         assert [p.tolist() for p in parts] == [library(t) for t in texts]
 
 
+def test_letters_of_all_scripts():
+    """Letters that normalising changes, and what follows them."""
+    chars = [chr(c) for c in [*range(0x3400), *range(0x3400, 0x110000, 97)] if not 0xD800 <= c < 0xE000]
+    texts = [" ".join(f"a{c}b {c} {c}. x{c}" for c in chars[a:a + 256]) for a in range(0, len(chars), 256)]
+    table = PieceTable(ENCODER)
+    ids, held = planes._encode(table, [t.encode() for t in texts])
+    parts = np.split(ids, np.cumsum(held)[:-1])
+    wrong = [k for k, (p, t) in enumerate(zip(parts, texts)) if p.tolist() != library(t)]
+    assert not wrong, [hex(256 * k) for k in wrong]
+
+
+def test_a_vocabulary_that_keeps_white_space_gets_whole_texts():
+    import public_tokenizers
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    own = Tokenizer.from_file(path)
+    table = PieceTable(planes.LibraryEncoder(open(path, encoding="utf-8").read()))
+    texts = ["two  blanks and\na line", "", " one"]
+    ids, held = planes._encode(table, [t.encode() or None for t in texts])
+    assert [p.tolist() for p in np.split(ids, np.cumsum(held)[:-1])] == [
+        own.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_a_full_table_keeps_what_is_used_most():
     seen = []
 
     def encode(pieces):
         seen.extend(pieces)
-        return [[len(p)] * len(p) for p in pieces], None
+        return (*flattened([[len(p)] * len(p) for p in pieces]), None)
 
     table = PieceTable(encode, most=10)
     for k in range(40):
