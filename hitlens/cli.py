@@ -19,12 +19,14 @@ from pyspark.sql import DataFrame
 from .functions import parse_logs, rejects, valid
 from .operators import reports, windows
 from .operators.refine import viewed_products
+from .operators.sessions import SESSION_GAP
 from .plans import sql_reports as sq
 from .session import build_session, remove_dir, shared_dir, tune, use_rocksdb_state
 from .sources.logs import kafka_options, read_log_stream, read_logs, write_lines
 from .sources.lookup import read_country_lookup
 from .streaming import jobs
 from .streaming.counters import CounterLedger
+from .streaming.runs import FAN, RunLedger
 
 VIEWED_REPORTS = {
     "views_per_user": reports.views_per_user,
@@ -102,7 +104,7 @@ def run_stream(spark, args) -> None:
         query = jobs.start_batch_top_products(lines, lookup, out, ckpt, trigger=trigger)
     elif args.job in ("status", "ips", "endpoints", "sizes"):
         use_rocksdb_state(spark)
-        logs = jobs.access_log_stream(lines)
+        logs = jobs.without_repeats(lines, args.unrepeat) if args.unrepeat else jobs.access_log_stream(lines)
         state, finish, keys, folds = {
             "status": (jobs.status_totals, None, "response_code", jobs.SUM_TOTAL),
             "ips": (jobs.ip_totals, reports.frequent_ips_from_counts, "ip_address", jobs.SUM_TOTAL),
@@ -116,13 +118,13 @@ def run_stream(spark, args) -> None:
             writer = state(logs).writeStream.outputMode("complete").foreachBatch(show)
             query = jobs.start_query(writer, ckpt, trigger, None)
         elif args.deltas:    # no keyed state: per-batch partials below OUT/deltas, the result in OUT/result
-            ledger_path, result = f"{out.rstrip('/')}/deltas", f"{out.rstrip('/')}/result"
+            ledger = RunLedger(spark, f"{out.rstrip('/')}/deltas", keys, folds, args.compact_every or FAN)
 
             def refresh(batch_id):
-                jobs.publish(jobs.fold_deltas(jobs.read_deltas(spark, ledger_path), keys, folds, finish),
-                             result, batch_id)
-            query = jobs.start_all_time_deltas(logs, state, ledger_path, ckpt, keys, folds,
-                                               args.compact_every, trigger, after_batch=refresh)
+                if ledger.manifest.entries():
+                    totals = ledger.totals()
+                    jobs.publish(finish(totals) if finish else totals, f"{out.rstrip('/')}/result", batch_id)
+            query = jobs.start_all_time_deltas(logs, state, ledger, ckpt, trigger, after_batch=refresh)
         else:
             query = jobs.start_all_time(state(logs), out, ckpt, finish, trigger)
     elif args.job == "sliding":
@@ -135,6 +137,12 @@ def run_stream(spark, args) -> None:
     elif args.job == "sliding-sql":
         query = jobs.start_sliding_sql_reports(lines, out, ckpt, watermark=args.watermark, trigger=trigger,
                                                time_basis=args.time_basis)
+    elif args.job in ("sessions-ip", "sessions-user"):
+        key = {"sessions-ip": "ip_address", "sessions-user": "user"}[args.job]
+        query = jobs.start_sessions(lines, key, out, ckpt, args.gap, args.watermark, trigger, time_basis=args.time_basis)
+    elif args.job == "late":     # rows on time in OUT/on-time, the others in OUT/late
+        query = jobs.start_late_split(lines, f"{out.rstrip('/')}/on-time", f"{out.rstrip('/')}/late", ckpt,
+                                      args.watermark, trigger)
     elif args.job == "sql":
         query = jobs.start_sql_reports(lines, out, ckpt, trigger)
     elif args.job == "counters":
@@ -160,7 +168,7 @@ def main(argv=None) -> None:
     p = sub.add_parser("stream")
     p.add_argument("--job", required=True,
                    choices=["batch-top", "status", "ips", "endpoints", "sizes", "sliding", "sliding-top",
-                            "sliding-sql", "sql", "counters"])
+                            "sliding-sql", "sessions-ip", "sessions-user", "late", "sql", "counters"])
     p.add_argument("--source", default="text", choices=["text", "socket", "kafka"])
     p.add_argument("--path")
     p.add_argument("--port", type=int)
@@ -172,8 +180,11 @@ def main(argv=None) -> None:
     p.add_argument("--checkpoint", required=True)
     p.add_argument("--out")
     p.add_argument("--database", default="hitlens_counters")
-    p.add_argument("--compact-every", type=int, help="counters and --deltas: fold the ledger every n batches")
+    p.add_argument("--compact-every", type=int, help="counters: fold the ledger every n batches; --deltas: fold n runs into one")
     p.add_argument("--watermark", default="1 minute")
+    p.add_argument("--gap", default=SESSION_GAP, help="session jobs: the pause that ends a session")
+    p.add_argument("--unrepeat", metavar="DELAY",
+                   help="all-time jobs with --deltas: a line that comes again within DELAY counts once")
     p.add_argument("--time-basis", default="event", choices=["event", "arrival"])
     p.add_argument("--deltas", action="store_true",
                    help="all-time jobs: per-batch partials instead of state; OUT/result has the folded report")

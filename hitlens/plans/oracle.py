@@ -53,6 +53,19 @@ WINDOWS = """win AS (
          product
   FROM good, (SELECT unnest(range(3)) AS k) ks)"""
 
+def sessions_sql(key: str, closed: bool = False) -> str:
+    """Gaps and islands: a pause of more than 30 minutes begins a session.  ``closed``: those that a watermark of one
+    minute has passed."""
+    return _with(
+        f'SELECT "{key}", session_start, session_end, hits, bytes FROM ('
+        f'SELECT "{key}", n, min(date_time) AS session_start, max(date_time) + INTERVAL 30 MINUTES AS session_end, '
+        'count(*) AS hits, CAST(sum(content_size) AS BIGINT) AS bytes FROM ('
+        f'SELECT *, sum(begins) OVER (PARTITION BY "{key}" ORDER BY date_time ROWS UNBOUNDED PRECEDING) AS n FROM ('
+        'SELECT *, CASE WHEN date_time <= lag(date_time) OVER w + INTERVAL 30 MINUTES THEN 0 ELSE 1 END AS begins '
+        f'FROM good WINDOW w AS (PARTITION BY "{key}" ORDER BY date_time))) GROUP BY 1, 2)'
+        + (" WHERE session_end <= (SELECT max(date_time) FROM good) - INTERVAL 1 MINUTE" if closed else ""))
+
+
 FORMAT_LINE = (
     f"{IP} || ' - ' || CAST(e.user_id AS VARCHAR) || ' [' || "
     "strftime(e.ts, '%d/%b/%Y:%H:%M:%S') || ' +0000] \"GET ' || CASE WHEN e.event_id % 89 = 0 THEN '/' "
@@ -142,6 +155,8 @@ ORACLE_SQL: dict[str, str] = {
         "count(*) AS views, row_number() OVER (PARTITION BY window_start "
         "ORDER BY count(*) DESC, product ASC NULLS LAST) AS rank "
         "FROM win GROUP BY window_start, product) r WHERE rank <= 10", WINDOWS),
+    "sessions_per_ip": sessions_sql("ip_address"),
+    "sessions_per_user": sessions_sql("user"),
     "reformat_date": (
         "SELECT strftime(ts, '%d/%b/%Y:%H:%M:%S') || ' +0000' AS src, "
         "strftime(ts, '%Y-%m-%d %H:%M:%S') AS formatted FROM events "

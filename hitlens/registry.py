@@ -16,6 +16,7 @@ from .functions import parse_logs, parse_summary, rejects, valid
 from .functions.scalar import ip_prefix, product_from_uri, reformat_date
 from .operators import reports, windows
 from .operators.refine import viewed_products
+from .operators.sessions import sessions
 from .plans import sql_reports as sq
 from .session import shared_dir, tune
 from .sources import fixtures
@@ -159,6 +160,9 @@ BATCH_QUERIES: dict[str, Query] = {
     # sliding windows (batch form)
     "sliding_window_counts": _on_viewed(windows.sliding_window_counts),
     "sliding_top_products": _on_viewed(windows.sliding_top_products),
+    # sessions (batch form)
+    "sessions_per_ip": _on_logs(lambda logs: sessions(logs, "ip_address")),
+    "sessions_per_user": _on_logs(lambda logs: sessions(logs, "user")),
     # scalar functions
     "reformat_date": q_reformat_date,
     "product_from_uri": q_product_from_uri,

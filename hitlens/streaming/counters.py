@@ -9,6 +9,9 @@ the same job with a new checkpoint, adds to them.  The counter value is
 ``sum(delta)`` per key.  Tables are managed tables of one database located in
 the shared folder, created with SQL DDL.
 
+A batch is four writes, and it shows in all four tables at once: readers take a stream's batches up to the one that
+its commit record names, and the record moves on after the last write.
+
 ``compact`` folds a stream's batches up to ``n`` into a base partition whose id
 records ``n`` (``batch_id = -1 - n``).  Readers take each stream's newest base
 plus the deltas after it, so a compaction that stops half way - new base
@@ -28,6 +31,7 @@ from ..functions.scalar import minute_key
 from ..operators.reports import count_by
 from ..schema import COUNTER_TABLES
 from ..session import remove_dir, shared_dir
+from .manifest import Manifest
 
 
 def _plain(stream_id: str) -> str:
@@ -54,6 +58,7 @@ class CounterLedger:
         self.database = database
         self.location = location
         self.compact_every = compact_every
+        self.commits = Manifest(spark, f"{location.rstrip('/')}/_commits")
 
     # --- DDL (SNK-7, SNK-8) -------------------------------------------------
     def create_schema(self) -> None:
@@ -110,19 +115,28 @@ class CounterLedger:
         }
         for table, rows in deltas.items():
             self._write(table, rows, stream_id, batch_id)
+        self._commit(stream_id, batch_id)
         if self.compact_every and batch_id > 0 and batch_id % self.compact_every == 0:
             for table in COUNTER_TABLES:
                 self.compact(table, stream_id, batch_id - 1)
 
+    def _commit(self, stream_id: str, batch_id: int) -> None:
+        """The batch is in all four tables: let it be seen (one row per stream)."""
+        done = {e["stream"]: e["batch"] for e in self.commits.entries()}
+        done[stream_id] = max(batch_id, done.get(stream_id, batch_id))
+        self.commits.commit([{"stream": s, "batch": b} for s, b in done.items()])
+
     # --- reads (SNK-9) ------------------------------------------------------
     def live(self, table: str) -> DataFrame:
-        """Ledger rows that count: of each stream the newest base, and the deltas after it."""
+        """Ledger rows that count: of each stream the newest base, and the committed deltas after it."""
         self.ledger(table)          # refresh the listing
         t = f"`{self.database}`.`{table}`"
+        done = ", ".join(f"('{_plain(e['stream'])}', {int(e['batch'])})" for e in self.commits.entries()) or "('', -1)"
         return self.spark.sql(
-            f"SELECT t.* FROM {t} t LEFT JOIN (SELECT stream_id, min(batch_id) AS base FROM {t} "
+            f"SELECT t.* FROM {t} t JOIN (VALUES {done}) d(stream_id, last) ON t.stream_id = d.stream_id "
+            f"LEFT JOIN (SELECT stream_id, min(batch_id) AS base FROM {t} "
             "WHERE batch_id < 0 GROUP BY stream_id) b ON t.stream_id = b.stream_id "
-            "WHERE t.batch_id = b.base OR t.batch_id > coalesce(-1 - b.base, -1)")
+            "WHERE t.batch_id = b.base OR t.batch_id > coalesce(-1 - b.base, -1) AND t.batch_id <= d.last")
 
     def totals(self, table: str) -> DataFrame:
         key, _, value = COUNTER_TABLES[table]

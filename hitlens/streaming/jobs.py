@@ -16,11 +16,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import parse_logs, valid
 from ..operators import reports, windows
+from ..operators.sessions import SESSION_GAP, sessions
 from ..operators.refine import bounded_broadcast, viewed_products
 from ..plans import sql_reports as sq
 from ..functions.scalar import product_from_uri
 from ..schema import MAX_CLASS_B_PREFIXES
-from ..session import remove_dir, shared_dir
+from ..session import shared_dir
+from .manifest import Manifest
+from .runs import RunLedger
 
 DEFAULT_TRIGGER = {"processingTime": "10 seconds"}   # fixed value: 10 s micro-batches
 
@@ -92,16 +95,24 @@ def start_batch_top_products(lines: DataFrame, lookup: DataFrame, out_path: str,
 
 # --- results that are replaced as a whole ---------------------------------------
 
-def publish(df: DataFrame, path: str, version: int) -> None:
-    """Write one version of a result into a folder of its own; earlier versions stay until it is complete."""
-    df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/version={int(version)}")
+KEEP_VERSIONS = 3
+
+
+def publish(df: DataFrame, path: str, version: int, keep: int = KEEP_VERSIONS) -> None:
+    """Write one version of a result; it replaces the one before once it is complete, and the last ``keep`` stay."""
+    manifest = Manifest(df.sparkSession, path, keep=0)
+    entry = {"version": int(version), **manifest.write(df, f"version-{int(version)}")}
+    others = [e for e in manifest.entries() if e["version"] != entry["version"]]
+    manifest.commit(others[len(others) - keep + 1 if len(others) >= keep else 0:] + [entry])
 
 
 def read_published(spark: SparkSession, path: str) -> DataFrame:
-    """The newest complete version (files of a write that failed are never visible)."""
-    every = spark.read.parquet(path)
-    newest = every.agg(F.max("version")).first()[0]
-    return every.where(F.col("version") == F.lit(newest)).drop("version")
+    """The version committed last, be it empty; a write that is under way or failed is never seen."""
+    manifest = Manifest(spark, path)
+    versions = manifest.entries()
+    if not versions:
+        raise ValueError(f"nothing published below {path}")
+    return manifest.read(versions[-1])
 
 
 # --- STR-4..7: all-time totals ---------------------------------------------------
@@ -117,60 +128,18 @@ def start_all_time(counts: DataFrame, out_path: str, checkpoint: str, finish=Non
     return start_query(writer, checkpoint, trigger, name)
 
 
-def start_all_time_deltas(logs: DataFrame, partial, ledger_path: str, checkpoint: str, keys=(),
-                          folds: dict | None = None, compact_every: int | None = None,
-                          trigger: dict | None = None, name: str | None = None,
-                          after_batch=None) -> StreamingQuery:
-    """All-time totals without keyed state: each micro-batch writes its own
-    partial aggregate (``partial(batch)``) into the partition of its
-    ``batch_id``; :func:`fold_deltas` combines them on read.  Each trigger
-    writes only that batch's keys (complete mode rewrites every key ever
-    seen), and a replayed batch replaces its own partition.  With
-    ``compact_every=n`` every n-th batch folds the ones before it into a base.
-    ``after_batch(batch_id)`` runs once a batch is in the ledger."""
+def start_all_time_deltas(logs: DataFrame, partial, ledger: RunLedger, checkpoint: str, trigger: dict | None = None,
+                          name: str | None = None, after_batch=None) -> StreamingQuery:
+    """All-time totals without keyed state: each micro-batch adds its own partial aggregate (``partial(batch)``) to
+    the ledger of runs; ``ledger.totals()`` combines them.  ``after_batch(batch_id)`` runs once a batch is in."""
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         if not is_empty_batch(batch, batch_id):
-            write_batch_partition(partial(batch), ledger_path, batch_id)
-        if compact_every and batch_id > 0 and batch_id % compact_every == 0:
-            compact_deltas(batch.sparkSession, ledger_path, keys, folds, batch_id - 1)
+            ledger.add(partial(batch), batch_id, stream_id_of(batch))
         if after_batch:
             after_batch(batch_id)
     return start_query(logs.writeStream.foreachBatch(per_batch), checkpoint, trigger, name)
 
 
-def read_deltas(spark: SparkSession, ledger_path: str) -> DataFrame:
-    """The partials that count: the newest base (``batch_id`` -1 - n holds the batches up to n)
-    and the batches after it."""
-    rows = spark.read.parquet(ledger_path).withColumn("batch_id", F.col("batch_id").cast("bigint"))
-    base = rows.agg(F.min(F.when(F.col("batch_id") < 0, F.col("batch_id")))).first()[0]
-    if base is None:
-        return rows
-    return rows.where((F.col("batch_id") == base) | (F.col("batch_id") > -1 - base))
-
-
-def compact_deltas(spark: SparkSession, ledger_path: str, keys, folds: dict, upto_batch_id: int) -> None:
-    """Fold the batches ``<= upto_batch_id`` and the base before them into a new base.
-
-    Readers use the newest base, so a compaction that stops half way changes no total.
-    """
-    old = read_deltas(spark, ledger_path).where(F.col("batch_id") <= upto_batch_id)
-    staging = shared_dir(spark, "staging-deltas")
-    fold_deltas(old, keys, folds).write.parquet(staging)
-    write_batch_partition(spark.read.parquet(staging), ledger_path, -1 - upto_batch_id)
-    remove_dir(spark, staging)
-
-
-def fold_deltas(deltas: DataFrame, keys, folds: dict, finish=None) -> DataFrame:
-    """Combine per-batch partials: ``folds`` maps a column to sum / min / max."""
-    fns = {"sum": F.sum, "min": F.min, "max": F.max}
-    aggs = [fns[how](col).alias(col) for col, how in folds.items()]
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    folded = deltas.groupBy(*keys).agg(*aggs) if keys else deltas.agg(*aggs)
-    folded = folded.select(*keys, *[F.col(c).cast("bigint").alias(c) if folds[c] == "sum"
-                                    else F.col(c) for c in folds])
-    return finish(folded) if finish else folded
-
-
 SUM_TOTAL = {"total": "sum"}
 SIZE_FOLDS = {"total_size": "sum", "n": "sum", "min_size": "min", "max_size": "max"}
 
@@ -251,6 +220,58 @@ def start_sliding_top_products(lines: DataFrame, out_path: str, checkpoint: str,
     return start_query(counts.writeStream.outputMode("append").foreachBatch(per_batch), checkpoint, trigger, name)
 
 
+# --- STR-14: sessions, repeated lines, late lines ------------------------------------
+
+def start_sessions(lines: DataFrame, key: str, out_path: str, checkpoint: str, gap: str = SESSION_GAP,
+                   watermark: str = "1 minute", trigger: dict | None = None, name: str | None = None,
+                   time_basis: str = "event") -> StreamingQuery:
+    """Sessions per ``key``, appended once they are closed; the state holds open sessions only."""
+    logs, time_col = timed_logs(lines, watermark, time_basis)
+    writer = (sessions(logs, key, gap, time_col).writeStream.outputMode("append")
+              .format("parquet").option("path", out_path))
+    return start_query(writer, checkpoint, trigger, name)
+
+
+def without_repeats(lines: DataFrame, delay: str) -> DataFrame:
+    """Access logs in which a line that comes again within ``delay`` of its own time counts once (shippers send files
+    twice).  The state holds a digest of each line and forgets it as the watermark passes."""
+    good = parse_logs(lines.select("value")).where("is_valid")
+    named = good.withColumn("_line", F.unhex(F.md5("value"))).withWatermark("date_time", delay)
+    return named.dropDuplicatesWithinWatermark(["_line"]).drop("_line", "value", "is_valid")
+
+
+def start_late_split(lines: DataFrame, on_time_path: str, late_path: str, checkpoint: str, delay: str = "1 minute",
+                     trigger: dict | None = None, name: str | None = None) -> StreamingQuery:
+    """Every access-log row goes to one of two tables by batch: late rows, older than the newest time of all earlier
+    batches less ``delay``, to a quarantine instead of vanishing from windowed jobs.
+
+    The newest time is committed after a batch's rows, with the batch it belongs to, so a replayed batch is split as
+    it was the first time.
+    """
+    logs = access_log_stream(lines)
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        spark, marks = batch.sparkSession, Manifest(batch.sparkSession, f"{on_time_path.rstrip('/')}-watermark")
+        stream = stream_id_of(batch)
+        earlier = [e for e in marks.entries() if e["stream"] == stream and e["batch_id"] < batch_id]
+        newest = earlier[-1]["micros"] if earlier else None
+        rows = batch.persist()
+        try:
+            if is_empty_batch(rows, batch_id):
+                return
+            passed = F.timestamp_micros(F.lit(newest).cast("bigint")) - F.expr(f"INTERVAL {delay}")
+            late = F.coalesce(F.col("date_time") < passed, F.lit(False))
+            write_batch_partition(rows.where(~late), on_time_path, batch_id)
+            write_batch_partition(rows.where(late), late_path, batch_id)
+            seen = rows.agg(F.max(F.unix_micros("date_time"))).first()[0]
+            mark = {"stream": stream, "batch_id": batch_id, "micros": max(x for x in (newest, seen) if x is not None)}
+            marks.commit(earlier[-2:] + [mark])
+        finally:
+            rows.unpersist()
+
+    return start_query(logs.writeStream.foreachBatch(per_batch), checkpoint, trigger, name)
+
+
 # The four reports over the closed windows of a micro-batch: one row per window, report and key.
 SQL_WINDOW_REPORTS = """
 SELECT window_start, window_end, report, stat AS key, value FROM (

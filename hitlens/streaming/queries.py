@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import reports
-from ..plans.oracle import ORACLE_SQL, _with
+from ..plans.oracle import ACCESS_COLS, ORACLE_SQL, _with, sessions_sql
 from ..registry import country_lookup
 from ..session import ROCKSDB_PROVIDER, remove_dir, shared_dir, tune
 from ..sources import fixtures
@@ -26,6 +26,7 @@ from ..sources.logs import read_log_stream
 from ..streaming import jobs
 from ..streaming.counters import CounterLedger
 from ..streaming.feed import append_slice, stage_slices
+from ..streaming.runs import RunLedger
 
 AVAILABLE_NOW = {"availableNow": True}
 COMPACT_EVERY = 2           # ledgers are folded every 2 batches
@@ -56,11 +57,12 @@ def stream_settings(spark: SparkSession, state_partitions: int | None = None):
 
 
 def run_slices(spark: SparkSession, lines: DataFrame, start, stateful: bool = False,
-               n_slices: int | None = None) -> int:
-    """Feed ``lines`` (ts, value) slice by slice to ``start(stream, checkpoint)``; returns the number of slices."""
+               n_slices: int | None = None, times: int = 1) -> int:
+    """Feed ``lines`` (ts, value) slice by slice, each ``times`` times, to ``start(stream, checkpoint)``; returns the
+    number of slices."""
     staged, incoming, checkpoint = (shared_dir(spark, n) for n in ("slices", "feed", "ckpt"))
     slices = stage_slices(lines, staged, n_slices=n_slices)
-    for s in slices:
+    for s in [s for s in slices for _ in range(times)]:
         append_slice(spark, staged, s, incoming)
         stream = read_log_stream(spark, "text", incoming)
         if stateful:
@@ -95,15 +97,50 @@ def _all_time(state_fn, finish=None):
 
 
 def _all_time_deltas(partial, key: str, finish):
-    """STR-5, STR-6: unbounded keys, per-batch partials folded every COMPACT_EVERY batches."""
+    """STR-5, STR-6: unbounded keys, per-batch partials in levelled runs."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        out = shared_dir(spark, "out")
+        ledger = RunLedger(spark, shared_dir(spark, "out"), key, jobs.SUM_TOTAL, COMPACT_EVERY)
         run_slices(spark, event_lines(spark, sf_dir), lambda stream, ckpt: jobs.start_all_time_deltas(
-            jobs.access_log_stream(stream), partial, out, ckpt, key, jobs.SUM_TOTAL, COMPACT_EVERY, AVAILABLE_NOW))
-        return jobs.fold_deltas(jobs.read_deltas(spark, out), key, jobs.SUM_TOTAL, finish)
+            jobs.access_log_stream(stream), partial, ledger, ckpt, AVAILABLE_NOW))
+        return finish(ledger.totals())
     return run
 
 
+def _sessions(key: str):
+    """STR-14: closed sessions of each key."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        out = shared_dir(spark, "out")
+        run_slices(spark, event_lines(spark, sf_dir), lambda stream, ckpt: jobs.start_sessions(
+            stream, key, out, ckpt, trigger=AVAILABLE_NOW), stateful=True)
+        return spark.read.parquet(out)
+    return run
+
+
+REPEAT_DELAY, LATE_BY, LATE_DELAY = "10 days", "8 days", "1 day"
+
+
+def q_stream_without_repeats(spark, sf_dir):
+    """STR-14: every slice of the lines comes twice; hits per response code as if it came once."""
+    ledger = RunLedger(spark, shared_dir(spark, "out"), "response_code", jobs.SUM_TOTAL, COMPACT_EVERY)
+    run_slices(spark, event_lines(spark, sf_dir), lambda stream, ckpt: jobs.start_all_time_deltas(
+        jobs.without_repeats(stream, REPEAT_DELAY), jobs.status_totals, ledger, ckpt, AVAILABLE_NOW),
+        stateful=True, times=2)
+    return ledger.totals()
+
+
+def q_stream_late_lines(spark, sf_dir):
+    """STR-14: lines of every 10th event come 8 days late; rows on time and late of each micro-batch."""
+    on_time, late = shared_dir(spark, "out"), shared_dir(spark, "late")
+    held = F.when(F.col("event_id") % 10 == 0, F.expr(f"INTERVAL {LATE_BY}")).otherwise(F.expr("INTERVAL 0 days"))
+    lines = event_lines(spark, sf_dir).withColumn("ts", F.col("ts") + held)
+    run_slices(spark, lines, lambda stream, ckpt: jobs.start_late_split(
+        stream, on_time, late, ckpt, LATE_DELAY, AVAILABLE_NOW))
+    rows = read_batches(spark, on_time).withColumn("late", F.lit(False)).unionByName(
+        read_batches(spark, late).withColumn("late", F.lit(True)))
+    return rows.groupBy("batch_id", "late").agg(
+        F.count("*").alias("hits"), F.sum("content_size").cast("bigint").alias("bytes"))
+
+
 def q_stream_batch_top_products(spark, sf_dir):
     out, lookup = shared_dir(spark, "out"), country_lookup(spark, sf_dir)
     run_slices(spark, event_lines(spark, sf_dir), lambda stream, ckpt: jobs.start_batch_top_products(
@@ -174,6 +211,10 @@ STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_sql_reports": q_stream_sql_reports,
     "stream_sliding_top_products": q_stream_sliding_top_products,
     "stream_sliding_sql_reports": q_stream_sliding_sql_reports,
+    "stream_sessions_per_ip": _sessions("ip_address"),
+    "stream_sessions_per_user": _sessions("user"),
+    "stream_without_repeats": q_stream_without_repeats,
+    "stream_late_lines": q_stream_late_lines,
     "counter_page_views": _counter("page_views"),
     "counter_log_volume": _counter("log_volume_by_minute"),
     "counter_status": _counter("status_counter"),
@@ -181,15 +222,21 @@ STREAM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "counter_read": lambda spark, sf_dir: with_counters(spark, sf_dir, lambda ledger: ledger.read(COUNTER_READ_SQL)),
 }
 
-# micro-batch b is the b-th slice of the lines' time span that has lines; as many slices as the lines need
-SLICES = """lines AS (SELECT ts FROM events UNION ALL SELECT ts FROM events WHERE event_id % 97 = 0
-  UNION ALL SELECT ts FROM events WHERE event_id % 53 = 0),
+def _slices(late: str = "INTERVAL 0 DAYS") -> str:
+    """Micro-batch b is the b-th slice of the lines' time span that has lines; as many slices as the lines need.
+    ``late`` is what a line's arrival adds to its event's time."""
+    arrival = f"(ts + {late})"
+    return f"""lines AS (SELECT {arrival} AS ts FROM events UNION ALL SELECT {arrival} FROM events WHERE event_id % 97 = 0
+  UNION ALL SELECT {arrival} FROM events WHERE event_id % 53 = 0),
 bounds AS (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) AS hi,
            greatest(4, CAST(ceil(count(*) / 2000000.0) AS BIGINT)) AS parts FROM lines),
 slices AS (SELECT slice, row_number() OVER (ORDER BY slice) - 1 AS batch_id FROM (
   SELECT DISTINCT ((epoch_us(ts) - lo) * parts) // (hi - lo + 1) AS slice FROM lines, bounds)),
-gb AS (SELECT g.*, s.batch_id FROM good g, bounds b, slices s
-       WHERE s.slice = ((epoch_us(g.event_ts) - b.lo) * b.parts) // (b.hi - b.lo + 1))"""
+gb AS (SELECT g.*, s.batch_id FROM (SELECT *, event_ts AS ts FROM good) g, bounds b, slices s
+       WHERE s.slice = ((epoch_us({arrival}) - b.lo) * b.parts) // (b.hi - b.lo + 1))"""
+
+
+SLICES = _slices()
 # windows whose end the watermark has passed
 CLOSED = """win AS (
   SELECT time_bucket(INTERVAL '10 seconds', date_time) - to_seconds(k * 10) AS window_start, good.*
@@ -246,6 +293,16 @@ STREAM_ORACLE_SQL: dict[str, str] = {
           "SELECT window_start, window_end, request_uri, count(*) AS total, row_number() OVER ("
           "PARTITION BY window_start ORDER BY count(*) DESC, request_uri ASC NULLS LAST) AS rn "
           "FROM closed GROUP BY window_start, window_end, request_uri) WHERE rn <= 10", CLOSED),
+    "stream_sessions_per_ip": sessions_sql("ip_address", closed=True),
+    "stream_sessions_per_user": sessions_sql("user", closed=True),
+    "stream_without_repeats": _with(
+        f"SELECT response_code, count(*) AS total FROM (SELECT DISTINCT {ACCESS_COLS} FROM good) GROUP BY 1"),
+    "stream_late_lines": _with(
+        "SELECT batch_id, late, count(*) AS hits, CAST(sum(content_size) AS BIGINT) AS bytes FROM ("
+        "SELECT gb.*, coalesce(date_time < passed, false) AS late FROM gb JOIN ("
+        "SELECT batch_id, max(max(date_time)) OVER (ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) "
+        "- INTERVAL 1 DAY AS passed FROM gb GROUP BY batch_id) USING (batch_id)) GROUP BY 1, 2",
+        _slices("CASE WHEN event_id % 10 = 0 THEN INTERVAL 8 DAYS ELSE INTERVAL 0 DAYS END")),
     "stream_status_total": ORACLE_SQL["response_code_counts"],
     "stream_frequent_ips_total": ORACLE_SQL["frequent_ips"],
     "stream_top_endpoints_total": ORACLE_SQL["top_endpoints"],

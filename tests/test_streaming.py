@@ -16,6 +16,7 @@ from hitlens.sources import fixtures
 from hitlens.sources.logs import read_log_stream
 from hitlens.streaming import jobs
 from hitlens.streaming.counters import CounterLedger, base_batch_id
+from hitlens.streaming.runs import RunLedger
 from feeds import append_feed_file
 
 NOW = {"availableNow": True}
@@ -208,17 +209,11 @@ def test_state_free_totals_equal_batch(spark, feed):
          ("total_size", "n", "min_size", "max_size", "avg_size")),
     ]
     for partial, keys, folds, finish, expected, cols in cases:
-        ledger = shared_dir(spark, "t-deltas")
+        ledger = RunLedger(spark, shared_dir(spark, "t-deltas"), keys, folds, fan=2)
         logs = jobs.access_log_stream(_stream(spark, path))
-        _run(jobs.start_all_time_deltas(logs, partial, ledger, shared_dir(spark, "t-ck"), keys, folds, None, NOW))
-        deltas = jobs.read_deltas(spark, ledger)
-        assert deltas.select("batch_id").distinct().count() == 3
-        assert _rows(jobs.fold_deltas(deltas, keys, folds, finish), *cols) == _rows(expected, *cols)
-        jobs.compact_deltas(spark, ledger, keys, folds, 0)
-        jobs.compact_deltas(spark, ledger, keys, folds, 1)
-        live = jobs.read_deltas(spark, ledger)
-        assert sorted(r.batch_id for r in live.select("batch_id").distinct().collect()) == [-2, 2]
-        assert _rows(jobs.fold_deltas(live, keys, folds, finish), *cols) == _rows(expected, *cols)
+        _run(jobs.start_all_time_deltas(logs, partial, ledger, shared_dir(spark, "t-ck"), NOW))
+        assert [(r["level"], r["first"], r["last"]) for r in ledger.manifest.entries()] == [(1, 0, 1), (0, 2, 2)]
+        assert _rows(finish(ledger.totals()), *cols) == _rows(expected, *cols)
 
 
 def test_published_versions(spark):
