@@ -16,7 +16,7 @@ import argparse
 
 from pyspark.sql import DataFrame
 
-from .functions import parse_logs, rejects, valid
+from .functions import parse_logs, parse_summary, rejects, split_once, valid
 from .operators import reports, windows
 from .operators.refine import viewed_products
 from .operators.sessions import SESSION_GAP
@@ -26,21 +26,9 @@ from .sources.logs import kafka_options, read_log_stream, read_logs, write_lines
 from .sources.lookup import read_country_lookup
 from .streaming import jobs
 from .streaming.counters import CounterLedger
+from .streaming.metrics import BatchLog
 from .streaming.runs import FAN, RunLedger
 
-VIEWED_REPORTS = {
-    "views_per_user": reports.views_per_user,
-    "views_per_country": reports.views_per_country,
-    "views_per_hour": reports.views_per_hour,
-    "top_products": reports.top_products,
-    "top_products_per_user": reports.top_products_per_user,
-}
-LOG_REPORTS = {
-    "content_size_stats": reports.content_size_stats,
-    "response_code_counts": reports.response_code_counts,
-    "frequent_ips": reports.frequent_ips,
-    "top_endpoints": reports.top_endpoints,
-}
 SQL_REPORTS = {
     "views_per_user": sq.SQL_VIEWS_PER_USER,
     "views_per_country": sq.SQL_VIEWS_PER_COUNTRY,
@@ -59,17 +47,23 @@ def _emit(name: str, df: DataFrame, out: str | None, show: int) -> None:
 
 
 def run_batch(spark, args) -> None:
-    """Batch job: rejects out, then one pass that parses and refines; the reports read the
-    narrow columns it wrote below the shared folder (Q9), not the raw lines."""
-    parsed = parse_logs(read_logs(spark, args.logs))
-    if args.rejects:
-        write_lines(rejects(parsed), args.rejects, mode="overwrite")
+    """Batch job: one pass reads, parses, counts and refines the lines and sets the rejects aside (below the shared
+    folder); one aggregate over its narrow columns serves all reports."""
     path = shared_dir(spark, "refined")
-    viewed_products(valid(parsed), read_country_lookup(spark, args.lookup),
-                    extra_columns=("ip_address", "request_uri", "content_size")).write.parquet(path)
-    refined = spark.read.parquet(path)
-    for name, fn in {**VIEWED_REPORTS, **LOG_REPORTS}.items():
-        _emit(name, fn(refined), args.out, args.show)
+    lookup = read_country_lookup(spark, args.lookup)
+
+    def refine(rows: DataFrame) -> DataFrame:
+        return viewed_products(rows, lookup, extra_columns=(
+            "ip_address", "request_uri", "content_size", "is_valid", "value"))
+
+    rows = split_once(parse_logs(read_logs(spark, args.logs)), f"{path}/lines", refine)
+    _emit("parse_summary", parse_summary(rows), args.out, args.show)
+    if args.rejects:
+        write_lines(rejects(rows), args.rejects, mode="overwrite")
+    reports.all_counts(rows.where("is_valid")).write.partitionBy("report").parquet(f"{path}/counts")
+    every = spark.read.parquet(f"{path}/counts")
+    for name, fn in reports.FROM_COUNTS.items():
+        _emit(name, fn(every), args.out, args.show)
     remove_dir(spark, path)
 
 
@@ -143,6 +137,9 @@ def run_stream(spark, args) -> None:
     elif args.job == "late":     # rows on time in OUT/on-time, the others in OUT/late
         query = jobs.start_late_split(lines, f"{out.rstrip('/')}/on-time", f"{out.rstrip('/')}/late", ckpt,
                                       args.watermark, trigger)
+    elif args.job == "split":    # good rows in OUT/good, rejected lines in OUT/rejects; a line per batch is printed
+        spark.streams.addListener(BatchLog(print))
+        query = jobs.start_split(lines, f"{out.rstrip('/')}/good", f"{out.rstrip('/')}/rejects", ckpt, trigger)
     elif args.job == "sql":
         query = jobs.start_sql_reports(lines, out, ckpt, trigger)
     elif args.job == "counters":
@@ -168,7 +165,7 @@ def main(argv=None) -> None:
     p = sub.add_parser("stream")
     p.add_argument("--job", required=True,
                    choices=["batch-top", "status", "ips", "endpoints", "sizes", "sliding", "sliding-top",
-                            "sliding-sql", "sessions-ip", "sessions-user", "late", "sql", "counters"])
+                            "sliding-sql", "sessions-ip", "sessions-user", "late", "split", "sql", "counters"])
     p.add_argument("--source", default="text", choices=["text", "socket", "kafka"])
     p.add_argument("--path")
     p.add_argument("--port", type=int)

@@ -96,10 +96,38 @@ def rejects(parsed: DataFrame, value_col: str = "value") -> DataFrame:
     return parsed.where(~F.col("is_valid")).select(value_col)
 
 
+def line_counts() -> list[Column]:
+    """Lines, good lines, rejected lines (good + rejected = lines)."""
+    return [F.count(F.lit(1)).alias("total_lines"), F.count_if(F.col("is_valid")).alias("good_lines"),
+            F.count_if(~F.col("is_valid")).alias("rejected_lines")]
+
+
 def parse_summary(parsed: DataFrame) -> DataFrame:
-    """One row: lines, good lines, rejected lines (good + rejected = lines)."""
-    return parsed.agg(
-        F.count(F.lit(1)).alias("total_lines"),
-        F.count_if(F.col("is_valid")).alias("good_lines"),
-        F.count_if(~F.col("is_valid")).alias("rejected_lines"),
-    )
+    """One row: lines, good lines, rejected lines."""
+    return parsed.agg(*line_counts())
+
+
+def split_once(parsed: DataFrame, path: str, refine=lambda rows: rows) -> DataFrame:
+    """Write good and rejected lines below ``path`` in one pass over ``parsed``; the table, with ``is_valid``.
+
+    ``refine`` adds to the rows (it must keep their number, ``is_valid`` and ``value``); the raw line stays with
+    rejects only.  A reader of one side reads that side's files.  At most two files are open per task, so nothing
+    is sorted.  Counts come from the written table (``parse_summary``): they need no line and hold after a lost
+    executor, which counts taken on the way (``observed``) need not.
+    """
+    spark = parsed.sparkSession
+    rows = refine(parsed.withColumn("value", F.when(~F.col("is_valid"), F.col("value"))))
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    old = spark.conf.get(setting)
+    spark.conf.set(setting, "2")
+    try:
+        rows.write.partitionBy("is_valid").parquet(path)
+    finally:
+        spark.conf.set(setting, old)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
+def observed(parsed: DataFrame, name: str = "lines") -> DataFrame:
+    """``parsed``, whose lines, good lines and rejects are counted while it runs; in a stream each micro-batch's
+    progress holds them under ``name``."""
+    return parsed.observe(name, *line_counts())

@@ -53,6 +53,21 @@ WINDOWS = """win AS (
          product
   FROM good, (SELECT unnest(range(3)) AS k) ks)"""
 
+def _counts_sql() -> str:
+    """A plain GROUP BY per report, side by side."""
+    columns = ['"user"', "country_code", "hour", "product", "response_code", "ip_address", "request_uri"]
+    types = ["VARCHAR", "VARCHAR", "INTEGER", "VARCHAR", "INTEGER", "VARCHAR", "VARCHAR"]
+    keys = {"views_per_user": ['"user"'], "views_per_country": ["country_code"], "views_per_hour": ["hour"],
+            "views_per_product": ["product"], "views_per_user_product": ['"user"', "product"],
+            "response_codes": ["response_code"], "ips": ["ip_address"], "endpoints": ["request_uri"], "sizes": []}
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS report, " + ", ".join(
+            c if c in by else f"CAST(NULL AS {t}) AS {c}" for c, t in zip(columns, types))
+        + ", count(*) AS total, CAST(sum(content_size) AS BIGINT) AS total_size, min(content_size) AS min_size, "
+          "max(content_size) AS max_size FROM hourly" + (f" GROUP BY {', '.join(by)}" if by else "")
+        for name, by in keys.items())
+
+
 def sessions_sql(key: str, closed: bool = False) -> str:
     """Gaps and islands: a pause of more than 30 minutes begins a session.  ``closed``: those that a watermark of one
     minute has passed."""
@@ -155,6 +170,7 @@ ORACLE_SQL: dict[str, str] = {
         "count(*) AS views, row_number() OVER (PARTITION BY window_start "
         "ORDER BY count(*) DESC, product ASC NULLS LAST) AS rank "
         "FROM win GROUP BY window_start, product) r WHERE rank <= 10", WINDOWS),
+    "all_counts": _with(_counts_sql(), "hourly AS (SELECT *, CAST(hour(date_time) AS INTEGER) AS hour FROM good)"),
     "sessions_per_ip": sessions_sql("ip_address"),
     "sessions_per_user": sessions_sql("user"),
     "reformat_date": (

@@ -160,6 +160,10 @@ BATCH_QUERIES: dict[str, Query] = {
     # sliding windows (batch form)
     "sliding_window_counts": _on_viewed(windows.sliding_window_counts),
     "sliding_top_products": _on_viewed(windows.sliding_top_products),
+    # all counting reports in one pass
+    "all_counts": lambda spark, sf_dir: reports.all_counts(viewed_products(
+        access_logs(spark, sf_dir), country_lookup(spark, sf_dir), broadcast="bounded",
+        extra_columns=("ip_address", "request_uri", "content_size"))),
     # sessions (batch form)
     "sessions_per_ip": _on_logs(lambda logs: sessions(logs, "ip_address")),
     "sessions_per_user": _on_logs(lambda logs: sessions(logs, "user")),

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions import parse_logs, valid
+from ..functions import observed, parse_logs, rejects, valid
 from ..operators import reports, windows
 from ..operators.sessions import SESSION_GAP, sessions
 from ..operators.refine import bounded_broadcast, viewed_products
@@ -74,6 +74,24 @@ def access_log_stream(lines: DataFrame) -> DataFrame:
     return valid(parse_logs(lines))
 
 
+# --- SNK-2, AGG-13: good rows and rejects in one pass -----------------------------
+
+def start_split(lines: DataFrame, good_path: str, rejects_path: str, checkpoint: str, trigger: dict | None = None,
+                name: str | None = None) -> StreamingQuery:
+    """Good rows and rejected lines of each micro-batch, in two tables by batch.  Each line is parsed once; a
+    :class:`~hitlens.streaming.metrics.BatchLog` tells how many there were and how long the batch took."""
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        rows = batch.persist()
+        try:
+            write_batch_partition(valid(rows), good_path, batch_id)
+            write_batch_partition(rejects(rows), rejects_path, batch_id)
+        finally:
+            rows.unpersist()
+
+    parsed = observed(parse_logs(lines.select("value")))
+    return start_query(parsed.writeStream.foreachBatch(per_batch), checkpoint, trigger, name)
+
+
 # --- STR-2: per-batch analytics, no carry-over --------------------------------
 
 def start_batch_top_products(lines: DataFrame, lookup: DataFrame, out_path: str,

@@ -50,6 +50,7 @@ def test_cli_batch_writes_reports_and_rejects(spark):
             for r in reports.views_per_country(registry.viewed(spark, SF001)).collect()}
     assert got == want
     assert spark.read.text(rej).count() == registry.q_parse_rejects(spark, SF001).count()
+    assert spark.read.parquet(f"{out}/parse_summary").collect() == registry.q_parse_summary(spark, SF001).collect()
     cli.run_sql(spark, cli.argparse.Namespace(
         logs=logs_dir, lookup=lookup_dir, out=out, rejects=None, show=10, min_partitions=4))
     assert spark.read.parquet(f"{out}/top_endpoints").count() == 10
