@@ -6,8 +6,13 @@ parameter and is read on the driver.  Words of all documents are counted
 (pre-aggregated in each task, then summed by Spark); the most frequent ones
 of at most ``LEXICON_BYTES`` bytes, ``LEXICON`` at most, are merged once and
 compiled with their ids into a minimal acyclic transducer.  Tasks memory-map
-it.  A word that the lexicon lacks is merged exactly, so the result does not
-depend on the lexicon; a task remembers the words it has met.
+it.  A word that the lexicon lacks is merged exactly, many words at once, so the
+result does not depend on the lexicon.
+
+Words never hold white space, so a text is cut at ASCII white space into pieces
+and every distinct piece is normalised, split and encoded once per worker
+(``ragged.PieceTable``, with its decoded text); a text's ids are a gather by piece
+number.
 
 ``decode`` joins the tokens of the ids with blanks, which is what the file's
 missing decoder means.
@@ -37,15 +42,18 @@ from pyspark.sql import functions as F
 
 from hitlens.llm import common
 from hitlens.llm.lexicon import Lexicon, mapped, pack
+from hitlens.llm.ragged import PieceTable, gathered, per_text
 from hitlens.session import shared_dir
 
 LEXICON, LEXICON_BYTES = 40_000, 64
-#: Words a task counts or remembers at most before it sends them on or forgets them.
+#: Pieces a task counts or remembers at most before it sends them on or forgets those used least.
 COUNT_MOST, CACHE_MOST = 300_000, 300_000
+#: Bytes of text at once, and words merged at once.
+TEXT_STEP, MERGE_STEP = 2_000_000, 50_000
 #: Words from this many symbols on are merged with a heap.
 LONG_WORD = 48
 #: Stands for a pair that is never merged: after every rank.
-_NONE = (1 << 60, -1)
+_NONE, _NEVER = (1 << 60, -1), np.int32(2**31 - 1)
 
 
 # What Unicode 16 and 17 added after the tables of this Python (15.1) and the public
@@ -90,6 +98,13 @@ class Vocabulary:
         self.last = [vocab[symbols[b] + end] for b in range(256)]
         #: pair of ids -> (rank, id of the merged token)
         self.merges = {vocab[a] << 16 | vocab[b]: (rank, vocab[a + b]) for rank, (a, b) in enumerate(model["merges"])}
+        keys = np.fromiter(self.merges, np.int64, len(self.merges))
+        ranks, merged = np.array(list(self.merges.values()), np.int32).reshape(-1, 2).T
+        order = np.argsort(keys)
+        self.keys, self.ranks = keys[order], ranks[order]
+        #: by rank
+        self.merged = np.zeros(len(keys), np.int32)
+        self.merged[ranks] = merged
         size = max([*vocab.values(), *self.special.values()]) + 1
         self.tokens = [""] * size
         for token, number in chain(vocab.items(), self.special.items()):
@@ -116,6 +131,66 @@ class Vocabulary:
                 found[at] = find(ids[at] << 16 | ids[at + 1], _NONE)
         return ids
 
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of the merge of each pair, ``_NEVER`` if there is none."""
+        keys = left.astype(np.int64) << 16 | right
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where((self.keys[at] == keys) & (right >= 0), self.ranks[at], _NEVER)
+
+    def merge_many(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """``merge`` of many words: all ids, and how many each word has.  Words of like length take their next merge
+        together."""
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        sizes, starts, parts, held = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64), [], 0
+        for least, most in ((1, 7), (7, 13), (13, 21), (21, LONG_WORD)):
+            at = np.flatnonzero((lengths >= least) & (lengths < most))
+            for some in np.split(at, range(MERGE_STEP, len(at), MERGE_STEP)):
+                if len(some):
+                    ids = self._merge_group([words[k] for k in some.tolist()], lengths[some])
+                    inside = ids >= 0
+                    sizes[some] = inside.sum(axis=1)
+                    starts[some] = held + np.cumsum(sizes[some]) - sizes[some]
+                    parts.append(ids[inside])
+                    held += len(parts[-1])
+        for k in np.flatnonzero(lengths >= LONG_WORD).tolist():
+            parts.append(np.array(self.merge(words[k]), np.int32))
+            sizes[k], starts[k] = len(parts[-1]), held
+            held += len(parts[-1])
+        return gathered(np.concatenate([np.empty(0, np.int32), *parts]), starts, sizes), sizes
+
+    def _merge_group(self, words: list[bytes], sizes: np.ndarray) -> np.ndarray:
+        """Ids of each word, then -1."""
+        n, width = len(words), int(sizes.max())
+        columns = np.arange(width, dtype=np.int32)
+        flat = np.frombuffer(b"".join(words), np.uint8)
+        ids = np.full((n, width), -1, np.int32)
+        ids[columns < sizes[:, None]] = np.array(self.first, np.int32)[flat]
+        rows = np.arange(n)
+        ids[rows, sizes - 1] = np.array(self.last, np.int32)[flat[np.cumsum(sizes) - 1]]
+        done = np.full((n, width), -1, np.int32)
+        # ranks[r, c]: of the merge of ids c and c + 1
+        ranks = np.full((n, width), _NEVER, np.int32)
+        ranks[:, :-1] = self._rank(ids[:, :-1], ids[:, 1:])
+        while len(rows):
+            each = np.arange(len(rows))
+            best = np.argmin(ranks, axis=1)         # of equal ranks the leftmost
+            rank = ranks[each, best]
+            over = rank == _NEVER
+            if over.any():
+                done[rows[over]] = ids[over]
+                rows, ids, ranks, best, rank = (x[~over] for x in (rows, ids, ranks, best, rank))
+                each = np.arange(len(rows))
+            ids[each, best] = self.merged[rank]
+            # what follows the id that was taken in moves up by one
+            behind = columns[:-1] > best[:, None]
+            ids[:, :-1] = np.where(behind, ids[:, 1:], ids[:, :-1])
+            ranks[:, :-1] = np.where(behind, ranks[:, 1:], ranks[:, :-1])
+            ids[:, -1], ranks[:, -1] = -1, _NEVER
+            ranks[each, best] = self._rank(ids[each, best], ids[each, np.minimum(best + 1, width - 1)])
+            has = np.flatnonzero(best > 0)
+            ranks[has, best[has] - 1] = self._rank(ids[has, best[has] - 1], ids[has, best[has]])
+        return done
+
     def _merge_long(self, ids: list[int]) -> list[int]:
         """The same with linked neighbours and a heap: n log n for words of any length."""
         n = len(ids)
@@ -206,24 +281,44 @@ def _splitter_special(tokens: tuple[str, ...]):
     return re.compile("(" + "|".join(map(re.escape, tokens)) + ")")
 
 
+#: Marks that may follow the letters of a piece: a run of them is a word.
+_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+
+
+def words_of(found: list[bytes], vocabulary: Vocabulary) -> list[list[str]]:
+    """The words of each piece, as ``pieces`` gives them; letters and a run of marks need no pattern."""
+    texts = b" ".join(found).decode().split(" ")
+    letters = [t.rstrip(_MARKS) for t in texts]
+    return [([_normal(w), t[len(w):]] if len(w) < len(t) else [_normal(w)])
+            # not if normalising makes a mark of a letter's part (U+0130, U+0958): it would join the marks
+            if w.isalpha() and (w.isascii() or unicodedata.is_normalized("NFC", w) and _normal(w).isalpha())
+            else pieces(t, vocabulary) for t, w in zip(texts, letters)]
+
+
 def word_counts(docs: DataFrame, vocabulary, text_col: str = "text") -> DataFrame:
     """(word, n) over all words of all texts; ``vocabulary`` is a broadcast."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         voc, held = vocabulary.value, Counter()
 
         def out() -> pa.RecordBatch:
+            counts: dict[str, int] = {}
+            for words, n in zip(words_of(list(held), voc), held.values()):
+                for w in words:
+                    counts[w] = counts.get(w, 0) + n
             return pa.RecordBatch.from_arrays(
-                [pa.array([w.encode() for w in held], pa.binary()), pa.array(list(held.values()), pa.int64())],
+                [pa.array([w.encode() for w in counts], pa.binary()), pa.array(list(counts.values()), pa.int64())],
                 names=["word", "n"])
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                if text:
-                    held.update(pieces(text, voc))
-                    if len(held) > COUNT_MOST:
-                        yield out()
-                        held.clear()
-        yield out()
+            for _, _, texts in common.text_chunks(batch.column(0), TEXT_STEP):
+                for text in texts:
+                    if text:
+                        held.update(text.split())
+                if len(held) > COUNT_MOST:
+                    yield out()
+                    held.clear()
+        if held:
+            yield out()
 
     return (docs.select(text_col).mapInArrow(run, "word binary, n long")
             .groupBy("word").agg(F.sum("n").alias("n")))
@@ -244,48 +339,79 @@ def compile_lexicon(spark: SparkSession, docs: DataFrame, vocabulary, text_col:
             break
         cut = r.bucket
     rows = counts.where(F.col("bucket") >= cut).select("word").collect() if cut is not None else []
-    return pack({bytes(r.word): tuple(vocabulary.value.merge(bytes(r.word))) for r in rows})
+    words = [bytes(r.word) for r in rows]
+    ids, sizes = vocabulary.value.merge_many(words)
+    ends = np.cumsum(sizes).tolist()
+    return pack({w: tuple(ids[a:b].tolist()) for w, a, b in zip(words, [0, *ends], ends)})
 
 
 class Encoder:
-    """Ids of words: remembered ones, then the lexicon, then exact merging."""
+    """Ids and decoded text of pieces: words by the lexicon, those that it lacks by exact merging."""
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon):
         self.vocabulary, self.lexicon = vocabulary, lexicon
-        self.known: dict[str, tuple[int, ...]] = {}
-        self._keep_special()
-
-    def _keep_special(self) -> None:
-        self.known.update({"\0" + t: (i,) for t, i in self.vocabulary.special.items()})
-
-    def learn(self, words: set[str]) -> None:
-        if len(self.known) > CACHE_MOST:
-            self.known.clear()
-            self._keep_special()
-        new = [w for w in words if w not in self.known]
-        raw = [w.encode() for w in new]
-        for word, data, number in zip(new, raw, self.lexicon.numbers(raw).tolist()):
-            ids = self.lexicon.output(number) if number >= 0 else self.vocabulary.merge(data)
-            self.known[word] = tuple(ids)
-
-    def ids(self, words: list[str]) -> np.ndarray:
-        return np.fromiter(chain.from_iterable(map(self.known.__getitem__, words)), np.int32)
-
-
-_ENCODERS: dict[str, Encoder] = {}
-
-
-def _encoder(vocabulary: Vocabulary, data: bytes, name: str) -> Encoder:
-    if name not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[name] = Encoder(vocabulary, Lexicon(mapped(data, name)))
-    return _ENCODERS[name]
+        self.special = {"\0" + t: i for t, i in vocabulary.special.items()}
+        self.words = PieceTable(self._words, CACHE_MOST)
+
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]]:
+        raw = [w.encode() for w in words]
+        numbers = self.lexicon.numbers(raw)
+        special = [k for k, w in enumerate(words) if w in self.special]
+        numbers[special] = 0
+        lacking = np.flatnonzero(numbers < 0)
+        merged, merged_sizes = self.vocabulary.merge_many([raw[k] for k in lacking.tolist()])
+        marks = np.array([self.special[words[k]] for k in special], np.int32)
+        # ids of the lexicon, then the merged ones, then the special tokens
+        outputs = self.lexicon.ids
+        starts, sizes = np.zeros((2, len(words)), np.int64)
+        known = np.flatnonzero(numbers >= 0)
+        if len(self.lexicon.starts) > 1:
+            starts[known] = self.lexicon.starts[numbers[known]]
+            sizes[known] = self.lexicon.starts[numbers[known] + 1] - starts[known]
+        starts[lacking], sizes[lacking] = len(outputs) + np.cumsum(merged_sizes) - merged_sizes, merged_sizes
+        starts[special], sizes[special] = len(outputs) + len(merged) + np.arange(len(special)), 1
+        flat = gathered(np.concatenate((outputs, merged, marks)), starts, sizes)
+        named = list(map(self.vocabulary.tokens.__getitem__, flat.tolist()))
+        ends = np.cumsum(sizes).tolist()
+        return flat, sizes, [" ".join(named[a:b]) for a, b in zip([0, *ends], ends)]
+
+    def __call__(self, found: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[str]]:
+        words = words_of(found, self.vocabulary)
+        numbers = self.words.numbers(list(chain.from_iterable(words)))
+        ids, sizes = self.words.gather(numbers)
+        counts = np.fromiter(map(len, words), np.int64, len(words))
+        parts = list(map(self.words.extra.__getitem__, numbers.tolist()))
+        ends = np.cumsum(counts).tolist()
+        return ids, per_text(sizes, counts), [
+            parts[a] if b - a == 1 else " ".join(parts[a:b]) for a, b in zip([0, *ends], ends)]
+
+
+_TABLES: dict[str, PieceTable] = {}
+
+
+def _table(vocabulary: Vocabulary, data: bytes, name: str) -> PieceTable:
+    """This worker's pieces under a lexicon; a worker lives on from task to task."""
+    if name not in _TABLES:
+        _TABLES.clear()
+        _TABLES[name] = PieceTable(Encoder(vocabulary, Lexicon(mapped(data))), CACHE_MOST)
+    return _TABLES[name]
 
 
 def decode(ids: list[int], tokens: list[str]) -> str:
     return " ".join(map(tokens.__getitem__, ids))
 
 
+def encode_texts(texts: list[bytes | None], table: PieceTable) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """All ids of the texts, how many each text has, each text decoded."""
+    found = [t.split() if t else [] for t in texts]
+    numbers = table.numbers(list(chain.from_iterable(found)))
+    ids, sizes = table.gather(numbers)
+    counts = np.fromiter(map(len, found), np.int64, len(found))
+    parts = list(map(table.extra.__getitem__, numbers[sizes > 0].tolist()))
+    ends = np.cumsum(per_text(sizes > 0, counts)).tolist()
+    return ids, per_text(sizes, counts), [" ".join(parts[a:b]) for a, b in zip([0, *ends], ends)]
+
+
 def encode(spark: SparkSession, docs: DataFrame, vocabulary_path: str, text_col: str = "text",
            keep: tuple[str, ...] = ("doc_id",), lexicon_size: int = LEXICON) -> DataFrame:
     """``keep`` columns, ids array<int>, decoded string: one row per input row."""
@@ -295,21 +421,15 @@ def encode(spark: SparkSession, docs: DataFrame, vocabulary_path: str, text_col:
     sent = spark.sparkContext.broadcast(packed)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(vocabulary.value, sent.value, name)
-        tokens = vocabulary.value.tokens
+        table = _table(vocabulary.value, sent.value, name)
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1)
-            sizes = texts.cast(pa.binary())
-            for a, b in common.chunks(sizes.to_pylist(), 2_000_000):
-                words = [pieces(t, vocabulary.value) if t else [] for t in texts.slice(a, b - a).to_pylist()]
-                encoder.learn(set(chain.from_iterable(words)))
-                ids = [encoder.ids(w) for w in words]
-                offsets = np.concatenate(([0], np.cumsum([len(i) for i in ids]))).astype(np.int32)
-                flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
+            for a, b, texts in common.text_chunks(batch.column(batch.num_columns - 1), TEXT_STEP):
+                ids, sizes, decoded = encode_texts(texts, table)
+                offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(k).slice(a, b - a) for k in range(len(keep))),
-                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, pa.int32())),
-                     pa.array([decode(i.tolist(), tokens) for i in ids], pa.string())],
+                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32())),
+                     pa.array(decoded, pa.string())],
                     names=[*keep, "ids", "decoded"])
 
     kept = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)

@@ -126,12 +126,9 @@ class Lexicon:
         return self.ids[self.starts[number]:self.starts[number + 1]].tolist()
 
 
-def mapped(data: bytes, name: str) -> mmap.mmap:
-    """``data`` as a memory map of a file that the processes of one machine share."""
-    path = os.path.join(tempfile.gettempdir(), f"lexicon-{name}")
-    if not os.path.exists(path):
-        with tempfile.NamedTemporaryFile(dir=tempfile.gettempdir(), delete=False) as f:
-            f.write(data)
-        os.replace(f.name, path)  # complete before it can be seen
-    with open(path, "rb") as f:
+def mapped(data: bytes) -> mmap.mmap:
+    """``data`` as a memory map of a file without a name: it goes with the process that maps it."""
+    with tempfile.TemporaryFile() as f:
+        f.write(data)
+        f.flush()
         return mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)

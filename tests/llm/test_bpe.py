@@ -2,7 +2,6 @@
 
 import hashlib
 import random
-import uuid
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -16,6 +15,7 @@ LIBRARY = Tokenizer.from_file(PATH)
 LIBRARY.no_truncation()
 LIBRARY.no_padding()
 VOCABULARY = bpe.Vocabulary(PATH)
+LEXICON = lexicon.Lexicon(lexicon.pack({w: tuple(VOCABULARY.merge(w)) for w in (b"the", b"endoftext", b"a", b"!?")}))
 
 
 def library(text):
@@ -62,11 +62,32 @@ def test_long_words_merge_alike(monkeypatch):
     assert [VOCABULARY.merge(w) for w in words if len(w) < 48] == short
 
 
+def test_words_merged_together_merge_alike():
+    r = random.Random(5)
+    words = ["".join(r.choice("theanroldséü한") for _ in range(r.randint(1, 40))).encode() for _ in range(3000)]
+    words += [b"", b"a", "\u00e9".encode()[:1], b"x" * 200, b"the" * 15, b"aaaaaaaaaaaaaaaa", *words[:5]]
+    ids, sizes = VOCABULARY.merge_many(words)
+    cuts = [0, *sizes.cumsum().tolist()]
+    assert [ids[a:b].tolist() for a, b in zip(cuts, cuts[1:])] == [VOCABULARY.merge(w) if w else [] for w in words]
+    assert [x.tolist() for x in VOCABULARY.merge_many([])] == [[], []]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet=st.one_of(st.sampled_from(" \n.,;'!?aeé\u0301 İΣ1½<|endoftext|>\x1c\x85 한क़"),
+                                           st.characters(codec="utf-8")), max_size=25), min_size=1, max_size=5))
+def test_texts_by_pieces(texts):
+    table = bpe.PieceTable(bpe.Encoder(VOCABULARY, LEXICON), most=20)
+    for _ in range(2):
+        ids, sizes, decoded = bpe.encode_texts([t.encode() for t in texts], table)
+        cuts = [0, *sizes.cumsum().tolist()]
+        assert [(ids[a:b].tolist(), d) for a, b, d in zip(cuts, cuts[1:], decoded)] == [library(t) for t in texts]
+
+
 def test_transducer_is_minimal_and_exact():
     r = random.Random(4)
     words = {bytes(r.choice(b"ab\xc3") for _ in range(r.randint(1, 7))) for _ in range(300)}
     entries = {w: tuple(r.randrange(9) for _ in range(r.randint(0, 3))) for w in words}
-    lex = lexicon.Lexicon(lexicon.mapped(lexicon.pack(entries), f"test-{uuid.uuid4()}"))
+    lex = lexicon.Lexicon(lexicon.mapped(lexicon.pack(entries)))
     probe = [*words, b"", b"zzz", b"aaaaaaaaaaaa", *(w + b"a" for w in words)]
     for w, n in zip(probe, lex.numbers(probe).tolist()):
         assert (tuple(lex.output(n)) if n >= 0 else None) == entries.get(w)
