@@ -28,23 +28,31 @@ def windowed_counts(df: DataFrame, keys: tuple[str, ...] = (), length: str = WIN
                     slide: str = SLIDE_INTERVAL, time_col: str = "date_time", name: str = "views") -> DataFrame:
     """Rows per sliding window and key: (window_start, window_end, *keys, name).
 
-    In batch form rows are counted once per pane (one slide long) and key; a
-    pane's count is then added to each window that holds it.  So the rows
-    are aggregated before they are multiplied by length / slide.
+    Rows are counted once per pane (one slide long) and key; a pane's count is then added to each window that
+    holds it.  So the rows are aggregated before they are multiplied by length / slide.  A stream counts by window at
+    once: a micro-batch is aggregated per window and key before it meets the state, so panes as a stateful step of
+    their own only add to what the state writes (README has figures).
     """
+    return windowed_aggregate(df, keys, [F.count(F.lit(1)).alias(name)], [F.sum(name).cast("bigint").alias(name)],
+                              length, slide, time_col)
+
+
+def windowed_aggregate(df: DataFrame, keys: tuple[str, ...], partial: list, merge: list, length: str = WINDOW_LENGTH,
+                       slide: str = SLIDE_INTERVAL, time_col: str = "date_time") -> DataFrame:
+    """(window_start, window_end, *keys, *measures): ``partial`` over the rows of a pane, ``merge`` (same names) over
+    the panes of a window."""
     size, step = _seconds(length), _seconds(slide)
-    out = [F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *keys, name]
+    out = [F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *keys, "m.*"]
+    merged = F.struct(*merge).alias("m")
     if df.isStreaming or not size or not step or size % step:
         w = F.window(time_col, length, slide)
-        return df.groupBy(w.alias("w"), *keys).agg(F.count(F.lit(1)).alias(name)).select(*out)
-    panes = df.where(F.col(time_col).isNotNull()).groupBy(F.window(time_col, slide).alias("p"), *keys).agg(
-        F.count(F.lit(1)).alias("_n"))
+        return df.groupBy(w.alias("w"), *keys).agg(F.struct(*partial).alias("m")).select(*out)
+    panes = df.where(F.col(time_col).isNotNull()).groupBy(F.window(time_col, slide).alias("p"), *keys).agg(*partial)
     starts = F.transform(F.sequence(F.lit(0), F.lit(size // step - 1)), lambda k: F.timestamp_micros(
         F.unix_micros("p.start") - k.cast("bigint") * (step * 1_000_000)))
     spread = panes.select("*", F.explode(starts).alias("window_start"))
     end = F.timestamp_micros(F.unix_micros("window_start") + F.lit(size * 1_000_000).cast("bigint"))
-    return spread.groupBy("window_start", *keys).agg(F.sum("_n").cast("bigint").alias(name)).select(
-        "window_start", end.alias("window_end"), *keys, name)
+    return spread.groupBy("window_start", *keys).agg(merged).select("window_start", end.alias("window_end"), *keys, "m.*")
 
 
 def sliding_window_counts(df: DataFrame, length: str = WINDOW_LENGTH,

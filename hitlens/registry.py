@@ -47,10 +47,7 @@ def country_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def viewed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # lookup_from_lines keeps valid class-B prefixes only, one row per prefix:
-    # at most 65,536 rows by construction, so the broadcast needs no check
-    return viewed_products(access_logs(spark, sf_dir), country_lookup(spark, sf_dir),
-                           broadcast="bounded")
+    return viewed_products(access_logs(spark, sf_dir), country_lookup(spark, sf_dir))
 
 
 def _on_viewed(fn) -> Query:
@@ -162,7 +159,7 @@ BATCH_QUERIES: dict[str, Query] = {
     "sliding_top_products": _on_viewed(windows.sliding_top_products),
     # all counting reports in one pass
     "all_counts": lambda spark, sf_dir: reports.all_counts(viewed_products(
-        access_logs(spark, sf_dir), country_lookup(spark, sf_dir), broadcast="bounded",
+        access_logs(spark, sf_dir), country_lookup(spark, sf_dir),
         extra_columns=("ip_address", "request_uri", "content_size"))),
     # sessions (batch form)
     "sessions_per_ip": _on_logs(lambda logs: sessions(logs, "ip_address")),

@@ -70,9 +70,9 @@ def event_log_lines(events: DataFrame) -> DataFrame:
     eid = F.col("event_id")
     broken = F.get(F.array(*map(F.lit, REJECT_LINES)),
                    (F.floor(eid / REJECT_EVERY) % len(REJECT_LINES)).cast("int"))
-    lines = F.array_compact(F.array(_plain_line(), F.when(eid % REJECT_EVERY == 0, broken),
-                                    F.when(eid % ODD_EVERY == 0, _odd_line())))
-    return events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), F.explode(lines).alias("value"))
+    lines = F.array(_plain_line(), F.when(eid % REJECT_EVERY == 0, broken), F.when(eid % ODD_EVERY == 0, _odd_line()))
+    return events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), F.explode(lines).alias("value")).where(
+        F.col("value").isNotNull())
 
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,5 +113,5 @@ def dictionary_lines(events: DataFrame, listed_codes: list[str]) -> DataFrame:
     code = F.get(codes, (uid % n_codes).cast("int"))
     base = F.concat_ws(" ", prefix, code)
     bad = F.when(eid % DICT_BAD_EVERY == 0, F.concat(base, F.lit(" x")))
-    lines = F.posexplode(F.array_compact(F.array(bad, base))).alias("i", "value")
-    return events.select(eid.alias("eid"), lines).select("value", (F.col("eid") * 2 + F.col("i")).alias("line_order"))
+    lines = F.posexplode(F.array(bad, base)).alias("i", "value")
+    return events.select(eid.alias("eid"), lines).where(F.col("value").isNotNull()).select("value", (F.col("eid") * 2 + F.col("i")).alias("line_order"))

@@ -320,12 +320,13 @@ def start_sliding_sql_reports(lines: DataFrame, out_path: str, checkpoint: str,
         F.struct(F.lit(r).alias("report"), c.cast("string").alias("key")) for r, c in (
             ("size_stats", F.lit(None)), ("response_codes", F.col("response_code")),
             ("frequent_ips", F.col("ip_address")), ("top_endpoints", F.col("request_uri"))))))
-    counts = (logs.select(time_col, "content_size", keys.alias("r"))
-              .groupBy(F.window(time_col, length, slide).alias("w"), "r.report", "r.key")
-              .agg(F.sum("content_size").alias("total_size"), F.count(F.lit(1)).alias("n"),
-                   F.min("content_size").alias("min_size"), F.max("content_size").alias("max_size"))
-              .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-                      "report", "key", "total_size", "n", "min_size", "max_size"))
+    rows = logs.select(time_col, "content_size", keys.alias("r")).select(time_col, "content_size", "r.report", "r.key")
+    counts = windows.windowed_aggregate(
+        rows, ("report", "key"),
+        [F.sum("content_size").alias("total_size"), F.count(F.lit(1)).alias("n"),
+         F.min("content_size").alias("min_size"), F.max("content_size").alias("max_size")],
+        [F.sum("total_size").alias("total_size"), F.sum("n").alias("n"),
+         F.min("min_size").alias("min_size"), F.max("max_size").alias("max_size")], length, slide, time_col)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         if is_empty_batch(batch, batch_id):
