@@ -18,6 +18,12 @@ from pyspark.sql.types import StructType
 NAME = "_manifest.json"
 
 
+def _folders(entries: list[dict]) -> set[str]:
+    """Folders that entries name, those of what belongs to an entry included."""
+    return {part["folder"] for e in entries for part in (e, *(v for v in e.values() if isinstance(v, dict)))
+            if "folder" in part}
+
+
 class Manifest:
     def __init__(self, spark: SparkSession, path: str, keep: int = 2):
         self.spark, self.path, self.keep = spark, path.rstrip("/"), keep
@@ -56,9 +62,9 @@ class Manifest:
     def commit(self, entries: list[dict]) -> None:
         """Make ``entries`` the content; folders no longer named go, those named until now after ``keep`` commits."""
         old = self._content()
-        named = {e["folder"] for e in entries if "folder" in e}
+        named = _folders(entries)
         retired = [[f, age + 1] for f, age in old["retired"] if f not in named]
-        retired += [[e["folder"], 0] for e in old["entries"] if "folder" in e and e["folder"] not in named]
+        retired += [[f, 0] for f in sorted(_folders(old["entries"]) - named)]
         retired = [r for r in retired if r[1] < self.keep]
         self._replace(json.dumps({"entries": entries, "retired": retired}))
         self._prune(named | {f for f, _ in retired})

@@ -114,6 +114,42 @@ def test_a_fold_that_stops_half_way_changes_nothing(spark, monkeypatch):
     assert ledger.totals().first().n == 3
 
 
+def test_top_list_is_exact_after_every_batch(spark):
+    """Few busy keys, many rare ones, a tie at the last place; then keys that are all alike."""
+    r = random.Random(9)
+    ledger = RunLedger(spark, shared_dir(spark, "t-runs"), "k", {"n": "sum"}, fan=2, rank_by="n", listed=6)
+    expected = {}
+
+    def batch(counts, b):
+        for key, n in counts.items():
+            expected[key] = expected.get(key, 0) + n
+        ledger.add(spark.createDataFrame(list(counts.items()), "k string, n long").coalesce(1), b)
+        order = sorted(expected.items(), key=lambda x: (-x[1], x[0] is None, x[0] or ""))
+        assert [tuple(x) for x in ledger.top(3).collect()] == order[:3]
+
+    for b in range(6):
+        counts = {"a": 1000, "b": 700 + b, None: 700 - b, "c": 700 + (b - 3) * 2 + 1, "late": 300 * b}
+        counts |= {f"rare{r.randrange(500)}": r.randrange(1, 9) for _ in range(40)}
+        batch(counts, b)
+    # two keys share the third place
+    batch({"x": expected["b"] + 1, "y": expected["b"] + 1, "a": 1}, 6)
+    batch({"y": 1, "x": 1}, 7)
+    some = {x.k for x in ledger.candidates(3).collect()}
+    assert {"a", "x", "y"} <= some and len(some) < 20 and len(expected) > 100
+    assert ledger.manifest.entries()[0]["floor"] > 0
+    batch({f"flat{k}": 5000 for k in range(30)}, 8)        # more keys alike than a summary lists
+    assert ledger.candidates(3) is None
+
+
+def test_a_top_list_of_few_keys(spark):
+    ledger = RunLedger(spark, shared_dir(spark, "t-runs"), "k", {"n": "sum"}, rank_by="n")
+    ledger.add(spark.createDataFrame([("a", 1), (None, 1)], "k string, n long"), 0)
+    ledger.add(spark.createDataFrame([], "k string, n long"), 1)
+    assert [tuple(x) for x in ledger.top(5).collect()] == [("a", 1), (None, 1)]
+    with pytest.raises(ValueError):
+        RunLedger(spark, "x", "k", {"n": "max"}, rank_by="n")
+
+
 def test_folds(spark):
     rows = spark.createDataFrame([("a", 1, 5, 5), (None, 2, 3, 4), ("a", 3, 1, 9)], "k string, s int, lo int, hi int")
     got = fold(rows, "k", {"s": "sum", "lo": "min", "hi": "max"})
