@@ -6,18 +6,23 @@ of anything else is one blank, and every letter of every script is a symbol of
 its own.  k(x, y) = |common n-grams| / sqrt(|n-grams of x| * |n-grams of y|),
 the normalised blended-spectrum presence kernel.
 
-Training.  A bounded sample (about ``per_class`` documents of each language at
-most, those of the smallest hashes of doc_id, found by a histogram; at most
-``MAX_CLASSES`` languages) is read whole.
-Of these, ``landmarks`` per class are Nystroem landmarks.  Kernel ridge
-regression, one-versus-rest, is solved in the span of the landmarks:
-(K_nm' K_nm + ridge * K_mm) B = K_nm' Y.  Only presence lists of the sample
-reach the driver, whose size is bounded by the sample.
-
-Scoring.  The kernel values of a document times B are a sum over its n-grams:
-each n-gram of a landmark has a weight for each class, those that the document
-has are added and divided by the root of the number of its n-grams.  The label is the largest score (ties: the first in order); its share
-of the positive scores is the confidence.
+Training.  A bounded sample is read whole: of each language about ``per_class``
+documents at most, those of the smallest hashes of doc_id, found by a histogram,
+and ``SAMPLE`` of all languages together.  The ``max_classes`` languages of most
+rows are learned.  Of the sample, ``landmarks`` per class are Nystroem
+landmarks.  Kernel ridge regression, one-versus-rest, is solved in the span of
+the landmarks: (K_nm' K_nm + ridge * K_mm) B = K_nm' Y.  Only presence lists of
+the sample reach the driver, whose size is bounded by the sample.
+
+Scoring.  The kernel values of a block of documents times B are one matrix
+product: their presence matrix over the landmarks' n-grams times (landmark
+matrix times B), each row divided by the root of the number of its n-grams.
+The label is the largest score (ties: the first in order); its share of the
+positive scores is the confidence.
+
+Rejection.  A best score estimates how far a text belongs to its class,
+whatever the number of classes.  A model of four fifths of the sample scores
+the rest; half of what 99 % of these reach is the cutoff.
 
 Defined cases: NULL texts and texts without a letter are ``und`` with score 0;
 with no labelled row every document is ``und``; documents with NULL text or
@@ -37,18 +42,19 @@ from pyspark.sql import functions as F
 
 
 ORDER = 3
-#: Symbols of ``presence``: 0 is the blank, 1 .. ALPHABET - 2 given letters, ALPHABET - 1 any other letter.
-ALPHABET = 64
 PER_CLASS, LANDMARKS, MAX_CLASSES, RIDGE = 300, 48, 200, 0.1
+#: Documents and landmarks of all classes together, at most; beyond them a class gets an equal share.
+SAMPLE, ALL_LANDMARKS = 20_000, 2_000
+#: One labelled document in HOLD of the sample is not fitted on, but sets the rejection cutoff.
+HOLD = 5
 UNKNOWN = "und"
 _CODES = 0x110000
 #: n-gram ids of ``ngrams``: a symbol of BITS bits (code point + 1, the blank is 1) after the other.
 BITS = 21
-#: n-gram ids of ``presence``: the 1-grams, then the 2-grams, and so on.
-_STARTS = np.concatenate(([0], np.cumsum([ALPHABET ** n for n in range(1, ORDER + 1)])))
-SPACE = int(_STARTS[-1])
 #: Code points read at once.
 BLOCK = 1 << 20
+#: Cells of the presence matrix of a batch.
+CELLS = 4_000_000
 
 
 def _letter_table() -> np.ndarray:
@@ -72,14 +78,6 @@ def letters() -> np.ndarray:
     return _LETTERS
 
 
-def alphabet_table(alphabet: np.ndarray) -> np.ndarray:
-    """code point -> symbol."""
-    symbol = np.full(_CODES, ALPHABET - 1, np.uint8)
-    symbol[0] = 0
-    symbol[alphabet] = np.arange(1, len(alphabet) + 1)
-    return symbol[letters()]
-
-
 def _symbols(text: str, table: np.ndarray) -> Iterator[tuple[np.ndarray, bool]]:
     """Symbols of the text in blocks, blanks folded, each block with the last symbols of the one before; and
     whether a letter has been met."""
@@ -95,18 +93,6 @@ def _symbols(text: str, table: np.ndarray) -> Iterator[tuple[np.ndarray, bool]]:
         tail = symbols[-(ORDER - 1):] if ORDER > 1 else symbols[:0]
 
 
-def presence(text: str, table: np.ndarray, seen: np.ndarray) -> bool:
-    """Set ``seen`` (SPACE flags) at every n-gram of the text over a small alphabet; False if it has no letter."""
-    any_letter = False
-    for symbols, any_letter in _symbols(text, table):
-        ids = symbols
-        seen[ids] = 1
-        for n in range(2, ORDER + 1):
-            ids = ids[:-1] * ALPHABET + symbols[n - 1:]
-            seen[_STARTS[n - 1] + ids] = 1
-    return any_letter
-
-
 def ngrams(text: str) -> np.ndarray:
     """Sorted ids of the text's distinct n-grams over all letters; empty if it has no letter."""
     any_letter, held = False, np.empty(0, np.int64)
@@ -123,10 +109,10 @@ def ngrams(text: str) -> np.ndarray:
 @dataclass
 class Model:
     classes: list[str]
-    alphabet: np.ndarray    # code points of the sample's letters
     vocabulary: np.ndarray  # n-gram ids that a landmark has
     marks: list[np.ndarray]  # places in the vocabulary of each landmark's n-grams
     weights: np.ndarray     # (landmark, class)
+    cutoff: float = 0.0     # best score under which a document is rejected
 
     def __post_init__(self):
         #: (vocabulary, class): the landmark matrix times the weights.
@@ -134,24 +120,24 @@ class Model:
         for places, w in zip(self.marks, self.weights):
             self.gram_weights[places] += w / np.sqrt(len(places))
 
-    @property
-    def landmarks(self) -> np.ndarray:
-        """(vocabulary, landmark): 1 / sqrt(size) where the landmark has the n-gram."""
-        out = np.zeros((len(self.vocabulary), len(self.marks)), np.float32)
-        for k, places in enumerate(self.marks):
-            out[places, k] = 1 / np.sqrt(len(places))
-        return out
+    def score_grams(self, grams: list[np.ndarray]) -> np.ndarray:
+        """(documents, classes) ridge scores of presence lists, one matrix product for each block of documents."""
+        out = np.zeros((len(grams), len(self.classes)))
+        rows = min(max(CELLS // max(len(self.vocabulary), 1), 1), max(len(grams), 1))
+        present = np.zeros((rows, len(self.vocabulary)), np.float32)
+        for a in range(0, len(grams), rows):
+            block = grams[a:a + rows]
+            present[:] = 0
+            for row, g in zip(present, block):
+                row[_places(self.vocabulary, g)] = 1
+            out[a:a + rows] = present[:len(block)] @ self.gram_weights
+        root = np.sqrt([max(len(g), 1) for g in grams]).reshape(-1, 1)
+        return np.round(out / root, 6)  # single precision: the last digits depend on the block
 
     def scores(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(documents, classes) ridge scores, and which documents have a letter."""
-        out, ok = np.zeros((len(texts), len(self.classes))), np.zeros(len(texts), bool)
-        for i, t in enumerate(texts):
-            grams = ngrams(t) if t else ()
-            if len(grams):
-                ok[i] = True
-                out[i] = self.gram_weights[_places(self.vocabulary, grams)].sum(axis=0, dtype=np.float64)
-                out[i] /= np.sqrt(len(grams))
-        return out, ok
+        grams = [ngrams(t) if t else np.empty(0, np.int64) for t in texts]
+        return self.score_grams(grams), np.array([len(g) > 0 for g in grams], bool)
 
 
 def _places(vocabulary: np.ndarray, grams: np.ndarray) -> np.ndarray:
@@ -179,16 +165,22 @@ def _cuts(counts: list, size: int) -> dict[str, int]:
 
 def train(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           lang_col: str = "lang", per_class: int = PER_CLASS, landmarks: int = LANDMARKS,
-          ridge: float = RIDGE) -> Model | None:
-    """Fit on the labelled rows of ``docs``; None if there are none."""
+          ridge: float = RIDGE, max_classes: int = MAX_CLASSES) -> Model | None:
+    """Fit on the labelled rows of ``docs``; None if there are none.
+
+    The ``max_classes`` labels of most rows are learned (ties: the first in order).
+    """
     labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull())
     rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("label"),
                            _rarity(F.col(id_col)).alias("rarity"))
-    cuts = _cuts(rows.groupBy("label", "rarity").count().collect(), per_class)
-    if len(cuts) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} languages among the labels")
-    if not cuts:
+    common = rows.groupBy("label").count().orderBy(F.desc("count"), "label").limit(max_classes).collect()
+    if not common:
         return None
+    names = [r.label for r in common]
+    per_class = max(min(per_class, SAMPLE // len(names)), 2)
+    landmarks = max(min(landmarks, ALL_LANDMARKS // len(names)), 1)
+    rows = rows.where(F.col("label").isin(names))
+    cuts = _cuts(rows.groupBy("label", "rarity").count().collect(), per_class)
     classes = sorted(cuts)
     cut = F.create_map(*(F.lit(x) for label in classes for x in (label, cuts[label])))
     picked = rows.where(F.col("rarity") >= cut[F.col("label")])
@@ -211,12 +203,22 @@ def train(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col
     if not grams:
         return None
     label = np.array([classes.index(names[k]) for k in order])
-    alphabet = np.unique(np.concatenate([g[(g > 1) & (g < 1 << BITS)] for g in grams])) - 1
-    return fit(classes, alphabet, grams, label, landmarks, ridge)
+    held = np.arange(len(grams)) % HOLD == HOLD - 1  # in order of class and id: of each class alike
+    probe = fit(classes, [g for g, h in zip(grams, held) if not h], label[~held], landmarks, ridge)
+    model = fit(classes, grams, label, landmarks, ridge)
+    model.cutoff = cutoff(probe, [g for g, h in zip(grams, held) if h])
+    return model
+
+
+def cutoff(model: Model, grams: list[np.ndarray]) -> float:
+    """Half the best score that all but one in a hundred documents reach (0 without documents)."""
+    if not grams:
+        return 0.0
+    best = np.sort(model.score_grams(grams).max(axis=1))
+    return max(float(best[len(best) // 100]) / 2, 0.0)
 
 
-def fit(classes: list[str], alphabet: np.ndarray, grams: list[np.ndarray], label: np.ndarray,
-        landmarks: int, ridge: float) -> Model:
+def fit(classes: list[str], grams: list[np.ndarray], label: np.ndarray, landmarks: int, ridge: float) -> Model:
     """Nystroem kernel ridge regression on presence lists."""
     picks = np.concatenate([np.flatnonzero(label == c)[:landmarks] for c in range(len(classes))])
     vocabulary = np.unique(np.concatenate([grams[i] for i in picks]))
@@ -236,12 +238,12 @@ def fit(classes: list[str], alphabet: np.ndarray, grams: list[np.ndarray], label
         row[:] = np.bincount(owner[which], minlength=len(picks)) / (root * np.sqrt(len(g)))
     k_mm = k_nm[picks]
     # rows are weighted so that every class counts the same
-    size = np.bincount(label, minlength=len(classes))
+    size = np.maximum(np.bincount(label, minlength=len(classes)), 1)
     weight = (len(label) / len(classes) / size[label])[:, None]
     target = np.eye(len(classes))[label]
     left = k_nm.T @ (weight * k_nm) + ridge * k_mm + 1e-6 * np.eye(len(picks))
     weights = np.linalg.solve(left, k_nm.T @ (weight * target))
-    return Model(classes, alphabet, vocabulary, marks, weights)
+    return Model(classes, vocabulary, marks, weights)
 
 
 def predict(spark: SparkSession, docs: DataFrame, model: Model | None, id_col: str = "doc_id",
@@ -254,24 +256,24 @@ def predict(spark: SparkSession, docs: DataFrame, model: Model | None, id_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), *_labels(sent.value, batch.column(1))],
+            yield pa.RecordBatch.from_arrays([batch.column(0), *_labels(sent.value, batch.column(1))[:2]],
                                              names=[id_col, "lang_pred", "score"])
 
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, lang_pred string, score double")
 
 
-def _labels(model: Model, column: pa.Array) -> tuple[pa.Array, pa.Array]:
+def _labels(model: Model, column: pa.Array) -> tuple[pa.Array, pa.Array, np.ndarray]:
+    """Label, share of the positive scores, and whether the text has a letter and a best score that reaches the cutoff."""
     raw, ok = model.scores(column.to_pylist())
     best = raw.argmax(axis=1)
-    positive = np.clip(raw, 0, None)
-    share = positive[np.arange(len(best)), best] / np.maximum(positive.sum(axis=1), 1e-12)
+    top = raw[np.arange(len(best)), best]
+    share = np.clip(top, 0, None) / np.maximum(np.clip(raw, 0, None).sum(axis=1), 1e-12)
     names = [model.classes[b] if k else UNKNOWN for b, k in zip(best, ok)]
-    return pa.array(names, pa.string()), pa.array(np.where(ok, share, 0.0))
+    return pa.array(names, pa.string()), pa.array(np.where(ok, share, 0.0)), ok & (top >= model.cutoff)
 
 
-def keep_identified(spark: SparkSession, docs: DataFrame, model: Model | None, least: float = 0.3,
-                    text_col: str = "text") -> DataFrame:
-    """``docs`` without the rows whose text has no letter or whose best class has a share under ``least``."""
+def keep_identified(spark: SparkSession, docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows whose text has no letter or whose best score is under the model's cutoff."""
     if model is None:
         return docs.limit(0)
     sent = spark.sparkContext.broadcast(model)
@@ -279,7 +281,6 @@ def keep_identified(spark: SparkSession, docs: DataFrame, model: Model | None, l
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            _, share = _labels(sent.value, batch.column(at))
-            yield batch.filter(pa.array(share.to_numpy() >= least))
+            yield batch.filter(pa.array(_labels(sent.value, batch.column(at))[2]))
 
     return docs.mapInArrow(run, docs.schema)

@@ -17,31 +17,38 @@ def slow_grams(text, table):
     return {tuple(word[i:i + n]) for n in range(1, langid.ORDER + 1) for i in range(len(word) - n + 1)}
 
 
-def test_presence_is_the_set_of_ngrams_in_blocks_too(monkeypatch):
-    table = langid.alphabet_table(np.array(sorted(map(ord, "abcé"))))
-    for text in ("abc", "  Ab -- cab 12 É zz", "x", "a1b2 ", "abcabcabc" * 50):
-        for block in (1 << 20, 7, 1):
-            monkeypatch.setattr(langid, "BLOCK", block)
-            seen = np.zeros(langid.SPACE, np.uint8)
-            assert langid.presence(text, table, seen)
-            want = np.zeros(langid.SPACE, np.uint8)
-            for g in slow_grams(text, table):
-                want[langid._STARTS[len(g) - 1] + int(np.dot(g, [langid.ALPHABET ** k for k in range(len(g))][::-1]))] = 1
-            assert np.array_equal(seen, want)
-
-
-def test_scores_are_kernel_ridge_regression():
+def test_scores_are_kernel_ridge_regression(monkeypatch):
     r = np.random.default_rng(0)
     grams = [np.unique(r.integers(0, 50, 20) + 30 * (i % 2)) for i in range(20)]
     label = np.arange(20) % 2
-    model = langid.fit(["a", "b"], np.array([97]), grams, label, landmarks=10, ridge=1e-3)
+    model = langid.fit(["a", "b"], grams, label, landmarks=10, ridge=1e-3)
     k = np.array([[len(np.intersect1d(x, y)) / np.sqrt(len(x) * len(y)) for y in grams] for x in grams])
     full = k @ np.linalg.solve(k + 1e-3 * np.eye(20), np.eye(2)[label])  # all rows are landmarks
-    rows = np.zeros((20, len(model.vocabulary)))
-    for i, g in enumerate(grams):
-        rows[i, np.searchsorted(model.vocabulary, g)] = 1 / np.sqrt(len(g))
-    got = rows @ model.landmarks @ model.weights
-    assert np.abs(got - full).max() < 0.05
+    for cells in (4_000_000, 200, 1):
+        monkeypatch.setattr(langid, "CELLS", cells)
+        assert np.abs(model.score_grams(grams) - full).max() < 0.05
+
+
+def test_scores_of_texts_are_kernel_values_times_the_weights(monkeypatch):
+    r = np.random.default_rng(1)
+    texts = ["".join(r.choice(list("abcdé жя "), n)) + tail for n, tail in
+             [(30, "a"), (300, "b"), (5, "c"), (3000, "ж"), (1, "q"), (80, "abc")] * 4]
+    grams = [langid.ngrams(t) for t in texts]
+    label = np.arange(len(texts)) % 3
+    model = langid.fit(["x", "y", "z"], grams, label, landmarks=3, ridge=0.1)
+    marks = [i for c in range(3) for i in np.flatnonzero(label == c)[:3]]
+    asked = [*texts, None, "", "12 . 3", "unseen ñandú"]
+
+    def kernel(x, y):
+        return len(set(x) & set(y)) / np.sqrt(len(x) * len(y)) if len(x) else 0.0
+
+    want = np.array([[kernel(langid.ngrams(t or ""), grams[m]) for m in marks] for t in asked]) @ model.weights
+    for cells in (4_000_000, 500, 1):
+        monkeypatch.setattr(langid, "CELLS", cells)
+        got, ok = model.scores(asked)
+        assert np.abs(got - want).max() < 1e-5
+        assert ok.tolist() == [True] * len(texts) + [False, False, False, True]
+    assert model.scores([])[0].shape == (0, 3)
 
 
 def test_registered_query_held_out_accuracy(spark):
@@ -97,3 +104,20 @@ def test_languages_of_many_scripts_keep_their_letters(spark):
     got = {x.doc_id: x.lang_pred for x in langid.predict(spark, df, model).collect()}
     assert got == lang
     assert langid.keep_identified(spark, df, model).count() == len(rows)
+
+
+def test_more_labels_than_classes_and_clean_documents_stay(spark):
+    """The labels of most rows are learned; a label with one dirty row does not stop the others."""
+    rows = [(i, "the cat and the dog walk home", "en") for i in range(8)]
+    rows += [(i, "le chat et le chien rentrent", "fr") for i in range(8, 14)]
+    rows += [(100 + i, f"noise {i}", f"dirty-{i}") for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(spark, df, max_classes=2)
+    assert model.classes == ["en", "fr"]
+    got = {r.doc_id: r.lang_pred for r in langid.predict(spark, df, model).collect()}
+    assert all(got[d] == lang for d, _, lang in rows[:14])
+    assert {r.doc_id for r in langid.keep_identified(spark, df, model).collect()} >= set(range(14))
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    model = langid.train(spark, docs)
+    labelled = docs.where("lang IS NOT NULL AND text RLIKE '\\\\p{L}'")
+    assert langid.keep_identified(spark, labelled, model).count() == labelled.count()
