@@ -63,6 +63,39 @@ def test_random_texts_in_small_shards_and_blocks(spark, monkeypatch):
     rows = got.collect()
     assert {x.doc_id: (x.n_words, x.n_hit, x["items"]) for x in rows} == want
     assert all(sum(s.end - s.start for s in x.spans) == x.n_hit for x in rows)
+    monkeypatch.setattr(decontaminate, "PHRASE_BLOCK", 200_000)
+    monkeypatch.setattr(decontaminate, "PHRASE_BYTES", 300)
+    got = decontaminate.report(spark, spark.createDataFrame(docs, "doc_id long, text string"),
+                               spark.createDataFrame(items, "item_id string, text string"))
+    assert {x.doc_id: (x.n_words, x.n_hit, x["items"]) for x in got.collect()} == want
+
+
+def test_a_worker_holds_one_block_at_a_time(spark, monkeypatch):
+    """2,000 phrases in blocks of 50: no block is larger, and reading one drops the one before."""
+    monkeypatch.setattr(decontaminate, "PHRASE_BLOCK", 50)
+    r = random.Random(2)
+    items = [(i, " ".join(f"w{r.randrange(500)}" for _ in range(49))) for i in range(50)]
+    phrases = decontaminate.Phrases(spark, spark.createDataFrame(items, "item_id long, text string"), 10, "item_id", "text")
+    assert len(phrases.blocks) == 40
+    seen, most = set(), 0
+    for block in phrases:
+        held = [b for b in phrases.blocks if "_value" in b.__dict__]
+        assert len(held) == 1 and len(block.vocabulary) <= 500
+        seen |= {(tuple(row), name) for k, row in enumerate(map(tuple, _words(block))) for name in _names(block, k)}
+        most = max(most, len(block.items))
+    assert most <= 100  # hashing spreads pairs evenly, not exactly
+    assert seen == {(tuple(t.split()[i:i + 10]), str(n)) for n, t in items for i in range(40)}
+    assert not any("_value" in b.__dict__ for b in phrases.blocks)
+
+
+def _words(block):
+    by = {n: w.decode() for w, n in block.vocabulary.items()}
+    return [[by[x] for x in row[:n].tolist()] for row, n in zip(block.rows, block.lengths)]
+
+
+def _names(block, k):
+    a = int(block.item_starts[k])
+    return [block.names[i] for i in block.items[a:a + int(block.item_counts[k])].tolist()]
 
 
 def test_edge_cases_and_removal(spark):
