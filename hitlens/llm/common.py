@@ -27,6 +27,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def fresh(taken: list[str], *names: str) -> list[str]:
+    """``names``, each with as many underscores behind it as make it differ from ``taken`` in letters of either case."""
+    used, out = {t.lower() for t in taken}, []
+    for name in names:
+        while name.lower() in used:
+            name += "_"
+        used.add(name.lower())
+        out.append(name)
+    return out
+
+
 def crc_mod(column: str, n: int):
     """crc32 of the column as text, modulo n; NULL for NULL."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % n

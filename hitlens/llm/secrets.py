@@ -11,6 +11,9 @@ Copies of a blob are dropped in each task before the shuffle (partial
 aggregation), so a blob that fills a third of the table costs a row per task.
 Only blobs with findings take part in the join back to paths.
 
+A ledger that exists is asked with the blobs' digests alone; while the unseen
+ones are few, texts of seen blobs are dropped before any shuffle.
+
 Positions without a UDF: ``split`` gives the gaps between matches and
 ``regexp_extract_all`` the matches; running lengths are code-point positions.
 Both run only where the pattern occurs at all.
@@ -31,7 +34,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hitlens.session import shared_dir
+from hitlens.llm.common import fresh
+from hitlens.session import remove_dir, shared_dir
 
 
 @dataclass(frozen=True)
@@ -73,6 +77,8 @@ MORE_RULES = (
 RULES = BASE_RULES + MORE_RULES
 _SPAN = "struct<rule: string, kind: string, start: bigint, end: bigint>"
 MASK = "[SECRET]"
+#: Up to so many unseen blobs (a digest and rule names each) are sent to all tasks, which drop seen texts unshuffled.
+UNSEEN_SENT = 50_000
 
 
 def blob_of(text: Column) -> Column:
@@ -115,19 +121,27 @@ def update_ledger(spark: SparkSession, versions: DataFrame, path: str, rules: tu
                   text_col: str = "text") -> None:
     """Scan the (blob, rule version) pairs of ``versions`` that the ledger at ``path`` lacks."""
     every = F.array(*(F.lit(r.name) for r in rules))
-    blobs = (versions.select(blob_of(F.col(text_col)).alias("blob"), F.coalesce(text_col, F.lit("")).alias("text"))
-             .dropDuplicates(["blob"]))
+    blobs = versions.select(blob_of(F.col(text_col)).alias("blob"), F.coalesce(text_col, F.lit("")).alias("text"))
     known = _ledger(spark, path)
     if known is None:
-        todo = blobs.withColumn("todo", every)
+        todo = blobs.dropDuplicates(["blob"]).withColumn("todo", every)
     else:
         seen = known.groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("rules"))).alias("seen"))
-        todo = (blobs.join(seen, "blob", "left")
-                .withColumn("todo", F.when(F.col("seen").isNull(), every).otherwise(F.array_except(every, "seen")))
-                .where(F.size("todo") > 0))
+        wanted = (blobs.select("blob").distinct().join(seen, "blob", "left")
+                  .withColumn("todo", F.when(F.col("seen").isNull(), every).otherwise(F.array_except(every, "seen")))
+                  .where(F.size("todo") > 0).select("blob", "todo"))
+        asked = shared_dir(spark, "secret-todo")
+        wanted.write.parquet(asked)
+        wanted = spark.read.parquet(asked)
+        if wanted.limit(UNSEEN_SENT + 1).count() <= UNSEEN_SENT:
+            todo = blobs.join(F.broadcast(wanted), "blob").dropDuplicates(["blob"])
+        else:
+            todo = blobs.dropDuplicates(["blob"]).join(wanted, "blob")
     none = F.array().cast(f"array<{_SPAN}>")
     spans = (F.when(F.array_contains("todo", r.name), spans_of(F.col("text"), r)).otherwise(none) for r in rules)
     todo.select("blob", F.col("todo").alias("rules"), F.concat(*spans).alias("spans")).write.mode("append").parquet(path)
+    if known is not None:
+        remove_dir(spark, asked)
 
 
 def found_blobs(spark: SparkSession, path: str, rules: tuple[Rule, ...] = RULES) -> DataFrame:
@@ -150,10 +164,11 @@ def findings(spark: SparkSession, versions: DataFrame, path: str | None = None,
     path = path or shared_dir(spark, "secret-ledger")
     update_ledger(spark, versions, path, rules, text_col)
     found = found_blobs(spark, path, rules)
-    paths = versions.select(*keep, blob_of(F.col(text_col)).alias("__blob"))
+    blob, spans = fresh([*keep, "spans"], "blob", "found")
+    paths = versions.select(*keep, blob_of(F.col(text_col)).alias(blob))
     empty = F.array().cast(found.schema["spans"].dataType)
-    return (paths.join(found.withColumnRenamed("blob", "__blob"), "__blob", "left")
-            .select(*keep, F.coalesce("spans", empty).alias("spans")))
+    return (paths.join(found.withColumnsRenamed({"blob": blob, "spans": spans}), blob, "left")
+            .select(*keep, F.coalesce(spans, empty).alias("spans")))
 
 
 def span_text(spans: Column) -> Column:
@@ -180,12 +195,13 @@ def redact(spark: SparkSession, docs: DataFrame, path: str | None = None, rules:
     """``docs`` with the secrets of ``text_col`` masked and ``length_col`` (code points) set anew where one was."""
     path = path or shared_dir(spark, "secret-ledger")
     update_ledger(spark, docs, path, rules, text_col)
-    found = found_blobs(spark, path, rules).withColumnsRenamed({"blob": "__blob", "spans": "__spans"})
-    text = F.when(F.col("__spans").isNotNull(), masked(F.col(text_col), F.col("__spans"))).otherwise(F.col(text_col))
-    out = (docs.withColumn("__blob", blob_of(F.col(text_col))).join(found, "__blob", "left")
+    blob, spans = fresh(docs.columns, "blob", "spans")
+    found = found_blobs(spark, path, rules).withColumnsRenamed({"blob": blob, "spans": spans})
+    text = F.when(F.col(spans).isNotNull(), masked(F.col(text_col), F.col(spans))).otherwise(F.col(text_col))
+    out = (docs.withColumn(blob, blob_of(F.col(text_col))).join(found, blob, "left")
            .withColumn(text_col, text))
     if length_col in docs.columns:
         kind = docs.schema[length_col].dataType
-        out = out.withColumn(length_col, F.when(F.col("__spans").isNotNull(), F.length(text_col).cast(kind))
+        out = out.withColumn(length_col, F.when(F.col(spans).isNotNull(), F.length(text_col).cast(kind))
                              .otherwise(F.col(length_col)))
     return out.select(*docs.columns)

@@ -265,18 +265,18 @@ def keep_one(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_
     Of repeated rows one stays.  A row without an id goes if a document with an id has its fingerprint;
     of those left, one stays for each fingerprint.
     """
-    links = near_duplicates(spark, docs, id_col, text_col, shingle, max_bits)
-    first = links.where(F.col(id_col) == F.col("component_id")).groupBy(id_col).agg(F.count("*").alias("__rows"))
+    links = near_duplicates(spark, docs.select(id_col, text_col), id_col, text_col, shingle, max_bits)
+    rows, row, key = common.fresh([*docs.columns, "fp", "component_id"], "rows", "row", "key")
+    first = links.where(F.col(id_col) == F.col("component_id")).groupBy(id_col).agg(F.count("*").alias(rows))
     nameless = links.where(F.col(id_col).isNull())
     kept = docs.join(first.select(id_col), id_col, "left_semi").select(*docs.columns)
-    if first.where("__rows > 1").limit(1).count():
+    if first.where(F.col(rows) > 1).limit(1).count():
         kept = kept.dropDuplicates([id_col])
     if nameless.limit(1).count():
-        alone = docs.where(F.col(id_col).isNull()).withColumn("__row", F.struct(*docs.columns))
-        prints = fingerprints(alone.select(F.to_json("__row").alias("__key"), text_col), "__key", text_col, shingle)
+        alone = docs.where(F.col(id_col).isNull()).withColumn(row, F.struct(*docs.columns)).withColumn(key, F.to_json(row))
+        prints = fingerprints(alone.select(key, text_col), key, text_col, shingle)
         lone = nameless.where("component_id IS NULL").select("fp").distinct()
-        one = prints.join(lone, "fp", "left_semi").groupBy("fp").agg(F.min("__key").alias("__key"))
-        rest = (alone.withColumn("__key", F.to_json("__row")).join(one, "__key", "left_semi")
-                .dropDuplicates(["__key"]).select(*docs.columns))
+        one = prints.join(lone, "fp", "left_semi").groupBy("fp").agg(F.min(key).alias(key))
+        rest = alone.join(one, key, "left_semi").dropDuplicates([key]).select(*docs.columns)
         kept = kept.unionByName(rest)
     return kept

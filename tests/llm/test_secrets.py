@@ -99,6 +99,29 @@ def test_redaction(spark):
         assert not slow(rows[i].text)[0]
 
 
+def test_many_and_few_unseen_blobs_give_one_ledger(spark, monkeypatch):
+    for most in (50_000, 1):
+        monkeypatch.setattr(secrets, "UNSEEN_SENT", most)
+        path = shared_dir(spark, "test-ledger")
+        secrets.update_ledger(spark, frame(spark, TEXTS[:4]), path)
+        got = {r.doc_id: [(s.start, s["rank"], s.kind, s.end) for s in r.spans]
+               for r in secrets.findings(spark, frame(spark, TEXTS * 3), path).collect()}
+        assert got == {i: slow(t)[1] for i, t in enumerate(TEXTS * 3)}
+        assert spark.read.parquet(path).count() == len({t or "" for t in TEXTS})
+
+
+def test_columns_of_the_names_in_use_pass_through(spark):
+    df = spark.createDataFrame([(7, "token=abcdefgh", 1, "a", "b", "c", "d", "e")],
+                               "found long, text string, n_chars long, blob string, Spans string, __blob string, "
+                               "__spans string, blob_ string")
+    out = secrets.redact(spark, df)
+    assert out.columns == df.columns
+    assert [tuple(r) for r in out.collect()] == [(7, "[SECRET]", 8, "a", "b", "c", "d", "e")]
+    keep = ("found", "blob", "__blob", "__spans", "blob_")
+    got = secrets.findings(spark, df, keep=keep).collect()
+    assert [tuple(r)[:5] for r in got] == [(7, "a", "c", "d", "e")] and len(got[0].spans) == 1
+
+
 def test_redaction_leaves_nothing_of_a_private_key(spark):
     r = random.Random(4)
     lines = ["".join(r.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", k=64)) for _ in range(25)]

@@ -84,3 +84,12 @@ def test_components_of_a_long_path(spark):
     assert {(r.node, r.component) for r in got} == \
         {(i, 0) for i in range(201)} | {(500, 500), (501, 500), (899, 899), (900, 899)}
     assert len(got) == 205
+
+
+def test_columns_of_the_names_in_use_pass_through(spark):
+    rows = [(None, "alone here", "r", "k", 1, 2, 3), (None, "alone here", "r", "k", 1, 2, 3), (4, "a b c", "s", "l", 4, 5, 6),
+            (4, "a b c", "s", "l", 4, 5, 6), (5, "A b c", "t", "m", 7, 8, 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __row string, key string, Row long, `rows` long, fp long")
+    out = simhash.keep_one(spark, df)
+    assert out.columns == df.columns
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([rows[0], rows[2]], key=str)
