@@ -15,7 +15,10 @@ held as a sorted array.  Node pairs are traversed together from (root, root),
 differing bits add up, and a pair beyond the budget is dropped.  Keys fix 28
 of 64 bits at three differing bits, so work is dealt out in small groups that
 do not grow with groups of exact copies: copies share one fingerprint and
-enter once.
+enter once.  A key of more than ``GROUP_ROWS`` fingerprints (documents that
+share long boilerplate) is dealt out again under max_bits + 1 keys that fix
+9 more bits, and those once more, by the same argument; 44 fixed bits leave
+2^20 fingerprints at most.
 
 A task sends on the edges of a spanning forest of what it linked, never all
 pairs; ``components.connected_components`` joins the forests.
@@ -30,6 +33,7 @@ columns are ignored, whatever their names.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -46,6 +50,8 @@ MAX_BITS = 3
 BITS = 64
 #: Shingles whose bits are counted at once, and node pairs that are held at once.
 VOTE_BLOCK, PAIR_BLOCK = 1 << 16, 1 << 18
+#: A key of more fingerprints is split by further bits, up to LEVELS blocks.
+GROUP_ROWS, LEVELS = 500_000, 4
 #: A node pair of at most so many fingerprint pairs is compared directly.
 LEAF_PAIRS = 64
 
@@ -104,16 +110,19 @@ def _without(x: np.ndarray, at: int, width: int) -> np.ndarray:
     return low | (high << np.uint64(at))
 
 
-def join_keys(fps: np.ndarray, max_bits: int) -> np.ndarray:
-    """(max_bits + 1)^2 keys per fingerprint: the pair of blocks, then their values."""
-    parts, out = max_bits + 1, []
-    for o, (at, width) in enumerate(_blocks(BITS, parts)):
-        outer, rest = _field(fps, at, width), _without(fps, at, width)
-        for i, (at2, width2) in enumerate(_blocks(BITS - width, parts)):
-            inner = _field(rest, at2, width2)
-            table = np.uint64(o * parts + i)
-            out.append((table << np.uint64(width + width2)) | (outer << np.uint64(width2)) | inner)
-    return np.stack(out, axis=1)
+def join_keys(fps: np.ndarray, max_bits: int, levels: int = 2) -> np.ndarray:
+    """(max_bits + 1)^levels keys per fingerprint: the blocks chosen level by level, then their values.
+
+    Column c of one level comes from column c // (max_bits + 1) of the level before.
+    """
+    parts = max_bits + 1
+    tables = [(0, np.zeros(len(fps), np.uint64), fps, 0)]  # choice, fixed bits, the rest, number of fixed bits
+    for _ in range(levels):
+        tables = [(choice * parts + i, (value << np.uint64(width)) | _field(rest, at, width),
+                   _without(rest, at, width), fixed + width)
+                  for choice, value, rest, fixed in tables
+                  for i, (at, width) in enumerate(_blocks(BITS - fixed, parts))]
+    return np.stack([(np.uint64(choice) << np.uint64(fixed)) | value for choice, value, _, fixed in tables], axis=1)
 
 
 def _split(values: np.ndarray, lo: np.ndarray, hi: np.ndarray, depth: int) -> np.ndarray:
@@ -208,6 +217,42 @@ def _emit_keys(max_bits: int):
     return run
 
 
+def _split_keys(max_bits: int, level: int):
+    """Rows under a key of ``level`` blocks -> rows under its keys of one block more."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = max_bits + 1
+        most = max(1_000_000 // parts ** (level + 1), 1)
+        for whole in batches:
+            for at in range(0, len(whole), most):
+                batch = whole.slice(at, most)
+                key, fps = (batch.column(c).to_numpy(zero_copy_only=False).view(np.uint64) for c in (0, 1))
+                table = (join_keys(fps, max_bits, level) == key[:, None]).argmax(axis=1)
+                finer = join_keys(fps, max_bits, level + 1).reshape(len(fps), -1, parts)[np.arange(len(fps)), table]
+                again = pa.array(np.repeat(np.arange(len(fps)), parts))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(finer.reshape(-1).view(np.int64)), batch.column(1).take(again), batch.column(2).take(again)],
+                    names=["key", "fp", "node"])
+    return run
+
+
+def keyed_groups(spark: SparkSession, nodes: DataFrame, max_bits: int, path: str) -> list[DataFrame]:
+    """``nodes`` (fp, node) as rows (key, fp, node), level by level; a pair within ``max_bits`` shares a key of one."""
+    kind = nodes.schema["node"].dataType.simpleString()
+    schema = f"key long, fp long, node {kind}"
+    rows = nodes.select("fp", "node").mapInArrow(_emit_keys(max_bits), schema)
+    out = []
+    for level in range(2, LEVELS):
+        place = f"{path}/large-{level}"
+        rows.groupBy("key").count().where(F.col("count") > GROUP_ROWS).select("key").write.parquet(place)
+        large = spark.read.parquet(place)  # Spark broadcasts it while its files are small
+        if not large.limit(1).count():
+            break
+        out.append(rows.join(large, "key", "left_anti").select("key", "fp", "node"))
+        rows = (rows.join(large, "key", "left_semi").select("key", "fp", "node")
+                .mapInArrow(_split_keys(max_bits, level), schema))
+    return [*out, rows]
+
+
 def _link(max_bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """A partition is sorted by key: whole groups are cut off and joined, the open one is kept."""
@@ -248,10 +293,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     fps = spark.read.parquet(f"{path}/fp")
     nodes = fps.groupBy("fp").agg(F.min(id_col).alias("node"))
     kind = docs.schema[id_col].dataType.simpleString()
-    keyed = nodes.where(F.col("node").isNotNull()).mapInArrow(_emit_keys(max_bits), f"key long, fp long, node {kind}")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    links = (keyed.repartition(parts, "key").sortWithinPartitions("key")
-             .mapInArrow(_link(max_bits), f"u {kind}, v {kind}"))
+    links = reduce(DataFrame.unionAll, [
+        keyed.repartition(parts, "key").sortWithinPartitions("key").mapInArrow(_link(max_bits), f"u {kind}, v {kind}")
+        for keyed in keyed_groups(spark, nodes.where(F.col("node").isNotNull()), max_bits, path)])
     groups = connected_components(spark, links)
     named = (nodes.join(groups, "node", "left")
              .select("fp", F.coalesce("component", "node").alias("component_id")))

@@ -9,6 +9,7 @@ import xxhash
 from conftest import SF001
 from hitlens.llm import registry, simhash
 from hitlens.llm.components import connected_components
+from hitlens.session import shared_dir
 
 SCHEMA = "doc_id long, text string, fp string, component_id string"
 
@@ -93,3 +94,36 @@ def test_columns_of_the_names_in_use_pass_through(spark):
     out = simhash.keep_one(spark, df)
     assert out.columns == df.columns
     assert sorted(map(tuple, out.collect()), key=str) == sorted([rows[0], rows[2]], key=str)
+
+
+def test_large_key_groups_are_split_and_lose_no_link(spark, monkeypatch):
+    """Fingerprints that share most of their bits: groups under a key are bounded, components are exact."""
+    r = random.Random(8)
+    base = r.getrandbits(64)
+    low = (1 << 24) - 1  # the other 40 bits are the same, but for what is flipped
+    values = {base ^ (r.getrandbits(64) & low) for _ in range(150)}
+    values |= {v ^ sum(1 << x for x in r.sample(range(64), 3)) for v in list(values) for _ in range(2)}
+    rows = [(i, v) for i, v in enumerate(sorted(values))]
+    nodes = spark.createDataFrame([(v - (1 << 64) if v >> 63 else v, i) for i, v in rows], "fp long, node long")
+    keys = [len(k.groupBy("key").count().collect()) for k in simhash.keyed_groups(spark, nodes, 3, shared_dir(spark, "t"))]
+    assert len(keys) == 1
+    monkeypatch.setattr(simhash, "GROUP_ROWS", 8)
+    levels = simhash.keyed_groups(spark, nodes, 3, shared_dir(spark, "t"))
+    assert len(levels) == 3
+    for level in levels[:2]:
+        assert level.groupBy("key").count().agg({"count": "max"}).first()[0] <= 8
+    met = set()
+    for level in levels:
+        by = {}
+        for k, _, n in level.collect():
+            by.setdefault(k, []).append(n)
+        met |= {(a, b) for g in by.values() for a in g for b in g if a < b}
+    near = {(i, j) for i, a in rows for j, b in rows if i < j and (a ^ b).bit_count() <= 3}
+    assert near and near <= met
+
+
+def test_components_do_not_depend_on_the_size_of_groups(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    want = {tuple(r) for r in simhash.near_duplicates(spark, docs).collect()}
+    monkeypatch.setattr(simhash, "GROUP_ROWS", 1)
+    assert {tuple(r) for r in simhash.near_duplicates(spark, docs).collect()} == want
