@@ -32,7 +32,7 @@ a row; other columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -120,24 +120,33 @@ class Model:
         for places, w in zip(self.marks, self.weights):
             self.gram_weights[places] += w / np.sqrt(len(places))
 
-    def score_grams(self, grams: list[np.ndarray]) -> np.ndarray:
+    def score_grams(self, grams: Iterable[np.ndarray]) -> np.ndarray:
         """(documents, classes) ridge scores of presence lists, one matrix product for each block of documents."""
-        out = np.zeros((len(grams), len(self.classes)))
-        rows = min(max(CELLS // max(len(self.vocabulary), 1), 1), max(len(grams), 1))
-        present = np.zeros((rows, len(self.vocabulary)), np.float32)
-        for a in range(0, len(grams), rows):
-            block = grams[a:a + rows]
-            present[:] = 0
-            for row, g in zip(present, block):
-                row[_places(self.vocabulary, g)] = 1
-            out[a:a + rows] = present[:len(block)] @ self.gram_weights
-        root = np.sqrt([max(len(g), 1) for g in grams]).reshape(-1, 1)
-        return np.round(out / root, 6)  # single precision: the last digits depend on the block
+        present = np.zeros((max(CELLS // max(len(self.vocabulary), 1), 1), len(self.vocabulary)), np.float32)
+        filled, parts, sizes = 0, [], []
+        for g in grams:
+            if filled == len(present):
+                parts.append(present @ self.gram_weights)
+                present[:] = 0
+                filled = 0
+            present[filled, _places(self.vocabulary, g)] = 1
+            filled += 1
+            sizes.append(max(len(g), 1))
+        parts.append(present[:filled] @ self.gram_weights)
+        root = np.sqrt(np.array(sizes, np.float64)).reshape(-1, 1)
+        return np.round(np.concatenate(parts) / root, 6)  # single precision: the last digits depend on the block
 
     def scores(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """(documents, classes) ridge scores, and which documents have a letter."""
-        grams = [ngrams(t) if t else np.empty(0, np.int64) for t in texts]
-        return self.score_grams(grams), np.array([len(g) > 0 for g in grams], bool)
+        """(documents, classes) ridge scores, and which documents have a letter; one text's n-grams at a time."""
+        ok: list[bool] = []
+
+        def each() -> Iterator[np.ndarray]:
+            for t in texts:
+                g = ngrams(t) if t else np.empty(0, np.int64)
+                ok.append(len(g) > 0)
+                yield g
+
+        return self.score_grams(each()), np.array(ok, bool)
 
 
 def _places(vocabulary: np.ndarray, grams: np.ndarray) -> np.ndarray:
