@@ -91,6 +91,38 @@ def test_message_passing(monkeypatch):
     assert np.abs(field.marginals(loop) - exact(field, loop)).max() < 0.15
 
 
+def test_recall_of_planted_spans_that_base_patterns_miss(spark):
+    """Other values in other documents than those of the training: recall and precision by kind."""
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    field = pii.train(spark, docs.where("doc_id % 2 = 0"))
+    found, there, wrong = [0] * 4, [0] * 4, 0
+    for r in docs.where("doc_id % 2 = 1").collect():
+        text, spans = pii.planted(r.text, 10**10 + r.doc_id)
+        assert all(text[a:b].strip() == text[a:b] for _, a, b in spans)
+        graph = pii.Graph()
+        base = pii.base_spans(text)
+        graph.add(0, text, base)
+        mine = pii.added_spans(graph, field, [base])[0]
+        for k, a, b in spans:
+            there[k] += 1
+            found[k] += any(kind == k and x <= a and b <= y for kind, x, y in mine + base)
+        wrong += sum(all(y <= a or b <= x for _, a, b in spans) for _, x, y in mine)
+    assert all(n > 100 and f >= 0.9 * n for f, n in zip(found, there)), (found, there)
+    assert wrong <= 0.01 * sum(there)
+
+
+def test_other_forms_of_personal_data(spark):
+    field = pii.train(spark, spark.read.parquet(f"{SF01}/documents.parquet"))
+    rows = ["write to jane.doe [at] example [dot] org or", "mail bob (at) corp.com please", "pay 4111 1111 1111 1112 now",
+            "two 4111111111111112 4222222222222222 cards", "ring (030) 555-7713 soon", "host 10[.]1[.]2[.]3 is down",
+            "in 1998 and on 2024-05-06 at 12:30 version 2.0 for 19.99"]
+    want = [None, "bob (at) corp.com", "4111 1111 1111 1112", "4111111111111112", "(030) 555-7713", "10[.]1[.]2[.]3", None]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.doc_id: [rows[r.doc_id][s.start:s.end] for s in r.added] for r in pii.find(spark, df, field).collect()}
+    assert all(w is None or w.strip("()") in [g.strip("()") for g in got[i]] for i, w in enumerate(want)), got
+    assert len(got[3]) == 2 and got[6] == []
+
+
 def test_distant_tokens_share_a_label(spark):
     phone = "+1 (545) 555-9193"
     rows = [(i, f"call {phone[:-4]}{1000 + i} now or word number {i} then") for i in range(60)]
