@@ -9,6 +9,8 @@ Other URLs are scored by logistic regression on hashed character n-grams
 (``ORDERS``) of the host and of the path, each with marks at both ends and a
 name space of its own.  It is fitted on the driver, on a small labelled URL
 table (at most ``MOST_LABELLED`` rows), and broadcast: ``BUCKETS`` weights.
+The built-in table is made by a rule from words of either kind; a word that it
+lacks is judged by the n-grams it shares with those.
 A URL is blocked from a probability of ``CUT`` on.
 
 Defined cases: NULL URLs and those without ``://`` have an empty host and path
@@ -20,6 +22,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import random
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +31,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-ORDERS, BUCKETS, CUT, MOST_LABELLED = (3, 4, 5), 1 << 15, 0.65, 10_000
+ORDERS, BUCKETS, CUT, MOST_LABELLED = (3, 4, 5), 1 << 15, 0.5, 5_000
+GRAM_BUCKETS = 1 << 11
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: (verdict, host, path) rules of the contract.
@@ -40,23 +44,54 @@ RULES = (
     ("block", "com", "/de/"),
 )
 
-# A small labelled URL table: words that pages of unwanted kinds have in their addresses, and ordinary ones.
-_BLOCKED = """casino-royal poker-online free-bets sports-betting win-jackpot lucky-slots cheap-pills
-buy-viagra online-pharmacy diet-pills xxx-videos adult-cams hot-singles sex-chat payday-loans fast-cash replica-watches
-fake-rolex free-download-crack keygen-warez torrent-movies click-here-now best-deals-win spam-links adult-site
-ads-server ad-tracker click-track link-farm""".split()
-_ALLOWED = """news weather-today city-library open-science garden-notes history-museum math-lectures travel-diary
-recipes-home music-school local-sports university-press health-advice photo-album book-reviews code-docs energy-data
-language-course daily-paper river-trust bird-watch chess-club public-records film-archive theatre-hall
-the-enterprise northern-line station-house other-thoughts nation-state""".split()
-
-
-def labelled_urls(spark: SparkSession) -> DataFrame:
-    """(url, label): the built-in table; each word once as a host of its own and once below a common one."""
+# A small labelled URL table.  Words that addresses of unwanted kinds have in them, by kind:
+_BLOCKED = """casino poker roulette slots jackpot blackjack bingo lottery betting bets bet gamble gambling wager bookie
+porn xxx sex sexy nude adult escort hentai erotic camgirls webcams hookup milf fetish
+viagra cialis pharmacy pills steroids slimming
+payday moneyfast quickcash fastloan creditfix
+warez keygen cracked torrent pirate nulled serial
+replica fakewatch knockoff phishing malware spamlinks adserver tracker popup linkfarm clickbait""".split()
+# Ordinary ones, among them names that share letters with those above:
+_ALLOWED = """news weather library science garden history museum maths travel diary recipes music school sports university
+press health advice photo album books review docs energy data language course daily paper river bird chess public
+records film archive theatre hall enterprise station north south house nation city town bank market shop store
+car bicycle train plane hotel hiking camera phone computer software cloud forum wiki blog mail search maps social
+linked links network freedom freeware open source code math physics chemistry biology medicine doctor hospital
+cash cashew cashier mere cashier merchant loan loans lending finance insurance tax law court police
+spade spanish spain spanner antispam spamfilter ham haus pillow pillar pill pillsworth bury canterbury alphabet bethany better
+essex sussex middlesex sextant unisex casing cassette pokemon poke slotted bingley creditunion pharmacology
+trackfield advert adventure adult-education link serialize torrential piracy-law cracker escortservice-history""".split()
+#: What addresses of either kind have around the word.
+_BEFORE = ("", "", "", "my", "the", "best", "free", "online-", "top", "e", "go-", "super")
+_AFTER = ("", "", "", "365", "24", "online", "-world", "hub", "zone", "s", "-club", "land", "site", "world")
+_TLD = ("com", "net", "org", "io", "co.uk", "de", "fr", "info", "example.com", "example.net", "example.org", "biz")
+_SYLLABLES = "ba co de fi go hu ja ke li mo nu pa qui ro si ta ul ve wi xe yo za an en in on th st er tion ble".split()
+_OFFICIAL = ("gov", "edu", "ac.uk", "gov.uk")
+_SUB = ("", "", "www.", "www.", "m.", "blog.", "shop.")
+#: Addresses of each word.
+_EACH = 10
+
+
+def labelled_urls(spark: SparkSession, part: str = "all") -> DataFrame:
+    """(url, label): the words above within host names of many forms, half of them with paths and numbers.
+
+    ``part`` takes the addresses but every fifth of a word (``train``), those (``held_out``) or ``all``.
+    """
     rows = []
     for label, words in (("block", _BLOCKED), ("allow", _ALLOWED)):
-        for k, word in enumerate(words):
-            rows += [(f"https://www.{word}.com/{k}", label), (f"http://{word}.example.net/page/{k}.html", label)]
+        for word in dict.fromkeys(words):
+            r = random.Random(f"{label} {word}")
+            for n in range(_EACH):
+                end = r.choice(_OFFICIAL) if label == "allow" and n % 4 == 3 else r.choice(_TLD)
+                name = word if n == 0 else r.choice(_BEFORE) + word + r.choice(_AFTER)
+                path = r.choice(("", "/", f"/{r.randint(1, 999)}", f"/page/{r.randint(1, 99)}.html", f"/en/{r.randint(1, 9999)}"))
+                url = f"https://{r.choice(_SUB)}{name}.{end}{path}"
+                if part == "all" or (part == "held_out") == (n % 5 == 4):
+                    rows.append((url, label))
+            # names that no word explains are ordinary
+            if label == "allow" and part != "held_out":
+                rows.append((f"http://{r.choice(_SUB)}{''.join(r.choice(_SYLLABLES) for _ in range(r.randint(2, 4)))}."
+                             f"{r.choice(_TLD)}/{r.randint(1, 999)}", label))
     return spark.createDataFrame(rows, "url string, label string")
 
 
@@ -86,23 +121,32 @@ def features(host: str, path: str) -> np.ndarray:
     return np.array(sorted(out), np.int64)
 
 
-def fit(rows: list[np.ndarray], y: np.ndarray, ridge: float = 1e-4, steps: int = 100) -> np.ndarray | None:
+def fit(rows: list[np.ndarray], y: np.ndarray, ridge: float = 2e-6, steps: int = 100) -> np.ndarray | None:
     """Weights and a bias (last); Newton's method in the span of the rows.  None without both labels."""
     if len(set(y.tolist())) < 2:
         return None
-    x = np.zeros((len(rows), BUCKETS + 1))
-    for k, f in enumerate(rows):
-        x[k, f] = 1 / np.sqrt(max(1, len(f)))
-        x[k, -1] = 1
-    gram, a = x @ x.T, np.zeros(len(rows))
+    unit = [1 / np.sqrt(max(1, len(f))) for f in rows]
+    gram, a = np.ones((len(rows), len(rows))), np.zeros(len(rows))  # ones: the bias
+    often = np.bincount(np.concatenate(rows), minlength=BUCKETS) > 1
+    column = np.cumsum(often) - 1  # of the buckets that rows share; the others count for their own row alone
+    for start in range(0, int(often.sum()), GRAM_BUCKETS):  # only so many columns of the rows are held at a time
+        x = np.zeros((len(rows), GRAM_BUCKETS))
+        for k, f in enumerate(rows):
+            at = column[f[often[f]]] - start
+            x[k, at[(at >= 0) & (at < GRAM_BUCKETS)]] = unit[k]
+        gram += x @ x.T
+    gram[np.diag_indices(len(rows))] += [u * u * np.count_nonzero(~often[f]) for u, f in zip(unit, rows)]
     for _ in range(steps):  # w = x' a; the gradient is x' (y - p - ridge n a)
         p = 1 / (1 + np.exp(-gram @ a))
         pull = y - p - ridge * len(rows) * a
         step = np.linalg.solve((p * (1 - p))[:, None] * gram + ridge * len(rows) * np.eye(len(rows)), pull)
         a += step
-        if np.abs(step).max() < 1e-10:
+        if np.abs(step).max() < 1e-7:
             break
-    return x.T @ a
+    w = np.append(np.zeros(BUCKETS), a.sum())
+    for f, u, v in zip(rows, unit, a.tolist()):
+        w[f] += u * v
+    return w
 
 
 def train(spark: SparkSession, labelled: DataFrame, url_col: str = "url", label_col: str = "label") -> np.ndarray | None:

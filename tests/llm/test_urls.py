@@ -44,6 +44,28 @@ def test_fit_is_ridge_logistic_regression():
     assert urls.fit(rows, np.ones(5)) is None
 
 
+def test_precision_and_recall_on_held_out_addresses(spark):
+    weights = urls.train(spark, urls.labelled_urls(spark, "train"))
+    held = [(i, r.url, r.label) for i, r in enumerate(urls.labelled_urls(spark, "held_out").collect())]
+    seen = {r.url for r in urls.labelled_urls(spark, "train").collect()}
+    fresh = [h for h in held if h[1] not in seen]
+    rows = urls.judge(spark, spark.createDataFrame(fresh, "page_id long, url string, label string"), weights, rules=()).collect()
+    label = {i: k for i, _, k in fresh}
+    blocked = [label[r.page_id] == "block" for r in rows if r.verdict == "block"]
+    assert len(fresh) > 200 and np.mean(blocked) > 0.95
+    assert sum(blocked) >= 0.85 * sum(k == "block" for k in label.values())
+
+
+def test_hosts_that_the_table_lacks(spark):
+    weights = urls.train(spark, urls.labelled_urls(spark))
+    good = ("loans.gov", "linkedin.net", "free.fr", "cashmere.net", "spamhaus.net", "pillsbury.edu", "bbc.co.uk", "wikipedia.org",
+            "blog.tionsh.example.com", "m.ththth.example.net")
+    bad = ("porn.net", "bet365.net", "gambling.io", "pornhub.com", "adultfriend.com", "free-casino-bets.net")
+    df = spark.createDataFrame([(h, f"http://{h}/1") for h in good + bad], "page_id string, url string")
+    said = {r.page_id: r.verdict for r in urls.judge(spark, df, weights, rules=()).collect()}
+    assert said == {**dict.fromkeys(good, "allow"), **dict.fromkeys(bad, "block")}
+
+
 TEXTS = [None, "", "no scheme", "http://", "HTTP://A.Example.ORG/en/12?x", "https://example.org/en/2", "http://org/", "http://org",
          "http://xorg/", "ftp://sub.com/fr/x", "http://com/de/", "http://X.COM/DE/", "a://b://c/d", "http://é.net/É#/x", "http://h?q/p",
          "http://example.org/es/", "http://example.org/es", "http://a.org:80/x", "http://free-casino-bets.net/" + "p/" * 50000,
