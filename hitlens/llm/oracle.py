@@ -57,10 +57,13 @@ FROM docs LEFT JOIN gone ON gone.doc_id = docs.doc_id LEFT JOIN kept ON kept.doc
 """
 
 
-def _secret_spans(kind: str, rank: int, pattern: str, keep: str = "true") -> str:
-    """Matches of one pattern with positions: lengths of the gaps between them and of the matches add up."""
+def _secret_spans(kind: str, rank: int, pattern: str, keep: str = "true", beyond: str = "0") -> str:
+    """Matches of one pattern with positions: lengths of the gaps between them and of the matches add up.
+
+    ``beyond``: how many characters a match has read past its end.
+    """
     return rf"""
-  SELECT doc_id, '{kind}' AS kind, {rank} AS rank, start, start + lens[i] AS stop FROM (
+  SELECT doc_id, '{kind}' AS kind, {rank} AS rank, start, start + lens[i] - {beyond} AS stop FROM (
     SELECT *, CAST(coalesce(list_sum(gaps[1:i]), 0) + coalesce(list_sum(lens[1:i - 1]), 0) AS BIGINT) AS start FROM (
       SELECT doc_id, hits, list_transform(hits, lambda x: length(x)) AS lens,
              list_transform(string_split_regex(t, '{pattern}'), lambda x: length(x)) AS gaps,
@@ -71,11 +74,21 @@ def _secret_spans(kind: str, rank: int, pattern: str, keep: str = "true") -> str
 
 # fixed values: the contract's three kinds, then the four that the scan adds
 _ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+# a private key from its BEGIN line: header lines, then all up to the END line, or else the runs of base64; a short run
+# at the end needs a blank, a quote, a dash or the end of the text behind it, which DuckDB can only test by reading it
+_BETWEEN = r"""[\s\x0B\\"''>|,*#]"""
+_RUNS = rf"(?:{_BETWEEN}*[A-Za-z0-9+/]{{16,}}={{0,2}})+"
+_KEY = (r"-----BEGIN [A-Z ]*PRIVATE KEY-----"
+        rf"(?:{_BETWEEN}+[A-Za-z][A-Za-z0-9-]*:\x20?[^\s\x0B\\]*)*"
+        r"""(?:[A-Za-z0-9+/=\s\x0B\\"''>|,*#]*-----END [A-Z ]*PRIVATE KEY-----"""
+        rf"|{_RUNS}{_BETWEEN}+[A-Za-z0-9+/]+={{0,2}}(\z|[\s\x0B\\\"''>|,*#-])"
+        rf"|{_RUNS}|)")
+_PAST_KEY = f"length(regexp_extract(hits[i], '{_KEY}', 1))"
 _SECRET_KINDS = (
     ("assign", _ASSIGN, f"length(regexp_extract(hits[i], '{_ASSIGN}', 2)) >= 6"),
     ("access", "AKIA[A-Z0-9]+", "lens[i] >= 20"),
     ("hex", "[0-9a-f]+", "lens[i] >= 24"),
-    ("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----", "true"),
+    ("pem", _KEY, "true", _PAST_KEY),
     ("github", "gh[pousr]_[A-Za-z0-9]{36,}", "true"),
     ("slack", "xox[abprs]-[A-Za-z0-9-]{10,}", "true"),
     ("jwt", r"eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}", "true"),
@@ -83,7 +96,7 @@ _SECRET_KINDS = (
 
 SECRETS = (
     "WITH docs AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),\nspans AS ("
-    + " UNION ALL ".join(_secret_spans(k, n, p, c) for n, (k, p, c) in enumerate(_SECRET_KINDS)) + r"""),
+    + " UNION ALL ".join(_secret_spans(k, n, *rest) for n, (k, *rest) in enumerate(_SECRET_KINDS)) + r"""),
 joined AS (
   SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
          count(*) FILTER (kind = 'hex') AS n_hex,

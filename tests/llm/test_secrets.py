@@ -5,6 +5,8 @@ import random
 import re
 from dataclasses import replace
 
+import duckdb
+
 from conftest import SF01
 from hitlens.llm import registry, secrets
 from hitlens.session import shared_dir
@@ -149,3 +151,18 @@ def test_redaction_leaves_nothing_of_a_private_key(spark):
     spans = {x.doc_id: x.spans for x in secrets.findings(spark, frame(spark, texts)).collect()}
     for i, t in enumerate(texts):
         assert [(s.start, s["rank"], s.kind, s.end) for s in spans[i]] == slow(t)[1]
+
+
+def test_sql_of_whole_private_keys(spark):
+    """The SQL spans a key as the query does: to the END line, or over its runs of base64."""
+    line, begin, end = "Ab3+/" * 12, "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    texts = [f"é {begin}\n{line}\n{line}\nAbc=\n{end} after", f"x {begin}\n{line}\nAbc= then words", f"{begin}\n{line}\nAbc=",
+             f"{begin}\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES,00\n\n{line}\n{end}", f"{begin} no key at all", begin,
+             f'"{begin}\\n{line}\\n{line}\\n{end}\\n" and {begin}\n{line}', f"> {begin}\n> {line}\n> {line}\n> Xy== \n> {end}",
+             f"{begin}\n{line}\nand words.", f"{begin}\n{line}.", f"{begin}\n{line}\n{begin}\n{line}\n{end}", None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    con = duckdb.connect()
+    con.register("documents", df.toArrow())
+    want = {r[0]: r[1] for r in con.sql(f"SELECT doc_id, spans FROM ({registry.ORACLE_SQL['op8_secrets']})").fetchall()}
+    got = {r.doc_id: ",".join(f"{s.kind}:{s.start}:{s.end}" for s in r.spans) for r in secrets.findings(spark, df).collect()}
+    assert got == want and sum("pem" in s for s in got.values()) == len(texts) - 2
