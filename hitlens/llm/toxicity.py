@@ -234,7 +234,7 @@ class Model:
             logs.append((np.log(_discounted(known[c]) / total[c] + spare * p_stem[at] * shared_word / within[at]),
                          np.log(_discounted(rest[c]) / total[c] + spare * p_stem * shared_rest / within),
                          np.log(p_rare)))
-        self.word_llr, self.stem_llr, self.rare_llr = (b - a for a, b in zip(*logs))
+        self.word_llr, self.stem_llr, self.rare_llr = ((b - a).astype(np.float32) for a, b in zip(*logs))
 
     def values(self, keys: np.ndarray) -> np.ndarray:
         value = np.full(len(keys), float(self.rare_llr))
@@ -322,7 +322,8 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str =
     have = {r.toxic for r in rows.select("toxic").distinct().collect()}
     if have != {0, 1}:
         return None
-    counts = Counts(spark, continuation_counts(rows).persist(), support, most)
+    table = continuation_counts(rows).persist()
+    counts = Counts(spark, table, support, most)
     by_fold = [Sliced(spark, counts, (1 - f,), support) for f in (0, 1)]
 
     def evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -335,10 +336,16 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str =
                     [pa.array(h[a:b]), pa.array(toxic[a:b]), pa.array(list(x), pa.list_(pa.float64()))],
                     names=["h", "toxic", "x"])
 
-    chosen = (rows.mapInArrow(evidence, "h long, toxic int, x array<double>")
+    # ids alone tell which rows are scored
+    last = rows.select("h").orderBy("h").limit(CALIBRATION_ROWS).agg(F.max("h")).first()[0]
+    chosen = (rows.where(F.col("h") <= last).mapInArrow(evidence, "h long, toxic int, x array<double>")
               .orderBy("h", "x").limit(CALIBRATION_ROWS).collect())
     x, y = np.array([r.x for r in chosen]), np.array([r.toxic for r in chosen], float)
-    return Sliced(spark, counts, (0, 1), support), fit_trimmed(x, y)
+    for part in (p for model in by_fold for p in model.parts):
+        part.destroy()
+    model = Sliced(spark, counts, (0, 1), support)
+    table.unpersist()
+    return model, fit_trimmed(x, y)
 
 
 def score(spark: SparkSession, docs: DataFrame, trained, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
