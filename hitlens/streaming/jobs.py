@@ -149,10 +149,16 @@ def start_all_time(counts: DataFrame, out_path: str, checkpoint: str, finish=Non
 def start_all_time_deltas(logs: DataFrame, partial, ledger: RunLedger, checkpoint: str, trigger: dict | None = None,
                           name: str | None = None, after_batch=None) -> StreamingQuery:
     """All-time totals without keyed state: each micro-batch adds its own partial aggregate (``partial(batch)``) to
-    the ledger of runs; ``ledger.totals()`` combines them.  ``after_batch(batch_id)`` runs once a batch is in."""
+    the ledger of runs; ``ledger.totals()`` combines them.  ``partial`` gives no rows for an empty batch: it groups by a
+    key.  ``after_batch(batch_id)`` runs once a batch is in."""
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        if not is_empty_batch(batch, batch_id):
-            ledger.add(partial(batch), batch_id, stream_id_of(batch))
+        # the test for rows and the write both read it: a stream with state passes its state once
+        rows = partial(batch).persist()
+        try:
+            if not is_empty_batch(rows, batch_id):
+                ledger.add(rows, batch_id, stream_id_of(batch))
+        finally:
+            rows.unpersist()
         if after_batch:
             after_batch(batch_id)
     return start_query(logs.writeStream.foreachBatch(per_batch), checkpoint, trigger, name)
@@ -232,8 +238,12 @@ def start_sliding_top_products(lines: DataFrame, out_path: str, checkpoint: str,
     counts = windows.windowed_counts(named, ("product",), length, slide, time_col)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        if not is_empty_batch(batch, batch_id):
-            write_batch_partition(windows.rank_in_window(batch, k), out_path, batch_id)
+        rows = batch.persist()  # read twice; each read of an unpersisted batch would pass the state again
+        try:
+            if not is_empty_batch(rows, batch_id):
+                write_batch_partition(windows.rank_in_window(rows, k), out_path, batch_id)
+        finally:
+            rows.unpersist()
 
     return start_query(counts.writeStream.outputMode("append").foreachBatch(per_batch), checkpoint, trigger, name)
 
@@ -311,33 +321,39 @@ def start_sliding_sql_reports(lines: DataFrame, out_path: str, checkpoint: str,
                               time_basis: str = "event") -> StreamingQuery:
     """STR-10: the four SQL reports over each sliding window, once the window closes.
 
-    One stateful aggregation serves all four: every row counts for its window's
-    statistics and for its status, address and endpoint.  The state holds the
-    keys of the open windows only.
+    One stateful aggregation serves all four: the state counts each window's
+    rows by status, address and endpoint together, which is at most one entry
+    per row and window, and holds the open windows only.  The keys of each
+    report are totals over the closed windows' entries.  A micro-batch passes
+    its state once: what the four reports read is persisted.
     """
     logs, time_col = timed_logs(lines, watermark, time_basis)
+    merge = [F.sum("total_size").alias("total_size"), F.sum("n").alias("n"),
+             F.min("min_size").alias("min_size"), F.max("max_size").alias("max_size")]
+    counts = windows.windowed_aggregate(
+        logs, ("response_code", "ip_address", "request_uri"),
+        [F.sum("content_size").alias("total_size"), F.count(F.lit(1)).alias("n"),
+         F.min("content_size").alias("min_size"), F.max("content_size").alias("max_size")], merge, length, slide, time_col)
     keys = F.explode(F.array(*(
         F.struct(F.lit(r).alias("report"), c.cast("string").alias("key")) for r, c in (
             ("size_stats", F.lit(None)), ("response_codes", F.col("response_code")),
             ("frequent_ips", F.col("ip_address")), ("top_endpoints", F.col("request_uri"))))))
-    rows = logs.select(time_col, "content_size", keys.alias("r")).select(time_col, "content_size", "r.report", "r.key")
-    counts = windows.windowed_aggregate(
-        rows, ("report", "key"),
-        [F.sum("content_size").alias("total_size"), F.count(F.lit(1)).alias("n"),
-         F.min("content_size").alias("min_size"), F.max("content_size").alias("max_size")],
-        [F.sum("total_size").alias("total_size"), F.sum("n").alias("n"),
-         F.min("min_size").alias("min_size"), F.max("max_size").alias("max_size")], length, slide, time_col)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        if is_empty_batch(batch, batch_id):
-            return
         spark, view = batch.sparkSession, f"closed_windows_{batch_id}"
-        batch.createOrReplaceTempView(view)
+        closed = (batch.select("*", keys.alias("r")).groupBy("window_start", "window_end", "r.report", "r.key")
+                  .agg(*merge).persist())
         try:
-            rows = spark.sql(SQL_WINDOW_REPORTS.format(view=view, threshold=threshold, k=k))
-            write_batch_partition(rows, out_path, batch_id)
+            if is_empty_batch(closed, batch_id):
+                return
+            closed.createOrReplaceTempView(view)
+            try:
+                rows = spark.sql(SQL_WINDOW_REPORTS.format(view=view, threshold=threshold, k=k))
+                write_batch_partition(rows, out_path, batch_id)
+            finally:
+                spark.catalog.dropTempView(view)
         finally:
-            spark.catalog.dropTempView(view)
+            closed.unpersist()
 
     return start_query(counts.writeStream.outputMode("append").foreachBatch(per_batch), checkpoint, trigger, name)
 

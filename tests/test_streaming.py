@@ -294,3 +294,40 @@ def test_counter_ledger_compacts_inside_the_stream(spark, feed):
     assert [b for _, b in _parts(ledger, "status_counter")] == [base_batch_id(1), 2]
     assert _counter_totals(ledger) == _batch_counters(spark)
     ledger.drop_schema()
+
+
+@pytest.mark.parametrize("job", ["sql_reports", "top_products", "without_repeats"])
+def test_a_micro_batch_passes_its_state_once(spark, job):
+    """However often its rows are read; the SQL reports keep an entry per row and window, not four."""
+    from hitlens.streaming.queries import stream_settings
+    line = '10.0.0.%d - u%d [01/Jan/2024:00:00:%02d +0000] "GET /shop/catalog/p%d/view HTTP/1.1" 200 %d "-" "a"'
+    rows = [(line % (i, i, i, i, i),) for i in range(30)]
+    rows.append(('9.9.9.9 - z [01/Jan/2024:01:00:00 +0000] "GET /shop/catalog/z/view HTTP/1.1" 404 1 "-" "a"',))
+    path, out, ckpt = (shared_dir(spark, n) for n in ("t-feed", "t-out", "t-ck"))
+    spark.createDataFrame(rows, "value string").coalesce(1).write.text(path)
+    lines = _stream(spark, path)
+    with stream_settings(spark, 2):
+        if job == "sql_reports":
+            query = jobs.start_sliding_sql_reports(lines, out, ckpt, trigger=NOW)
+        elif job == "top_products":
+            query = jobs.start_sliding_top_products(lines, out, ckpt, trigger=NOW)
+        else:
+            ledger = RunLedger(spark, out, "response_code", jobs.SUM_TOTAL)
+            query = jobs.start_all_time_deltas(
+                jobs.without_repeats(lines, "1 minute"), jobs.status_totals, ledger, ckpt, NOW)
+        _run(query)
+    state = [s for p in query.recentProgress for s in p["stateOperators"]]
+    windows_each = 1 if job == "without_repeats" else 3
+    assert sum(s["numRowsUpdated"] for s in state) == 31 * windows_each
+    assert sum(s["numRowsRemoved"] for s in state) == 30 * windows_each
+    if job == "without_repeats":
+        assert _rows(ledger.totals(), "response_code", "total") == [(200, 30), (404, 1)]
+        return
+    got = spark.read.parquet(out)
+    assert got.groupBy("window_start").count().count() == 5
+    if job == "sql_reports":
+        sizes = got.where("report = 'size_stats' AND key IN ('n', 'total_size') AND hour(window_start) = 0 "
+                          "AND minute(window_start) = 0 AND second(window_start) = 0")
+        assert _rows(sizes, "key", "value") == [("n", 30), ("total_size", sum(range(30)))]
+        tops = got.where("report = 'top_endpoints'").groupBy("window_start").count()
+        assert max(r["count"] for r in tops.collect()) == 10
