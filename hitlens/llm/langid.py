@@ -40,6 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hitlens.llm.common import text_ranges
 
 ORDER = 3
 PER_CLASS, LANDMARKS, MAX_CLASSES, RIDGE = 300, 48, 200, 0.1
@@ -136,7 +137,7 @@ class Model:
         root = np.sqrt(np.array(sizes, np.float64)).reshape(-1, 1)
         return np.round(np.concatenate(parts) / root, 6)  # single precision: the last digits depend on the block
 
-    def scores(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    def scores(self, texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(documents, classes) ridge scores, and which documents have a letter; one text's n-grams at a time."""
         ok: list[bool] = []
 
@@ -273,7 +274,7 @@ def predict(spark: SparkSession, docs: DataFrame, model: Model | None, id_col: s
 
 def _labels(model: Model, column: pa.Array) -> tuple[pa.Array, pa.Array, np.ndarray]:
     """Label, share of the positive scores, and whether the text has a letter and a best score that reaches the cutoff."""
-    raw, ok = model.scores(column.to_pylist())
+    raw, ok = model.scores(t for a, b in text_ranges(column) for t in column.slice(a, b - a).to_pylist())
     best = raw.argmax(axis=1)
     top = raw[np.arange(len(best)), best]
     share = np.clip(top, 0, None) / np.maximum(np.clip(raw, 0, None).sum(axis=1), 1e-12)
@@ -290,6 +291,8 @@ def keep_identified(spark: SparkSession, docs: DataFrame, model: Model | None, t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield batch.filter(pa.array(_labels(sent.value, batch.column(at))[2]))
+            ok = pa.array(_labels(sent.value, batch.column(at))[2])
+            for start, end in text_ranges(batch.column(at)):  # no copy of a whole batch's texts
+                yield batch.slice(start, end - start).filter(ok.slice(start, end - start))
 
     return docs.mapInArrow(run, docs.schema)

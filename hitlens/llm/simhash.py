@@ -84,9 +84,10 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(id_col, fp): one row per input row; fp is the fingerprint's 64 bits as a long."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = np.array([fingerprint(t, shingle) for t in common.text_bytes(batch.column(1))], np.uint64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(values.view(np.int64))], names=[id_col, "fp"])
+            for start, end, texts in common.text_chunks(batch.column(1)):
+                values = np.array([fingerprint(t, shingle) for t in texts], np.uint64)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(start, end - start), pa.array(values.view(np.int64))], names=[id_col, "fp"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, fp long")
@@ -314,7 +315,8 @@ def keep_one(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_
     rows, row, key = common.fresh([*docs.columns, "fp", "component_id"], "rows", "row", "key")
     first = links.where(F.col(id_col) == F.col("component_id")).groupBy(id_col).agg(F.count("*").alias(rows))
     nameless = links.where(F.col(id_col).isNull())
-    kept = docs.join(first.select(id_col), id_col, "left_semi").select(*docs.columns)
+    # the ids are hashed and the texts stream past them: a merge join would sort whole texts in memory
+    kept = docs.join(first.select(id_col).hint("shuffle_hash"), id_col, "left_semi").select(*docs.columns)
     if first.where(F.col(rows) > 1).limit(1).count():
         kept = kept.dropDuplicates([id_col])
     if nameless.limit(1).count():

@@ -121,3 +121,21 @@ def test_more_labels_than_classes_and_clean_documents_stay(spark):
     model = langid.train(spark, docs)
     labelled = docs.where("lang IS NOT NULL AND text RLIKE '\\\\p{L}'")
     assert langid.keep_identified(spark, labelled, model).count() == labelled.count()
+
+
+def test_a_batch_of_texts_is_not_copied_whole():
+    import tracemalloc
+
+    import pyarrow as pa
+    grams = [langid.ngrams(t) for t in ("aaa bbb", "ccc ddd")]
+    model = langid.fit(["x", "y"], grams, np.array([0, 1]), 1, 0.1)
+    column = pa.array(["aaa bbb " * 1000, "ccc ddd " * 1000, None] * 2000)  # 32 MB
+    langid._labels(model, column.slice(0, 2))  # what a process makes once
+    tracemalloc.start()
+    try:
+        names, _, kept = langid._labels(model, column)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert names.to_pylist() == ["x", "y", langid.UNKNOWN] * 2000 and kept.sum() == 4000
+    assert peak < langid.CELLS * 4 + 16_000_000

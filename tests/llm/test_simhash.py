@@ -127,3 +127,16 @@ def test_components_do_not_depend_on_the_size_of_groups(spark, monkeypatch):
     want = {tuple(r) for r in simhash.near_duplicates(spark, docs).collect()}
     monkeypatch.setattr(simhash, "GROUP_ROWS", 1)
     assert {tuple(r) for r in simhash.near_duplicates(spark, docs).collect()} == want
+
+
+def test_keep_one_does_not_sort_texts(spark):
+    """The ids are hashed and the texts stream past them."""
+    df = spark.createDataFrame([(i, f"text number {i} of many others") for i in range(20)], "doc_id long, text string")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = simhash.keep_one(spark, df)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    joins = [line for line in plan.splitlines() if "LeftSemi" in line and "Join" in line]
+    assert joins and all("ShuffledHashJoin" in line for line in joins)
