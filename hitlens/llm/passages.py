@@ -40,12 +40,14 @@ Only where such rows are found is the hash (``own``) carried along with the id.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, compress, repeat
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -65,19 +67,45 @@ SHARDS_A_ROW = 4096
 #: Values of one symbol of a word.
 DIGIT = 96
 
+#: Words of more bytes (a multiple of 8) are hashed one by one.
+LONG_WORD, HASH_SEED = 64, 20
+#: Windows whose least seeds are found at once: with the last one's words under 2^24 places.
+LEAST_BLOCK = 1 << 23
+#: Distinct rows are found by one number a row if there are at most so many.
+MOST_CODES = 1 << 62
+
 _U64 = np.uint64
+#: White space to blanks.
+_BLANKS = bytes(32 if b in b" \t\n\v\f\r" else b for b in range(256))
+#: The first 0 to 8 bytes of eight.
+_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], _U64)
 
 
 # ------------------------------------------------------------ words and seeds
 
 class Shard:
-    """Word hashes of some texts, one after the other, and where windows may start."""
-
-    def __init__(self, words: list[list[bytes]], hashes: common.WordHash):
-        self.counts = np.fromiter(map(len, words), np.int64, len(words))
-        self.starts = np.cumsum(self.counts) - self.counts
-        ids = np.concatenate([np.empty(0, _U64), *map(hashes.of, words)])
-        doc = np.repeat(np.arange(len(words)), self.counts)
+    """Some texts, one after the other: their words, word hashes, and where windows may start."""
+
+    def __init__(self, texts: list[bytes | None]):
+        raw = b" ".join([*(t or b"" for t in texts), b""]).translate(_BLANKS)
+        text = np.frombuffer(raw, np.uint8)
+        blank = text == 32
+        inner = ~blank
+        keep = inner.copy()
+        keep[1:] |= inner[:-1]
+        #: The words, each with one blank behind it.
+        self.text = text[keep]
+        #: Place in ``raw`` behind each word.
+        ends = np.flatnonzero(keep & blank)
+        sizes = np.fromiter((len(t) if t else 0 for t in texts), np.int64, len(texts))
+        #: Words before the end of each text.
+        upto = np.searchsorted(ends, np.cumsum(sizes + 1) - 1, "right")
+        self.counts = np.diff(upto, prepend=0)
+        self.starts = upto - self.counts
+        #: Where words begin in ``text``, and where a next one would.
+        self.begins = np.concatenate(([0], np.flatnonzero(self.text == 32) + 1))
+        doc = np.repeat(np.arange(len(texts)), self.counts)
+        ids = _word_hashes(self.text, self.begins)
         n = max(0, len(ids) - WINDOW + 1)
         #: First word, among all, of each window.
         self.windows = np.flatnonzero(doc[:n] == doc[WINDOW - 1:])
@@ -86,38 +114,59 @@ class Shard:
         seeds = common.mix(common.rolling(ids, SEED))
         #: Place of each window's least seed (the first of equals).
         self.at = _least(seeds, WINDOW - SEED + 1)[self.windows] if n else np.empty(0, np.int64)
-        self.seeds = seeds
+        #: Windows that have another place than the one before.
+        self.new = np.concatenate(([True], self.at[1:] != self.at[:-1]))[:len(self.at)]
+        self.seeds = seeds[self.at[self.new]]
 
     def keys(self) -> np.ndarray:
         return common.mix(common.rolling(self.ids, WINDOW))[self.windows]
 
-
-def _least(values: np.ndarray, width: int) -> np.ndarray:
-    """Place of the first least value in every ``width`` consecutive ones, by doubling."""
-    best, size = np.arange(len(values), dtype=np.int32), 1
-    while size < width:
-        step = min(size, width - size)
-        left, right = best[:len(best) - step], best[step:]
-        best = np.where(values[right] < values[left], right, left)
-        size += step
-    return best
-
-
-def _words(texts: list[bytes | None]) -> list[list[bytes]]:
-    return [t.split() if t else [] for t in texts]
+    def hits(self, recurring: SeedFilter) -> np.ndarray:
+        """Windows whose seed the filter has."""
+        return recurring.has(self.seeds)[np.cumsum(self.new) - 1]
+
+    def joined(self, k: int) -> bytes:
+        """The words of a text, with one blank between them."""
+        a, n = self.starts[k], self.counts[k]
+        return self.text[self.begins[a]:self.begins[a + n] - 1].tobytes() if n else b""
+
+
+def _word_hashes(text: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """64-bit hash of each word: eight bytes at a time, all words at once; long words go to a library."""
+    starts, sizes = begins[:-1], np.diff(begins) - 1
+    eight = np.ndarray(len(text), "<u8", np.concatenate((text, np.zeros(7, np.uint8))), strides=(1,))
+    out = common.mix(sizes.astype(_U64) + _U64(HASH_SEED))
+    live = np.arange(len(starts))
+    for at in range(0, LONG_WORD, 8):
+        if at:
+            live = live[sizes[live] > at]
+        if not len(live):
+            break
+        left = np.minimum(sizes[live] - at, 8)
+        out[live] = common.mix((out[live] ^ (eight[starts[live] + at] & _MASKS[left])) * _U64(0xD6E8FEB86659FD93))
+    for k in np.flatnonzero(sizes > LONG_WORD).tolist():
+        out[k] = xxhash.xxh64_intdigest(text[starts[k]:starts[k] + sizes[k]].tobytes(), seed=HASH_SEED)
+    return out
 
 
-def _hashes() -> common.WordHash:
-    return common.WordHash(seed=20, most=150_000)
+def _least(values: np.ndarray, width: int) -> np.ndarray:
+    """Place of the first least value, by its upper 40 bits, in every ``width`` consecutive ones, by doubling."""
+    low, out = _U64((1 << 24) - 1), []
+    for at in range(0, len(values) - width + 1, LEAST_BLOCK):
+        part = values[at:at + LEAST_BLOCK + width - 1]
+        best, size = (part & ~low) | np.arange(len(part), dtype=_U64), 1
+        while size < width:
+            step = min(size, width - size)
+            best = np.minimum(best[:len(best) - step], best[step:])
+            size += step
+        out.append((best & low).astype(np.int64) + at)
+    return np.concatenate(out)
 
 
 def _seed_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = _hashes()
     for batch in batches:
         for _, _, texts in common.text_chunks(batch.column(0), SHARD_BYTES):
-            shard = Shard(_words(texts), hashes)
-            places = shard.at[np.concatenate(([True], np.diff(shard.at) != 0))] if len(shard.at) else shard.at
-            value, n = np.unique(shard.seeds[places], return_counts=True)
+            value, n = np.unique(Shard(texts).seeds, return_counts=True)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(value.view(np.int64)), pa.array(np.minimum(n, 2))], names=["seed", "n"])
 
@@ -164,26 +213,21 @@ def seed_filter(spark: SparkSession, docs: DataFrame, text_col: str) -> SeedFilt
 
 # ----------------------------------------------------------------- candidates
 
-def _digest(words: list[bytes]) -> str:
-    return hashlib.sha256(b" ".join(words)).hexdigest()
-
-
 def _candidates(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Texts with a candidate window keep their words; the others get their digest."""
-        hashes, number = _hashes(), TaskContext.get().partitionId() << 24
+        number = TaskContext.get().partitionId() << 24
         for batch in batches:
             for a, b, texts in common.text_chunks(batch.column(1), SHARD_BYTES):
-                words = _words(texts)
-                shard = Shard(words, hashes)
-                hit = sent.value.has(shard.seeds[shard.at])
+                shard = Shard(texts)
+                words = [shard.joined(k) for k in range(len(texts))]
                 open_ = np.zeros(len(words), bool)
-                open_[shard.doc[shard.windows[hit]]] = True
+                open_[shard.doc[shard.windows[shard.hits(sent.value)]]] = True
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), pa.array([number] * len(words), pa.int64()),
                      pa.array(shard.counts),
-                     pa.array([None if o else _digest(w) for w, o in zip(words, open_)], pa.string()),
-                     pa.array([b" ".join(w) if o else None for w, o in zip(words, open_)], pa.binary()).cast(pa.string())],
+                     pa.array([None if o else hashlib.sha256(w).hexdigest() for w, o in zip(words, open_)], pa.string()),
+                     pa.array([w if o else None for w, o in zip(words, open_)], pa.binary()).cast(pa.string())],
                     names=["id", "shard", "n_words", "kept_sha256", "words"])
                 number += 1
     return run
@@ -206,17 +250,20 @@ def _with_own(columns: list, names: list[str], like: pa.RecordBatch | pa.Table,
 def _windows(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """One row for each distinct candidate window of a shard's batch: its first place, and if it occurs again."""
-        hashes = _hashes()
         for batch in batches:
             ids, shards, owns = batch.column(0).to_numpy(), batch.column(1).to_numpy(), _own(batch)
             for a, b, texts in common.text_chunks(batch.column(2), SHARD_BYTES):
-                part = Shard(_words(texts), hashes)
-                hit = sent.value.has(part.seeds[part.at])
-                first, doc = part.windows[hit], part.doc[part.windows[hit]]
-                key, shard, doc_id, start = part.keys()[hit], shards[a:b][doc], ids[a:b][doc], first - part.starts[doc]
-                own = owns[a:b][doc]
-                order = np.lexsort((start, own, doc_id, shard, key))
-                key, shard, doc_id, own, start = key[order], shard[order], doc_id[order], own[order], start[order]
+                part = Shard(texts)
+                hit = part.hits(sent.value)
+                key, first = part.keys()[hit], part.windows[hit]
+                doc = part.doc[first]
+                rank = np.empty(b - a, np.int64)
+                rank[np.lexsort((owns[a:b], ids[a:b], shards[a:b]))] = np.arange(b - a)
+                # by document, then by key: starts stay in order
+                order = np.argsort(rank[doc], kind="stable")
+                order = order[np.argsort(key[order], kind="stable")]
+                key, doc = key[order], doc[order]
+                start, shard, doc_id, own = first[order] - part.starts[doc], shards[a:b][doc], ids[a:b][doc], owns[a:b][doc]
                 new = np.concatenate(([True], (key[1:] != key[:-1]) | (shard[1:] != shard[:-1])))[:len(key)]
                 # repeated rows of one id are one place
                 other = np.concatenate(([False], (doc_id[1:] != doc_id[:-1]) | (own[1:] != own[:-1])
@@ -249,6 +296,21 @@ def _groups(batches: Iterator[pa.RecordBatch], column: int | str) -> Iterator[pa
         yield pa.Table.from_batches(held)
 
 
+def _distinct(*columns: np.ndarray) -> list[np.ndarray]:
+    """The distinct rows of the columns."""
+    values = [np.unique(c) for c in columns]
+    if math.prod(map(len, values)) > MOST_CODES:
+        return list(np.unique(np.stack(columns, axis=1), axis=0).T)
+    code, out = np.zeros(len(columns[0]), np.int64), []
+    for value, column in zip(values, columns):
+        code = code * len(value) + np.searchsorted(value, column)
+    code = np.unique(code)
+    for value in reversed(values):
+        out.append(value[code % max(1, len(value))] if len(code) else value)
+        code = code // max(1, len(value))
+    return out[::-1]
+
+
 def _first_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From rows sorted by key, id, own, place: (id, start, -1) of each recurring window's first place, and
     (id, -1, shard) for every shard that has one of them."""
@@ -264,13 +326,13 @@ def _first_places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         first = begin[recurs]
         needs = np.flatnonzero(recurs[group])
         at = begin[group[needs]]
-        pairs = np.unique(np.stack((doc_id[at], shard[needs], own[at]), axis=1), axis=0)
+        pairs = _distinct(doc_id[at], shard[needs], own[at])
         none = np.full(len(first), -1)
         yield _with_own(
-            [pa.array(np.concatenate((doc_id[first], pairs[:, 0]))),
-             pa.array(np.concatenate((start[first], np.full(len(pairs), -1)))),
-             pa.array(np.concatenate((none, pairs[:, 1])))], ["id", "start", "shard"],
-            table, np.concatenate((own[first], pairs[:, 2])))
+            [pa.array(np.concatenate((doc_id[first], pairs[0]))),
+             pa.array(np.concatenate((start[first], np.full(len(pairs[0]), -1)))),
+             pa.array(np.concatenate((none, pairs[1])))], ["id", "start", "shard"],
+            table, np.concatenate((own[first], pairs[2])))
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -355,52 +417,49 @@ class Automaton:
     def __init__(self, rows: list[tuple[int, int, int, bytes]]):
         self.ids, self.owns, self.first = (np.array([r[k] for r in rows], np.int64) for k in range(3))
         words = [r[3].split(b" ") for r in rows]
-        distinct = list(dict.fromkeys(chain.from_iterable(words)))
+        self.codes = {w: k + 1 for k, w in enumerate(dict.fromkeys(chain.from_iterable(words)))}
         self.width = 1
-        while DIGIT ** self.width <= len(distinct):
+        while DIGIT ** self.width <= len(self.codes):
             self.width += 1
-        self.codes = {w: self._symbols(k + 1) for k, w in enumerate(distinct)}
-        self.unknown = self._symbols(0)
         # passages lie one after the other with a gap between them: comparisons stop there
         self.flat, self.offsets, text = self._flat(words)
         self.flat[self.flat == 0] = -1
         self.tree = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        times = (np.fromiter(map(len, words), np.int64, len(words)) - PHRASE) // STRIDE + 1
+        passage = np.repeat(np.arange(len(words)), times)
+        place = self.offsets[passage] + STRIDE * (np.arange(len(passage)) - np.repeat(np.cumsum(times) - times, times))
         phrases: dict[str, int] = {}
-        places = []
-        for k, (at, own) in enumerate(zip(self.offsets.tolist(), words)):
-            for o in range(at, at + len(own) - PHRASE + 1, STRIDE):
-                phrase = text[o * self.width:(o + PHRASE) * self.width]
-                places.append((phrases.setdefault(phrase, len(phrases)), k, o))
+        number = np.fromiter((phrases.setdefault(text[o:o + PHRASE * self.width], len(phrases))
+                              for o in (place * self.width).tolist()), np.int64, len(place))
         for phrase, k in phrases.items():
             self.tree.add_word(phrase, k)
         if phrases:
             self.tree.make_automaton()
-        table = np.array(sorted(places), np.int64).reshape(-1, 3)
-        self.passage, self.place = table[:, 1], table[:, 2]
-        self.times = np.bincount(table[:, 0], minlength=len(phrases))
+        order = np.argsort(number, kind="stable")
+        self.passage, self.place = passage[order], place[order]
+        self.times = np.bincount(number, minlength=len(phrases))
         self.begin = np.cumsum(self.times) - self.times
 
-    def _symbols(self, number: int) -> str:
-        return "".join(chr(1 + j * DIGIT + number // DIGIT ** j % DIGIT) for j in range(self.width))
-
     def _flat(self, words: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray, str]:
         """Word numbers of all texts with gaps of zeros before, between and after; where each text begins;
         the same as symbols."""
-        get, unknown = self.codes.get, self.unknown
-        gap = unknown * PHRASE
-        text = gap + "".join("".join([get(w, unknown) for w in ws]) + gap for ws in words)
-        size = np.fromiter(map(len, words), np.int64, len(words)) + PHRASE
-        symbols = np.frombuffer(text.encode("utf-16-le"), np.uint16).reshape(-1, self.width).astype(np.int64)
-        places = np.arange(self.width)
-        numbers = (symbols - 1 - places * DIGIT) @ DIGIT ** places
-        return numbers, PHRASE + np.cumsum(size) - size, text
+        counts = np.fromiter(map(len, words), np.int64, len(words))
+        offsets = PHRASE + np.cumsum(counts + PHRASE) - counts - PHRASE
+        numbers = np.zeros(PHRASE + int((counts + PHRASE).sum()), np.int64)
+        inside = np.repeat(offsets - np.cumsum(counts) + counts, counts) + np.arange(int(counts.sum()))
+        numbers[inside] = np.fromiter(map(self.codes.get, chain.from_iterable(words), repeat(0)), np.int64, len(inside))
+        symbols, rest = np.empty((len(numbers), self.width), "<u2"), numbers
+        for j in range(self.width):
+            symbols[:, j] = 1 + j * DIGIT + rest % DIGIT
+            rest = rest // DIGIT
+        return numbers, offsets, symbols.tobytes().decode("utf-16-le")
 
     def covered(self, doc_ids: np.ndarray, owns: np.ndarray, docs: list[list[bytes]]) -> list[np.ndarray]:
         """For each document, which words a window covers that starts earlier elsewhere."""
         if not len(self.times):
             return [np.zeros(len(w), bool) for w in docs]
         numbers, starts, text = self._flat(docs)
-        found = np.array(list(self.tree.iter(text)), np.int64).reshape(-1, 2)
+        found = np.fromiter(chain.from_iterable(self.tree.iter(text)), np.int64).reshape(-1, 2)
         hits, phrase = (found[:, 0] + 1) // self.width - PHRASE, found[:, 1]
         step = np.zeros(len(numbers) + 1, np.int64)
         for at in range(0, len(hits), 20_000):
@@ -456,8 +515,7 @@ def _locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for c, d in common.chunks(words[a:b], 2_000_000):
                 docs = [w.split(b" ") for w in words[a + c:a + d]]
                 cover = automaton.covered(ids[a + c:a + d], owns[a + c:a + d], docs)
-                kept = [[w for w, gone in zip(ws, g.tolist()) if not gone] if g.any() else ws
-                        for ws, g in zip(docs, cover)]
+                kept = [list(compress(ws, (~g).tolist())) if g.any() else ws for ws, g in zip(docs, cover)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids[a + c:a + d]), pa.array([len(w) for w in docs], pa.int64()),
                      pa.array([int(g.sum()) for g in cover], pa.int64()),

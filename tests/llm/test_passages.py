@@ -4,6 +4,9 @@ import hashlib
 import random
 
 import duckdb
+import numpy as np
+import pyarrow as pa
+import xxhash
 
 from conftest import SF001
 from hitlens.llm import oracle, passages, registry
@@ -117,3 +120,51 @@ def test_rows_of_no_id_or_one_id_with_different_texts(spark, monkeypatch):
     assert run(spark, docs) == slow_own(spark, docs)
     monkeypatch.setattr(passages, "SHARD_BYTES", 700)
     assert run(spark, docs) == slow_own(spark, docs)
+
+
+def texts_of_odd_words(r, n):
+    parts = [b"a", b"bc", b"\x00", b" ", b"  ", b"\n", b"\t\x0b", b"\r", b"\x0c", b"\x1c", "é\x85".encode(), b"12345678", b"123456789"]
+    out = [None, b"", b" \n", b"\x00", b"\x00\x00"]
+    for _ in range(n):
+        out.append(b"".join(r.choice([*parts, b"x" * r.randint(1, 150)]) for _ in range(r.randint(0, 80))))
+    return out
+
+
+def test_words_are_those_of_split_and_hash_alike():
+    texts = texts_of_odd_words(random.Random(5), 200)
+    shard = passages.Shard(texts)
+    words = [t.split() if t else [] for t in texts]
+    assert [shard.joined(k) for k in range(len(texts))] == [b" ".join(w) for w in words]
+    assert shard.counts.tolist() == [len(w) for w in words]
+    flat = [w for ws in words for w in ws]
+    by_word = dict(zip(flat, shard.ids.tolist()))
+    assert [by_word[w] for w in flat] == shard.ids.tolist()
+    assert len(set(by_word.values())) == len(by_word) > 500
+    alone = [passages.Shard([t]).ids.tolist() for t in texts]
+    assert [h for hs in alone for h in hs] == shard.ids.tolist()
+
+
+def test_no_call_for_each_word(monkeypatch):
+    """Seeds are counted with one library call for each long word alone."""
+    calls = []
+    monkeypatch.setattr(xxhash, "xxh64_intdigest", lambda *a, **b: calls.append(a) or 7)
+    texts = [" ".join(f"word{i}" for i in range(d, d + 300)) for d in range(50)] + ["x" * 65]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    out = pa.Table.from_batches(list(passages._seed_counts(iter([batch]))))
+    assert len(out) and len(calls) <= 1
+
+
+def test_places_of_least_seeds_and_distinct_rows(monkeypatch):
+    r = np.random.default_rng(2)
+    values = r.integers(0, 5, 4000).astype(np.uint64) << np.uint64(60)
+    want = [i + int(np.argmin(values[i:i + 13])) for i in range(4000 - 12)]
+    assert passages._least(values, 13).tolist() == want
+    monkeypatch.setattr(passages, "LEAST_BLOCK", 100)
+    assert passages._least(values, 13).tolist() == want
+    columns = [r.integers(-3, 3, 500), r.integers(-(1 << 62), 1 << 62, 500)[r.integers(0, 4, 500)], np.zeros(500, np.int64)]
+    rows = sorted(set(zip(*(c.tolist() for c in columns))))
+    assert list(zip(*(c.tolist() for c in passages._distinct(*columns)))) == rows
+    wide = [r.integers(-(1 << 62), 1 << 62, 40) for _ in range(3)]
+    monkeypatch.setattr(passages, "MOST_CODES", 1000)
+    assert list(zip(*(c.tolist() for c in passages._distinct(*wide)))) == sorted(zip(*(c.tolist() for c in wide)))
+    assert [len(c) for c in passages._distinct(*(c[:0] for c in wide))] == [0, 0, 0]
